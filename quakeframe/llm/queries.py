@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import bpe
+from quakeframe.llm import bpe, langid
+from quakeframe.llm.words import key_fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +21,15 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(coded).select("doc_id", "n_tokens", F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fitted = langid.fit(docs.where(key_fold() != 2))
+    scored = langid.predict(docs.select("doc_id", "text"), fitted)
+    return scored.select("doc_id", (key_fold() == 2).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe}
+    return {"op2_byte_bpe": op2_byte_bpe, "op7_language_id": op7_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
