@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import bpe, langid
+from quakeframe.llm import bpe, langid, lm, toxicity
 from quakeframe.llm.words import key_fold
 
 
@@ -21,6 +21,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(coded).select("doc_id", "n_tokens", F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").where(key_fold() != 2)
+    scored = toxicity.predict(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", (key_fold() == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fitted = langid.fit(docs.where(key_fold() != 2))
@@ -28,8 +35,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (key_fold() == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents that labels mark as of good quality; background: all documents."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = _table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality")).where("quality = 1").select("doc_id")
+    good = F.broadcast(good) if good.count() <= toxicity.BROADCAST_LABELS else good
+    rows = docs.join(good.withColumn("target", F.lit(True)), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    return lm.score(docs, lm.fit(rows)).drop("text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op7_language_id": op7_language_id}
+    return {"op2_byte_bpe": op2_byte_bpe, "op4_toxicity": op4_toxicity, "op7_language_id": op7_language_id, "op10_lm_score": op10_lm_score}
 
 
 def oracle_sql() -> dict[str, str]:
