@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import bpe, langid, lm, toxicity
+from quakeframe.llm import bpe, jaccard, langid, lm, toxicity
 from quakeframe.llm.words import key_fold
 
 
@@ -35,6 +35,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (key_fold() == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(_table(spark, sf_dir, "documents").select("doc_id", "text"), size=4, percent=85)
+
+
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the documents that labels mark as of good quality; background: all documents."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,7 +49,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op4_toxicity": op4_toxicity, "op7_language_id": op7_language_id, "op10_lm_score": op10_lm_score}
+    return {"op2_byte_bpe": op2_byte_bpe, "op4_toxicity": op4_toxicity, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op10_lm_score": op10_lm_score}
 
 
 def oracle_sql() -> dict[str, str]:
