@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import bpe, jaccard, langid, lm, toxicity
+from quakeframe.llm import bpe, decontaminate, jaccard, langid, lm, toxicity
 from quakeframe.llm.words import key_fold
 
 
@@ -28,6 +28,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (key_fold() == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item: doc_id, the item and the similarity of the best window."""
+    found = decontaminate.find(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("matches") > 0).select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fitted = langid.fit(docs.where(key_fold() != 2))
@@ -49,7 +55,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op4_toxicity": op4_toxicity, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op10_lm_score": op10_lm_score}
+    return {"op2_byte_bpe": op2_byte_bpe, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op10_lm_score": op10_lm_score}
 
 
 def oracle_sql() -> dict[str, str]:
