@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import bpe, decontaminate, jaccard, langid, lm, toxicity
+from quakeframe.llm import bpe, decontaminate, jaccard, langid, lm, secrets, toxicity
 from quakeframe.llm.words import key_fold
 
 
@@ -21,6 +21,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(coded).select("doc_id", "n_tokens", F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda x: x["rank"] < len(secrets.BASE_RULES))
+    counts = [F.expr(f"cast(size(filter(secrets, x -> x.kind = '{r.kind}')) as long)").alias(f"n_{r.kind}") for r in secrets.BASE_RULES]
+    return found.select("doc_id", *counts, F.sha2(secrets.as_text(base), 256).alias("base_sha256"), secrets.as_text(F.col("secrets")).alias("spans"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").where(key_fold() != 2)
@@ -55,7 +62,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op10_lm_score": op10_lm_score}
+    return {"op2_byte_bpe": op2_byte_bpe, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op10_lm_score": op10_lm_score}
 
 
 def oracle_sql() -> dict[str, str]:
