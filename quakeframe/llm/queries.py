@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import bpe, decontaminate, jaccard, langid, lm, secrets, toxicity
+from quakeframe.llm import bpe, decontaminate, jaccard, langid, licenses, lm, secrets, toxicity
 from quakeframe.llm.words import key_fold
 
 
@@ -41,6 +41,23 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where(F.size("matches") > 0).select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("places", lambda x: x["at"].cast("long"))
+    base = F.transform("places", lambda x: x["label"])
+    more = F.transform("found", lambda x: x["label"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat(base, more))), ",").alias("labels"),
+        "score",
+    )
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fitted = langid.fit(docs.where(key_fold() != 2))
@@ -62,7 +79,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op10_lm_score": op10_lm_score}
+    return {"op2_byte_bpe": op2_byte_bpe, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_license_scan": op6_license_scan, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op10_lm_score": op10_lm_score}
 
 
 def oracle_sql() -> dict[str, str]:
