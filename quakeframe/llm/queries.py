@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import bpe, decontaminate, jaccard, langid, licenses, lm, secrets, toxicity
+from quakeframe.llm import bpe, decontaminate, jaccard, langid, licenses, lm, secrets, toxicity, urls
 from quakeframe.llm.words import key_fold
 
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, keep_text=False)
@@ -79,8 +83,8 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_byte_bpe": op2_byte_bpe, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_license_scan": op6_license_scan, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op10_lm_score": op10_lm_score}
+    return {"op1_url_filter": op1_url_filter, "op2_byte_bpe": op2_byte_bpe, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_license_scan": op6_license_scan, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op10_lm_score": op10_lm_score}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_url_filter": urls.duckdb_sql()}
