@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import bpe, decontaminate, jaccard, langid, licenses, lm, secrets, toxicity, urls
+from quakeframe.llm import ann, bpe, decontaminate, jaccard, langid, licenses, lm, secrets, toxicity, urls
 from quakeframe.llm.words import key_fold
 
 
@@ -73,6 +73,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(_table(spark, sf_dir, "documents").select("doc_id", "text"), size=4, percent=85)
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the documents that labels mark as of good quality; background: all documents."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -83,7 +87,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_url_filter": op1_url_filter, "op2_byte_bpe": op2_byte_bpe, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_license_scan": op6_license_scan, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op10_lm_score": op10_lm_score}
+    return {"op1_url_filter": op1_url_filter, "op2_byte_bpe": op2_byte_bpe, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_license_scan": op6_license_scan, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op9_nearest": op9_nearest, "op10_lm_score": op10_lm_score}
 
 
 def oracle_sql() -> dict[str, str]:
