@@ -36,7 +36,7 @@ GRAPH_DEGREE = 16
 PART_ROWS, PARTS = 1_500, (1, 256)
 HIDDEN = 64
 #: A query is routed to parts until their probabilities add up to this, to this share of the parts at least.
-PROBED, LEAST_SHARE = 0.995, 0.15
+PROBED, LEAST_SHARE = 0.95, 0.02
 #: Rows of a cell, and queries in a block.
 CELL_ROWS, BLOCK_QUERIES = 2_000, 1_000
 
