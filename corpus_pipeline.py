@@ -1,17 +1,70 @@
-"""The corpus pipeline over documents: five stages, each a table that the next one reads."""
+"""The corpus pipeline over documents: five stages, each a table that the next one reads.
+
+Stages 1 to 4 return the columns of documents. Null texts have no language and go
+in stage 1. The Jaccard stage keeps one row of each group of near copies, the one
+with the smallest doc_id; rows with a null doc_id are no part of a group and stay.
+Documents that hold a benchmark item go; secrets are cut out of the texts of
+documents, which stay, and n_chars follows. The last stage returns the digests of
+the encoded and decoded text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quakeframe.llm import bpe, decontaminate, jaccard, langid, secrets
+from quakeframe.llm.words import key_fold
+from quakeframe.session import materialize
+
+#: Texts whose best language is less likely than this are rejected.
+LEAST_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    fitted = langid.fit(docs.where(key_fold() != 2))
+    scored = langid.predict(docs, fitted)
+    return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = jaccard.components(docs.select("doc_id", "text"), size=5, percent=80)
+    first = groups.where("doc_id is not null and doc_id = component_id").select("doc_id").distinct()
+    kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").select(*docs.columns)
+    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+
 
-STAGES: list = []
+def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(F.size("matches") == 0).select(*docs.columns)
+
+
+def cut_out_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = secrets.scan(docs)
+    text = secrets.redact(F.col("text"), F.col("secrets"))
+    has = F.size("secrets") > 0
+    clean = found.withColumn("n_chars", F.when(has, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).withColumn("text", text)
+    return clean.select(*docs.columns)
+
+
+def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), keep_text=False))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("jaccard_join", keep_one_of_near_copies),
+    ("decontaminate", remove_benchmark_leaks),
+    ("secret_scan", cut_out_secrets),
+    ("byte_bpe", encode_and_decode),
+]
+#: Segmentation sums and merges have no SQL; the tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents."""
-    from quakeframe.session import materialize
-
+    """Apply the stages to documents; each one's rows are written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
