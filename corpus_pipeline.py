@@ -30,8 +30,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = jaccard.components(docs.select("doc_id", "text"), size=5, percent=80)
     first = groups.where("doc_id is not null and doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").select(*docs.columns)
-    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").withColumn("__text", F.xxhash64("text"))
+    once = kept.withColumn("__copy", F.expr("row_number() over (partition by doc_id, __text order by n_chars)")).where("__copy = 1")
+    return once.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
