@@ -250,7 +250,7 @@ def links(docs: DataFrame, profile: DataFrame, levels: np.ndarray, noise: float,
 
 def components(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:
     """One row a document: key, n_shingles (long) and component_id, the smallest key that links reach."""
-    bits = min(max(math.ceil(math.log2(64 * max(1, docs.count()))), SKETCH_BITS[0]), SKETCH_BITS[1])
+    bits = min(max(math.ceil(math.log2(16 * max(1, docs.count()))), SKETCH_BITS[0]), SKETCH_BITS[1])
     table = materialize(_profile(docs, text, key, size, bits), "profile")
     profile = table.where(F.col("sig").isNotNull()).select("key", "n", "sig")
     levels, noise = _levels(table.where(F.col("block").isNotNull()), bits)

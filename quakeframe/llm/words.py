@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Text bytes that one step of a task handles at a time; larger Arrow batches are sliced.
-STEP_BYTES = 24 << 20
+STEP_BYTES = 8 << 20
 
 
 def key_fold(col: str = "doc_id") -> F.Column:
