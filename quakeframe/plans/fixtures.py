@@ -48,11 +48,11 @@ zoned AS (SELECT region, time, magnitude, event_id, lat, lon, depth FROM catalog
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Window metadata: station, file, class and number of windows."""
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("station"), F.col("l_orderkey").alias("file"), F.col("l_linenumber").alias("part"), F.col("l_returnflag").alias("cls"), F.col("l_quantity").cast("long").alias("n_windows")
+        F.col("l_suppkey").alias("station"), F.col("l_orderkey").alias("file"), F.col("l_linenumber").alias("part"), F.col("l_partkey").alias("item"), F.col("l_returnflag").alias("cls"), F.col("l_quantity").cast("long").alias("n_windows")
     )
 
 
-ENTRIES_SQL = "entries AS (SELECT l_suppkey AS station, l_orderkey AS file, l_linenumber AS part, l_returnflag AS cls, CAST(l_quantity AS BIGINT) AS n_windows FROM lineitem)"
+ENTRIES_SQL = "entries AS (SELECT l_suppkey AS station, l_orderkey AS file, l_linenumber AS part, l_partkey AS item, l_returnflag AS cls, CAST(l_quantity AS BIGINT) AS n_windows FROM lineitem)"
 
 
 def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
