@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,13 +42,23 @@ def days_between(first: Column, last: Column) -> Column:
     return (F.unix_micros(last.cast("timestamp")) - F.unix_micros(first.cast("timestamp"))) / F.lit(86_400_000_000.0)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once a row; inside a lambda it would be computed for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def array_mean(x: Column) -> Column:
+    return F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / F.size(x)
+
+
+def array_sigma(x: Column, mean: Column) -> Column:
+    """Population standard deviation."""
+    return F.sqrt(F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / F.size(x))
+
+
 def standardize(x: Column) -> Column:
     """(x - mean) / max(sigma, 1e-12) of an array, with the population sigma."""
-    n = F.size(x)
-    mean = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / n
-    variance = F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / n
-    sigma = F.greatest(F.sqrt(variance), F.lit(1e-12))
-    return F.transform(x, lambda v: (v - mean) / sigma)
+    return let(array_mean(x), lambda mean: let(F.greatest(array_sigma(x, mean), F.lit(1e-12)), lambda sigma: F.transform(x, lambda v: (v - mean) / sigma)))
 
 
 def uint8(x: Column) -> Column:
