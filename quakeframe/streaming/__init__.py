@@ -1 +1 @@
-"""Spark-native event-sequence and waveform analytics."""
+"""Streaming forms of the catalog operators."""
