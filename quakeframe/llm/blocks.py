@@ -25,14 +25,19 @@ def unpack(data: bytes, width: int, dtype: type) -> np.ndarray:
 
 
 def add_up(parts: DataFrame, width: int, dtype: type = np.int64) -> DataFrame:
-    """Sums the blocks (block long, data binary) of the same number. Tasks stream over rows and hold one sum a block."""
+    """Sums the blocks (block long, data binary) of the same number; bytes stop at 255. Tasks stream over rows and hold one sum a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist(), strict=True):
                 got = unpack(data, width, dtype)
-                sums[block] = sums[block] + got if block in sums else got
+                if block not in sums:
+                    sums[block] = got
+                elif dtype is np.uint8:
+                    sums[block] = np.minimum(sums[block].astype(np.uint16) + got, 255).astype(np.uint8)
+                else:
+                    sums[block] = sums[block] + got
         for block, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([pa.compress(total.tobytes(), codec="zstd", asbytes=True)], pa.binary())], names=["block", "data"])
 

@@ -9,11 +9,14 @@ classes are joined:
 2. A class posts the prefix of its ordered set that any linked partner must hit
    at least L times. L is chosen by estimated cost: longer prefixes post more
    shingles, but require as many more shared ones before a pair is verified.
-3. All classes that share a posted shingle come together at that shingle's
+3. A second sketch tells shingles posted once, which are dropped before the
+   shuffle. All classes that share a posted shingle come together at that shingle's
    smallest class, so a group of near copies meets at a few leaders, not in
    pairs. Groups are cut into chunks of bounded size, and tasks compare pairs of
-   chunks. A pair with too few shared prefix shingles isn't verified, nor one
-   that is connected already; the others are verified exactly.
+   chunks: first by shared prefix shingles and set sizes alone, then, with the
+   texts of the members that are left, by their sets. A pair with too few shared
+   prefix shingles isn't verified, nor one that is connected already; the others
+   are verified exactly.
 4. Tasks emit a spanning forest of their links; connected components follow.
 
 No list, partner or candidate is capped. Rows with a null key get their set size
@@ -30,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakeframe.llm import blocks
@@ -44,6 +47,9 @@ VERIFY_COST = 20.0
 #: Members and shingles of a chunk.
 CHUNK_ROWS, CHUNK_SHINGLES = 256, 400_000
 SKETCH_BITS = (16, 26)
+#: Members of groups up to this number are broadcast to fetch their texts (a few numbers each); more are joined by a shuffle.
+BROADCAST_MEMBERS = 1_000_000
+SLOT_BITS = 28
 
 
 def text_sets(text: pa.Array, size: int) -> list[np.ndarray]:
@@ -56,8 +62,9 @@ def signature(own: np.ndarray) -> bytes:
     return hashlib.md5(own.tobytes(), usedforsecurity=False).digest()
 
 
-def _slots(own: np.ndarray, bits: int) -> np.ndarray:
-    return (mix64(own + np.uint64(1)) >> np.uint64(64 - bits)).astype(np.int64)
+def _slots(own: np.ndarray, bits: int, salt: int = 1) -> np.ndarray:
+    """Slots of one sketch; sketches of other salts are independent."""
+    return (mix64(own + np.uint64(salt)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _needed(n: int, percent: int) -> int:
@@ -127,6 +134,31 @@ def _levels(sketch: DataFrame, bits: int) -> tuple[np.ndarray, float]:
     return levels, total / len(levels)
 
 
+def _shared_slots(posted: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of the slots that two postings at least fall into; a shingle posted once is mostly alone in its slot."""
+    width = min(blocks.BLOCK, 1 << bits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, np.uint8)
+        for batch in batches:
+            slot, n = np.unique(_slots(batch.column("token").to_numpy().view(np.uint64), bits, 2), return_counts=True)
+            counts[slot] = np.minimum(counts[slot] + np.minimum(n, 2), 2)
+        packed = blocks.pack(counts)
+        yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in packed], pa.int64()), pa.array([d for _, d in packed], pa.binary())], names=["block", "data"])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = [np.packbits(blocks.unpack(d, width, np.uint8) > 1).tobytes() for d in batch.column("data").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(data, pa.binary())], names=["block", "data"])
+
+    schema = "block long, data binary"
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    rows = blocks.add_up(posted.select("token").mapInArrow(count, schema), width, np.uint8).mapInArrow(mark, schema).toPandas()  # 2^bits bits
+    for block, data in rows.itertuples(index=False):
+        out[block * width // 8 : (block + 1) * width // 8] = np.frombuffer(data, np.uint8)
+    return out
+
+
 class _Forest:
     """Union-find over the members of one comparison."""
 
@@ -178,6 +210,67 @@ def linked_pairs(sets: list[np.ndarray], chunk: np.ndarray, levels: np.ndarray,
     return out
 
 
+def _tiles(members: DataFrame, weight: Column, *columns: str) -> DataFrame:
+    """Members (leader, key, ...) of groups of two or more, once for each pair of chunks (i, j) that their own chunk is in."""
+    groups = members.groupBy("leader").agg(F.count(F.lit(1)).alias("rows"), F.sum(weight).alias("weight")).where("rows > 1")
+    chunks = F.ceil(F.greatest(F.col("rows") / CHUNK_ROWS, F.col("weight") / CHUNK_SHINGLES)).cast("int").alias("chunks")
+    return (
+        members.join(groups.select("leader", chunks), "leader")
+        .withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("leader", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), *columns)
+    )
+
+
+def _dealt(tiles: DataFrame) -> DataFrame:
+    """Rows of a tile next to each other in one task."""
+    return tiles.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[int, list[tuple]]]:
+    """Leader and rows of each tile."""
+    now, held = None, []
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in ("leader", "i", "j")), strict=True)
+        for key, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in columns), strict=True), strict=True):
+            if key != now:
+                if held:
+                    yield now[0], held
+                now, held = key, []
+            held.append(row)
+    if held:
+        yield now[0], held
+
+
+def _pairs(kept: set, kind: str) -> pa.RecordBatch:
+    types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in kept], pa.int64()), pa.array([k for _, k in kept], types.get(kind))], names=["leader", "key"])
+
+
+def _with_partner(tokens: list[list[int]], chunk: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Members that share the fewest required prefix shingles with another of fitting size."""
+    lengths = np.array([len(t) for t in tokens])
+    codes = np.unique(np.concatenate([np.asarray(t, np.int64) for t in tokens]), return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(tokens)), lengths)
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    two = len(np.unique(chunk)) > 1
+    mark = np.zeros(codes.max() + 1, bool)
+    found = np.zeros(len(tokens), bool)
+    for a in range(len(tokens) - 1):
+        own = codes[starts[a] : starts[a + 1]]
+        mark[own] = True
+        shared = np.bincount(owner[starts[a + 1] :][mark[codes[starts[a + 1] :]]], minlength=len(tokens))
+        mark[own] = False
+        near = shared >= MATCHES[0]
+        near &= 100 * np.minimum(n, n[a]) >= percent * np.maximum(n, n[a])
+        if two:
+            near &= chunk != chunk[a]
+        if near.any():
+            found |= near
+            found[a] = True
+    return np.nonzero(found)[0]
+
+
 def links(docs: DataFrame, profile: DataFrame, levels: np.ndarray, noise: float, text: str, key: str, size: int, percent: int) -> DataFrame:
     """(a, b): signatures of linked classes, enough of them to connect what is connected."""
     spark = docs.sparkSession
@@ -202,21 +295,42 @@ def links(docs: DataFrame, profile: DataFrame, levels: np.ndarray, noise: float,
 
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
     posted = materialize(rows.select("text").mapInArrow(post, "token long, short long"), "postings")
+    slot_bits = min(int(math.log2(len(levels))) + 4, SLOT_BITS)
+    shared = spark.sparkContext.broadcast(_shared_slots(posted, slot_bits))
+
+    def not_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = _slots(batch.column("token").to_numpy().view(np.uint64), slot_bits, 2)
+            yield batch.filter(pa.array((shared.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1))
+
+    posted = posted.mapInArrow(not_alone, posted.schema)
     lists = posted.groupBy("token").agg(F.min("short").alias("leader"), F.max("short").alias("last")).where("leader <> last").drop("last")
-    met = posted.join(lists, "token").groupBy("leader", "short").agg(F.count(F.lit(1)).alias("shared"))
-    total = met.groupBy("short").agg(F.sum("shared").alias("all")).where(F.col("all") >= MATCHES[0]).select("short")
+    hits = materialize(posted.join(lists, "token").select("leader", "short", "token").distinct(), "hits")
+    arrays = hits.groupBy("short").agg(F.collect_list("token").alias("tokens")).where(F.size("tokens") >= MATCHES[0])  # a prefix at most
     classes = profile.where(F.col("key").isNotNull()).groupBy("sig").agg(F.min("key").alias("key"), F.max("n").alias("n"))
     short = F.conv(F.hex(F.substring("sig", 1, 8)), 16, -10).cast("long").alias("short")
-    members = materialize(met.join(total, "short", "left_semi").join(classes.select(short, "key", "n"), "short").select("leader", "key", "n"), "members")
-    groups = members.groupBy("leader").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("weight")).where("rows > 1")
-    chunks = F.ceil(F.greatest(F.col("rows") / CHUNK_ROWS, F.col("weight") / CHUNK_SHINGLES)).cast("int").alias("chunks")
-    tiles = (
-        members.join(groups.select("leader", chunks), "leader")
-        .withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("leader", "key", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-    )
-    texts = tiles.join(rows, "key").select("leader", "i", "j", "chunk", "text")
+    met = hits.select("leader", "short").distinct().join(arrays, "short").join(classes.select(short, "key", "n"), "short")
+    met = _tiles(met.select("leader", "key", "n", "tokens"), F.size("tokens"), "key", "n", "tokens")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: set = set()
+        for leader, rows_of in _groups(batches, ("chunk", "key", "n", "tokens")):
+            chunk, keys, n, tokens = (list(c) for c in zip(*rows_of, strict=True))
+            for k in _with_partner(tokens, np.array(chunk), np.array(n), percent):
+                if (leader, keys[k]) not in kept:
+                    kept.add((leader, keys[k]))
+            if len(kept) >= 4096:
+                yield _pairs(kept, kind)
+                kept = set()
+        if kept:
+            yield _pairs(kept, kind)
+
+    kind = dict(rows.dtypes)["key"]
+    sifted = _dealt(met).mapInArrow(sift, f"leader long, key {kind}").distinct()
+    members = materialize(sifted.join(classes.select("key", "n").groupBy("key").agg(F.max("n").alias("n")), "key"), "members")
+    tiles = _tiles(members, F.col("n"), "key")
+    few = members.count() <= BROADCAST_MEMBERS
+    texts = rows.join(F.broadcast(tiles) if few else tiles, "key").select("leader", "i", "j", "chunk", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_levels, own_noise = held.value
@@ -244,8 +358,7 @@ def links(docs: DataFrame, profile: DataFrame, levels: np.ndarray, noise: float,
         if (done := close()) is not None:
             yield done
 
-    dealt = texts.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j")
-    return dealt.mapInArrow(compare, "a binary, b binary")
+    return _dealt(texts).mapInArrow(compare, "a binary, b binary")
 
 
 def components(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:
