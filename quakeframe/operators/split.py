@@ -131,3 +131,45 @@ def majority_rate(df: DataFrame, label: str, split: str = "split") -> DataFrame:
     """Rows and the share of the most frequent label of each split."""
     counts = df.groupBy(split, label).agg(F.count(F.lit(1)).alias("n"))
     return counts.groupBy(split).agg(F.sum("n").alias("n"), (F.max("n") / F.sum("n")).alias("majority_rate"))
+
+
+def fill_splits(keys: DataFrame, key: str, weights: list[str], ratios: tuple[float, float] = (0.70, 0.15), seed: int = 42) -> DataFrame:
+    """(key, split): keys in shuffled order go to the first split in which a class they hold is below its target.
+
+    weights has one column a class. Targets are shares of the smallest class
+    total, cut to whole windows. Keys that no split needs are left out.
+    """
+    totals = keys.agg(F.least(*(F.sum(w) for w in weights)).alias("__t"))
+    a, b = F.floor(F.col("__t") * F.lit(ratios[0])), F.floor(F.col("__t") * F.lit(ratios[1]))
+    targets = dict(zip(SPLITS, (a, b, F.col("__t") - a - b), strict=True))
+    ordered = keys.select(hashed_order(key, seed=seed).alias("h"), F.col(key).alias("k"), *(F.col(w).cast("long").alias(w) for w in weights))
+    folded = ordered.agg(F.sort_array(F.collect_list(F.struct("h", "k", *weights))).alias("items")).crossJoin(F.broadcast(totals))  # a row a station
+    kind = keys.schema[key].dataType.simpleString()
+    cells = [f"{s}_{w}" for s in SPLITS for w in weights]
+    start = F.struct(*(F.lit(0).cast("long").alias(c) for c in cells), F.expr(f"cast(array() as array<struct<k:{kind},split:string>>)").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        wants = []
+        for s in SPLITS:
+            below = F.lit(False)
+            for w in weights:
+                below = below | ((x[w] > 0) & (acc[f"{s}_{w}"] < targets[s]))
+            wants.append(below)
+        best = F.when(wants[0], "train").when(wants[1], "val").when(wants[2], "test")
+        grown = [(acc[f"{s}_{w}"] + F.when(best == s, x[w]).otherwise(0)).alias(f"{s}_{w}") for s in SPLITS for w in weights]
+        out = F.when(best.isNotNull(), F.array_append(acc["out"], F.struct(x["k"].alias("k"), best.alias("split")))).otherwise(acc["out"])
+        return F.struct(*grown, out.alias("out"))
+
+    placed = folded.select(F.inline(F.aggregate("items", start, step, lambda acc: acc["out"])))
+    return placed.select(F.col("k").alias(key), "split")
+
+
+def trim_surplus(entries: DataFrame, by: str, cls: str, weight: str, key: str) -> DataFrame:
+    """Adds quota: within each by, every class's windows cut to the smallest class's number, shared over its entries by largest remainder."""
+    from pyspark.sql import Window
+
+    totals = entries.groupBy(by, cls).agg(F.sum(weight).alias("__total"))
+    totals = totals.withColumn("__least", F.min("__total").over(Window.partitionBy(by)))
+    joined = entries.join(F.broadcast(totals), [by, cls]).withColumn("__group", F.concat_ws("|", F.col(by).cast("string"), F.col(cls).cast("string")))
+    shared = largest_remainder(joined, "__group", weight, F.col("__least"), key)
+    return shared.withColumn("quota", F.col("share")).drop("share", "__group", "__total", "__least")
