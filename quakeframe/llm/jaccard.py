@@ -376,3 +376,14 @@ def components(docs: DataFrame, text: str = "text", key: str = "doc_id", size: i
     joined = profile.join(reached, "sig", "left")
     component = F.when(F.col("key").isNull(), None).when(empty, F.col("key")).otherwise(F.col("component"))
     return joined.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def duckdb_sql(size: int, percent: int) -> str:
+    """The same components over documents, from all pairs that share a shingle."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{upper}', '{lower}'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= {size} THEN list_distinct(list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i+{size - 1}], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM d),
+x AS (SELECT doc_id, md5(h) AS h, n FROM (SELECT doc_id, unnest(s) AS h, len(s) AS n FROM s)),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b USING (h) WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= {percent} * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT s.doc_id, len(s.s) AS n_shingles, min(b) AS component_id FROM s JOIN reach ON reach.a = s.doc_id GROUP BY ALL"""

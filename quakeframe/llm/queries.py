@@ -91,4 +91,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": urls.duckdb_sql()}
+    return {"op1_url_filter": urls.duckdb_sql(), "op3_secret_scan": secrets.duckdb_sql(), "op8_jaccard_join": jaccard.duckdb_sql(4, 85)}

@@ -142,3 +142,20 @@ def redact(text: Column, secrets: Column, mark: str = "[SECRET]") -> Column:
         return F.struct(F.greatest(acc["at"], x["stop"]).alias("at"), F.when(fresh, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"))
 
     return F.when(F.size(secrets) == 0, text).otherwise(F.aggregate(secrets, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))))
+
+
+def duckdb_sql(rules: tuple[SecretRule, ...] = BASE_RULES + MORE_RULES, base: int = len(BASE_RULES)) -> str:
+    """Counts and spans over documents, each rule run over each text."""
+    parts = []
+    for rank, r in enumerate(rules):
+        pattern = r.pattern.replace("'", "''")
+        held = f"length(regexp_extract(t, '{pattern}', {r.group}))" if r.group else "length(t)"
+        parts.append(
+            f"""SELECT doc_id, {rank} AS rank, '{r.kind}' AS kind, a AS start, a + length(t) AS stop FROM (
+  SELECT doc_id, unnest(m) AS t, unnest(list_transform(range(1, len(m) + 1), lambda i: list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0))) AS a
+  FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}', 0) AS m, string_split_regex(text, '{pattern}') AS g FROM documents WHERE text IS NOT NULL)) WHERE {held} >= {r.shortest}"""
+        )
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in rules[:base])
+    joined = "string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, rank)"
+    return f"""WITH s AS ({" UNION ALL ".join(parts)})
+SELECT d.doc_id, {counts}, sha256(coalesce({joined} FILTER (rank < {base}), '')) AS base_sha256, coalesce({joined} FILTER (kind IS NOT NULL), '') AS spans FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""
