@@ -109,7 +109,7 @@ def with_station(df: DataFrame, keys: DataFrame, network: str = "network", stati
     """Adds latitude and longitude of NET.STA, else of the bare station, else null."""
     full, bare = (keys.select(F.col("key").alias(f"__{n}"), F.col("latitude").alias(f"__{n}_lat"), F.col("longitude").alias(f"__{n}_lon")) for n in ("full", "bare"))
     joined = df.join(full, F.concat_ws(".", network, station) == F.col("__full"), "left").join(bare, F.col(station) == F.col("__bare"), "left")
-    return joined.withColumns({"latitude": F.coalesce("__full_lat", "__bare_lat"), "longitude": F.coalesce("__full_lon", "__bare_lon")}).drop(*(c for c in joined.columns if c.startswith("__")))
+    return joined.withColumns({"latitude": F.coalesce("__full_lat", "__bare_lat"), "longitude": F.coalesce("__full_lon", "__bare_lon")}).drop("__full", "__full_lat", "__full_lon", "__bare", "__bare_lat", "__bare_lon")
 
 
 RAW_CATALOG = T.StructType([T.StructField(n, T.StringType()) for n in ("Date", "Longitude", "Latitude", "Depth", "Rms", "Type", "Magnitude", "Location", "EventID")])
