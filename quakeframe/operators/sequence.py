@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quakeframe.functions.columns import b_value, days_between, energy
+from quakeframe.functions.columns import b_value, days_between, energy, haversine_km, let
 
 DAY = 86_400
 
@@ -110,6 +110,41 @@ def event_windows(events: DataFrame, size: int = 64, stride: int = 8, by: str =
     )
 
 
+def window_series(events: DataFrame, size: int = 64, stride: int = 8, by: str = "region") -> DataFrame:
+    """One row a window with its series, each an array of size values in order of time.
+
+    magnitude; log_dt (days since the event before, at least 1e-4, the first one
+    the median of the others); depth (10 where null); log_energy; cum_energy_frac;
+    dist_km from the mean of the known coordinates (0 where unknown).
+    """
+    placed = numbered(events, by)
+    total = events.groupBy(by).agg(F.count(F.lit(1)).alias("__total")).where(F.col("__total") >= 2 * size)
+    first = F.greatest(F.lit(0), F.ceil((F.col("idx") - size + 1) / stride))
+    spread = placed.join(F.broadcast(total), by).withColumn("__w", F.explode(F.sequence(first.cast("long"), F.floor(F.col("idx") / stride).cast("long"))))
+    spread = spread.withColumn("start_idx", F.col("__w") * stride).where(F.col("start_idx") + size <= F.col("__total"))
+    rows = spread.groupBy(by, "start_idx").agg(
+        F.sort_array(F.collect_list(F.struct("idx", "time", "magnitude", "depth", "lat", "lon"))).alias("x"),
+        F.avg(F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.col("lat"))).alias("__clat"),
+        F.avg(F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.col("lon"))).alias("__clon"),
+    )  # size events a window
+    each = lambda f: F.transform("x", f)
+    gap = F.transform(F.sequence(F.lit(2), F.lit(size)), lambda k: days_between(F.element_at("x", k - 1)["time"], F.element_at("x", k)["time"]))
+    rows = rows.withColumn("__gap", gap).withColumn("__e", each(lambda r: energy(r["magnitude"])))
+    middle = let(F.array_sort("__gap"), lambda g: (F.element_at(g, (size - 1 + 1) // 2) + F.element_at(g, (size - 1) // 2 + 1)) / 2)
+    steps = F.aggregate("__e", F.struct(F.lit(0.0).alias("s"), F.expr("cast(array() as array<double>)").alias("out")), lambda a, v: F.struct((a["s"] + v).alias("s"), F.array_append(a["out"], a["s"] + v).alias("out")))
+    whole = let(steps, lambda a: F.transform(a["out"], lambda v: v / F.greatest(a["s"], F.lit(1e-12))))
+    return rows.select(
+        by,
+        "start_idx",
+        each(lambda r: r["magnitude"]).alias("magnitude"),
+        F.transform(F.concat(F.array(middle), "__gap"), lambda d: F.log10(F.greatest(d, F.lit(1e-4)))).alias("log_dt"),
+        each(lambda r: F.coalesce(r["depth"], F.lit(10.0))).alias("depth"),
+        F.transform("__e", F.log10).alias("log_energy"),
+        whole.alias("cum_energy_frac"),
+        each(lambda r: F.coalesce(haversine_km(r["lat"], r["lon"], F.col("__clat"), F.col("__clon")), F.lit(0.0))).alias("dist_km"),
+    )
+
+
 def dense_windows(events: DataFrame, size: int = 64, stride: int = 8, threshold: float = 4.5, horizon_days: float = 30.0, by: str = "region") -> DataFrame:
     """Windows with days_since_prev_major, label (a major event within the horizon after the window) and next_magnitude.
 

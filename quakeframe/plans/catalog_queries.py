@@ -188,6 +188,21 @@ asked AS (SELECT s_suppkey, 'N' || (s_suppkey % 3) AS network, CAST(s_suppkey %
 SELECT s_suppkey, network, station, coalesce(f.latitude, b.latitude) AS latitude, coalesce(f.longitude, b.longitude) AS longitude FROM asked a LEFT JOIN keys f ON f.key = network || '.' || station LEFT JOIN keys b ON b.key = station"""
 
 
+def window_series(spark, sf_dir):
+    """Some values of each window's series."""
+    w = Q.window_series(X.zoned(spark, sf_dir))
+    at = lambda c, k, d=8: F.round(F.element_at(c, k), d).alias(f"{c}_{k}")
+    return w.select("region", "start_idx", at("magnitude", 64), at("log_dt", 1), at("log_dt", 2), at("depth", 5), at("log_energy", 3), at("cum_energy_frac", 32), at("dist_km", 1, 5))
+
+
+WINDOW_SERIES_SQL = f"""WITH {ZONED_SQL}, p AS (SELECT *, row_number() OVER (PARTITION BY region ORDER BY time, event_id) - 1 AS idx, count(*) OVER (PARTITION BY region) AS total, pow(10.0, 1.5*magnitude + 4.8) AS e, (epoch_us(time) - epoch_us(lag(time) OVER (PARTITION BY region ORDER BY time, event_id))) / 86400e6 AS gap FROM zoned),
+w AS (SELECT DISTINCT region, idx AS start_idx FROM p WHERE idx % 8 = 0 AND idx + 64 <= total AND total >= 128),
+j AS (SELECT w.region, start_idx, idx - start_idx + 1 AS k, time, magnitude, e, depth, lat, lon, CASE WHEN idx > start_idx THEN gap END AS gap FROM w JOIN p ON p.region = w.region AND idx BETWEEN start_idx AND start_idx + 63),
+c AS (SELECT region, start_idx, avg(lat) AS clat, avg(lon) AS clon, median(gap) AS med, sum(e) AS whole, sum(e) FILTER (k <= 32) AS half FROM j GROUP BY ALL)
+SELECT region, start_idx, max(magnitude) FILTER (k = 64) AS magnitude_64, round(log10(greatest(any_value(med), 1e-4)), 8) AS log_dt_1, round(log10(greatest(max(gap) FILTER (k = 2), 1e-4)), 8) AS log_dt_2, max(depth) FILTER (k = 5) AS depth_5,
+round(log10(max(e) FILTER (k = 3)), 8) AS log_energy_3, round(any_value(half) / any_value(whole), 8) AS cum_energy_frac_32, round(max({_HAVERSINE.format(a='lat', b='clat', c='lon', d='clon')}) FILTER (k = 1), 5) AS dist_km_1 FROM j JOIN c USING (region, start_idx) GROUP BY region, start_idx"""
+
+
 def event_gaps(spark, sf_dir):
     """Whole days between consecutive strong events of each zone: n, median, least and most."""
     strong = Q.numbered(X.zoned(spark, sf_dir).where(F.col("magnitude") >= 3.5))
@@ -217,6 +232,7 @@ QUERIES = {
     "catalog_normalize": (catalog_normalize, CATALOG_NORMALIZE_SQL),
     "event_lookup": (event_lookup, EVENT_LOOKUP_SQL),
     "station_fallback": (station_fallback, STATION_FALLBACK_SQL),
+    "window_series": (window_series, WINDOW_SERIES_SQL),
     "event_gaps": (event_gaps, EVENT_GAPS_SQL),
     "decluster": (decluster, None),
 }
