@@ -155,7 +155,7 @@ def score_words(words: list[str], logs: np.ndarray, model: str | None) -> np.nda
             for k in at:
                 out[k] = _long_word(words[k], logs, model)
             continue
-        for part in np.array_split(at, max(1, len(at) // 20_000)):
+        for part in np.array_split(at, max(1, len(at) // 4_000)):
             own = [words[k] for k in part]
             alpha = _forward(_lattice(own, length, model), len(own), length, probs)
             out[part] = np.log(np.maximum(alpha[length], 1e-300))
@@ -172,7 +172,7 @@ def expected_counts(words: list[str], langs: np.ndarray, times: np.ndarray, logs
     probs = np.exp(logs)
     width = logs.shape[1]
     for length, at in _by_length(words).items():
-        for part in np.array_split(at, max(1, len(at) // 20_000)):
+        for part in np.array_split(at, max(1, len(at) // 4_000)):
             own, lang, weight = [words[k] for k in part], langs[part], times[part]
             lattice = _lattice(own, length, model)
             alpha = _forward(lattice, len(own), length, probs)
