@@ -36,7 +36,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").where(key_fold() != 2)
     scored = toxicity.predict(docs, toxicity.fit(docs, labels))
-    return scored.select("doc_id", (key_fold() == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(key_fold() == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +66,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fitted = langid.fit(docs.where(key_fold() != 2))
     scored = langid.predict(docs.select("doc_id", "text"), fitted)
-    return scored.select("doc_id", (key_fold() == 2).alias("held_out"), "lang_pred", "score")
+    return scored.select("doc_id", F.coalesce(key_fold() == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
