@@ -32,8 +32,8 @@ from quakeframe.session import materialize
 SAMPLE_ROWS = 20_000
 #: Neighbours of a sample vector in the graph.
 GRAPH_DEGREE = 16
-#: Rows that a part should have; the number of parts follows, within these limits.
-PART_ROWS, PARTS = 1_500, (1, 256)
+#: There is a part for each PART_ROOT in the root of the number of rows, within these limits.
+PART_ROOT, PARTS = 8, (1, 256)
 HIDDEN = 64
 #: A query is routed to parts until their probabilities add up to this, to this share of the parts at least.
 PROBED, LEAST_SHARE = 0.95, 0.02
@@ -51,11 +51,11 @@ def neighbour_graph(x: np.ndarray, degree: int) -> np.ndarray:
     """Ids of the nearest by inner product of each row but itself, in blocks of rows."""
     degree = min(degree, len(x) - 1)
     out = np.zeros((len(x), max(degree, 0)), np.int64)
-    for a in range(0, len(x), 1024):
-        near = x[a : a + 1024] @ x.T
+    for a in range(0, len(x), 128):
+        near = x[a : a + 128] @ x.T
         near[np.arange(len(near)), np.arange(a, a + len(near))] = -np.inf
         if degree > 0:
-            out[a : a + 1024] = np.argpartition(-near, degree - 1, axis=1)[:, :degree]
+            out[a : a + 128] = np.argpartition(near, len(x) - degree, axis=1)[:, -degree:]
     return out
 
 
@@ -152,7 +152,7 @@ def train_router(x: np.ndarray, target: np.ndarray, epochs: int = 30, seed: int
 
 def learn(sample: np.ndarray, rows: int) -> Router:
     """Parts and router from a sample of a table with so many rows."""
-    parts = int(min(max(round(rows / PART_ROWS), PARTS[0]), PARTS[1], max(1, len(sample) // 50)))
+    parts = int(min(max(round(math.sqrt(rows) / PART_ROOT), PARTS[0]), PARTS[1], max(1, len(sample) // 50)))
     graph = neighbour_graph(sample, GRAPH_DEGREE)
     part = balanced_parts(graph, parts)
     target = np.zeros((len(sample), parts))
@@ -211,19 +211,21 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
                     ids.append(own[a:b])
                     vectors.append(x[a:b])
                 elif ids:
-                    got = _best(own[a:b], x[a:b], np.concatenate(ids), np.vstack(vectors), nearest)
+                    got = _best(own[a:b], x[a:b], np.concatenate(ids), np.vstack(vectors), nearest, int(part[a]) * 31 + int(cell_of[a]))
                     if got is not None:
                         yield got
 
     dealt = base.unionByName(asked).repartition("part", "cell").sortWithinPartitions("part", "cell", "q", "block")
-    found = dealt.mapInArrow(meet, "query_id long, near array<struct<score:double,vec_id:bigint>>")
-    pairs = found.select("query_id", F.explode("near").alias("n")).select("query_id", "n.*")
-    rank = F.expr("row_number() over (partition by query_id order by score desc, vec_id)").alias("rank")
-    return pairs.select("query_id", rank, "vec_id", "score").where(F.col("rank") <= nearest).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    kind = "array<struct<away:double,vec_id:bigint>>"
+    found = dealt.mapInArrow(meet, f"query_id long, cell long, near {kind}")
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, nearest).alias("near")
+    some = found.groupBy("query_id", (F.col("cell") % 32).alias("__salt")).agg(best)  # a query's cells in two steps
+    whole = some.groupBy("query_id").agg(best).select("query_id", F.posexplode("near").alias("at", "n"))
+    return whole.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("n.vec_id").alias("vec_id"), (-F.col("n.away")).alias("score"))
 
 
-def _best(queries: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, nearest: int) -> pa.RecordBatch | None:
-    """Each query's nearest of one cell; its own id is left out."""
+def _best(queries: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, nearest: int, cell: int) -> pa.RecordBatch | None:
+    """Each query's nearest of one cell, by away (the product's negative); its own id is left out."""
     out = []
     order = np.argsort(ids, kind="stable")
     ids, v = ids[order], v[order]
@@ -235,6 +237,6 @@ def _best(queries: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, ne
         for row, least in zip(score, edge, strict=True):
             at = np.nonzero((row >= least) & (row > -np.inf))[0]
             at = at[np.lexsort((ids[at], -row[at]))][:n]
-            out.append([{"score": float(row[k]), "vec_id": int(ids[k])} for k in at])
-    kind = pa.list_(pa.struct([("score", pa.float64()), ("vec_id", pa.int64())]))
-    return pa.RecordBatch.from_arrays([pa.array(queries, pa.int64()), pa.array(out, kind)], names=["query_id", "near"])
+            out.append([{"away": -float(row[k]), "vec_id": int(ids[k])} for k in at])
+    kind = pa.list_(pa.struct([("away", pa.float64()), ("vec_id", pa.int64())]))
+    return pa.RecordBatch.from_arrays([pa.array(queries, pa.int64()), pa.array([cell] * len(queries), pa.int64()), pa.array(out, kind)], names=["query_id", "cell", "near"])
