@@ -16,7 +16,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from quakeframe.llm.words import slices
 
 #: Entries of a worker's piece cache, which is emptied when full; it changes speed only.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 
 
 def byte_alphabet() -> list[str]:
@@ -46,21 +46,26 @@ class Codec:
         import re
 
         import regex
-        from tokenizers.models import BPE
 
         with open(ranks, "rb") as f:
             tokens = [base64.b64decode(line.split()[0]) for line in f if line.strip()]
         self.tokens = tokens
-        shown = byte_alphabet()
-        self.alphabet = {b: c for b, c in enumerate(shown)}
-        vocab = {"".join(shown[b] for b in t): i for i, t in enumerate(tokens)}
+        self.alphabet = dict(enumerate(byte_alphabet()))
         self.find = self.find_ascii = regex.compile(pattern).findall
         plain = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
         if "\\p" not in plain:  # the same matches within ASCII, found faster
             self.find_ascii = re.compile(plain, re.ASCII).findall
-        self.model = BPE(vocab, self._merges(tokens, shown))
         self.cache: dict[str, bytes] = {}
 
+    @cached_property
+    def model(self):
+        """The merges are built on the first encoding; a worker that only decodes does without."""
+        from tokenizers.models import BPE
+
+        shown = byte_alphabet()
+        vocab = {"".join(shown[b] for b in t): i for i, t in enumerate(self.tokens)}
+        return BPE(vocab, self._merges(self.tokens, shown))
+
     @staticmethod
     def _merges(tokens: list[bytes], shown: list[str]) -> list[tuple[str, str]]:
         """The merge of each token of two or more bytes: the last two parts that lower ranks make of it."""
