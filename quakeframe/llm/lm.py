@@ -1,15 +1,18 @@
 """Language-model scoring by cross-entropy difference.
 
-A target model and a background model of the same form share one hashed
-vocabulary: bigrams whose context is a hash class of the word before, absolute
+A target model and a background model of the same form: bigrams with absolute
 discounting, and the model's own unigrams and the uniform distribution behind
 them. A document's score is its loss per token under the target model less that
 under the background model; low scores look like the target.
 
-Counts cover every row. They are added up by cell before they are shuffled, and
-at most 2^20 cells, whatever the input, reach the driver. Null and empty texts
-have no tokens, losses of 0 and score 0. With no target rows the target model is
-uniform.
+score_corpus holds the counts of words and of pairs (the word before, word) in
+tables keyed by the words' 64-bit hashes; they cover every row and grow with the
+input. Each document's distinct pairs are joined to them. Only totals reach the
+driver. Null and empty texts have no tokens, losses of 0 and score 0. With no
+target rows the target model is uniform.
+
+fit and score are the model of fixed size for callers that need one that fits in
+memory: a hashed vocabulary and hash classes of the word before, 2^21 cells.
 """
 
 from __future__ import annotations
@@ -22,9 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quakeframe.llm.words import mix64, slices, sum_by_text, word_hashes
+from quakeframe.llm.words import MIX, mix64, slices, sum_by_text, word_hashes
+from quakeframe.session import materialize
 
-VOCAB_BITS = 15
+VOCAB_BITS = 16
 CONTEXT_BITS = 5
 DISCOUNT = 0.75
 
@@ -75,7 +79,7 @@ def log_probabilities(cell: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def fit(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Log probabilities of the target and the background model, by cell."""
-    table = count_cells(rows).toArrow()  # 2^20 rows at most
+    table = count_cells(rows).toArrow()  # 2^21 rows at most
     cell, target, background = (table.column(n).to_numpy() for n in ("cell", "target", "background"))
     return log_probabilities(cell, target), log_probabilities(cell, background)
 
@@ -97,3 +101,94 @@ def score(df: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "text
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in base), pa.array(n.astype(np.int64)), pa.array(target), pa.array(background), pa.array(target - background)], names=schema.names)
 
     return df.select(*(f.name for f in base)).mapInArrow(run, schema)
+
+
+def _bigrams(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of the word before each word (0 at a text's start), hash of each word, offsets."""
+    words, offsets = word_hashes(text, punctuation=False)
+    before = np.zeros(len(words), np.uint64)
+    before[1:] = words[:-1]
+    before[offsets[:-1][np.diff(offsets) > 0]] = 0
+    return before, words, offsets
+
+
+def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of the first row of each distinct combination of keys, each row's combination, and their sizes."""
+    mixed = np.zeros(len(keys[0]), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in keys:
+            mixed = mix64(mixed * MIX + k)
+    _, first, back, n = np.unique(mixed, return_index=True, return_inverse=True, return_counts=True)
+    return first, back, n
+
+
+def _counted(rows: DataFrame, pairs: bool) -> DataFrame:
+    """From (text, target boolean): before (if pairs), word, background and target (long), over all rows."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                before, word, offsets = _bigrams(part.column("text"))
+                mark = np.repeat(part.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(offsets))
+                own = (before, word) if pairs else (word,)
+                first, back, n = _distinct(*own)
+                marked = np.bincount(back[mark], minlength=len(first))
+                yield pa.RecordBatch.from_arrays([*(pa.array(k[first].view(np.int64)) for k in own), pa.array(n.astype(np.int64)), pa.array(marked.astype(np.int64))], names=[*keys, "background", "target"])
+
+    keys = ["before", "word"] if pairs else ["word"]
+    parts = rows.mapInArrow(count, ", ".join(f"{k} long" for k in (*keys, "background", "target")))
+    return parts.groupBy(*keys).agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+
+
+def pair_losses(rows: DataFrame) -> DataFrame:
+    """From (text, target boolean): before, word, target_loss and background_loss, -log p(word | before) of each pair that occurs."""
+    words = materialize(_counted(rows, False), "words")
+    names = ("target", "background")
+    total = words.agg(F.count(F.lit(1)).alias("size"), *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names), *(F.count(F.when(F.col(n) > 0, 1)).alias(f"{n}_types") for n in names)).first()
+    uniform = 1 / max(total["size"], 1)
+    single = lambda n: (F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) + DISCOUNT * total[f"{n}_types"] * uniform) / total[n] if total[n] else F.lit(uniform)
+    words = words.select("word", *(single(n).alias(f"{n}_word") for n in names))
+    pairs = _counted(rows, True)
+    contexts = pairs.groupBy("before").agg(*(F.sum(n).alias(f"{n}_seen") for n in names), *(F.count(F.when(F.col(n) > 0, 1)).alias(f"{n}_types") for n in names))
+
+    def loss(n: str):
+        own, seen, types, word = (F.col(c) for c in (n, f"{n}_seen", f"{n}_types", f"{n}_word"))
+        return -F.log(F.when(seen > 0, (F.greatest(own - DISCOUNT, F.lit(0.0)) + DISCOUNT * types * word) / seen).otherwise(word))
+
+    return pairs.join(words, "word").join(contexts, "before").select("before", "word", *(loss(n).alias(f"{n}_loss") for n in names))
+
+
+def score_corpus(df: DataFrame, text: str = "text", target: str = "target") -> DataFrame:
+    """Replaces text and target (boolean) by n_tokens (long), target_loss, background_loss and score (double: their
+    difference per token). The background is all of df, the target model's rows are those with target.
+
+    Documents meet their losses by a 64-bit hash of the text; exact copies have one loss, a mean over their tokens."""
+    names = ("target_loss", "background_loss")
+    own = df.select(F.col(text).alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("target"))
+    keyed = df.drop(target, "__text", "__key", "n_tokens", *names, "score").withColumn("__key", F.xxhash64(text)).withColumnRenamed(text, "__text")
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "__text"):
+                before, word, offsets = _bigrams(part.column("__text"))
+                row = np.repeat(np.arange(part.num_rows), np.diff(offsets))
+                first, _, n = _distinct(before, word, row.astype(np.uint64))
+                order = np.argsort(first)  # a document's pairs stay together, so its key packs well
+                first, n = first[order], n[order]
+                key = part.column("__key").to_numpy()[row[first]]
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(before[first].view(np.int64)), pa.array(word[first].view(np.int64)), pa.array(n.astype(np.int32))], names=["__key", "before", "word", "n"])
+
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "__text"):
+                n = np.diff(word_hashes(part.column("__text"), punctuation=False)[1])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(n.astype(np.int64))], names=[*kept, "n_tokens"])
+
+    kept = [c for c in keyed.columns if c != "__text"]
+    counted = keyed.mapInArrow(lengths, T.StructType([keyed.schema[c] for c in kept] + [T.StructField("n_tokens", T.LongType())]))
+    pair = F.xxhash64("before", "word").alias("pair")
+    asked = keyed.select("__key", "__text").mapInArrow(pairs, "__key long, before long, word long, n int").select("__key", pair, "n")
+    met = asked.join(pair_losses(own).select(pair, *names), "pair")
+    losses = met.groupBy("__key").agg(*((F.sum(F.col("n") * F.col(c)) / F.sum("n")).alias(c) for c in names))
+    out = counted.join(losses, "__key", "left").drop("__key").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in names})
+    return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))

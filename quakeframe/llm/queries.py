@@ -82,8 +82,8 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     good = _table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality")).where("quality = 1").select("doc_id")
     good = F.broadcast(good) if good.count() <= toxicity.BROADCAST_LABELS else good
-    rows = docs.join(good.withColumn("target", F.lit(True)), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    return lm.score(docs, lm.fit(rows)).drop("text")
+    rows = docs.join(good.withColumn("target", F.lit(True)), "doc_id", "left").select("doc_id", "text", "target")
+    return lm.score_corpus(rows)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
