@@ -2,12 +2,12 @@
 
 Templates are the words of license texts and phrases. Their words form the
 vocabulary; the index posts each as (word, template, position). Document
-frequencies are counted over all documents. Of a document's license words the
-rarest few are looked up, and always the rarest word of each phrase, so that no
-place of a phrase is missed; postings that agree on the relative position (place
-in the document less place in the template) are intersected. A phrase needs all
-its words there. A license text is reported when enough of its looked-up words
-agree and each of its mandatory key phrases stands in the document.
+frequencies are counted over all documents. The rarest word of each phrase and of
+each license text's mandatory key phrases is its anchor and always looked up, so
+that no template is missed. A phrase needs all its words at its anchor's relative
+position (place in the document less place in the template). A license text is
+reported when each of its key phrases stands in the document and enough of its
+words agree on one relative position, of all those that the document has.
 
 Words are runs of ASCII letters and digits and of any characters beyond ASCII,
 A-Z lower-cased. All of it is DataFrame expressions. Null and empty texts have no
@@ -28,15 +28,13 @@ from quakeframe.session import materialize
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Words too common to index; in a template they hold a place that any word may take.
 STOP = frozenset("a and any are by for from in is of or that the this to with".split())
-#: Rarest distinct license words of a document that are looked up for license texts.
-LOOKED_UP = 12
-#: Share of a license text's looked-up words that must agree on one place.
+#: Share of a license text's words in a document that must agree on one place.
 AGREE = 0.5
 
 
 @dataclass(frozen=True)
 class Template:
-    """keys: the mandatory phrases of a license text; each begins with a word that isn't in STOP. A phrase has no stop words."""
+    """keys: the mandatory phrases of a license text; each has a word that isn't in STOP. A phrase has no stop words."""
 
     name: str
     label: str
@@ -92,40 +90,40 @@ def scan(df: DataFrame, text: str = "text", phrases: tuple[Template, ...] = PHRA
     index = _table(spark, [(t.name, t.label, w, k, len(t.words), t in phrases) for t in templates for k, w in enumerate(t.words) if w not in STOP], "name string,label string,word string,place int,length int,phrase boolean")
     words = hits.select("__row", F.explode(F.array_distinct(F.transform("hits", lambda x: x["word"]))).alias("word"))
     frequency = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "frequency")  # a row for each vocabulary word at most
-    ranked = index.join(F.broadcast(frequency), "word", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    order = "row_number() over (partition by {} order by df, {})"
-    posted = ranked.withColumn("rank", F.expr(order.format("name", "place")))
-    anchors = posted.where("phrase and rank = 1").select("word").distinct().withColumn("anchor", F.lit(True))
-
-    looked = words.join(F.broadcast(frequency), "word").withColumn("rank", F.expr(order.format("__row", "word")))
-    looked = looked.join(F.broadcast(anchors), "word", "left").where(F.col("anchor").isNotNull() | (F.col("rank") <= LOOKED_UP)).select("__row", "word")
-    chosen = looked.groupBy("__row").agg(F.collect_set("word").alias("rare"))
+    order = "row_number() over (partition by name order by df, place)"
+    by_rarity = lambda t: t.join(F.broadcast(frequency), "word", "left").withColumn("df", F.coalesce("df", F.lit(0))).withColumn("rank", F.expr(order))
+    first = by_rarity(index.where("phrase")).where("rank = 1").select("name", "label", "word", "place")
+    keys = _table(spark, [(t.name, w, k) for t in texts if t.keys for k, w in enumerate(" ".join(t.keys).split()) if w not in STOP], "name string,word string,place int")
+    whole = _table(spark, [(w,) for t in texts if not t.keys for w in sorted(set(t.words) - STOP)], "word string")  # without keys, any word may be the one that stands
+    anchors = first.select("word").unionByName(by_rarity(keys).where("rank = 1").select("word")).unionByName(whole).distinct()
+
+    chosen = words.join(F.broadcast(anchors), "word").groupBy("__row").agg(F.collect_set("word").alias("rare"))
     used = hits.join(chosen, "__row")
     placed = used.select("__row", "rare", F.explode("hits").alias("h")).where(F.array_contains("rare", F.col("h.word"))).select("__row", F.col("h.at").alias("at"), F.col("h.word").alias("word"))
-    agreed = (
-        placed.join(F.broadcast(posted), "word")
-        .groupBy("__row", "name", "label", "phrase", "length", (F.col("at") - F.col("place")).alias("start"))
-        .agg(F.collect_set("place").alias("agreed"), F.max(F.col("rank") == 1).alias("anchored"))
-    )
-    merged = agreed.where(F.col("start") >= 0).join(used.select("__row", "hits", "rare"), "__row")
-    here = lambda words, start: _stands(F.col("hits"), words, start)
+    started = placed.join(F.broadcast(first), "word").select("__row", "name", "label", (F.col("at") - F.col("place")).alias("start"))
+    merged = started.where(F.col("start") >= 0).join(used.select("__row", "hits"), "__row")
 
     is_phrase = F.lit(False)
     for t in phrases:
-        is_phrase = is_phrase | ((F.col("name") == t.name) & here(t.words, F.col("start")))
-    places = merged.where(F.col("phrase") & F.col("anchored") & is_phrase)
+        is_phrase = is_phrase | ((F.col("name") == t.name) & _stands(F.col("hits"), t.words, F.col("start")))
+    places = merged.where(is_phrase)
 
-    asked = F.lit(0)
-    keyed = F.lit(False)
+    own = F.array_distinct(F.transform("hits", lambda x: x["word"]))
+    candidates = []
     for t in texts:
-        own = F.col("name") == t.name
-        asked = F.when(own, F.size(F.filter(F.array(*(F.lit(w) for w in t.words if w not in STOP)), lambda w: F.array_contains("rare", w)))).otherwise(asked)
         stands = F.lit(True)
         for k in t.keys:
             stands = stands & _somewhere(F.col("hits"), k.split())
-        keyed = keyed | (own & stands)
-    share = F.size("agreed") / F.greatest(asked, F.lit(1))
-    found = merged.where(~F.col("phrase")).withColumn("share", share).where((F.col("share") >= AGREE) & keyed)
+        asked = F.size(F.filter(F.array(*(F.lit(w) for w in t.words if w not in STOP)), lambda w: F.array_contains("own", w)))
+        candidates.append(F.when(stands, F.struct(F.lit(t.name).alias("name"), asked.alias("asked"))))
+    keyed = used.withColumn("own", own).select("__row", F.explode(F.array_compact(F.array(*candidates) if candidates else F.from_json(F.lit("[]"), "array<struct<name:string,asked:int>>"))).alias("c"))
+    keyed = keyed.select("__row", "c.*").join(used.select("__row", "hits"), "__row").select("__row", "name", "asked", F.explode("hits").alias("h")).select("__row", "name", "asked", F.col("h.at").alias("at"), F.col("h.word").alias("word"))
+    agreed = (
+        keyed.join(F.broadcast(index.where("not phrase").select("name", "label", "word", "place")), ["name", "word"])
+        .groupBy("__row", "name", "label", "asked", (F.col("at") - F.col("place")).alias("start"))
+        .agg(F.collect_set("place").alias("agreed"))
+    )
+    found = agreed.where(F.col("start") >= 0).withColumn("share", F.size("agreed") / F.greatest("asked", F.lit(1))).where(F.col("share") >= AGREE)
     best = found.groupBy("__row", "name", "label").agg(F.max_by(F.struct("start", "share"), F.struct("share", -F.col("start"))).alias("b")).select("__row", "name", "label", F.col("b.start").alias("at"), F.col("b.share").alias("share"))
 
     both = places.select("__row", F.struct("name", "label", F.col("start").alias("at")).alias("p"), F.lit(None).cast("struct<name:string,label:string,at:int,share:double>").alias("f"))
@@ -149,4 +147,6 @@ def _stands(hits: Column, words: list[str], start: Column) -> Column:
 
 
 def _somewhere(hits: Column, words: list[str]) -> Column:
+    """Whether the words stand anywhere; stop words before the first other word are left out."""
+    words = words[next(k for k, w in enumerate(words) if w not in STOP) :]
     return F.exists(hits, lambda x: (x["word"] == words[0]) & _stands(hits, words[1:], x["at"] + 1))

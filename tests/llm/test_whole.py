@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from quakeframe.llm import queries
+from quakeframe.llm import licenses, queries
 
 
 def test_lm_tells_all_words_apart(spark, tmp_path):
@@ -35,3 +35,13 @@ def test_lm_tells_all_words_apart(spark, tmp_path):
     assert [g[:2] for g in got] == [w[:2] for w in want]
     for g, w in zip(got, want):
         assert g[2:] == pytest.approx(w[2:])
+
+
+def test_no_license_text_is_lost_among_rarer_words(spark):
+    """A Creative Commons notice in a text with the whole BSD and MIT grants, whose words are rarer."""
+    bsd, mit, cc = (next(t for t in licenses.TEXTS if t.name == n) for n in ("bsd notice", "mit grant", "cc by notice"))
+    bundle = f"{bsd.text}. {mit.text}. {cc.text}"
+    rows = [(0, bundle)] + [(k, cc.text) for k in range(1, 30)] + [(50, "text under cc by 4 0"), (51, mit.text.replace("free", "totally free")), (52, "by 4 0 cc licensed under")]
+    got = {r.doc_id: {f.name: f.share for f in r.found} for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == {bsd.name: 1.0, mit.name: 1.0, cc.name: 1.0}
+    assert got[1] == {cc.name: 1.0} and got[50] == {cc.name: 1.0} and set(got[51]) == {mit.name} and got[52] == {}
