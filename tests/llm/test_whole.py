@@ -4,9 +4,11 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from quakeframe.llm import licenses, queries
+from quakeframe.llm import licenses, queries, toxicity
 
 
 def test_lm_tells_all_words_apart(spark, tmp_path):
@@ -45,3 +47,20 @@ def test_no_license_text_is_lost_among_rarer_words(spark):
     got = {r.doc_id: {f.name: f.share for f in r.found} for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[0] == {bsd.name: 1.0, mit.name: 1.0, cc.name: 1.0}
     assert got[1] == {cc.name: 1.0} and got[50] == {cc.name: 1.0} and set(got[51]) == {mit.name} and got[52] == {}
+
+
+def test_toxicity_counts_every_labelled_row(spark):
+    """An expression that stands only in labelled rows of the curve's eighth is known to the model."""
+    rng = random.Random(9)
+    eighth = {r.id for r in spark.range(800).where(F.xxhash64(F.lit(11), "id") % 8 == 0).collect()}
+    rows = []
+    for k in range(800):
+        text = [f"word{rng.randrange(200)}" for _ in range(30)] + (["vile"] * 2 if k % 4 == 0 else []) + (["rotten"] * 2 if k % 4 == 0 and k in eighth else [])
+        rng.shuffle(text)
+        rows.append((k, " ".join(text), int(k % 4 == 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    rotten, vile, word = (model.ratios[toxicity._words(pa.array([w]))[0][0]] for w in ("rotten", "vile", "word7"))
+    assert rotten > 1 and vile > 1 and word < 0.5
+    counts = toxicity.continuation_counts(df.withColumn("curve", F.col("doc_id").isin(*eighth))).agg(*(F.sum(c) for c in ("toxic", "toxic_apart"))).first()
+    assert counts[0] > counts[1] > 0
