@@ -3,12 +3,14 @@
 Events are taken by falling magnitude (then time, then id). One is a main shock
 if no main shock before it in that order claims it: within T days to either side,
 within L km, and of no larger magnitude. A round settles each open event that all
-earlier claimers are settled for; the claims, found once by bins of time and
-latitude, are a table in the shared folder.
+earlier claimers are settled for; the claims, found once by bins of time, latitude
+and longitude, are a table in the shared folder.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,42 +35,50 @@ def claims(events: DataFrame, by: str = "region", magnitude_step: float = 0.5) -
     Magnitude classes share a bin size, the window of the class's upper end, so
     large windows don't make small ones coarse.
     """
-    rows = events.select(by, F.col("event_id").alias("id"), "time", "lat", "lon", F.col("magnitude").alias("m")).where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("m").isNotNull())
+    rows = events.select(by, F.col("event_id").alias("id"), "time", "lat", "lon", F.col("magnitude").alias("m")).where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("m").isNotNull() & F.col("id").isNotNull())
     classed = rows.withColumn("c", F.ceil(F.col("m") / magnitude_step).cast("int"))
     sizes = classed.groupBy("c").agg(F.count(F.lit(1)).alias("n")).select(
         "c", (window_days(F.col("c") * magnitude_step) * 86_400e6).alias("bin_us"), (window_km(F.col("c") * magnitude_step) / KM_PER_DEGREE).alias("bin_lat")
     )
     tb = lambda d: F.floor(micros("time") / F.col("bin_us")) + d
     lb = lambda d: F.floor(F.col("lat") / F.col("bin_lat")) + d
+    # bins of longitude fill the circle; in a latitude bin they are as wide as the window is at the highest latitude next to it
+    top = F.least(F.lit(90.0), F.greatest(F.abs((F.col("lb") - 1) * F.col("bin_lat")), F.abs((F.col("lb") + 2) * F.col("bin_lat"))))
+    wide = F.degrees(2 * F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.col("bin_lat") / 2)) / F.greatest(F.cos(F.radians(top)), F.lit(1e-9)))))
+    n_bins = F.greatest(F.lit(1), F.floor(360 / wide))
+    gb = lambda d: F.pmod(F.floor((F.col("lon") + 180) * n_bins / 360) + d, n_bins)
     around = F.array(F.lit(-1), F.lit(0), F.lit(1))
     strong = classed.join(F.broadcast(sizes), "c").withColumn("dt", F.explode(around)).withColumn("dl", F.explode(around)).withColumn("tb", tb(F.col("dt"))).withColumn("lb", lb(F.col("dl")))
+    strong = strong.withColumn("gb", F.explode(F.array_distinct(F.array(*(gb(d) for d in (-1, 0, 1))))))
     # each event meets the bins of every magnitude class (a few dozen) that is not below its own
-    weak = classed.withColumnRenamed("c", "own").join(F.broadcast(sizes), F.col("own") <= F.col("c")).withColumn("tb", tb(0)).withColumn("lb", lb(0))
+    weak = classed.withColumnRenamed("c", "own").join(F.broadcast(sizes), F.col("own") <= F.col("c")).withColumn("tb", tb(0)).withColumn("lb", lb(0)).withColumn("gb", gb(0))
     a, b = strong.alias("a"), weak.alias("b")
     first = (F.col("a.m") > F.col("b.m")) | ((F.col("a.m") == F.col("b.m")) & (F.struct("a.time", "a.id") < F.struct("b.time", "b.id")))
     near = (F.abs(days_between(F.col("a.time"), F.col("b.time"))) <= window_days(F.col("a.m"))) & (haversine_km(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")) <= window_km(F.col("a.m")))
-    joined = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in (by, "c", "tb", "lb")])
+    joined = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in (by, "c", "tb", "lb", "gb")])
     return joined.where(first & near).select(F.col(f"a.{by}").alias(by), F.col("a.id").alias("claimer"), F.col("b.id").alias("claimed"))
 
 
-def decluster(events: DataFrame, by: str = "region", most_rounds: int = 200) -> DataFrame:
-    """events with is_main."""
-    edges = materialize(claims(events, by), "claims")
-    settled = None
-    open_edges = edges
-    claimed_ids = edges.select(by, F.col("claimed").alias("event_id")).distinct()
+def decluster(events: DataFrame, by: str = "region") -> DataFrame:
+    """events with is_main. Rounds go on until every event is settled; an event without an id has no claims and is main."""
+    open_edges = materialize(claims(events, by), "claims")
+    claimed_ids = open_edges.select(by, F.col("claimed").alias("event_id")).distinct()
     main = events.select(by, "event_id").join(claimed_ids, [by, "event_id"], "left_anti")  # nobody claims these
-    state = materialize(main.withColumn("is_main", F.lit(True)), "state")
-    for _ in range(most_rounds):
-        fresh = state if settled is None else settled
+    fresh = materialize(main.withColumn("is_main", F.lit(True)), "settled")
+    settled = [fresh]
+    while not open_edges.isEmpty():
         done = fresh.select(by, F.col("event_id").alias("claimer"), F.col("is_main").alias("claimer_main"))
         marked = open_edges.join(done, [by, "claimer"], "left")
         verdict = marked.groupBy(by, F.col("claimed").alias("event_id")).agg(F.max(F.coalesce("claimer_main", F.lit(False))).alias("lost"), F.max(F.col("claimer_main").isNull()).alias("waits"))
-        new = materialize(verdict.where("lost or not waits").select(by, "event_id", (~F.col("lost")).alias("is_main")), "settled")
-        if new.isEmpty():
-            break
-        settled = materialize(fresh.unionByName(new), "state")
-        done_ids = new.select(by, F.col("event_id").alias("claimed"))
-        open_edges = materialize(open_edges.join(done_ids, [by, "claimed"], "left_anti"), "open")
-    final = state if settled is None else settled
+        fresh = materialize(verdict.where("lost or not waits").select(by, "event_id", (~F.col("lost")).alias("is_main")), "settled")
+        if fresh.isEmpty():
+            raise RuntimeError("a round of declustering settled none of the open events")
+        settled.append(fresh)
+        if len(settled) == 20:
+            settled = [materialize(reduce(DataFrame.unionByName, settled), "settled")]
+        done_ids = fresh.select(by, F.col("event_id").alias("claimed"))
+        # claims of settled events are used up: they took the claimed event, or are void
+        waiting = marked.where(F.col("claimer_main").isNull()).drop("claimer_main")
+        open_edges = materialize(waiting.join(done_ids, [by, "claimed"], "left_anti").select(by, "claimer", "claimed"), "open")
+    final = reduce(DataFrame.unionByName, settled)
     return events.join(final, [by, "event_id"], "left").withColumn("is_main", F.coalesce("is_main", F.lit(True)))

@@ -216,8 +216,8 @@ SELECT region, count(*) AS n, median(gap) AS median_gap, CAST(min(gap) AS BIGINT
 
 
 def decluster(spark, sf_dir):
-    """Main shocks of the strong events of each zone."""
-    return D.decluster(X.zoned(spark, sf_dir).where(F.col("magnitude") >= 3.0)).select("region", "event_id", "is_main")
+    """Main shocks of all events of each zone."""
+    return D.decluster(X.zoned(spark, sf_dir)).select("region", "event_id", "is_main")
 
 
 QUERIES = {
