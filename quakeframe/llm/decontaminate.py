@@ -1,18 +1,22 @@
 """Benchmark decontamination by SimHash windows and multi-index Hamming blocks.
 
 Words are ASCII-lower-cased, punctuation separates them, and five in a row make a
-shingle, weighted by how often it occurs. For every benchmark item, the windows
-of a document that are as long as the item and hold one of its shingles at least
-are fingerprinted with a 64-bit SimHash. The fingerprint's four 16-bit blocks are
-looked up in a table of all blocks that are within RADIUS / 4 bits of the item's,
-which by the pigeonhole principle finds every window within RADIUS; the whole
-distance is then taken of those found in any block. The weighted Jaccard similarity of the shingles, computed exactly,
-decides. A window that shares no shingle with an item has similarity 0, so the
-windows left out could not pass.
-
-Null and empty texts match nothing; items of fewer words than a shingle are one
-shingle, items without words are ignored. Rows of documents are judged one by
-one, so repeated rows and null ids are fine, and further columns stay.
+shingle, weighted by how often it occurs. Items are indexed by their number of
+shingles and by each 16-bit block of their 64-bit SimHash. For each of these
+sizes, windows of a document of that size are fingerprinted, and each block of a
+window fetches the items whose block is within RADIUS / 4 bits of it; by the
+pigeonhole principle that finds every item within RADIUS. The whole distance is
+taken of the items fetched, and the weighted Jaccard similarity of the shingles,
+computed exactly, decides. A window without any shingle of an item of its size has
+similarity 0 to all of them; such windows are not fingerprinted, which changes
+speed only.
+
+A document shorter than an item is one window. Null and empty texts match
+nothing; items of fewer words than a shingle are one shingle, items without words
+or with a null id are ignored. Ids keep their type; of items with the same id the
+best window counts, and of equally similar windows the first. Rows of documents
+are judged one by one, whole texts of any length, so repeated rows and null ids
+are fine. A column named matches is replaced, further ones stay.
 """
 
 from __future__ import annotations
@@ -20,7 +24,6 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cached_property
 from itertools import combinations
 
 import numpy as np
@@ -30,14 +33,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quakeframe.llm.words import mix64, shingle_hashes, slices, word_hashes
+from quakeframe.session import materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Expected distance at a similarity of 0.8 is about 9.6 of 64 bits.
 RADIUS = 20
-#: Items that are held in memory at once; larger benchmarks run in blocks of so many.
-BLOCK_ITEMS = 20_000
+BLOCKS = 4
+#: Items (and their shingles) that are broadcast and held in memory at once; a larger benchmark runs in parts of that size, one after the other.
+PART_ITEMS, PART_SHINGLES = 20_000, 4_000_000
 FILTER_BITS = 24
+#: Windows that are compared at a time.
+STEP_WINDOWS = 4096
 
 
 def _bits(shingles: np.ndarray) -> np.ndarray:
@@ -60,126 +67,157 @@ def weighted_jaccard(a: Counter, b: Counter) -> float:
     return both / max(1, sum(a.values()) + sum(b.values()) - both)
 
 
+def _near() -> np.ndarray:
+    """near[v]: whether v has at most RADIUS / BLOCKS of 16 bits set."""
+    near = np.zeros(1 << 16, bool)
+    for n in range(RADIUS // BLOCKS + 1):
+        for at in combinations(range(16), n):
+            near[sum(1 << b for b in at)] = True
+    return near
+
+
+NEAR = _near()
+
+
+def _slot(shingles: np.ndarray) -> np.ndarray:
+    return (shingles & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+
+
+@dataclass
+class SizeIndex:
+    """Items of one size: for each block, its values among the items and the items of each value."""
+
+    items: np.ndarray
+    prints: np.ndarray
+    values: list[np.ndarray] = field(init=False)
+    posted: list[list[np.ndarray]] = field(init=False)
+
+    def __post_init__(self):
+        self.values, self.posted = [], []
+        for own in self.prints.view(np.uint16).reshape(-1, BLOCKS).T:
+            values, back = np.unique(own, return_inverse=True)
+            order = np.argsort(back, kind="stable")
+            self.values.append(values)
+            self.posted.append(np.split(order, np.cumsum(np.bincount(back))[:-1]))
+
+    def fetch(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the windows, and of the items that a block of theirs fetches and that lie within RADIUS."""
+        found = np.zeros((len(prints), len(self.items)), bool)
+        for own, values, posted in zip(prints.view(np.uint16).reshape(-1, BLOCKS).T, self.values, self.posted, strict=True):
+            asked, back = np.unique(own, return_inverse=True)
+            for k, value in enumerate(values):
+                hit = NEAR[asked ^ value]
+                if hit.any():
+                    found[np.ix_(np.nonzero(hit[back])[0], posted[k])] = True
+        window, item = np.nonzero(found)
+        close = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS
+        return window[close], item[close]
+
+
 @dataclass
 class Benchmark:
-    """Items with their shingles, fingerprints and indexes. One block of items is bounded by BLOCK_ITEMS."""
+    """Items by their shingles. One part of a benchmark is bounded by PART_ITEMS and PART_SHINGLES."""
 
-    ids: list[int]
+    ids: list
     shingles: list[np.ndarray]
-    prints: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        self.prints = np.array([simhash(s) for s in self.shingles], np.uint64)
-
-    @cached_property
-    def counts(self) -> list[Counter]:
-        return [Counter(s.tolist()) for s in self.shingles]
-
-    @cached_property
-    def by_shingle(self) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted shingles and the item of each, once an item."""
-        pairs = sorted({(int(x), k) for k, s in enumerate(self.shingles) for x in s})
-        return np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs], np.int64)
-
-    @cached_property
-    def filter(self) -> np.ndarray:
-        """Whether a shingle's low bits occur at all."""
-        mark = np.zeros(1 << FILTER_BITS, bool)
-        mark[(self.by_shingle[0] & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
-        return mark
-
-    @cached_property
-    def near_blocks(self) -> np.ndarray:
-        """near[v]: whether v has at most RADIUS / 4 of 16 bits set; block x is near item block y if near[x ^ y]."""
-        each = RADIUS // 4
-        near = np.zeros(1 << 16, bool)
-        for n in range(each + 1):
-            for at in combinations(range(16), n):
-                near[sum(1 << b for b in at)] = True
-        return near
-
-    def candidates(self, prints: np.ndarray, item: int) -> np.ndarray:
-        """Which fingerprints are found by the item's index and lie within RADIUS."""
-        diff = prints ^ self.prints[item]
-        blocks = diff.view(np.uint16).reshape(-1, 4)
-        found = self.near_blocks[blocks].any(axis=1)
-        found[found] = np.bitwise_count(diff[found]) <= RADIUS
-        return found
-
-    def matches(self, shingles: np.ndarray) -> list[tuple[int, int, float]]:
-        """(item, first word, similarity) of the best window of each item found in one document's shingles."""
-        keys, owners = self.by_shingle
-        maybe = np.nonzero(self.filter[(shingles & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)])[0]
-        low = np.searchsorted(keys, shingles[maybe], "left")
-        high = np.searchsorted(keys, shingles[maybe], "right")
+        prints = np.array([simhash(s) for s in self.shingles], np.uint64)
+        size = np.array([len(s) for s in self.shingles], np.int64)
+        self.counts = [Counter(s.tolist()) for s in self.shingles]
+        self.sizes = {int(n): SizeIndex(np.nonzero(size == n)[0], prints[size == n]) for n in np.unique(size)}
+        pairs = np.unique(np.stack([np.concatenate([*self.shingles, np.zeros(0, np.uint64)]), np.repeat(size, size).astype(np.uint64)], axis=1), axis=0)
+        self.known, self.known_size = pairs[:, 0], pairs[:, 1].astype(np.int64)  # each shingle with the sizes of its items
+        self.filter = np.zeros(1 << FILTER_BITS, bool)
+        self.filter[_slot(self.known)] = True
+
+    def matches(self, shingles: np.ndarray) -> dict[int, tuple[int, float]]:
+        """For each item that is found in one document's shingles: first word and similarity of its best window."""
+        maybe = np.nonzero(self.filter[_slot(shingles)])[0]
+        low, high = (np.searchsorted(self.known, shingles[maybe], side) for side in ("left", "right"))
+        owned = high > low
         hits: dict[int, list[int]] = {}
-        for at, a, b in zip(maybe[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist(), strict=True):
-            for k in owners[a:b].tolist():
-                hits.setdefault(k, []).append(at)
-        out = []
-        for item, places in hits.items():
-            size = min(len(self.shingles[item]), len(shingles))
+        for at, a, b in zip(maybe[owned].tolist(), low[owned].tolist(), high[owned].tolist(), strict=True):
+            for n in self.known_size[a:b].tolist():
+                hits.setdefault(n, []).append(at)
+        out: dict[int, tuple[int, float]] = {}
+        for n, places in hits.items():
+            size = min(n, len(shingles))
             covered = np.zeros(len(shingles) - size + 2, np.int64)  # window starts that hold a hit
-            for at in places:
-                covered[max(0, at - size + 1)] += 1
-                covered[min(at, len(shingles) - size) + 1] -= 1
+            at = np.array(places)
+            np.add.at(covered, np.maximum(0, at - size + 1), 1)
+            np.add.at(covered, np.minimum(at, len(shingles) - size) + 1, -1)
             starts = np.nonzero(np.cumsum(covered[:-1]) > 0)[0]
-            found = self._windows(shingles, starts, size, item)
-            if found is not None:
-                out.append((item, *found))
+            for run in np.split(starts, np.nonzero(np.diff(starts) > 1)[0] + 1):
+                for a in range(0, len(run), STEP_WINDOWS):
+                    self._windows(shingles, run[a : a + STEP_WINDOWS], size, self.sizes[n], out)
         return out
 
-    def _windows(self, shingles: np.ndarray, starts: np.ndarray, size: int, item: int) -> tuple[int, float] | None:
-        best = None
-        for run in np.split(starts, np.nonzero(np.diff(starts) > 1)[0] + 1):
-            for part in np.array_split(run, max(1, len(run) // 4096)):
-                own = shingles[part[0] : part[-1] + size]
-                total = np.vstack([np.zeros((1, 64), np.int32), np.cumsum(_bits(own), axis=0)])
-                found = self.candidates(_pack(total[size:] - total[:-size]), item)
-                for k in np.nonzero(found)[0].tolist():
-                    alike = weighted_jaccard(Counter(own[k : k + size].tolist()), self.counts[item])
-                    if alike >= SIMILARITY and (best is None or alike > best[1]):
-                        best = (int(part[0]) + k, alike)
-        return best
-
-
-def _blocks_of(benchmark: DataFrame) -> Iterator[Benchmark]:
-    """Items in blocks of at most BLOCK_ITEMS, in the order of their ids."""
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null").orderBy("item_id")
-    ids, shingles = [], []
+    def _windows(self, shingles: np.ndarray, starts: np.ndarray, size: int, index: SizeIndex, out: dict[int, tuple[int, float]]) -> None:
+        """Consecutive windows of one size against the items of that size."""
+        own = shingles[starts[0] : starts[-1] + size]
+        total = np.vstack([np.zeros((1, 64), np.int32), np.cumsum(_bits(own), axis=0)])
+        for window, k in zip(*(x.tolist() for x in index.fetch(_pack(total[size:] - total[:-size]))), strict=True):
+            item = int(index.items[k])
+            alike = weighted_jaccard(Counter(own[window : window + size].tolist()), self.counts[item])
+            if alike >= SIMILARITY and (item not in out or alike > out[item][1]):
+                out[item] = (int(starts[0]) + window, alike)
+
+
+def _parts_of(benchmark: DataFrame) -> Iterator[Benchmark]:
+    """The items in parts of bounded size, in the order of their ids; one part at a time is on the driver."""
+    rows = benchmark.select("item_id", "text").where("item_id is not null and text is not null").orderBy("item_id", "text")
+    ids, shingles, total = [], [], 0
     for item, text in rows.toLocalIterator():
         got = shingle_hashes(*word_hashes(pa.array([text]), punctuation=False), SHINGLE)[0]
-        if len(got):
-            ids.append(item)
-            shingles.append(got)
-        if len(ids) == BLOCK_ITEMS:
+        if not len(got):
+            continue
+        if len(ids) == PART_ITEMS or total and total + len(got) > PART_SHINGLES:
             yield Benchmark(ids, shingles)
-            ids, shingles = [], []
+            ids, shingles, total = [], [], 0
+        ids.append(item)
+        shingles.append(got)
+        total += len(got)
     if ids:
         yield Benchmark(ids, shingles)
 
 
-def find(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """Adds matches: array of (item_id, first_word, similarity), the best window of each item found; empty if none."""
-    kind = "array<struct<item_id: bigint, first_word: bigint, similarity: double>>"
-    blocks = [df.sparkSession.sparkContext.broadcast(b) for b in _blocks_of(benchmark)]
-    base = [f for f in df.schema.fields if f.name != "matches"]
-    added = T.StructField("matches", T._parse_datatype_string(kind))
-    kept = df.select(*(f.name for f in base))
+def _find_part(df: DataFrame, part: Benchmark, text: str, kind: T.ArrayType) -> DataFrame:
+    """df with this part's matches after those of matches."""
+    held = df.sparkSession.sparkContext.broadcast(part)
+    base = [c for c in df.columns if c != "matches"]
+    schema = T.StructType([df.schema[c] for c in base] + [T.StructField("matches", kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = pa.list_(pa.struct([("item_id", pa.int64()), ("first_word", pa.int64()), ("similarity", pa.float64())]))
+        own: Benchmark = held.value
         for batch in batches:
-            for part in slices(batch, text):
-                shingles, offsets = shingle_hashes(*word_hashes(part.column(text), punctuation=False), SHINGLE)
-                out: list[list[dict]] = [[] for _ in range(part.num_rows)]
-                for held in blocks:
-                    own: Benchmark = held.value
-                    maybe = own.filter[(shingles & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)]
-                    some = np.concatenate([[0], np.cumsum(maybe)])
-                    for k in np.nonzero(some[offsets[1:]] > some[offsets[:-1]])[0].tolist():
-                        for item, at, alike in own.matches(shingles[offsets[k] : offsets[k + 1]]):
-                            out[k].append({"item_id": own.ids[item], "first_word": at, "similarity": alike})
-                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in base), pa.array(out, arrow)], names=[*(f.name for f in base), "matches"])
-
-    return kept.mapInArrow(run, T.StructType([*base, added]))
+            for rows in slices(batch, text):
+                shingles, offsets = shingle_hashes(*word_hashes(rows.column(text), punctuation=False), SHINGLE)
+                out = rows.column("matches").to_pylist()
+                some = np.concatenate([[0], np.cumsum(own.filter[_slot(shingles)])])
+                for k in np.nonzero(some[offsets[1:]] > some[offsets[:-1]])[0].tolist():
+                    best = {m["item_id"]: m for m in out[k]}
+                    for item, (at, alike) in own.matches(shingles[offsets[k] : offsets[k + 1]]).items():
+                        now = best.get(own.ids[item])
+                        if now is None or (alike, -at) > (now["similarity"], -now["first_word"]):
+                            best[own.ids[item]] = {"item_id": own.ids[item], "first_word": at, "similarity": alike}
+                    out[k] = [best[i] for i in sorted(best)]
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in base), pa.array(out, rows.column("matches").type)], names=schema.names)
+
+    return df.select(*base, "matches").mapInArrow(run, schema)
+
+
+def find(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """Adds matches: array of (item_id, first_word, similarity), the best window of each item found, by item_id; empty if none.
+
+    A benchmark of more than one part takes a pass over df for each, whose rows are written in between, so that one part at a
+    time is in memory."""
+    key = benchmark.schema["item_id"].dataType
+    kind = T.ArrayType(T.StructType([T.StructField("item_id", key), T.StructField("first_word", T.LongType()), T.StructField("similarity", T.DoubleType())]))
+    out, parts = df.drop("matches").withColumn("matches", F.from_json(F.lit("[]"), kind)), _parts_of(benchmark)
+    now = next(parts, None)
+    while now is not None:
+        out, now = _find_part(out, now, text, kind), next(parts, None)
+        if now is not None:
+            out = materialize(out, "matches")
+    return out
