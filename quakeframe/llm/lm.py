@@ -1,18 +1,24 @@
 """Language-model scoring by cross-entropy difference.
 
-A target model and a background model of the same form: bigrams with absolute
-discounting, and the model's own unigrams and the uniform distribution behind
-them. A document's score is its loss per token under the target model less that
-under the background model; low scores look like the target.
-
-score_corpus holds the counts of words and of pairs (the word before, word) in
-tables keyed by the words' 64-bit hashes; they cover every row and grow with the
-input. Each document's distinct pairs are joined to them. Only totals reach the
-driver. Null and empty texts have no tokens, losses of 0 and score 0. With no
-target rows the target model is uniform.
-
-fit and score are the model of fixed size for callers that need one that fits in
-memory: a hashed vocabulary and hash classes of the word before, 2^21 cells.
+A target model and a background model of the same form and over one vocabulary,
+all words of the corpus: bigrams with a Dirichlet prior, p(w | c) = (n(c, w) +
+PRIOR p(w)) / (n(c) + PRIOR), over unigrams p(w) = (n(w) + 1) / (n + size). A
+document's score is its loss per token under the target model less that under the
+background model; low scores look like the target.
+
+All counts are of real words and pairs (64-bit hashes), cover every row and grow
+with the input; only totals reach the driver. Documents are cut into slices of
+bounded size. A slice asks each hash shard for the counts of its distinct words,
+contexts and pairs, once a slice however often they occur in it, and sends its own
+counts along. The shard adds them up over all slices and answers in the slice's
+order, and the slice's documents are scored from the answers. A frequent word or
+pair is one number a slice, so no shard holds more than its share.
+
+Null and empty texts have no tokens, losses of 0 and score 0. Null and repeated
+ids are fine, as rows are scored one by one and every row counts; a text of any
+length is scored whole. Ties don't arise. Without target rows the target model is
+uniform, an empty table gives none. Columns named like an output column are
+replaced, further ones stay.
 """
 
 from __future__ import annotations
@@ -21,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,167 +35,169 @@ from pyspark.sql import types as T
 from quakeframe.llm.words import MIX, mix64, slices, sum_by_text, word_hashes
 from quakeframe.session import materialize
 
-VOCAB_BITS = 16
-CONTEXT_BITS = 5
-DISCOUNT = 0.75
+#: Weight of the unigrams behind each pair, in tokens.
+PRIOR = 4.0
+#: Text of a slice, and tokens of a shard.
+SLICE_BYTES, SHARD_TOKENS = 6 << 20, 2_000_000
+#: The fewest shards.
+SHARDS = 64
+NAMES = ("n_tokens", "target_loss", "background_loss", "score")
+START, CONTEXT, WORD = (np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0))
 
 
-def cells(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The cell (context class, vocabulary slot) of each word, and offsets. Class 0 also begins each text."""
-    words, offsets = word_hashes(text, punctuation=False)
-    slot = (words & np.uint64((1 << VOCAB_BITS) - 1)).astype(np.int64)
-    context = np.zeros(len(words), np.int64)
-    context[1:] = (mix64(words[:-1]) >> np.uint64(64 - CONTEXT_BITS)).astype(np.int64)
-    context[offsets[:-1][np.diff(offsets) > 0]] = 0
-    return context << VOCAB_BITS | slot, offsets
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(",")]
 
 
-def count_cells(rows: DataFrame) -> DataFrame:
-    """From (text, target boolean): cell, background and target (long), over all rows."""
+def pack(values: np.ndarray) -> bytes:
+    """64-bit integers, byte planes one after the other, compressed."""
+    return pa.compress(values.astype("<i8" if values.dtype.kind == "i" else "<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True) if len(values) else b""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                cell, offsets = cells(part.column("text"))
-                mark = np.repeat(part.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(offsets))
-                at, back, n = np.unique(cell, return_inverse=True, return_counts=True)
-                marked = np.bincount(back[mark], minlength=len(at))
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n.astype(np.int64)), pa.array(marked.astype(np.int64))], names=["cell", "background", "target"])
-
-    parts = rows.mapInArrow(count, "cell long, background long, target long")
-    return parts.groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-
-
-def log_probabilities(cell: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """log p(word | context class) of every cell."""
-    size = 1 << VOCAB_BITS
-    count = np.zeros(size << CONTEXT_BITS)
-    count[cell] = n
-    count = count.reshape(-1, size)
-    single = count.sum(axis=0)
-    total = single.sum()
-    uniform = np.full(size, 1 / size)
-    if not total:
-        return np.log(np.tile(uniform, 1 << CONTEXT_BITS)).astype(np.float32)
-    word = (np.maximum(single - DISCOUNT, 0) + DISCOUNT * (single > 0).sum() * uniform) / total
-    seen = count.sum(axis=1, keepdims=True)
-    types = (count > 0).sum(axis=1, keepdims=True)
-    pair = (np.maximum(count - DISCOUNT, 0) + DISCOUNT * types * word) / np.maximum(seen, 1)
-    return np.log(np.where(seen > 0, pair, word)).astype(np.float32).ravel()
-
-
-def fit(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Log probabilities of the target and the background model, by cell."""
-    table = count_cells(rows).toArrow()  # 2^21 rows at most
-    cell, target, background = (table.column(n).to_numpy() for n in ("cell", "target", "background"))
-    return log_probabilities(cell, target), log_probabilities(cell, background)
-
-
-def score(df: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "text") -> DataFrame:
-    """Adds n_tokens (long), target_loss, background_loss and score (double: their difference per token)."""
-    added = [T.StructField("n_tokens", T.LongType())] + [T.StructField(n, T.DoubleType()) for n in ("target_loss", "background_loss", "score")]
-    new = {f.name for f in added}
-    base = [f for f in df.schema.fields if f.name not in new]
-    schema = T.StructType(base + added)
-    held = df.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text):
-                cell, offsets = cells(part.column(text))
-                n = np.diff(offsets)
-                target, background = (-sum_by_text(own[cell], offsets) / np.maximum(n, 1) for own in held.value)
-                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in base), pa.array(n.astype(np.int64)), pa.array(target), pa.array(background), pa.array(target - background)], names=schema.names)
+def unpack(data: bytes, n: int, kind: str = "<i8") -> np.ndarray:
+    if not n:
+        return np.zeros(0, kind)
+    return np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n).T.copy().view(kind).ravel()
 
-    return df.select(*(f.name for f in base)).mapInArrow(run, schema)
 
-
-def _bigrams(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of the word before each word (0 at a text's start), hash of each word, offsets."""
-    words, offsets = word_hashes(text, punctuation=False)
-    before = np.zeros(len(words), np.uint64)
-    before[1:] = words[:-1]
-    before[offsets[:-1][np.diff(offsets) > 0]] = 0
-    return before, words, offsets
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Grows with the key, so that sorted keys are sorted by shard."""
+    return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place of the first row of each distinct combination of keys, each row's combination, and their sizes."""
-    mixed = np.zeros(len(keys[0]), np.uint64)
+def gram_keys(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Keys of the pair, the context and the word at each token, in rows of these three."""
+    before = np.full(len(words), START)
+    before[1:] = words[:-1]
+    before[offsets[:-1][np.diff(offsets) > 0]] = START
     with np.errstate(over="ignore"):
-        for k in keys:
-            mixed = mix64(mixed * MIX + k)
-    _, first, back, n = np.unique(mixed, return_index=True, return_inverse=True, return_counts=True)
-    return first, back, n
+        return np.stack([mix64(mix64(before) * MIX + words), mix64(before ^ CONTEXT), mix64(words ^ WORD)])
 
 
-def _counted(rows: DataFrame, pairs: bool) -> DataFrame:
-    """From (text, target boolean): before (if pairs), word, background and target (long), over all rows."""
+def cut(df: DataFrame, text: str, target: str, kept: list[str]) -> DataFrame:
+    """Slices: slice, n_rows, n_words, n_tokens, n_target, rows (kept columns and target), words, tokens, lengths."""
+    fields = [*kept, target]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices(batch):
-                before, word, offsets = _bigrams(part.column("text"))
-                mark = np.repeat(part.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(offsets))
-                own = (before, word) if pairs else (word,)
-                first, back, n = _distinct(*own)
-                marked = np.bincount(back[mark], minlength=len(first))
-                yield pa.RecordBatch.from_arrays([*(pa.array(k[first].view(np.int64)) for k in own), pa.array(n.astype(np.int64)), pa.array(marked.astype(np.int64))], names=[*keys, "background", "target"])
-
-    keys = ["before", "word"] if pairs else ["word"]
-    parts = rows.mapInArrow(count, ", ".join(f"{k} long" for k in (*keys, "background", "target")))
-    return parts.groupBy(*keys).agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-
+            for part in slices(batch, text, SLICE_BYTES):
+                words, offsets = word_hashes(part.column(text), punctuation=False)
+                own, tokens = np.unique(words, return_inverse=True)
+                length = np.diff(offsets)
+                mark = np.repeat(part.column(target).to_numpy(zero_copy_only=False).astype(bool), length)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.select(fields).schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(part.select(fields))
+                numbers = [number, part.num_rows, len(own), len(words), int(mark.sum())]
+                blobs = [sink.getvalue().to_pybytes(), pack(own), pack(tokens.astype(np.int64)), pack(length.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays([*(pa.array([x], pa.int64()) for x in numbers), *(pa.array([x], pa.binary()) for x in blobs)], names=names)
+                number += 1
+
+    schema = "slice long, n_rows long, n_words long, n_tokens long, n_target long, rows binary, words binary, tokens binary, lengths binary"
+    names = _names(schema)
+    return df.select(*kept, text, target).mapInArrow(run, schema)
+
+
+def _held(row: dict, target: str) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a slice, the words at its tokens, offsets, and which tokens are of target rows."""
+    with pa.ipc.open_stream(row["rows"]) as stream:
+        rows = stream.read_next_batch()
+    own = unpack(row["words"], row["n_words"], "<u8")
+    lengths = unpack(row["lengths"], row["n_rows"])
+    mark = np.repeat(rows.column(target).to_numpy(zero_copy_only=False).astype(bool), lengths)
+    return rows, own[unpack(row["tokens"], row["n_tokens"])], np.concatenate([[0], np.cumsum(lengths)]), mark
+
+
+def asks(cut_up: DataFrame, shards: int, target: str) -> DataFrame:
+    """For each slice and shard: n keys in order, the times of each in all rows and in target rows, and words among them."""
 
-def pair_losses(rows: DataFrame) -> DataFrame:
-    """From (text, target boolean): before, word, target_loss and background_loss, -log p(word | before) of each pair that occurs."""
-    words = materialize(_counted(rows, False), "words")
-    names = ("target", "background")
-    total = words.agg(F.count(F.lit(1)).alias("size"), *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names), *(F.count(F.when(F.col(n) > 0, 1)).alias(f"{n}_types") for n in names)).first()
-    uniform = 1 / max(total["size"], 1)
-    single = lambda n: (F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) + DISCOUNT * total[f"{n}_types"] * uniform) / total[n] if total[n] else F.lit(uniform)
-    words = words.select("word", *(single(n).alias(f"{n}_word") for n in names))
-    pairs = _counted(rows, True)
-    contexts = pairs.groupBy("before").agg(*(F.sum(n).alias(f"{n}_seen") for n in names), *(F.count(F.when(F.col(n) > 0, 1)).alias(f"{n}_types") for n in names))
-
-    def loss(n: str):
-        own, seen, types, word = (F.col(c) for c in (n, f"{n}_seen", f"{n}_types", f"{n}_word"))
-        return -F.log(F.when(seen > 0, (F.greatest(own - DISCOUNT, F.lit(0.0)) + DISCOUNT * types * word) / seen).otherwise(word))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                _, words, offsets, mark = _held(row, target)
+                keys = gram_keys(words, offsets)
+                is_word = np.unique(keys[2])
+                keys, back = np.unique(keys.ravel(), return_inverse=True)
+                every = np.bincount(back, minlength=len(keys))
+                marked = np.bincount(back.reshape(3, -1)[:, mark].ravel(), minlength=len(keys))
+                word = np.zeros(len(keys), np.int64)
+                word[np.searchsorted(keys, is_word)] = 1
+                edges = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
+                full = np.nonzero(np.diff(edges))[0]
+                cuts = [slice(edges[s], edges[s + 1]) for s in full]
+                columns = [pa.array(full, pa.int64()), pa.array([row["slice"]] * len(full), pa.int64()), pa.array([c.stop - c.start for c in cuts], pa.int64())]
+                columns += [pa.array([pack(x[c]) for c in cuts], pa.binary()) for x in (keys, every, marked, word)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = "shard long, slice long, n long, keys binary, every binary, marked binary, word binary"
+    names = _names(schema)
+    return cut_up.mapInArrow(run, schema)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[list[dict]]:
+    """Rows of the same value, which come one after the other."""
+    held: list[dict] = []
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1).to_pylist()[0]
+            if held and held[0][column] != row[column]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def answers(asked: DataFrame) -> DataFrame:
+    """For each slice and shard: the times of each of its n keys over all slices; size: distinct words, once a shard."""
 
-    return pairs.join(words, "word").join(contexts, "before").select("before", "word", *(loss(n).alias(f"{n}_loss") for n in names))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, "shard"):
+            keys, back = np.unique(np.concatenate([unpack(r["keys"], r["n"], "<u8") for r in rows]), return_inverse=True)
+            total = np.zeros((2, len(keys)), np.int64)
+            is_word = np.zeros(len(keys), bool)
+            at = np.concatenate([[0], np.cumsum([r["n"] for r in rows])])
+            for k, r in enumerate(rows):  # a slice's keys are distinct
+                own = back[at[k] : at[k + 1]]
+                total[0, own] += unpack(r["every"], r["n"])
+                total[1, own] += unpack(r["marked"], r["n"])
+                is_word[own] |= unpack(r["word"], r["n"]) > 0
+            for k, r in enumerate(rows):
+                own = back[at[k] : at[k + 1]]
+                size = int(is_word.sum()) if k == 0 else 0
+                yield pa.RecordBatch.from_arrays([*(pa.array([x], pa.int64()) for x in (r["slice"], r["shard"], r["n"], size)), *(pa.array([pack(t[own])], pa.binary()) for t in total)], names=names)
+
+    schema = "slice long, shard long, n long, size long, every binary, marked binary"
+    names = _names(schema)
+    return asked.repartition("shard").sortWithinPartitions("shard", "slice").mapInArrow(run, schema)
 
 
 def score_corpus(df: DataFrame, text: str = "text", target: str = "target") -> DataFrame:
-    """Replaces text and target (boolean) by n_tokens (long), target_loss, background_loss and score (double: their
-    difference per token). The background is all of df, the target model's rows are those with target.
+    """Replaces text and target (boolean; null is false) by n_tokens (long), target_loss, background_loss and score
+    (double: their difference per token). The background is all of df, the target model's rows are those with target."""
+    kept = [c for c in df.columns if c not in (text, target, *NAMES)]
+    fields = [df.schema[c] for c in kept] + [T.StructField(NAMES[0], T.LongType()), *(T.StructField(n, T.DoubleType()) for n in NAMES[1:])]
+    cut_up = materialize(cut(df.withColumn(target, F.coalesce(F.col(target), F.lit(False))), text, target, kept), "slices")
+    sums = cut_up.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("every"), F.coalesce(F.sum("n_target"), F.lit(0)).alias("marked")).first()
+    shards = max(SHARDS, -(-sums["every"] // SHARD_TOKENS))
+    replied = materialize(answers(asks(cut_up, shards, target)), "answers")
+    size = replied.agg(F.sum("size")).first()[0] or 0
 
-    Documents meet their losses by a 64-bit hash of the text; exact copies have one loss, a mean over their tokens."""
-    names = ("target_loss", "background_loss")
-    own = df.select(F.col(text).alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("target"))
-    keyed = df.drop(target, "__text", "__key", "n_tokens", *names, "score").withColumn("__key", F.xxhash64(text)).withColumnRenamed(text, "__text")
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "__text"):
-                before, word, offsets = _bigrams(part.column("__text"))
-                row = np.repeat(np.arange(part.num_rows), np.diff(offsets))
-                first, _, n = _distinct(before, word, row.astype(np.uint64))
-                order = np.argsort(first)  # a document's pairs stay together, so its key packs well
-                first, n = first[order], n[order]
-                key = part.column("__key").to_numpy()[row[first]]
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(before[first].view(np.int64)), pa.array(word[first].view(np.int64)), pa.array(n.astype(np.int32))], names=["__key", "before", "word", "n"])
-
-    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "__text"):
-                n = np.diff(word_hashes(part.column("__text"), punctuation=False)[1])
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(n.astype(np.int64))], names=[*kept, "n_tokens"])
-
-    kept = [c for c in keyed.columns if c != "__text"]
-    counted = keyed.mapInArrow(lengths, T.StructType([keyed.schema[c] for c in kept] + [T.StructField("n_tokens", T.LongType())]))
-    pair = F.xxhash64("before", "word").alias("pair")
-    asked = keyed.select("__key", "__text").mapInArrow(pairs, "__key long, before long, word long, n int").select("__key", pair, "n")
-    met = asked.join(pair_losses(own).select(pair, *names), "pair")
-    losses = met.groupBy("__key").agg(*((F.sum(F.col("n") * F.col(c)) / F.sum("n")).alias(c) for c in names))
-    out = counted.join(losses, "__key", "left").drop("__key").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in names})
-    return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, "slice"):
+            first = next(r for r in rows if r["shard"] < 0)
+            held, words, offsets, _ = _held(first, target)
+            replies = [r for r in rows if r["shard"] >= 0]
+            back = np.unique(gram_keys(words, offsets).ravel(), return_inverse=True)[1].reshape(3, -1)
+            losses = []
+            for name in ("marked", "every"):
+                n = np.concatenate([np.zeros(0), *(unpack(r[name], r["n"]) for r in replies)])
+                pair, context, word = n[back]
+                single = (word + 1) / (sums[name] + max(size, 1))
+                losses.append(-sum_by_text(np.log((pair + PRIOR * single) / (context + PRIOR)), offsets) / np.maximum(np.diff(offsets), 1))
+            yield pa.RecordBatch.from_arrays([*(held.column(c) for c in kept), pa.array(np.diff(offsets), pa.int64()), *(pa.array(x) for x in (*losses, losses[0] - losses[1]))], names=[f.name for f in fields])
+
+    both = cut_up.withColumn("shard", F.lit(-1).cast("long")).unionByName(replied.drop("size"), allowMissingColumns=True)
+    return both.drop("n_target").repartition("slice").sortWithinPartitions("slice", "shard").mapInArrow(run, T.StructType(fields))

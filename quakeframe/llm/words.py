@@ -34,15 +34,16 @@ def map_arrow(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch], s
     return df.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each piece has about STEP_BYTES of text, one row at least."""
+def slices(batch: pa.RecordBatch, text: str = "text", most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that each piece has about so many bytes of text (STEP_BYTES), one row at least."""
+    most = most or STEP_BYTES
     if not batch.num_rows:
         return
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + STEP_BYTES, side="right")))
+        to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield batch.slice(at, to - at)
         at = to
     give_back()

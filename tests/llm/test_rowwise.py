@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,49 @@ def test_forward_sums_all_segmentations():
             assert langid._long_word(w, logs, None)[k] == pytest.approx(row[k], rel=1e-9)
 
 
+def test_expected_counts_of_all_segmentations():
+    _, ids = langid._pieces(None)
+    rng = np.random.default_rng(3)
+    logs = np.log(rng.random((max(ids.values()) + 2, 2)) * 1e-3)
+    logs[-1] = math.log(langid.UNKNOWN)
+
+    def segmentations(text):
+        if not text:
+            yield []
+        for n in range(1, len(text) + 1):
+            piece = ids.get(text[:n], -1 if n == 1 else None)
+            if piece is not None:
+                for rest in segmentations(text[n:]):
+                    yield [piece, *rest]
+
+    words, langs, times = ["haus", "\u4e00e", "the"], np.array([0, 1, 1]), np.array([2.0, 1.0, 5.0])
+    want = np.zeros(logs.shape)
+    for w, k, n in zip(words, langs, times):
+        weights = [(s, math.exp(sum(logs[p, k] for p in s))) for s in segmentations("▁" + w)]
+        total = sum(x for _, x in weights)
+        for s, x in weights:
+            for p in s:
+                if p >= 0:
+                    want[p, k] += n * x / total
+    assert np.allclose(langid.expected_counts(words, langs, times, logs, None), want)
+    long = ["antidisestablishmentarianism" * 2, "日本語" * 12, "x" * 3000]
+    many = langid.expected_counts(long, np.array([0, 1, 0]), np.ones(3), logs, None)
+    assert (many[:, 0] > 0).any() and (many[:, 1] > 0).any() and np.isfinite(many).all()
+    assert many[ids["日"] if "日" in ids else 0, 1] <= 12 + 1e-9
+
+
+def test_long_words_count_like_short_ones(monkeypatch):
+    """The count of long words is the recursion that scores them, not another one over cut words."""
+    rng = np.random.default_rng(4)
+    _, ids = langid._pieces(None)
+    logs = np.log(rng.random((max(ids.values()) + 2, 2)) * 1e-3)
+    logs[-1] = math.log(langid.UNKNOWN)
+    words, langs, times = ["straßenbahnhaltestelle", "house", "donaudampfschiff"], np.array([0, 1, 1]), np.array([1.0, 3.0, 2.0])
+    want = langid.expected_counts(words, langs, times, logs, None)
+    monkeypatch.setattr(langid, "LONG", 3)
+    assert np.allclose(langid.expected_counts(words, langs, times, logs, None), want)
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     train, held = docs.where("doc_id % 4 <> 0"), docs.where("doc_id % 4 = 0")
@@ -112,25 +156,42 @@ def test_continuation_counts_are_distinct_contexts(spark):
     assert got[slot] == (2, 2)
 
 
-def test_lm_losses(spark):
+def brute_losses(tokens, good):
+    """Target and background loss of each token list; good: which of them the target is made of."""
+    size = len({w for t in tokens for w in t})
+
+    def model(rows):
+        word = Counter(w for t in rows for w in t)
+        pair = Counter(p for t in rows for p in zip([None, *t], t))
+        context = Counter()
+        for (c, _), n in pair.items():
+            context[c] += n
+        single = lambda w: (word[w] + 1) / (word.total() + size)
+        return lambda c, w: -math.log((pair[c, w] + lm.PRIOR * single(w)) / (context[c] + lm.PRIOR))
+
+    models = model([t for t, g in zip(tokens, good) if g]), model(tokens)
+    return [[sum(m(c, w) for c, w in zip([None, *t], t)) / max(1, len(t)) for m in models] for t in tokens]
+
+
+@pytest.mark.parametrize("slice_bytes", [40, 8 << 20])
+def test_lm_losses(spark, monkeypatch, slice_bytes):
+    monkeypatch.setattr(lm, "SLICE_BYTES", slice_bytes)
     rng = random.Random(4)
-    docs = [(k, " ".join(rng.choice("abcdefgh") for _ in range(30)), k % 3 == 0) for k in range(30)] + [(90, None, False), (91, "", True)]
-    df = spark.createDataFrame(docs, "doc_id long, text string, target boolean")
-    target, background = lm.fit(df)
-    sums = np.exp(background.astype(np.float64)).reshape(1 << lm.CONTEXT_BITS, -1).sum(axis=1)
-    assert np.allclose(sums, 1, atol=1e-3)
-    cells = {k: lm.cells(pa.array([t], pa.string()))[0] for k, t, _ in docs}
-    count = np.bincount(np.concatenate(list(cells.values())).astype(int), minlength=len(background)).reshape(1 << lm.CONTEXT_BITS, -1)
-    single = count.sum(axis=0)
-    word = (np.maximum(single - 0.75, 0) + 0.75 * (single > 0).sum() / len(single)) / single.sum()
-    for r in lm.score(df, (target, background)).collect():
-        own = cells[r.doc_id]
-        loss = 0.0
-        for c in own:
-            row, at = count[c >> lm.VOCAB_BITS], c & ((1 << lm.VOCAB_BITS) - 1)
-            loss -= math.log((max(row[at] - 0.75, 0) + 0.75 * (row > 0).sum() * word[at]) / row.sum())
-        assert r.n_tokens == len(own) and r.background_loss == pytest.approx(loss / max(1, len(own)), rel=1e-4)
-        assert r.score == pytest.approx(r.target_loss - r.background_loss)
+    docs = [(k, " ".join(rng.choice("abcdefgh") for _ in range(30)), rng.choice([True, False, None])) for k in range(30)] + [(90, None, False), (91, "", True), (None, "a b", True), (7, "a b", None), (7, "a b", None), (8, "word " * 30_000, False)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, target boolean").withColumn("score", F.lit("clash")).withColumn("rows", F.lit("stays")).repartition(3)
+    tokens = [(t or "").split() for _, t, _ in docs]
+    want = sorted((str(i), len(t), *losses) for (i, _, _), t, losses in zip(docs, tokens, brute_losses(tokens, [g for *_, g in docs])))
+    out = lm.score_corpus(df)
+    assert out.columns == ["doc_id", "rows", "n_tokens", "target_loss", "background_loss", "score"]
+    got = sorted((str(r.doc_id), r.n_tokens, r.target_loss, r.background_loss) for r in out.collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want] and all(g[2:] == pytest.approx(w[2:]) for g, w in zip(got, want))
+    assert all(r.score == pytest.approx(r.target_loss - r.background_loss) for r in out.collect())
+
+
+def test_lm_without_rows_or_targets(spark):
+    df = spark.createDataFrame([(1, "a b", False)], "doc_id long, text string, target boolean")
+    assert lm.score_corpus(df.limit(0)).count() == 0
+    assert lm.score_corpus(df).first().target_loss == pytest.approx(math.log(2))
 
 
 SECRET_TEXTS = [
@@ -161,27 +222,85 @@ def test_secrets(spark):
     assert secrets.scan(df.limit(0)).count() == 0
 
 
+def random_pattern(rng, depth=3):
+    kind = rng.randrange(7) if depth else 0
+    inner = lambda: random_pattern(rng, depth - 1)
+    return [lambda: "".join(rng.choice("abAB") for _ in range(rng.randint(1, 4))), lambda: "[abc]", lambda: inner() + inner(), lambda: f"({inner()}|{inner()})", lambda: f"(?:{inner()}){rng.choice(['?', '*', '+', '{2}', '{1,3}'])}", lambda: inner() + inner() + inner(), lambda: f"{inner()}[^x]"][kind]()
+
+
+def test_trigram_queries_hold_wherever_the_pattern_matches():
+    rng = random.Random(12)
+    asked = 0
+    for _ in range(1500):
+        pattern = random_pattern(rng)
+        query = secrets.trigram_query(pattern)
+        asked += frozenset() not in query
+        for _ in range(15):
+            text = "".join(rng.choice("abcABC") for _ in range(rng.randint(0, 14)))
+            if re.search(pattern, text):
+                assert any(all(t in text.lower() for t in alt) for alt in query), (pattern, text)
+    assert asked > 200
+
+
+def test_many_secrets_in_one_text(spark):
+    text = " ".join(f"token={'é' * (k % 3)} password=abcdefgh{k}" for k in range(3000))
+    df = spark.createDataFrame([(1, text), (2, "AKIA" * 3 + " x " + "AKIA" * 4)], DOCS)
+    got = {r.doc_id: r for r in secrets.scan(df).select("doc_id", "secrets", secrets.redact(F.col("text"), F.col("secrets")).alias("clean")).collect()}
+    rule = secrets.BASE_RULES[0]
+    assert [(s.start, s.stop) for s in got[1].secrets if s.kind == "assign"] == [m.span() for m in re.finditer(rule.pattern, text) if len(m[2]) >= 8]
+    assert got[1].clean.count("[SECRET]") == 3000 and "abcdefgh" not in got[1].clean
+    assert [(s.start, s.stop) for s in got[2].secrets] == [(15, 31)]
+
+
 LICENSE_TEXTS = [
     "Released under the MIT License.", "mit-license MIT license; the GNU General Public License, version 3", "Licensed under CC BY-NC 4.0.", "general public", "apache\u00a0license apache license apache", "license mit license apache license",
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "İmit license éapache license",
 ]
 
 
+def brute_found(words):
+    """The license texts of a document's words, with their places and shares."""
+    out = {}
+    for t in licenses.TEXTS:
+        if not all(any(all(w in licenses.STOP or words[at + k] == w for k, w in enumerate(key)) for at in range(len(words) - len(key) + 1)) for key in map(licenses.words_of, t.keys)):
+            continue
+        held = set(t.words) & set(words) - licenses.STOP
+        agreed = {}
+        for k, w in enumerate(t.words):
+            for at in (at for at, x in enumerate(words) if x == w and w in held):
+                agreed.setdefault(at - k, set()).add(w)
+        start = max(agreed, key=lambda a: (len(agreed[a]), -a))
+        if len(agreed[start]) / len(held) >= licenses.AGREE:
+            out[t.name] = (max(start, 0), pytest.approx(len(agreed[start]) / len(held)))
+    return out
+
+
 def test_licenses(spark):
-    rows = [(k, t) for k, t in enumerate(LICENSE_TEXTS)] + ODD
-    got = licenses.scan(spark.createDataFrame(rows, DOCS)).collect()
-    assert len(got) == len(rows)
-    texts = {}
-    for i, t in rows:
-        texts.setdefault(i, t)
-    pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    for r in got:
-        words = pattern.findall(re.sub("[A-Z]", lambda m: m[0].lower(), texts[r.doc_id] or ""))
-        places = sorted((t.name, t.label, k) for t in licenses.PHRASES for k in range(len(words)) if words[k : k + len(t.words)] == t.words)
-        assert r.n_words == len(words) and sorted(tuple(p) for p in r.places) == places and 0 <= r.score <= 1
-    labels = {r.doc_id: {f.label for f in r.found} for r in got}
+    rng = random.Random(11)
+    every = " . ".join(t.text for t in licenses.TEXTS)
+    texts = LICENSE_TEXTS + [t.text for t in licenses.TEXTS] + [every, every.upper(), "the \u212a license mit", "x " * 40 + "general public license " * 3]
+    for _ in range(60):
+        words = licenses.words_of(rng.choice(licenses.TEXTS).text + " and " + rng.choice(licenses.PHRASES + licenses.TEXTS).text)
+        for _ in range(rng.randint(0, 6)):
+            words.insert(rng.randrange(len(words)), rng.choice(["license", "and", "zebra", "software", "the"]))
+        texts.append(" ".join(words[rng.randint(0, 5) :]))
+    rows = [(1000 + k, t) for k, t in enumerate(texts)] + ODD
+    got = licenses.scan(spark.createDataFrame(rows, DOCS).withColumn("row", F.monotonically_increasing_id()).withColumn("found", F.lit(1)).withColumn("keyed", F.lit("stays"))).collect()
+    assert len(got) == len(rows) and {r.keyed for r in got} == {"stays"}
+    byid = {r.doc_id: r for r in got if r.doc_id and r.doc_id >= 1000}
+    for r, t in [(byid[1000 + k], t) for k, t in enumerate(texts)]:
+        words = licenses.words_of(t)
+        places = sorted((p.name, p.label, k) for p in licenses.PHRASES for k in range(len(words)) if words[k : k + len(p.words)] == p.words)
+        assert r.n_words == len(words) and sorted(tuple(p) for p in r.places) == places
+        assert {f.name: (f.at, f.share) for f in r.found} == brute_found(words), t
+        assert r.score == pytest.approx(1 if places else max((f.share for f in r.found), default=0))
+    assert sorted((str(r.doc_id), r.n_words) for r in got if not r.doc_id or r.doc_id < 1000) == sorted((str(i), len(licenses.words_of(t or ""))) for i, t in ODD)
+    labels = {k: {f.label for f in byid[1000 + k].found} for k in range(len(texts))}
     assert labels[2] == {"cc-by-nc"} and "mit" in labels[6] and "gpl" in labels[1] and not labels[3]
+    assert labels[len(LICENSE_TEXTS) + len(licenses.TEXTS)] == {t.label for t in licenses.TEXTS}  # all in one text
     assert licenses.scan(spark.createDataFrame([], DOCS)).count() == 0
+    with pytest.raises(ValueError):
+        licenses.Template("x", "x", "some text", ("of the",))
 
 
 URLS = [None, "", "no scheme", "http://A.Example.COM/en/7x?q", "https://example.com/en/8", "http://x.net/de/1#t", "http://example.net/de/8", "http://notexample.net/de/85", "ftp://org/es/", "http://spam-farm.example.org/fr/", "http://myspam-farms.org/", "http://a.com?x://y/z", "http://com/en/", "x://casino.net/history/1", "://", "http://h/a\nb/ads/x.js"]
@@ -209,7 +328,9 @@ def test_urls(spark):
     assert urls.judge(df.limit(0)).count() == 0
 
 
-def test_decontamination_equals_all_windows(spark):
+@pytest.mark.parametrize("part_items", [5, 20_000])
+def test_decontamination_equals_all_windows(spark, monkeypatch, part_items):
+    monkeypatch.setattr(decontaminate, "PART_ITEMS", part_items)
     rng = random.Random(6)
     vocabulary = [f"w{k}" for k in range(60)]
     items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(3, 45)))) for k in range(12)] + [(50, None), (None, "x y"), (51, "...")]
@@ -223,7 +344,7 @@ def test_decontamination_equals_all_windows(spark):
             at = rng.randint(0, len(words))
             words[at:at] = own
         docs.append((k, (", " if k % 3 else " ").join(words).upper()))
-    df = spark.createDataFrame(docs + ODD, DOCS)
+    df = spark.createDataFrame(docs + ODD, DOCS).withColumn("matches", F.lit("clash")).withColumn("item_id", F.lit("stays"))
     got = [(r.doc_id, r.text, {m.item_id: m.similarity for m in r.matches}) for r in decontaminate.find(df, spark.createDataFrame(items, "item_id long, text string")).collect()]
     assert len(got) == len(docs) + len(ODD)
 
@@ -231,8 +352,6 @@ def test_decontamination_equals_all_windows(spark):
         words = re.sub(r"[!-/:-@\[-`{-~]", " ", (text or "").lower()).split()
         return [tuple(words[k : k + 5]) for k in range(len(words) - 4)] if len(words) >= 5 else [tuple(words)] * bool(words)
 
-    from collections import Counter
-
     for _, text, found in got:
         own = shingles(text)
         expected = {}
@@ -243,9 +362,20 @@ def test_decontamination_equals_all_windows(spark):
             if best >= 0.8:
                 expected[item] = best
         assert found == pytest.approx(expected)
+    named = spark.createDataFrame([(f"i{k}", t) for k, t in items if t] + [("i1", "a second text under the same id stands here")], "item_id string, text string")
+    assert {r.text: {m.item_id: m.similarity for m in r.matches} for r in decontaminate.find(df, named).collect()} == {t: {f"i{k}": s for k, s in m.items()} for _, t, m in got}
     assert decontaminate.find(df.limit(0), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_blocks_fetch_all_within_the_radius():
+    rng = np.random.default_rng(5)
+    prints = rng.integers(0, 1 << 63, 40).astype(np.uint64)
+    windows = np.concatenate([prints ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (n, 40)).astype(np.uint64), axis=0) for n in range(1, 30)])
+    index = decontaminate.SizeIndex(np.arange(40), prints)
+    distance = np.bitwise_count(windows[:, None] ^ prints[None, :])
+    assert set(zip(*(x.tolist() for x in index.fetch(windows)))) == set(zip(*(x.tolist() for x in np.nonzero(distance <= decontaminate.RADIUS))))
+
+
 def test_words_and_shingles():
     texts = pa.array(["Ab\x0bc  É d", None, "", "one two", "\x1cx y"])
     flat, offsets = split_words(texts)

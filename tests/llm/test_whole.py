@@ -1,14 +1,13 @@
 """Whole results where bounded models or look-ups would lose some."""
 
-import math
 import random
-from collections import Counter
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quakeframe.llm import licenses, queries, toxicity
+from tests.llm.test_rowwise import brute_losses
 
 
 def test_lm_tells_all_words_apart(spark, tmp_path):
@@ -18,21 +17,9 @@ def test_lm_tells_all_words_apart(spark, tmp_path):
     good = {k for k in range(0, 200, 3)}
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(k, int(k in good), 0) for k in range(200)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    tokens = [(k, (t or "").split()) for k, t in docs]
-    size = len({w for _, t in tokens for w in t})
-
-    def model(rows):
-        word = Counter(w for t in rows for w in t)
-        pair = Counter(p for t in rows for p in zip([None, *t], t))
-        seen, types = Counter(), Counter()
-        for (c, _), n in pair.items():
-            seen[c] += n
-            types[c] += 1
-        single = lambda w: (max(word[w] - 0.75, 0) + 0.75 * len(word) / size) / word.total()
-        return lambda c, w: -math.log((max(pair[c, w] - 0.75, 0) + 0.75 * types[c] * single(w)) / seen[c] if seen[c] else single(w))
-
-    target, background = model([t for k, t in tokens if k in good]), model([t for _, t in tokens])
-    want = sorted((str(k), len(t), *(sum(m(c, w) for c, w in zip([None, *t], t)) / max(1, len(t)) for m in (target, background))) for k, t in tokens)
+    tokens = [(t or "").split() for _, t in docs]
+    losses = brute_losses(tokens, [k in good for k, _ in docs])
+    want = sorted((str(k), len(t), *own) for (k, _), t, own in zip(docs, tokens, losses))
     got = sorted((str(r.doc_id), r.n_tokens, r.target_loss, r.background_loss) for r in queries.op10_lm_score(spark, str(tmp_path)).collect())
     assert [g[:2] for g in got] == [w[:2] for w in want]
     for g, w in zip(got, want):
