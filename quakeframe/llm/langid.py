@@ -9,7 +9,11 @@ the driver is one number per language and piece.
 
 Texts without a letter, null and empty texts are `und` with score 0. Words are
 lower-cased and ASCII punctuation separates words. A language with no training
-text is never predicted; with no training rows at all, every text is `und`.
+text is never predicted; with no training rows at all, every text is `und`, and an
+empty table gives none. Of equally likely languages the first by name is taken.
+Texts and words of any length are summed whole; null and repeated ids are fine, as
+rows are judged one by one. Columns named lang_pred or score are replaced, further
+ones stay.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from quakeframe.llm.words import MIX, mix64, slices, sum_by_text
 
 #: Probability, in every language, of a character that no piece covers.
 UNKNOWN = 1e-7
-#: Words longer than this are summed in log space, one at a time.
+#: Words longer than this are summed one at a time, rescaled at each position.
 LONG = 24
 #: Added to every expected count.
 PRIOR = 0.02
@@ -141,6 +145,31 @@ def _long_word(word: str, logs: np.ndarray, model: str | None) -> np.ndarray:
     return np.log(np.maximum(ring[-1], 1e-300)) + scale
 
 
+def _long_counts(word: str, probs: np.ndarray, model: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of a word of any length under one language's probabilities, and their expected uses: forward and backward sums,
+    rescaled at each position."""
+    by_length, ids = _pieces(model)
+    text, top = "▁" + word, max(by_length)
+    n = len(text)
+    spans = [[(size, k) for size in range(1, min(top, j) + 1) if (k := ids.get(text[j - size : j], -1 if size == 1 else None)) is not None] for j in range(n + 1)]
+    forward, peaks = [1.0], [0.0]  # scaled so that the last one is 1, and logs of the scales
+    for j in range(1, n + 1):
+        now = sum(forward[j - size] * np.exp(peaks[j - size] - peaks[j - 1]) * probs[k] for size, k in spans[j])
+        forward.append(1.0)
+        peaks.append(peaks[j - 1] + np.log(max(now, 1e-300)))
+    backward = np.full(n + 1, -np.inf)  # logs
+    backward[n] = 0.0
+    pieces, uses = [], []
+    for j in range(n, 0, -1):
+        for size, k in spans[j]:
+            through = np.log(max(probs[k], 1e-300)) + backward[j]
+            backward[j - size] = np.logaddexp(backward[j - size], through)
+            pieces.append(k)
+            uses.append(np.exp(peaks[j - size] + through - peaks[n]))
+    known = np.array(pieces) >= 0
+    return np.array(pieces)[known], np.array(uses)[known]
+
+
 def _by_length(words: list[str]) -> dict[int, np.ndarray]:
     n = np.array([len(w) + 1 for w in words])
     return {int(k): np.nonzero(n == k)[0] for k in np.unique(n)}
@@ -163,15 +192,16 @@ def score_words(words: list[str], logs: np.ndarray, model: str | None) -> np.nda
 
 
 def expected_counts(words: list[str], langs: np.ndarray, times: np.ndarray, logs: np.ndarray, model: str | None) -> np.ndarray:
-    """Expected uses of each piece in each language; for these counts a word over LONG is cut every LONG characters."""
-    if any(len(w) > LONG for w in words):
-        cut = [(w[a : a + LONG], k) for k, w in enumerate(words) for a in range(0, len(w), LONG)]
-        words, at = [w for w, _ in cut], np.array([k for _, k in cut])
-        langs, times = langs[at], times[at]
+    """Expected uses of each piece in each language, over all segmentations of each whole word."""
     out = np.zeros(logs.shape)
     probs = np.exp(logs)
     width = logs.shape[1]
     for length, at in _by_length(words).items():
+        if length > LONG + 1:
+            for k in at.tolist():
+                pieces, uses = _long_counts(words[k], probs[:, langs[k]], model)
+                np.add.at(out, (pieces, langs[k]), uses * times[k])
+            continue
         for part in np.array_split(at, max(1, len(at) // 4_000)):
             own, lang, weight = [words[k] for k in part], langs[part], times[part]
             lattice = _lattice(own, length, model)
