@@ -149,11 +149,62 @@ def test_toxicity(spark):
     assert all(0 <= r.score <= 1e-5 for r in toxicity.predict(docs, none).collect())
 
 
-def test_continuation_counts_are_distinct_contexts(spark):
-    rows = [("a b a b c b", 1), ("a b", 0), ("a b", 0), ("d b", 0)]
-    got = {r.slot: (r.ordinary, r.toxic) for r in toxicity.continuation_counts(spark.createDataFrame(rows, "text string, toxic int")).collect()}
-    slot = toxicity._words(pa.array(["b"], pa.string()))[0][0]
-    assert got[slot] == (2, 2)
+def brute_differences(rows, tokens):
+    """log p(word | before, toxic) - log p(word | before, ordinary) of each token, from (tokens, toxic) rows over real words."""
+    kinds = {(lab, *t) for text, lab in rows for t in zip([None, None, *text], [None, *text], text)}
+    pair = [Counter((c, w) for lab, _, c, w in kinds if lab == k) for k in (0, 1)]
+    scale = pair[1].total() / pair[0].total()
+    pair[0] = {x: n * scale for x, n in pair[0].items()}
+    word = [Counter(w for _, w in p) for p in pair]
+    scale = word[1].total() / word[0].total()
+    word[0] = Counter({w: n * scale for w, n in word[0].items()})
+    slots = 1 << toxicity.VOCAB_BITS
+    total = sum(word[0].values()) + sum(word[1].values()) + 0.01 * slots
+    shared = lambda w: (word[0][w] + word[1][w] + 0.01) / total
+
+    def own(k, w):
+        off = sum(min(n, toxicity.WORDS) for n in word[k].values())
+        return (max(word[k][w] - toxicity.WORDS, 0) + off * shared(w)) / sum(word[k].values())
+
+    def p(k, c, w):
+        both = Counter(pair[0])
+        both.update(pair[1])
+        after = {x: n for x, n in both.items() if x[0] == c}
+        behind = (max(both[c, w] - toxicity.SHARED, 0) + sum(min(n, toxicity.SHARED) for n in after.values()) * shared(w)) / sum(after.values()) if after else shared(w)
+        back = behind * own(k, w) / shared(w)
+        after = {x: n for x, n in pair[k].items() if x[0] == c}
+        return (max(pair[k].get((c, w), 0) - toxicity.PAIRS, 0) + sum(min(n, toxicity.PAIRS) for n in after.values()) * back) / sum(after.values()) if after else back
+
+    return [math.log(p(1, c, w) / p(0, c, w)) for c, w in zip([None, *tokens], tokens)]
+
+
+def test_toxicity_models_equal_brute_force(spark):
+    rng = random.Random(15)
+    words = "ash birch cedar elm fir oak pine teak yew".split()
+    rows = [([rng.choice(words[: 6 + 3 * (k % 3 == 0)]) for _ in range(rng.randint(0, 25))], int(k % 3 == 0)) for k in range(80)]
+    rows += [rows[0]] * 3 + [rows[1]] * 3  # copies add nothing
+    df = spark.createDataFrame([(" ".join(t), lab, k % 4 == 1) for k, (t, lab) in enumerate(rows)], "text string, toxic int, curve boolean").repartition(3)
+    pairs = toxicity.pair_counts(df).cache()
+    for apart in (False, True):
+        model = toxicity._model(pairs, apart)
+        counted = [r for k, r in enumerate(rows) if not apart or k % 4 != 1]
+        if apart:  # a copy outside the curve's rows still counts
+            assert pairs.agg(F.sum("toxic") > F.sum("toxic_apart")).first()[0]
+        for tokens in (words, ["unseen", "oak", "unseen", "yew", "yew"], [], rows[3][0]):
+            slot, context, _, _ = toxicity._words(pa.array([" ".join(tokens)]))
+            assert model.differences(slot, context) == pytest.approx(brute_differences(counted, tokens), rel=1e-4, abs=1e-5)
+
+
+def test_toxicity_of_few_labels(spark):
+    bad = [(k, f"you vile scummy rotten thing number{k} vile scummy rotten", 1) for k in range(6)]
+    good = [(10 + k, f"a quiet walk by the lake number{k} and the old town", 0) for k in range(6)]
+    df = spark.createDataFrame(bad + good, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df, df)
+    got = {r.text: r.score for r in toxicity.predict(spark.createDataFrame([("so vile scummy rotten",), ("a walk by the old lake",)], "text string"), model).collect()}
+    assert got["so vile scummy rotten"] >= 0.3 > got["a walk by the old lake"]
+    alike = toxicity.fit(df.where("toxic = 1"), df)  # one label only: the share of toxic rows
+    assert {round(r.score, 3) for r in toxicity.predict(df, alike).collect()} == {1.0}
+    assert toxicity.predict(df.limit(0), model).count() == 0 and toxicity.predict(df.withColumn("score", F.lit("clash")), model).dtypes[-1] == ("score", "double")
 
 
 def brute_losses(tokens, good):

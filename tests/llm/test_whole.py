@@ -37,17 +37,20 @@ def test_no_license_text_is_lost_among_rarer_words(spark):
 
 
 def test_toxicity_counts_every_labelled_row(spark):
-    """An expression that stands only in labelled rows of the curve's eighth is known to the model."""
+    """An expression that stands only in the texts that the curve is fitted on is known to the model."""
     rng = random.Random(9)
-    eighth = {r.id for r in spark.range(800).where(F.xxhash64(F.lit(11), "id") % 8 == 0).collect()}
     rows = []
     for k in range(800):
-        text = [f"word{rng.randrange(200)}" for _ in range(30)] + (["vile"] * 2 if k % 4 == 0 else []) + (["rotten"] * 2 if k % 4 == 0 and k in eighth else [])
+        text = [f"word{rng.randrange(200)}" for _ in range(30)] + (["vile"] * 2 if k % 4 == 0 else [])
         rng.shuffle(text)
         rows.append((k, " ".join(text), int(k % 4 == 0)))
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
-    rotten, vile, word = (model.ratios[toxicity._words(pa.array([w]))[0][0]] for w in ("rotten", "vile", "word7"))
-    assert rotten > 1 and vile > 1 and word < 0.5
-    counts = toxicity.continuation_counts(df.withColumn("curve", F.col("doc_id").isin(*eighth))).agg(*(F.sum(c) for c in ("toxic", "toxic_apart"))).first()
+    chosen = {r.doc_id for r in df.where("toxic = 1").orderBy(F.xxhash64(F.lit(12), F.xxhash64("text"))).limit(toxicity._curve_texts(200)).collect()}
+    own = F.when(F.col("doc_id").isin(*chosen), F.concat(F.lit("rotten rotten "), "text", F.lit(" rotten"))).otherwise(F.col("text"))
+    pairs = toxicity.pair_counts(df.select(own.alias("text"), "toxic", F.col("doc_id").isin(*chosen).alias("curve"))).cache()
+    value = lambda model, w: model.word[1][s] / model.word[0][s] if (s := toxicity._words(pa.array([w]))[0][0]) is not None else None
+    whole, apart = (toxicity._model(pairs, x) for x in (False, True))
+    assert value(whole, "rotten") > 3 and value(whole, "vile") > 3 and value(whole, "word7") < 2
+    assert value(apart, "rotten") == pytest.approx(1, abs=0.1) and value(apart, "vile") > 3
+    counts = pairs.agg(*(F.sum(c) for c in ("toxic", "toxic_apart"))).first()
     assert counts[0] > counts[1] > 0
