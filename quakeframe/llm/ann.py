@@ -8,11 +8,17 @@ part of a sample vector's neighbours from the vector. It routes every vector of
 the table to its most probable part, and every query to several; parts are cut
 into cells of bounded size, so a part that holds a third of all rows, or one very
 common vector, is spread over tasks. Queries meet each cell of their parts in
-blocks, and the best of all cells are reranked exactly in double precision.
+blocks, and the best of all cells are reranked exactly in double precision. How
+much probability a query probes is measured on the sample: so much that AIM of the
+sample's nearest lie in the parts probed. Vectors that cluster need few parts,
+random directions most of them.
 
 Vectors that are null, zero, of another length than the usual one, or that hold
 null or non-finite components take no part, neither as queries nor as
-candidates. Ties go to the smaller id. An id that occurs twice is two candidates.
+candidates; rows with a null id neither. Ties go to the smaller id. Each row is its
+own candidate and its own query: an id that occurs twice is two candidates, and two
+queries that find each other. Further columns are ignored, an empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -32,11 +38,13 @@ from quakeframe.session import materialize
 SAMPLE_ROWS = 20_000
 #: Neighbours of a sample vector in the graph.
 GRAPH_DEGREE = 16
-#: There is a part for each PART_ROOT in the root of the number of rows, within these limits.
-PART_ROOT, PARTS = 8, (1, 256)
+#: There is a part for each PART_ROOT in the root of the number of rows, and PART_SAMPLE vectors of the sample in each at least.
+PART_ROOT, PART_SAMPLE = 8, 50
 HIDDEN = 64
-#: A query is routed to parts until their probabilities add up to this, to this share of the parts at least.
-PROBED, LEAST_SHARE = 0.95, 0.02
+#: Share of the sample's neighbours that its vectors must find in the parts they probe.
+AIM = 0.97
+#: A query is routed to parts until their probabilities add up to what is probed, to this share of the parts at least.
+LEAST_SHARE = 0.02
 #: Rows of a cell, and queries in a block.
 CELL_ROWS, BLOCK_QUERIES = 2_000, 1_000
 
@@ -116,6 +124,7 @@ class Router:
     b2: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
+    probed: float = 1.0
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         h = np.maximum((x - self.mean) / self.scale @ self.w1 + self.b1, 0)
@@ -150,15 +159,33 @@ def train_router(x: np.ndarray, target: np.ndarray, epochs: int = 30, seed: int
     return Router(*theta, mean, scale)
 
 
+def route(router: Router, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parts of each vector, the most probable first, and the probability of those before each."""
+    p = router.probabilities(x)
+    order = np.argsort(-p, axis=1, kind="stable")
+    own = np.take_along_axis(p, order, axis=1)
+    return order, np.cumsum(own, axis=1) - own
+
+
+def probability_needed(router: Router, x: np.ndarray, graph: np.ndarray) -> float:
+    """The probability before the part that a vector's neighbour is in, at quantile AIM of all vectors and neighbours."""
+    order, before = route(router, x)
+    rank = np.argsort(order, axis=1)
+    needed = np.take_along_axis(before, np.take_along_axis(rank, order[:, 0][graph], axis=1), axis=1)
+    return float(np.quantile(needed, AIM)) if needed.size else 1.0
+
+
 def learn(sample: np.ndarray, rows: int) -> Router:
     """Parts and router from a sample of a table with so many rows."""
-    parts = int(min(max(round(math.sqrt(rows) / PART_ROOT), PARTS[0]), PARTS[1], max(1, len(sample) // 50)))
+    parts = int(min(max(round(math.sqrt(rows) / PART_ROOT), 1), max(1, len(sample) // PART_SAMPLE)))
     graph = neighbour_graph(sample, GRAPH_DEGREE)
     part = balanced_parts(graph, parts)
     target = np.zeros((len(sample), parts))
     np.add.at(target, (np.arange(len(sample)), part), 2.0)
     np.add.at(target, (np.repeat(np.arange(len(sample)), graph.shape[1]), part[graph].ravel()), 1.0)
-    return train_router(sample, target / target.sum(axis=1, keepdims=True))
+    router = train_router(sample, target / target.sum(axis=1, keepdims=True))
+    router.probed = probability_needed(router, sample, graph)
+    return router
 
 
 def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", nearest: int = 20) -> DataFrame:
@@ -174,64 +201,63 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     sample = good.orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(SAMPLE_ROWS).select("v").toPandas()
     held = spark.sparkContext.broadcast(learn(np.stack(sample["v"].to_list()), rows))
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def routed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            p = held.value.probabilities(x)
-            order = np.argsort(-p, axis=1)
-            total = np.cumsum(np.take_along_axis(p, order, axis=1), axis=1)
-            take = np.maximum((total < PROBED).sum(axis=1) + 1, math.ceil(LEAST_SHARE * p.shape[1]))
+            order, before = route(held.value, x)
+            take = np.maximum((before <= held.value.probed).sum(axis=1), math.ceil(LEAST_SHARE * order.shape[1]))
             probes = [o[:n].tolist() for o, n in zip(order, take, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), batch.column("q"), pa.array(order[:, 0].astype(np.int32)), pa.array(probes, pa.list_(pa.int32()))], names=["id", "v", "q", "part", "probes"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), batch.column("v"), batch.column("q"), pa.array(order[:, 0].astype(np.int32)), pa.array(probes, pa.list_(pa.int32()))], names=["row", "id", "v", "q", "part", "probes"])
 
-    routed = materialize(good.mapInArrow(route, "id long, v array<double>, q boolean, part int, probes array<int>"), "routed")
+    # rows are told apart by a number that the table, once written, holds fast
+    numbered = good.select(F.monotonically_increasing_id().alias("row"), "id", "v", "q")
+    routed = materialize(numbered.mapInArrow(routed_rows, "row long, id long, v array<double>, q boolean, part int, probes array<int>"), "routed")
     sizes = routed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("cells"))  # a row a part
-    cell = F.pmod(F.xxhash64(F.lit(4), "id", "v"), "cells").cast("int").alias("cell")
-    base = routed.join(F.broadcast(sizes), "part").select("part", cell, F.lit(-1).alias("block"), "id", "v", F.lit(False).alias("q"))
+    cell = F.pmod(F.xxhash64(F.lit(4), "row"), "cells").cast("int").alias("cell")
+    base = routed.join(F.broadcast(sizes), "part").select("part", cell, F.lit(-1).alias("block"), "row", "id", "v", F.lit(False).alias("q"))
     n_blocks = max(1, math.ceil(routed.where("q").count() / BLOCK_QUERIES))
-    block = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(n_blocks)).cast("int").alias("block")
-    asked = routed.where("q").select(F.explode("probes").alias("part"), block, "id", "v")
-    asked = asked.join(F.broadcast(sizes), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), "block", "id", "v", F.lit(True).alias("q"))
+    block = F.pmod(F.xxhash64(F.lit(5), "row"), F.lit(n_blocks)).cast("int").alias("block")
+    asked = routed.where("q").select(F.explode("probes").alias("part"), block, "row", "id", "v")
+    asked = asked.join(F.broadcast(sizes), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), "block", "row", "id", "v", F.lit(True).alias("q"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come by cell, a cell's candidates before its queries."""
-        now, ids, vectors = None, [], []
+        now, rows_of, ids, vectors = None, [], [], []
         for batch in batches:
             x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            part, cell_of, own, q = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "cell", "id", "q"))
+            part, cell_of, row, own, q = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "cell", "row", "id", "q"))
             edges = np.nonzero((np.diff(part) != 0) | (np.diff(cell_of) != 0) | (np.diff(q.astype(np.int8)) != 0))[0] + 1
             for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(own)], strict=True):
                 if a == b:
                     continue
                 if (part[a], cell_of[a]) != now:
-                    now, ids, vectors = (part[a], cell_of[a]), [], []
+                    now, rows_of, ids, vectors = (part[a], cell_of[a]), [], [], []
                 if not q[a]:
+                    rows_of.append(row[a:b])
                     ids.append(own[a:b])
                     vectors.append(x[a:b])
                 elif ids:
-                    got = _best(own[a:b], x[a:b], np.concatenate(ids), np.vstack(vectors), nearest, int(part[a]) * 31 + int(cell_of[a]))
-                    if got is not None:
-                        yield got
+                    yield _best(row[a:b], own[a:b], x[a:b], np.concatenate(rows_of), np.concatenate(ids), np.vstack(vectors), nearest, int(part[a]) * 31 + int(cell_of[a]))
 
     dealt = base.unionByName(asked).repartition("part", "cell").sortWithinPartitions("part", "cell", "q", "block")
     kind = "array<struct<away:double,vec_id:bigint>>"
-    found = dealt.mapInArrow(meet, f"query_id long, cell long, near {kind}")
+    found = dealt.mapInArrow(meet, f"row long, query_id long, cell long, near {kind}")
     best = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, nearest).alias("near")
-    some = found.groupBy("query_id", (F.col("cell") % 32).alias("__salt")).agg(best)  # a query's cells in two steps
-    whole = some.groupBy("query_id").agg(best).select("query_id", F.posexplode("near").alias("at", "n"))
+    some = found.groupBy("row", "query_id", (F.col("cell") % 32).alias("__salt")).agg(best)  # a query's cells in two steps
+    whole = some.groupBy("row", "query_id").agg(best).select("query_id", F.posexplode("near").alias("at", "n"))
     return whole.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("n.vec_id").alias("vec_id"), (-F.col("n.away")).alias("score"))
 
 
-def _best(queries: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, nearest: int, cell: int) -> pa.RecordBatch | None:
-    """Each query's nearest of one cell, by away (the product's negative); its own id is left out."""
+def _best(queries: np.ndarray, names: np.ndarray, q: np.ndarray, rows: np.ndarray, ids: np.ndarray, v: np.ndarray, nearest: int, cell: int) -> pa.RecordBatch:
+    """Each query's nearest of one cell, by away (the product's negative); its own row is left out."""
     out = []
     order = np.argsort(ids, kind="stable")
-    ids, v = ids[order], v[order]
+    rows, ids, v = rows[order], ids[order], v[order]
     for a in range(0, len(q), 256):
         score = q[a : a + 256] @ v.T
-        score[ids[None, :] == queries[a : a + 256, None]] = -np.inf
+        score[rows[None, :] == queries[a : a + 256, None]] = -np.inf
         n = min(nearest, len(ids))
         edge = -np.partition(-score, n - 1, axis=1)[:, n - 1]
         for row, least in zip(score, edge, strict=True):
@@ -239,4 +265,4 @@ def _best(queries: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, ne
             at = at[np.lexsort((ids[at], -row[at]))][:n]
             out.append([{"away": -float(row[k]), "vec_id": int(ids[k])} for k in at])
     kind = pa.list_(pa.struct([("away", pa.float64()), ("vec_id", pa.int64())]))
-    return pa.RecordBatch.from_arrays([pa.array(queries, pa.int64()), pa.array([cell] * len(queries), pa.int64()), pa.array(out, kind)], names=["query_id", "cell", "near"])
+    return pa.RecordBatch.from_arrays([pa.array(queries, pa.int64()), pa.array(names, pa.int64()), pa.array([cell] * len(queries), pa.int64()), pa.array(out, kind)], names=["row", "query_id", "cell", "near"])

@@ -57,7 +57,7 @@ def near_copies(seed, n):
     return rows + [(n + 1, None), (n + 2, ""), (n + 3, "one two"), (n + 4, "One  TWO"), (None, rows[0][1]), (None, None), (2, rows[5][1]), (n + 5, rows[1][1]), (n + 6, "long " * 20_000)]
 
 
-@pytest.mark.parametrize(("size", "percent", "chunk"), [(4, 85, 256), (5, 80, 7)])
+@pytest.mark.parametrize(("size", "percent", "chunk"), [(4, 85, 256), (5, 80, 7), (4, 50, 3), (3, 20, 256)])
 def test_jaccard_components(spark, monkeypatch, size, percent, chunk):
     monkeypatch.setattr(jaccard, "CHUNK_ROWS", chunk)
     rows = near_copies(size, 140)
@@ -66,6 +66,31 @@ def test_jaccard_components(spark, monkeypatch, size, percent, chunk):
     assert sorted((r.doc_id if r.doc_id is not None else -1, r.n_shingles, r.component_id or 0) for r in got) == brute_components(rows, size, percent)
 
 
+def test_one_shared_shingle_links_at_low_thresholds(spark):
+    rows = [(1, "a b c d"), (2, "a b c d e"), (3, "p q r s t"), (4, "s t u v w")]
+    got = {r.doc_id: r.component_id for r in jaccard.components(spark.createDataFrame(rows, "doc_id long, text string"), size=4, percent=50).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_a_group_of_near_copies_costs_its_size(spark, monkeypatch):
+    """300 near copies of one text: each is held against the leader, and hardly any pair of chunks is compared."""
+    monkeypatch.setattr(jaccard, "CHUNK_ROWS", 16)
+    rng = random.Random(17)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(300):
+        words = list(base)
+        words[rng.randrange(200)] = f"own{k}"
+        rows.append((k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    made = []
+    tiles = jaccard._tiles
+    monkeypatch.setattr(jaccard, "_tiles", lambda *a: made.append(tiles(*a)) or made[-1])
+    assert {r.component_id for r in jaccard.components(df).collect()} == {0}
+    leaders = made[-1].select("leader").distinct().count()
+    assert sum(m.count() for m in made) <= 300 * (leaders + 2) and brute_components(rows[:40], 5, 80)
+
+
 def test_jaccard_empty(spark):
     assert jaccard.components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -112,6 +137,34 @@ def test_nearest_few_and_none(spark):
     assert ann.search(few.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_nearest_of_repeated_ids_and_equal_vectors(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [1.0, 0.0]), (3, [0.6, 0.8]), (40, [0.5, 0.5])]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(2), F.col("vec_id") % 20 == 0).collect()
+    found = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 6)) for r in got)
+    want = []
+    for a, (q, v) in enumerate(rows):
+        others = sorted((-sum(np.float32(x) * np.float32(y) for x, y in zip(v, w)), i) for b, (i, w) in enumerate(rows) if b != a)
+        want += [(q, k + 1, i, round(float(-s), 6)) for k, (s, i) in enumerate(others)] if q % 20 == 0 else []
+    assert found == sorted(want)
+    equal = spark.createDataFrame([(k, [1.0, 2.0]) for k in range(100)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.search(equal, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: [k for k in range(21) if k != q][:20] for q in range(0, 100, 20)}
+
+
+def test_clusters_are_probed_in_few_parts():
+    rng = np.random.default_rng(10)
+    centres = 4 * rng.normal(size=(40, 24))
+    clustered = centres[rng.integers(0, 40, 4000)] + 0.3 * rng.normal(size=(4000, 24))
+    share = {}
+    for name, x in (("clustered", clustered), ("random", rng.normal(size=(4000, 24)))):
+        router = ann.learn(x, 40_000)
+        _, before = ann.route(router, x)
+        share[name] = (before <= router.probed).mean()
+    assert share["clustered"] < 0.5 * share["random"]
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(9)
     graph = ann.neighbour_graph(rng.normal(size=(500, 8)), 8)
@@ -147,6 +200,29 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(texts)
 
 
+CLASHES = ("score", "secrets", "matches", "lang_pred", "component_id", "row", "rank")
+
+
+def test_pipeline_keeps_columns_that_clash(spark, tmp_path):
+    """Columns named like an operator's own come out as they went in; rows under one doc_id are near copies like any."""
+    base = " ".join(f"alpha{k} beta{k} gamma" for k in range(30))
+    rows = [(1, base, "en", "s", 9), (1, base + " tail", "en", "s", 9), (1, base, "en", "s", 9), (1, "quite another text of its own here", "en", "s", 9), (2, "password = abcdefgh1234 and so on", "en", "s", 9), (None, base, "en", "s", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in CLASHES})
+    spark.createDataFrame([(1, "words that stand in no document at all")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    now = docs
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        stage(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        now = spark.read.parquet(f"{tmp_path}/{name}")
+        assert now.dtypes == docs.dtypes, name
+        assert all(r[c] == (None if r.doc_id is None else f"{c}{r.doc_id}") for r in now.collect() for c in CLASHES)
+        if k == 1:
+            assert sorted((str(r.doc_id), r.text[:20]) for r in now.collect()) == sorted([("1", base[:20]), ("1", "quite another text o"), ("2", "password = abcdefgh1"), ("None", base[:20])])
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
 def test_pipeline_parts_are_the_operators(spark):
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["identify_language", "keep_one_of_near_copies", "remove_benchmark_leaks", "cut_out_secrets", "encode_and_decode"]
     assert all(m is not None for m in (bpe, decontaminate, langid, secrets, key_fold))
