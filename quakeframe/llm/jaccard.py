@@ -11,18 +11,23 @@ classes are joined:
    shingles, but require as many more shared ones before a pair is verified.
 3. A second sketch tells shingles posted once, which are dropped before the
    shuffle. All classes that share a posted shingle come together at that shingle's
-   smallest class, so a group of near copies meets at a few leaders, not in
-   pairs. Groups are cut into chunks of bounded size, and tasks compare pairs of
-   chunks: first by shared prefix shingles and set sizes alone, then, with the
-   texts of the members that are left, by their sets. A pair with too few shared
-   prefix shingles isn't verified, nor one that is connected already; the others
-   are verified exactly.
-4. Tasks emit a spanning forest of their links; connected components follow.
+   smallest class, their leader, so a group of near copies meets at a few leaders,
+   not in pairs.
+4. Each member is first held against its leader alone: by shared prefix shingles
+   and set sizes, then, with the texts, by the sets. Members linked with the leader
+   are settled; two of them are connected already. Only the others are open and meet
+   all members of the group, so a group of near copies costs as many comparisons as
+   it has members. Groups are cut into chunks of bounded size, and tasks compare an
+   open chunk with another chunk, again by prefixes and sizes before the sets. A pair
+   with too few shared prefix shingles isn't verified, nor one that is connected
+   already; the others are verified exactly.
+5. Tasks emit a spanning forest of their links; connected components follow.
 
 No list, partner or candidate is capped. Rows with a null key get their set size
 and a null component; null texts and texts without words have an empty set and
-are linked with nothing. Repeated rows keep their own output row. Further
-columns of the input are ignored.
+are linked with nothing. Whole texts of any length count. Repeated rows keep their
+own output row; texts under one key are linked one by one. Ties: the smallest key
+names a component. Further columns of the input are ignored, but for those asked for.
 """
 
 from __future__ import annotations
@@ -92,8 +97,8 @@ def ordered_prefix(own: np.ndarray, levels: np.ndarray, noise: float, percent: i
     return order[: n - need + matches], matches
 
 
-def _profile(docs: DataFrame, text: str, key: str, size: int, bits: int) -> DataFrame:
-    """One row (key, n, sig) a document, and the rows (block, data) of the shingle sketch."""
+def _profile(docs: DataFrame, text: str, key: str, size: int, bits: int, mark: Column) -> DataFrame:
+    """One row (key, n, sig, mark) a document, and the rows (block, data) of the shingle sketch."""
     kind = dict(docs.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,14 +110,14 @@ def _profile(docs: DataFrame, text: str, key: str, size: int, bits: int) -> Data
                     np.add.at(counts, _slots(np.concatenate(sets), bits), np.uint32(1))
                 kept = part.column("key").type
                 n = len(sets)
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.binary()), part.column("mark"), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names=names)
         if kept is not None:
             packed = blocks.pack(counts)
             n = len(packed)
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, kept), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array([b for b, _ in packed], pa.int64()), pa.array([d for _, d in packed], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, kept), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.array([b for b, _ in packed], pa.int64()), pa.array([d for _, d in packed], pa.binary())], names=names)
 
-    names = ["key", "n", "sig", "block", "data"]
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n long, sig binary, block long, data binary")
+    names = ["key", "n", "sig", "mark", "block", "data"]
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text"), mark.cast("long").alias("mark")).mapInArrow(run, f"key {kind}, n long, sig binary, mark long, block long, data binary")
 
 
 def _levels(sketch: DataFrame, bits: int) -> tuple[np.ndarray, float]:
@@ -211,13 +216,19 @@ def linked_pairs(sets: list[np.ndarray], chunk: np.ndarray, levels: np.ndarray,
 
 
 def _tiles(members: DataFrame, weight: Column, *columns: str) -> DataFrame:
-    """Members (leader, key, ...) of groups of two or more, once for each pair of chunks (i, j) that their own chunk is in."""
-    groups = members.groupBy("leader").agg(F.count(F.lit(1)).alias("rows"), F.sum(weight).alias("weight")).where("rows > 1")
-    chunks = F.ceil(F.greatest(F.col("rows") / CHUNK_ROWS, F.col("weight") / CHUNK_SHINGLES)).cast("int").alias("chunks")
+    """Members (leader, key, open, ...) once for each pair of chunks (i, j) that their own chunk is in. Chunks hold open members
+    or, with negative numbers, settled ones; a pair has an open chunk at least."""
+    is_open = F.col("open")
+    part = lambda x, on: F.coalesce(F.sum(F.when(on, x)), F.lit(0))
+    count = lambda on: F.ceil(F.greatest(part(F.lit(1), on) / CHUNK_ROWS, part(weight, on) / CHUNK_SHINGLES)).cast("int")
+    groups = members.groupBy("leader").agg(F.count(F.lit(1)).alias("rows"), count(is_open).alias("opened"), count(~is_open).alias("closed")).where("rows > 1 and opened > 0")
+    number = F.pmod(F.xxhash64("key"), F.when(is_open, F.col("opened")).otherwise(F.col("closed"))).cast("int")
+    opened = F.sequence(F.lit(0), F.col("opened") - 1)
+    closed = F.when(F.col("closed") > 0, F.sequence(-F.col("closed"), F.lit(-1))).otherwise(F.array().cast("array<int>"))
     return (
-        members.join(groups.select("leader", chunks), "leader")
-        .withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        members.join(groups.drop("rows"), "leader")
+        .withColumn("chunk", F.when(is_open, number).otherwise(-1 - number))
+        .withColumn("other", F.explode(F.when(is_open, F.concat(opened, closed)).otherwise(opened)))
         .select("leader", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), *columns)
     )
 
@@ -256,12 +267,13 @@ def _with_partner(tokens: list[list[int]], chunk: np.ndarray, n: np.ndarray, per
     two = len(np.unique(chunk)) > 1
     mark = np.zeros(codes.max() + 1, bool)
     found = np.zeros(len(tokens), bool)
+    fewest = np.minimum(MATCHES[0], -(-percent * n // 100))
     for a in range(len(tokens) - 1):
         own = codes[starts[a] : starts[a + 1]]
         mark[own] = True
         shared = np.bincount(owner[starts[a + 1] :][mark[codes[starts[a + 1] :]]], minlength=len(tokens))
         mark[own] = False
-        near = shared >= MATCHES[0]
+        near = shared >= np.minimum(fewest, fewest[a])
         near &= 100 * np.minimum(n, n[a]) >= percent * np.maximum(n, n[a])
         if two:
             near &= chunk != chunk[a]
@@ -306,11 +318,17 @@ def links(docs: DataFrame, profile: DataFrame, levels: np.ndarray, noise: float,
     posted = posted.mapInArrow(not_alone, posted.schema)
     lists = posted.groupBy("token").agg(F.min("short").alias("leader"), F.max("short").alias("last")).where("leader <> last").drop("last")
     hits = materialize(posted.join(lists, "token").select("leader", "short", "token").distinct(), "hits")
-    arrays = hits.groupBy("short").agg(F.collect_list("token").alias("tokens")).where(F.size("tokens") >= MATCHES[0])  # a prefix at most
+    arrays = hits.groupBy("short").agg(F.collect_list("token").alias("tokens"))  # a prefix at most
     classes = profile.where(F.col("key").isNotNull()).groupBy("sig").agg(F.min("key").alias("key"), F.max("n").alias("n"))
     short = F.conv(F.hex(F.substring("sig", 1, 8)), 16, -10).cast("long").alias("short")
-    met = hits.select("leader", "short").distinct().join(arrays, "short").join(classes.select(short, "key", "n"), "short")
-    met = _tiles(met.select("leader", "key", "n", "tokens"), F.size("tokens"), "key", "n", "tokens")
+    fewest = lambda n: F.least(F.lit(MATCHES[0]), F.ceil(percent * F.col(n) / 100).cast("int"))
+    posting = arrays.join(classes.select(short, "key", "n"), "short").where(F.size("tokens") >= fewest("n"))
+    first = posting.select(F.col("short").alias("leader"), F.col("tokens").alias("first_tokens"), F.col("n").alias("first_n"))
+    met = hits.select("leader", "short").distinct().join(posting, "short").join(first, "leader", "left")
+    fits = 100 * F.least("n", "first_n") >= percent * F.greatest("n", "first_n")
+    near = fits & (F.size(F.array_intersect("tokens", "first_tokens")) >= F.least(fewest("n"), fewest("first_n")))
+    met = materialize(met.select("leader", "key", "n", "tokens", (~F.coalesce(near, F.lit(False))).alias("open"), (F.col("short") == F.col("leader")).alias("is_leader")), "met")
+    kind = dict(rows.dtypes)["key"]
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: set = set()
@@ -325,12 +343,47 @@ def links(docs: DataFrame, profile: DataFrame, levels: np.ndarray, noise: float,
         if kept:
             yield _pairs(kept, kind)
 
-    kind = dict(rows.dtypes)["key"]
-    sifted = _dealt(met).mapInArrow(sift, f"leader long, key {kind}").distinct()
-    members = materialize(sifted.join(classes.select("key", "n").groupBy("key").agg(F.max("n").alias("n")), "key"), "members")
-    tiles = _tiles(members, F.col("n"), "key")
+    sifted = _dealt(_tiles(met, F.size("tokens"), "key", "n", "tokens")).mapInArrow(sift, f"leader long, key {kind}")
+    sizes = classes.groupBy("key").agg(F.max("n").alias("n"))
+    alone = met.where("not open").groupBy("leader").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("leader")
+    stars = met.where("not open").join(alone, "leader", "left_semi").select("leader", "key")
+    members = materialize(stars.unionByName(sifted).distinct().join(sizes, "key"), "members")
     few = members.count() <= BROADCAST_MEMBERS
-    texts = rows.join(F.broadcast(tiles) if few else tiles, "key").select("leader", "i", "j", "chunk", "text")
+    with_text = lambda side: rows.join(F.broadcast(side) if few else side, "key")
+
+    # each member that may be near its leader against the leader
+    salts = F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("salts")
+    star = members.join(stars, ["leader", "key"], "left_semi")
+    star = star.join(star.groupBy("leader").agg(salts), "leader")
+    centre = met.where("is_leader").select("leader", "key").join(star.select("leader", "salts").distinct(), "leader")
+    spokes = star.select("leader", F.pmod(F.xxhash64("key"), "salts").cast("int").alias("i"), F.lit(1).alias("j"), "key")
+    spokes = spokes.unionByName(centre.select("leader", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("i"), F.lit(0).alias("j"), "key"))
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, centre_set, centre_name = None, None, None
+        for batch in batches:
+            for part in slices(batch, "text"):
+                out = []
+                columns = (part.column(c).to_pylist() for c in ("leader", "i", "j", "key"))
+                for leader, i, j, name_of, own in zip(*columns, text_sets(part.column("text"), size), strict=True):
+                    if (leader, i) != group:
+                        group, centre_set = (leader, i), None
+                    name = signature(own)
+                    if j == 0:  # of the texts under the leader's key, the leader's own
+                        if int.from_bytes(name[:8], "big", signed=True) == leader:
+                            centre_set, centre_name = own, name
+                    elif centre_set is not None and _can_link(len(own), percent):
+                        both = len(np.intersect1d(own, centre_set, assume_unique=True))
+                        out.append((leader, name_of, 100 * both >= percent * (len(own) + len(centre_set) - both), centre_name, name))
+                if out:
+                    types = (pa.int64(), part.column("key").type, pa.bool_(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["leader", "key", "linked", "a", "b"])
+
+    dealt = with_text(spokes).select("leader", "i", "j", "key", "text").repartition("leader", "i").sortWithinPartitions("leader", "i", "j")
+    held_up = materialize(dealt.mapInArrow(hold, f"leader long, key {kind}, linked boolean, a binary, b binary"), "stars")
+    settled = held_up.groupBy("leader", "key").agg(F.min("linked").alias("linked"))
+    tiles = _tiles(members.join(settled, ["leader", "key"], "left").withColumn("open", ~F.coalesce("linked", F.lit(False))), F.col("n"), "key")
+    texts = with_text(tiles).select("leader", "i", "j", "chunk", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_levels, own_noise = held.value
@@ -358,24 +411,26 @@ def links(docs: DataFrame, profile: DataFrame, levels: np.ndarray, noise: float,
         if (done := close()) is not None:
             yield done
 
-    return _dealt(texts).mapInArrow(compare, "a binary, b binary")
+    return held_up.where("linked").select("a", "b").unionByName(_dealt(texts).mapInArrow(compare, "a binary, b binary"))
 
 
-def components(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:
-    """One row a document: key, n_shingles (long) and component_id, the smallest key that links reach."""
+def components(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 80, mark: str | None = None) -> DataFrame:
+    """One row a document: key, n_shingles (long) and component_id, the smallest key that links reach. If the column
+    mark (long) is asked for, also mark and group, a binary that rows with words share just when links join them; keys that
+    repeat may name several groups."""
     bits = min(max(math.ceil(math.log2(16 * max(1, docs.count()))), SKETCH_BITS[0]), SKETCH_BITS[1])
-    table = materialize(_profile(docs, text, key, size, bits), "profile")
-    profile = table.where(F.col("sig").isNotNull()).select("key", "n", "sig")
+    table = materialize(_profile(docs, text, key, size, bits, F.col(mark) if mark else F.lit(None)), "profile")
+    profile = table.where(F.col("sig").isNotNull()).select("key", "n", "sig", "mark")
     levels, noise = _levels(table.where(F.col("block").isNotNull()), bits)
     labels = blocks.components(links(docs, profile, levels, noise, text, key, size, percent))
     classes = profile.where(F.col("key").isNotNull() & (F.col("n") > 0)).groupBy("sig").agg(F.min("key").alias("first"))
     labelled = classes.join(labels.withColumnRenamed("node", "sig"), "sig", "left").select("sig", "first", F.coalesce("label", "sig").alias("label"))
     smallest = labelled.groupBy("label").agg(F.min("first").alias("component"))
-    reached = labelled.join(smallest, "label").select("sig", "component")
+    reached = labelled.join(smallest, "label").select("sig", "component", "label")
     empty = F.col("n") == 0
     joined = profile.join(reached, "sig", "left")
     component = F.when(F.col("key").isNull(), None).when(empty, F.col("key")).otherwise(F.col("component"))
-    return joined.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return joined.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), *([F.col("mark").alias(mark), F.col("label").alias("group")] if mark else []))
 
 
 def duckdb_sql(size: int, percent: int) -> str:
