@@ -18,6 +18,21 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return 2 * EARTH_KM * F.asin(F.sqrt(clip(half, 0.0, 1.0)))
 
 
+#: Kilometres of a degree of arc, fixed value.
+DEGREE_KM = 111.195
+
+
+def degrees(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Great-circle distance in degrees of arc; null if any coordinate is null."""
+    return F.degrees(haversine_km(lat1, lon1, lat2, lon2) / EARTH_KM)
+
+
+def hours_to_event(start: Column, w_idx: Column, step: int, fs: float, origin: Column) -> Column:
+    """Hours from a window's first sample to the event; the record starts at start, windows every step samples."""
+    seconds = (F.unix_micros(origin.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(1_000_000.0)
+    return (seconds - w_idx * F.lit(step) / F.lit(float(fs))) / 3600.0
+
+
 def clip(x: Column, low: float, high: float) -> Column:
     return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(low)), F.lit(high)))
 
@@ -56,6 +71,16 @@ def array_sigma(x: Column, mean: Column) -> Column:
     return F.sqrt(F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / F.size(x))
 
 
+def unbiased_sigma(x: Column, mean: Column) -> Column:
+    """Sample standard deviation; null for fewer than two values."""
+    return F.when(F.size(x) > 1, F.sqrt(F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / (F.size(x) - 1)))
+
+
+def z_scores(x: Column) -> Column:
+    """(x - mean) / (sample sigma + 1e-6) of an array."""
+    return let(array_mean(x), lambda mean: let(F.coalesce(unbiased_sigma(x, mean), F.lit(0.0)) + 1e-6, lambda s: F.transform(x, lambda v: (v - mean) / s)))
+
+
 def standardize(x: Column) -> Column:
     """(x - mean) / max(sigma, 1e-12) of an array, with the population sigma."""
     return let(array_mean(x), lambda mean: let(F.greatest(array_sigma(x, mean), F.lit(1e-12)), lambda sigma: F.transform(x, lambda v: (v - mean) / sigma)))

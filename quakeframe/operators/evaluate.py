@@ -1,39 +1,48 @@
-"""Evaluation: ranks, ROC, tests, fits and quantile groups."""
+"""Evaluation: ranks, ROC, tests, fits and quantile groups.
+
+Ranks come from tables of distinct values, whose counts are combined before the
+shuffle; these are put in order by ranges (sequence.running), never in one task.
+"""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quakeframe.operators.sequence import running
 
 
 def average_ranks(df: DataFrame, value: str, name: str = "rank", by: tuple[str, ...] = ()) -> DataFrame:
-    """Adds the 1-based rank of value, ties averaged.
-
-    Ranks come from a table of distinct values, whose counts are combined before
-    the shuffle; rows are not sorted.
-    """
+    """Adds the 1-based rank of value, ties averaged."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
-    partition = f"partition by {', '.join(f'`{b}`' for b in by)}" if by else ""
-    before = F.expr(f"coalesce(sum(__n) over ({partition} order by `{value}` rows between unbounded preceding and 1 preceding), 0)")
-    ranks = counts.withColumn(name, before + (F.col("__n") + 1) / 2.0).drop("__n")
+    placed = running(counts, [value], {"__before": F.col("__n")}, by)
+    ranks = placed.withColumn(name, F.col("__before") + (F.col("__n") + 1) / 2.0).drop("__n", "__before")
     return df.join(ranks, [*by, value])
 
 
+def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
+    """score, p and n: positives and negatives of each distinct score."""
+    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    positive = (F.col(label) == 1).cast("long")
+    return known.groupBy(F.col(score).alias("score")).agg(F.sum(positive).alias("p"), F.sum(1 - positive).alias("n"))
+
+
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """n_pos, n_neg and auc (ties count half; null with one class)."""
-    counts = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("p"), F.count(F.lit(1)).alias("n"))
-    ranked = counts.withColumn("r", F.expr(f"coalesce(sum(n) over (order by `{score}` rows between unbounded preceding and 1 preceding), 0)") + (F.col("n") + 1) / 2.0)
-    total = ranked.agg(F.sum("p").alias("n_pos"), (F.sum("n") - F.sum("p")).alias("n_neg"), F.sum(F.col("p") * F.col("r")).alias("s"))
+    counts = running(_by_score(df, label, score), ["score"], {"before": F.col("p") + F.col("n")})
+    rank = F.col("before") + (F.col("p") + F.col("n") + 1) / 2.0
+    total = counts.agg(F.sum("p").alias("n_pos"), F.sum("n").alias("n_neg"), F.sum(F.col("p") * rank).alias("s"))
     pos, neg = F.col("n_pos"), F.col("n_neg")
     return total.select("n_pos", "n_neg", F.when((pos > 0) & (neg > 0), (F.col("s") - pos * (pos + 1) / 2.0) / (pos * neg)).alias("auc"))
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """threshold, tp, fp, n_pos, n_neg at each distinct score, a row predicted positive if its score is no less."""
-    counts = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("p"), F.count(F.lit(1)).alias("n"))
-    up = "over (order by threshold desc rows between unbounded preceding and current row)"
-    return counts.select("threshold", F.expr(f"sum(p) {up}").alias("tp"), F.expr(f"sum(n - p) {up}").alias("fp"), F.expr("sum(p) over ()").alias("n_pos"), F.expr("sum(n - p) over ()").alias("n_neg"))
+    counts = running(_by_score(df, label, score), [F.desc("score")], {"tp": F.col("p"), "fp": F.col("n")})
+    totals = counts.agg(F.sum("p").alias("n_pos"), F.sum("n").alias("n_neg"))  # one row
+    return counts.crossJoin(F.broadcast(totals)).select(F.col("score").alias("threshold"), (F.col("tp") + F.col("p")).alias("tp"), (F.col("fp") + F.col("n")).alias("fp"), "n_pos", "n_neg")
 
 
 def youden(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -51,20 +60,64 @@ def youden(df: DataFrame, label: str = "label", score: str = "score") -> DataFra
     )
 
 
-def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """n and rho; null for fewer than 3 rows or without spread."""
+def spearman(df: DataFrame, x: str, y: str, least_rows: int = 3) -> DataFrame:
+    """n, rho and the two-sided p of Student's t with n - 2 degrees; null for fewer rows or without spread."""
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y)
     ranked = average_ranks(average_ranks(both, x, "__rx"), y, "__ry")
     n = F.count(F.lit(1))
-    return ranked.agg(n.alias("n"), F.when((n >= 3) & (F.stddev_pop("__rx") > 0) & (F.stddev_pop("__ry") > 0), F.corr("__rx", "__ry")).alias("rho"))
+    out = ranked.agg(n.alias("n"), F.when((n >= least_rows) & (F.stddev_pop("__rx") > 0) & (F.stddev_pop("__ry") > 0), F.corr("__rx", "__ry")).alias("rho"))
+    return out.withColumn("p", t_two_sided(F.col("rho"), F.col("n")))
 
 
-def wilcoxon(df: DataFrame, difference: str) -> DataFrame:
-    """n (differences that aren't 0), w_plus, w_minus and w, the smaller one; ties of size share their rank."""
+def t_two_sided(rho: Column, n: Column) -> Column:
+    """P(|r| >= |rho|) without correlation: the tail of Student's t with n - 2 degrees of freedom.
+
+    Through cos^2 = 1 - rho^2 the tail is a finite sum for whole degrees of freedom (the series of the t distribution in the
+    angle atan(t / sqrt(df))); its terms shrink with cos^2, and degrees above 400 take the normal tail with Cornish and Fisher's first term.
+    """
+    df = n - 2
+    cos2 = F.greatest(F.lit(1.0) - rho * rho, F.lit(0.0))
+    angle = F.atan2(F.abs(rho), F.sqrt(cos2))
+    odd = df % 2 == 1
+    terms = F.when(odd, (df - 1) / 2).otherwise(df / 2).cast("int")
+    begin = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("sum"))
+
+    def add(acc: Column, k: Column) -> Column:
+        ratio = F.when(odd, 2.0 * k / (2.0 * k + 1)).otherwise((2.0 * k - 1) / (2.0 * k))
+        return F.struct((acc["term"] * cos2 * ratio).alias("term"), (acc["sum"] + acc["term"] * cos2 * ratio).alias("sum"))
+
+    steps = F.when(terms > 1, F.sequence(F.lit(1), terms - 1)).otherwise(F.array().cast("array<int>"))
+    series = F.when(terms >= 1, 1 + F.aggregate(steps, begin, add)["sum"]).otherwise(0.0)
+    inside = F.when(odd, 2 / math.pi * (angle + F.abs(rho) * F.sqrt(cos2) * series)).otherwise(F.abs(rho) * series)
+    t = F.abs(rho) * F.sqrt(df / F.greatest(cos2, F.lit(1e-300)))
+    normal = normal_two_sided(t * (1 - 1 / (4.0 * df)) / F.sqrt(1 + t * t / (2.0 * df)))
+    return F.when(rho.isNotNull() & (df >= 1), F.when(df <= 400, F.greatest(1 - inside, F.lit(0.0))).otherwise(normal))
+
+
+def normal_two_sided(z: Column) -> Column:
+    """P(|Z| >= |z|): a series for small |z|, a continued fraction beyond."""
+    x = F.abs(z)
+    density = F.exp(-x * x / 2) / math.sqrt(2 * math.pi)
+    begin = F.struct(x.alias("term"), x.alias("sum"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(60)), begin, lambda acc, k: F.struct((acc["term"] * x * x / (2.0 * k + 1)).alias("term"), (acc["sum"] + acc["term"] * x * x / (2.0 * k + 1)).alias("sum")))["sum"]
+    fraction = F.aggregate(F.sequence(F.lit(60), F.lit(1), F.lit(-1)), x, lambda acc, k: x + k / acc)
+    return F.when(x < 3, F.greatest(1 - 2 * density * series, F.lit(0.0))).otherwise(2 * density / fraction)
+
+
+def wilcoxon(df: DataFrame, difference: str, least_rows: int = 10) -> DataFrame:
+    """n (differences that aren't 0), w_plus, w_minus, w, the smaller one, and its two-sided p by the normal approximation with
+    the correction for ties of size, which share their rank; p is null for fewer rows."""
     own = df.where(F.col(difference).isNotNull() & (F.col(difference) != 0)).select(F.abs(difference).alias("__size"), (F.col(difference) > 0).alias("__up"))
-    ranked = average_ranks(own, "__size", "__rank")
-    plus, minus = (F.coalesce(F.sum(F.when(c, F.col("__rank"))), F.lit(0.0)) for c in (F.col("__up"), ~F.col("__up")))
-    return ranked.agg(F.count(F.lit(1)).alias("n"), plus.alias("w_plus"), minus.alias("w_minus")).withColumn("w", F.least("w_plus", "w_minus"))
+    counts = own.groupBy("__size").agg(F.count(F.lit(1)).alias("__n"), F.sum(F.col("__up").cast("long")).alias("__ups"))
+    ranked = running(counts, ["__size"], {"__before": F.col("__n")}).withColumn("__rank", F.col("__before") + (F.col("__n") + 1) / 2.0)
+    sums = {"w_plus": F.col("__ups"), "w_minus": F.col("__n") - F.col("__ups")}
+    m = F.col("__n").cast("double")
+    out = ranked.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n"), *(F.coalesce(F.sum(c * F.col("__rank")), F.lit(0.0)).alias(k) for k, c in sums.items()), F.coalesce(F.sum(m * m * m - m), F.lit(0.0)).alias("__ties"))
+    out = out.withColumn("w", F.least("w_plus", "w_minus"))
+    n = F.col("n").cast("double")
+    spread = F.sqrt(n * (n + 1) * (2 * n + 1) / 24 - F.col("__ties") / 48)
+    z = (F.col("w") - n * (n + 1) / 4) / spread
+    return out.withColumn("p", F.when((F.col("n") >= least_rows) & (spread > 0), normal_two_sided(z))).drop("__ties")
 
 
 def two_predictor_fit(df: DataFrame, y: str, a: str, b: str, least_rows: int = 50) -> DataFrame:
@@ -84,10 +137,26 @@ def two_predictor_fit(df: DataFrame, y: str, a: str, b: str, least_rows: int = 5
     return m.select("n", *(F.when(enough, c).alias(k) for k, c in (("c0", c0), ("ca", F.col("ca")), ("cb", F.col("cb")), ("r2", r2))))
 
 
+def quantiles(df: DataFrame, value: str, cuts: list[float], by: tuple[str, ...] = ()) -> DataFrame:
+    """One row (for each by) with edges, the interpolated quantiles of value, and n, its known rows; no row without any."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
+    placed = running(counts, ["__value"], {"__before": F.col("__n")}, by)
+    total = counts.groupBy(*by).agg(F.sum("__n").alias("n")) if by else counts.agg(F.sum("__n").alias("n"))
+    joined = placed.join(total, list(by)) if by else placed.crossJoin(F.broadcast(total))
+    place = lambda q: (F.col("n") - 1) * F.lit(float(q))
+    at = lambda k: F.max(F.when((F.col("__before") <= k) & (k < F.col("__before") + F.col("__n")), F.col("__value").cast("double")))
+    ends = joined.groupBy(*by, "n").agg(*(at(f(place(q))).alias(f"__{side}{k}") for k, q in enumerate(cuts) for side, f in (("lo", F.floor), ("hi", F.ceil))))
+
+    def edge(k: int, q: float) -> Column:
+        p, low, high = place(q), F.col(f"__lo{k}"), F.col(f"__hi{k}")
+        return F.when(low == high, low).otherwise((F.ceil(p) - p) * low + (p - F.floor(p)) * high)
+
+    return ends.select(*by, F.array(*(edge(k, q) for k, q in enumerate(cuts))).alias("edges"), "n")
+
+
 def quantile_groups(df: DataFrame, value: str, groups: int = 3) -> DataFrame:
-    """Adds grp, the 0-based interpolated-quantile interval (open on the left) of value; equal edges are merged."""
-    cuts = F.array(*(F.lit(k / groups) for k in range(groups + 1)))
-    edges = df.agg(F.array_distinct(F.percentile(value, cuts)).alias("__edges"))  # one row
+    """Adds grp, the 0-based interpolated-quantile interval (open on the left) of value; equal edges are merged. No rows without a value."""
+    edges = quantiles(df, value, [k / groups for k in range(groups + 1)]).select(F.array_distinct("edges").alias("__edges"))  # one row
     inner = F.slice("__edges", F.lit(2), F.greatest(F.size("__edges") - 2, F.lit(0)))
     return df.crossJoin(F.broadcast(edges)).withColumn("grp", F.size(F.filter(inner, lambda e: F.col(value) > e))).drop("__edges")
 

@@ -72,7 +72,7 @@ def ground_motion(records: DataFrame) -> DataFrame:
             "pick_at_floor": F.col("arrival") == (10 * F.col("fs")).cast("int") - 1,
         }
     )
-    return out.drop(*(c for c in out.columns if c.startswith("__")))
+    return out.drop("__in", "__end", "__stop", "__n", "__vel", "__acc")
 
 
 def travel_time(df: DataFrame, table: DataFrame, distance: str, depth: str, phases: tuple[str, ...] = ("p", "P", "Pg", "Pn")) -> DataFrame:

@@ -2,46 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quakeframe.operators.sequence import micros
-from quakeframe.operators.split import evenly_spaced, hashed_order
+from quakeframe.operators.evaluate import quantiles
+from quakeframe.operators.sequence import micros, running
+from quakeframe.operators.split import evenly_spaced, hashed_order, ranked
 
 
-def band_pick(df: DataFrame, by: list[str], score: str, keys: list[str], quota: int, band: tuple[float, float] = (0.75, 0.99)) -> DataFrame:
+def band_pick(df: DataFrame, by: list[str], score: str, keys: list[str], quota: int | Column, band: tuple[float, float] = (0.75, 0.99)) -> DataFrame:
     """quota evenly spaced rows of each group's band of ranks by score; a narrow band grows upwards, then downwards."""
-    w = Window.partitionBy(*by)
-    n = F.count(F.lit(1)).over(w)
-    ranked = df.withColumn("__k", F.row_number().over(w.orderBy(score, *keys)) - 1).withColumn("__n", n)
-    want = F.least(F.lit(quota), F.col("__n"))
+    placed = ranked(df, by, [score, *keys], "__k", size="__n")
+    want = F.least(F.lit(quota) if isinstance(quota, int) else quota, F.col("__n"))
     low = F.rint(F.lit(band[0]) * F.col("__n"))
     high = F.greatest(F.rint(F.lit(band[1]) * F.col("__n")), low)
     up = F.when(high - low < want, F.least(F.col("__n"), low + want)).otherwise(high)
     down = F.when(up - low < want, F.greatest(F.lit(0), up - want)).otherwise(low)
-    inside = ranked.withColumn("__lo", down).withColumn("__hi", up).where((F.col("__k") >= F.col("__lo")) & (F.col("__k") < F.col("__hi")))
+    inside = placed.withColumn("__lo", down).withColumn("__hi", up).where((F.col("__k") >= F.col("__lo")) & (F.col("__k") < F.col("__hi")))
     return inside.where(evenly_spaced(F.col("__k") - F.col("__lo"), F.col("__hi") - F.col("__lo"), quota)).select(*by, *keys)
 
 
-def matched_pick(pool: DataFrame, target: DataFrame, score: str, keys: list[str], quota: int, bins: int = 40) -> DataFrame:
-    """quota rows of pool, with bin, whose scores follow the quantile bins of target.
+def matched_pick(pool: DataFrame, target: DataFrame, score: str, keys: list[str], quota: int | Column, bins: int = 40, by: tuple[str, ...] = ()) -> DataFrame:
+    """quota rows of pool (for each by), with bin, whose scores follow the quantile bins of target.
 
     Scores below the first edge, or at or above the last, are in no bin and serve
-    only to fill a shortfall, nearest to the median first.
+    only to fill a shortfall, nearest to the median first. A group without target
+    rows gives none.
     """
-    cuts = F.array(*(F.lit(k / bins) for k in range(bins + 1)))
-    edges = target.agg(F.array_distinct(F.percentile(score, cuts)).alias("__e"), F.median(score).alias("__m"))  # one row
+    edges = quantiles(target, score, [*(k / bins for k in range(bins + 1)), 0.5], by)
+    edges = edges.select(*by, F.array_distinct(F.slice("edges", 1, bins + 1)).alias("__e"), F.element_at("edges", bins + 2).alias("__m"))  # a row for each by
     at = F.size(F.filter("__e", lambda e: e <= F.col(score)))
     inside = (at >= 1) & (at < F.size("__e"))
-    binned = lambda df: df.crossJoin(F.broadcast(edges)).withColumn("bin", F.when(inside, at - 1)).drop("__e")
-    demand = binned(target).where(F.col("bin").isNotNull()).groupBy("bin").agg(F.count(F.lit(1)).alias("__t"))
-    total = demand.agg(F.sum("__t").alias("__all"))
-    demand = demand.crossJoin(F.broadcast(total)).select("bin", F.greatest(F.lit(1), F.rint(F.col("__t") / F.col("__all") * quota)).alias("__want"))
-    ours = binned(pool).join(F.broadcast(demand), "bin", "left")
-    order = F.row_number().over(Window.partitionBy("bin").orderBy(hashed_order(*keys), *keys))
-    marked = ours.withColumn("__in", F.col("bin").isNotNull() & (order <= F.coalesce("__want", F.lit(0)))).withColumn("__far", F.abs(F.col(score) - F.col("__m")))
-    first = F.when(F.col("__in"), 0).otherwise(1)
-    return marked.orderBy(first, F.when(F.col("__in"), F.lit(0.0)).otherwise(F.col("__far")), hashed_order(*keys), *keys).limit(quota).drop("__want", "__in", "__far", "__m")
+    met = lambda df: df.join(edges, list(by)) if by else df.crossJoin(F.broadcast(edges))
+    binned = lambda df: met(df).withColumn("bin", F.when(inside, at - 1)).drop("__e")
+    wanted = F.lit(quota) if isinstance(quota, int) else quota
+    demand = binned(target).where(F.col("bin").isNotNull()).groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("__t"))
+    total = demand.groupBy(*by).agg(F.sum("__t").alias("__all")) if by else demand.agg(F.sum("__t").alias("__all"))
+    demand = demand.join(total, list(by)) if by else demand.crossJoin(F.broadcast(total))
+    ours = binned(pool).join(demand, [*by, "bin"], "left").withColumn("__demand", F.greatest(F.lit(1), F.rint(F.col("__t") / F.col("__all") * wanted)))
+    ours = ours.withColumn("__h", hashed_order(*keys))
+    placed = running(ours, ["__h", *keys], {"__k": F.lit(1)}, [*by, "bin"])
+    chosen = F.col("bin").isNotNull() & (F.col("__k") < F.coalesce("__demand", F.lit(0)))
+    marked = placed.withColumn("__in", F.when(chosen, 0).otherwise(1)).withColumn("__far", F.when(chosen, F.lit(0.0)).otherwise(F.abs(F.col(score) - F.col("__m"))))
+    first = running(marked, ["__in", "__far", "__h", *keys], {"__place": F.lit(1)}, by)
+    return first.where(F.col("__place") < wanted).drop("__demand", "__t", "__all", "__in", "__far", "__m", "__h", "__k", "__place")
 
 
 def veto(noise: DataFrame, events: DataFrame, start: str, seconds: int, buffer: int, time: str = "time") -> DataFrame:

@@ -7,11 +7,12 @@ is carried over a table with one row a bucket.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quakeframe.functions.columns import b_value, days_between, energy, haversine_km, let
+from quakeframe.session import materialize
 
 DAY = 86_400
 
@@ -33,27 +34,53 @@ def numbered(events: DataFrame, by: str = "region", time: str = "time", tie: str
     return placed.join(before, [by, "__b"]).withColumn("idx", (F.col("__before") + F.col("__k") - 1).cast("long")).drop("__b", "__k", "__before")
 
 
+def running(df: DataFrame, order: list[str | Column], sums: dict[str, Column], by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Adds, by name, the sum of a column over the rows before in order, within by.
+
+    Rows are dealt by ranges of (by, order), so one group may fill many tasks; what
+    earlier ranges of a group hold is carried over a table with a row for each group
+    and range. The ranges are written, because sampling them anew may cut otherwise.
+    """
+    ways = [F.col(c) if isinstance(c, str) else c for c in (*by, *order)]
+    own = df.withColumns({f"__v_{n}": v for n, v in sums.items()})
+    placed = materialize(own.repartitionByRange(*ways).withColumn("__p", F.spark_partition_id()), "ranges")
+    before = lambda *on: Window.partitionBy(*on).rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy(*by, "__p").agg(*(F.sum(f"__v_{n}").alias(f"__v_{n}") for n in sums))
+    carried = parts.select(*(F.col(c).alias(f"__by_{c}") for c in by), F.col("__p").alias("__q"), *(F.coalesce(F.sum(f"__v_{n}").over(before(*by).orderBy("__p")), F.lit(0)).alias(f"__c_{n}") for n in sums))
+    same = F.col("__p") == F.col("__q")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
+    joined = placed.join(carried, same).drop("__q", *(f"__by_{c}" for c in by))
+    totals = {n: F.coalesce(F.sum(f"__v_{n}").over(before(*by, "__p").orderBy(*ways[len(by) :])), F.lit(0)) + F.col(f"__c_{n}") for n in sums}
+    return joined.withColumns(totals).drop("__p", *(f"__{k}_{n}" for n in sums for k in "vc"))
+
+
+def neighbours(left: DataFrame, right: DataFrame, by: str, left_time: str, right_time: str, before: str | None = None, after: str | None = None, extra: tuple[str, ...] = (), seconds: int = DAY) -> DataFrame:
+    """Adds before, the struct (right_time, *extra) of the last right row strictly before left_time, and after, that of the first
+    strictly after it; null if none. Of right rows at the same time, before takes the largest struct and after the smallest.
+
+    Both sides are sorted together by bucket, once for both directions; the last and first right rows of other buckets are
+    carried over a table with one row a bucket. left is read twice and is to be cheap or a written table.
+    """
+    kept = [c for c in left.columns if c not in (before, after)]
+    r = right.select(F.col(by).alias("__by"), bucket(right_time, seconds).alias("__b"), micros(right_time).alias("__t"), F.lit(1).alias("__kind"), F.struct(right_time, *extra).alias("__r"))
+    own = left.select(F.col(by).alias("__by"), bucket(left_time, seconds).alias("__b"), micros(left_time).alias("__t"), F.lit(0).alias("__kind"), F.struct(*kept).alias("__l"))
+    both = own.unionByName(r, allowMissingColumns=True)
+    ends = both.groupBy("__by", "__b").agg(F.min("__r").alias("__low"), F.max("__r").alias("__high"))
+    there = Window.partitionBy("__by").orderBy("__b")
+    carried = ends.select("__by", "__b", F.last("__high", True).over(there.rowsBetween(Window.unboundedPreceding, -1)).alias("__past"), F.first("__low", True).over(there.rowsBetween(1, Window.unboundedFollowing)).alias("__next"))
+    here = Window.partitionBy("__by", "__b")
+    up = here.orderBy("__t", "__kind", "__r").rowsBetween(Window.unboundedPreceding, -1)
+    down = here.orderBy(F.desc("__t"), "__kind", F.desc("__r")).rowsBetween(Window.unboundedPreceding, -1)
+    wanted = [(n, F.last("__r", True).over(w), far) for n, w, far in ((before, up, "__past"), (after, down, "__next")) if n]
+    near = both.select("__by", "__b", "__kind", "__l", *(c.alias(f"__near_{n}") for n, c, _ in wanted)).where("__kind = 0")
+    joined = near.join(carried, near["__by"].eqNullSafe(carried["__by"]) & near["__b"].eqNullSafe(carried["__b"]), "left")
+    return joined.select("__l.*", *(F.coalesce(f"__near_{n}", far).alias(n) for n, _, far in wanted))
+
+
 def asof(left: DataFrame, right: DataFrame, by: str, left_time: str, right_time: str, name: str, forward: bool, extra: tuple[str, ...] = (), seconds: int = DAY) -> DataFrame:
     """Adds name: the struct (right_time, *extra) of the first right row strictly after left_time, or of the last strictly before it; null if none."""
-    fields = [right_time, *extra]
-    pick = F.min if forward else F.max
-    marked = right.select(F.col(by).alias("__by"), bucket(right_time, seconds).alias("__b"), F.struct(*fields).alias("__r"))
-    ends = marked.groupBy("__by", "__b").agg(pick("__r").alias("__e"))
-    own = left.withColumn("__b", bucket(left_time, seconds)).withColumn("__id", F.monotonically_increasing_id())
-    keys = own.select(F.col(by).alias("__by"), "__b").distinct().withColumn("__asked", F.lit(True))
-    frame = "rows between 1 following and unbounded following" if forward else "rows between unbounded preceding and 1 preceding"
-    carried = ends.join(keys, ["__by", "__b"], "full").withColumn("__far", F.expr(f"{'first' if forward else 'last'}(__e, true) over (partition by __by order by __b {frame})"))
-    held = marked.groupBy("__by", "__b").agg(F.sort_array(F.collect_list("__r")).alias("__all"))
-    table = carried.where("__asked").select("__by", "__b", "__far").join(held, ["__by", "__b"], "left")
-    joined = own.join(table, (own[by] == table["__by"]) & (own["__b"] == table["__b"]), "left").drop(table["__b"])
-    at = F.col(left_time)
-    if forward:
-        near = F.filter("__all", lambda r: r[right_time] > at)
-        got = F.when(F.size(near) > 0, F.element_at(near, 1))
-    else:
-        near = F.filter("__all", lambda r: r[right_time] < at)
-        got = F.when(F.size(near) > 0, F.element_at(near, -1))
-    return joined.withColumn(name, F.coalesce(got, F.col("__far"))).drop("__by", "__b", "__id", "__far", "__all")
+    return neighbours(left, right, by, left_time, right_time, None if forward else name, name if forward else None, extra, seconds)
 
 
 def event_windows(events: DataFrame, size: int = 64, stride: int = 8, by: str = "region") -> DataFrame:
@@ -69,7 +96,7 @@ def event_windows(events: DataFrame, size: int = 64, stride: int = 8, by: str =
     first = F.greatest(F.lit(0), F.ceil((F.col("idx") - size + 1) / stride))
     recent = max(size // 4, 2)
     spread = (
-        placed.join(F.broadcast(total), by)
+        placed.join(total, by)
         .withColumn("__w", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
         .withColumn("start_idx", F.col("__w") * stride)
         .where(F.col("start_idx") + size <= F.col("__total"))
@@ -120,7 +147,7 @@ def window_series(events: DataFrame, size: int = 64, stride: int = 8, by: str =
     placed = numbered(events, by)
     total = events.groupBy(by).agg(F.count(F.lit(1)).alias("__total")).where(F.col("__total") >= 2 * size)
     first = F.greatest(F.lit(0), F.ceil((F.col("idx") - size + 1) / stride))
-    spread = placed.join(F.broadcast(total), by).withColumn("__w", F.explode(F.sequence(first.cast("long"), F.floor(F.col("idx") / stride).cast("long"))))
+    spread = placed.join(total, by).withColumn("__w", F.explode(F.sequence(first.cast("long"), F.floor(F.col("idx") / stride).cast("long"))))
     spread = spread.withColumn("start_idx", F.col("__w") * stride).where(F.col("start_idx") + size <= F.col("__total"))
     rows = spread.groupBy(by, "start_idx").agg(
         F.sort_array(F.collect_list(F.struct("idx", "time", "magnitude", "depth", "lat", "lon"))).alias("x"),
@@ -152,10 +179,10 @@ def dense_windows(events: DataFrame, size: int = 64, stride: int = 8, threshold:
     """
     horizon = F.make_dt_interval(days=F.lit(0), hours=F.lit(0), mins=F.lit(0), secs=F.lit(horizon_days * DAY).cast("decimal(18,6)"))
     ends = events.groupBy(by).agg(F.max("time").alias("__catalog_end"))
-    windows = event_windows(events, size, stride, by).join(F.broadcast(ends), by).where(F.col("end_time") + horizon <= F.col("__catalog_end")).drop("__catalog_end")
+    windows = event_windows(events, size, stride, by).join(ends, by).where(F.col("end_time") + horizon <= F.col("__catalog_end")).drop("__catalog_end")
+    windows = materialize(windows, "windows")
     major = events.where(F.col("magnitude") >= threshold)
-    known = asof(windows, major, by, "end_time", "time", "__next", True, ("magnitude",))
-    known = asof(known, major, by, "end_time", "time", "__prev", False)
+    known = neighbours(windows, major, by, "end_time", "time", "__prev", "__next", ("magnitude",))
     within = F.coalesce(F.col("__next.time") <= F.col("end_time") + horizon, F.lit(False))
     return known.select(
         *windows.columns,
@@ -167,7 +194,7 @@ def dense_windows(events: DataFrame, size: int = 64, stride: int = 8, threshold:
 
 def tercile_windows(events: DataFrame, targets: DataFrame, size: int = 64, stride: int = 8, major: float = 6.0, max_horizon_days: float = 3650.0, by: str = "region") -> DataFrame:
     """Windows without a major event, with target_time and days_to_major of the next of targets (by, time)."""
-    windows = event_windows(events, size, stride, by).where(F.col("max_mag") < major)
+    windows = materialize(event_windows(events, size, stride, by).where(F.col("max_mag") < major), "windows")
     known = asof(windows, targets, by, "end_time", "time", "__next", True)
     days = days_between(F.col("end_time"), F.col("__next.time"))
     return known.select(*windows.columns, F.col("__next.time").alias("target_time"), days.alias("days_to_major")).where(F.col("days_to_major") <= max_horizon_days)
@@ -177,6 +204,7 @@ def horizon_blocks(windows: DataFrame, events: DataFrame, threshold: float, hori
     """Consecutive blocks of one horizon from the first window's end on, each with the last window that ends
     strictly before it (place fc_index, end fc_time), and the major events that fall in it."""
     step = int(round(horizon_days * DAY * 1_000_000))
+    windows = materialize(windows.select(by, "end_time", "start_idx"), "windows")
     ends = events.groupBy(by).agg(F.max("time").alias("__catalog_end"))
     span = windows.groupBy(by).agg(F.min("end_time").alias("__first"), F.max("end_time").alias("__last")).join(ends, by)
     stop = F.least(micros("__last"), micros("__catalog_end"))
@@ -184,7 +212,8 @@ def horizon_blocks(windows: DataFrame, events: DataFrame, threshold: float, hori
     blocks = span.where(count > 0).withColumn("__k", F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))))
     at = lambda k: F.timestamp_micros(micros("__first") + k * F.lit(step)).cast("timestamp_ntz")
     blocks = blocks.select(by, at(F.col("__k")).alias("block_start"), at(F.col("__k") + 1).alias("block_end"))
-    placed = numbered(windows.select(by, "end_time", "start_idx"), by, "end_time", "start_idx").select(by, "end_time", "idx")
+    blocks = materialize(blocks, "blocks")
+    placed = numbered(windows, by, "end_time", "start_idx").select(by, "end_time", "idx")
     known = asof(blocks, placed, by, "block_start", "end_time", "__w", False, ("idx",)).where(F.col("__w").isNotNull())
     major = events.where(F.col("magnitude") >= threshold).select(F.col(by).alias("__by"), F.col("time").alias("__t"))
     keyed = major.join(span.select(F.col(by).alias("__by"), micros("__first").alias("__f")), "__by")

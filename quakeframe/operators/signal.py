@@ -100,7 +100,7 @@ def onset_parameters(seconds: float) -> tuple[float, float]:
 
 def detrend(x: Column) -> Column:
     """The array less its least-squares line."""
-    n = F.size(x)
+    n = F.size(x).cast("double")
     middle = (n - 1) / 2.0
     below = n * (n * n - 1) / 12.0
 
@@ -121,6 +121,18 @@ def consecutive_diff(windows: DataFrame, by: list[str], value: str = "window", i
     return rows.select(*by, idx, F.sqrt(square / F.size(value)).alias("rms_diff"))
 
 
+def image_diff(windows: DataFrame, by: list[str], n: int = 64, value: str = "window", idx: str = "w_idx") -> DataFrame:
+    """Mean absolute difference of the relative-angle images of each window and the one just before it; a missing index breaks the chain."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(*by).orderBy(idx)
+    rows = windows.withColumn("__a", relative_angles(F.col(value), n))
+    rows = rows.withColumns({"__b": F.lag("__a").over(w), "__i": F.lag(idx).over(w)}).where(F.col("__i") == F.col(idx) - 1)
+    rows = rows.withColumn("__d", F.zip_with("__a", "__b", lambda a, b: a - b))  # of images, the differences of differences
+    total = F.aggregate(F.transform("__d", lambda p: F.aggregate("__d", F.lit(0.0), lambda acc, q: acc + F.abs(q - p))), F.lit(0.0), lambda acc, v: acc + v)
+    return rows.select(*by, idx, (total / F.lit(float(n * n))).alias("image_diff"))
+
+
 def log_snr(x: Column, sigma: Column) -> Column:
     """ln of the window's population sigma over the baseline's; null without a baseline."""
     own = let(array_mean(x), lambda mean: array_sigma(x, mean))
@@ -133,6 +145,26 @@ def stft_shape(fs: float, seconds: float, n_fft: int, hop: int | None = None) ->
     return n_fft // 2 + 1, n // (hop or n_fft // 4) + 1
 
 
+#: Share of a window that one frame may span before a shape is doubtful and before it is bad, the fewest useful frames, and the shortest suggested frame; fixed values.
+FRAME_SHARES, LEAST_FRAMES, SHORTEST_FRAME = (0.25, 0.50), 8, 32
+
+
+def suggested_stft(fs: float, seconds: float) -> tuple[int, int]:
+    """n_fft and hop: the largest power of two within a quarter of the window, and a quarter of that."""
+    n_fft = SHORTEST_FRAME
+    while 2 * n_fft <= int(round(fs * seconds)) * FRAME_SHARES[0]:
+        n_fft *= 2
+    return n_fft, n_fft // 4
+
+
+def stft_problem(fs: float, seconds: float, n_fft: int, hop: int | None = None) -> tuple[str, int, int] | None:
+    """How badly a spectrogram's shape fits the window (severe or warn), with n_fft and hop that fit better; None if it is fine or
+    nothing fits better."""
+    share, (_, frames), better = n_fft / max(1, round(fs * seconds)), stft_shape(fs, seconds, n_fft, hop), suggested_stft(fs, seconds)
+    fine = share <= FRAME_SHARES[0] and frames >= LEAST_FRAMES
+    return None if fine or n_fft <= better[0] else ("severe" if share > FRAME_SHARES[1] else "warn", *better)
+
+
 def clipped(x: Column, bits: int = 24) -> Column:
     """Whether a sample reaches 99 % of the digitizer's range."""
     return F.array_max(F.transform(x, F.abs)) >= math.pow(2, bits - 1) * 0.99

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quakeframe.operators.sequence import DAY, micros
+from quakeframe.operators.evaluate import quantiles
+from quakeframe.operators.sequence import DAY, micros, running
 
 SPLITS = ("train", "val", "test")
 
@@ -34,8 +39,8 @@ def chronological(windows: DataFrame, ratios: tuple[float, float] = (0.70, 0.15)
 def tercile_classes(windows: DataFrame, days: str = "days_to_major", fit_on: Column | None = None) -> DataFrame:
     """Adds low_days, high_days and tercile (0, 1, 2): terciles of the rows fit_on; 365 and 1825 days if those are fewer than 3."""
     own = windows.where(fit_on) if fit_on is not None else windows
-    cuts = own.agg(F.count(days).alias("__n"), F.percentile(days, F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("__q"))
-    cuts = cuts.select(*(F.when(F.col("__n") < 3, F.lit(d)).otherwise(F.col("__q")[k]).alias(n) for k, (n, d) in enumerate((("low_days", 365.0), ("high_days", 1825.0)))))
+    found = quantiles(own, days, [1 / 3, 2 / 3]).agg(F.max("n").alias("__n"), F.max("edges").alias("__q"))  # one row
+    cuts = found.select(*(F.when(F.coalesce("__n", F.lit(0)) < 3, F.lit(d)).otherwise(F.col("__q")[k]).alias(n) for k, (n, d) in enumerate((("low_days", 365.0), ("high_days", 1825.0)))))
     d = F.col(days)
     return windows.crossJoin(F.broadcast(cuts)).withColumn("tercile", F.when(d < F.col("low_days"), 0).when(d < F.col("high_days"), 1).otherwise(2))
 
@@ -45,81 +50,98 @@ def hashed_order(*keys: str, seed: int = 42) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys)))
 
 
-def ranked(df: DataFrame, by: list[str], order: list, name: str = "rank") -> DataFrame:
-    """Adds the 0-based place within by."""
-    from pyspark.sql import Window
+def ranked(df: DataFrame, by: list[str], order: list, name: str = "rank", size: str | None = None) -> DataFrame:
+    """Adds the 0-based place within by and, if named, the size of by."""
+    placed = running(df, order, {name: F.lit(1).cast("long")}, by)
+    return with_total(placed, by, {size: F.count(F.lit(1))}) if size else placed
+
 
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
+def with_total(df: DataFrame, by: list[str], totals: dict[str, Column]) -> DataFrame:
+    """Adds aggregates over by."""
+    own = df.groupBy(*by).agg(*(c.alias(n) for n, c in totals.items())).withColumnsRenamed({c: f"__by_{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
+    return df.join(own, same).drop(*(f"__by_{c}" for c in by))
 
 
 def cap_quota(entries: DataFrame, by: str, weight: str, cap: int, keys: list[str], seed: int = 42) -> DataFrame:
     """Adds quota: in shuffled order each entry takes what the cap leaves; null if by stays under the cap."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(by).orderBy(hashed_order(*keys, seed=seed), *keys)
-    total = F.sum(weight).over(Window.partitionBy(by))
-    prior = F.coalesce(F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return entries.withColumn("quota", F.when(total > cap, F.greatest(F.lit(0), F.least(F.col(weight), F.lit(cap) - prior))))
+    placed = running(entries.withColumn("__h", hashed_order(*keys, seed=seed)), ["__h", *keys], {"__prior": F.col(weight)}, [by])
+    total = with_total(placed, [by], {"__total": F.sum(weight)})
+    return total.withColumn("quota", F.when(F.col("__total") > cap, F.greatest(F.lit(0), F.least(F.col(weight), F.lit(cap) - F.col("__prior"))))).drop("__h", "__prior", "__total")
 
 
 def cap_whole(entries: DataFrame, by: str, weight: str, cap: int, keys: list[str], seed: int = 42) -> DataFrame:
     """Entries kept whole, in shuffled order, while the sum before is under the cap; the last may overshoot."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(by).orderBy(hashed_order(*keys, seed=seed), *keys).rowsBetween(Window.unboundedPreceding, -1)
-    return entries.withColumn("__prior", F.coalesce(F.sum(weight).over(w), F.lit(0))).where(F.col("__prior") < cap).drop("__prior")
+    placed = running(entries.withColumn("__h", hashed_order(*keys, seed=seed)), ["__h", *keys], {"__prior": F.col(weight)}, [by])
+    return placed.where(F.col("__prior") < cap).drop("__h", "__prior")
 
 
-def evenly_spaced(rank: Column, n: Column, quota: int) -> Column:
+def evenly_spaced(rank: Column, n: Column, quota: int | Column) -> Column:
     """Whether a 0-based rank of n is among quota evenly spaced ones (halves to even); all of them if n is no more."""
-    step = (n - 1) / F.lit(max(quota - 1, 1)).cast("double")
-    places = F.transform(F.sequence(F.lit(0), F.lit(max(quota - 1, 0))), lambda k: F.rint(k * step).cast("long"))
-    return (n <= quota) | (F.array_contains(places, rank.cast("long")) if quota > 0 else F.lit(False))
+    want = F.lit(quota) if isinstance(quota, int) else quota
+    step = (n - 1) / F.greatest(want - 1, F.lit(1)).cast("double")
+    near = F.floor(rank / step)  # the place that rounds to rank is this one or a neighbour
+    hit = lambda k: (k >= 0) & (k < want) & (F.rint(k * step).cast("long") == rank.cast("long"))
+    return (n <= want) | ((want > 0) & (hit(near - 1) | hit(near) | hit(near + 1)))
 
 
 def largest_remainder(df: DataFrame, by: str, weight: str, total: Column, key: str) -> DataFrame:
     """Adds share: total split over the rows of by in proportion to weight; what rounding leaves goes to the largest remainders."""
-    from pyspark.sql import Window
+    exact = with_total(df, [by], {"__w": F.sum(weight)}).withColumn("__x", F.col(weight) * total / F.col("__w")).withColumn("__f", F.floor("__x"))
+    exact = with_total(exact, [by], {"__floors": F.sum("__f")}).withColumn("__rest", F.col("__x") - F.col("__f"))
+    short = (total - F.col("__floors")).cast("long")
+    placed = running(exact, [F.desc("__rest"), F.col(key)], {"__k": F.lit(1)}, [by])
+    return placed.withColumn("share", (F.col("__f") + F.when(F.col("__k") < short, 1).otherwise(0)).cast("long")).drop("__w", "__x", "__f", "__floors", "__rest", "__k")
+
+
+def _folded(keys: DataFrame, key: str, columns: list[str], seed: int, start: Callable[[], list], place: Callable[[list, tuple], str | None]) -> DataFrame:
+    """(key, split): place, which may change the state that start makes, is asked for each key in shuffled order.
+
+    The order makes each choice depend on all before, so this is one pass over the keys, one row a station or event,
+    sorted outside of memory; the state is a few numbers and rows stream through. Windows never pass through it.
+    """
+    ordered = keys.select(F.col(key).alias("k"), *columns, hashed_order(key, seed=seed).alias("h")).repartition(1).sortWithinPartitions("h", "k")
+    kind = keys.schema[key].dataType
 
-    whole = Window.partitionBy(by)
-    exact = df.withColumn("__x", F.col(weight) * total / F.sum(weight).over(whole)).withColumn("__f", F.floor("__x"))
-    short = (total - F.sum("__f").over(whole)).cast("long")
-    order = F.row_number().over(Window.partitionBy(by).orderBy(F.desc(F.col("__x") - F.col("__f")), key))
-    return exact.withColumn("share", (F.col("__f") + F.when(order <= short, 1).otherwise(0)).cast("long")).drop("__x", "__f")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = start()
+        for batch in batches:
+            splits = [place(state, row) for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(splits, pa.string())], names=[key, "split"])
+
+    return ordered.mapInArrow(run, T.StructType([T.StructField(key, kind), T.StructField("split", T.StringType())])).where("split is not null")
 
 
 def deficit_splits(keys: DataFrame, key: str, weight: str, ratios: tuple[float, float, float] = (0.70, 0.15, 0.15), seed: int = 42) -> DataFrame:
     """(key, split): keys in shuffled order go to the split with the largest relative deficit, ties to the first.
 
-    keys has one row a group (station or event); the fold runs over those rows
-    only, as a table of groups, not of windows.
+    keys has one row a group (station or event).
     """
-    total = keys.agg(F.sum(weight).alias("__t"))
-    ordered = keys.select(hashed_order(key, seed=seed).alias("h"), F.col(key).alias("k"), F.col(weight).cast("double").alias("w"))
-    folded = ordered.agg(F.sort_array(F.collect_list(F.struct("h", "k", "w"))).alias("items")).crossJoin(F.broadcast(total))
-    targets = [F.col("__t") * r for r in ratios]
-    kind = keys.schema[key].dataType.simpleString()
-    start = F.struct(*(F.lit(0.0).alias(s) for s in SPLITS), F.expr(f"cast(array() as array<struct<k:{kind},split:string>>)").alias("out"))
+    total = float(keys.agg(F.sum(weight)).first()[0] or 0)
+    targets = [total * r for r in ratios]
 
-    def step(acc: Column, x: Column) -> Column:
-        gap = [(t - acc[s]) / F.greatest(t, F.lit(1.0)) for s, t in zip(SPLITS, targets, strict=True)]
-        best = F.when((gap[0] >= gap[1]) & (gap[0] >= gap[2]), "train").when(gap[1] >= gap[2], "val").otherwise("test")
-        return F.struct(*((acc[s] + F.when(best == s, x["w"]).otherwise(0.0)).alias(s) for s in SPLITS), F.array_append(acc["out"], F.struct(x["k"].alias("k"), best.alias("split"))).alias("out"))
+    def place(held: list, row: tuple) -> str:
+        gaps = [(t - h) / max(t, 1.0) for t, h in zip(targets, held, strict=True)]
+        best = gaps.index(max(gaps))
+        held[best] += float(row[0] or 0)
+        return SPLITS[best]
 
-    placed = folded.select(F.inline(F.aggregate("items", start, step, lambda acc: acc["out"])))
-    return placed.select(F.col("k").alias(key), "split")
+    return _folded(keys, key, [weight], seed, lambda: [0.0] * len(SPLITS), place)
 
 
 def random_split(df: DataFrame, keys: list[str], ratios: tuple[float, float] = (0.70, 0.15), seed: int = 42) -> DataFrame:
     """Adds split by a fixed shuffle of all rows; leaky on purpose, to measure leaks with."""
     n = df.count()
     a, b = int(n * ratios[0]), int(n * ratios[0]) + int(n * ratios[1])
-    edges = df.select(hashed_order(*keys, seed=seed).alias("h")).orderBy("h")
-    at = [edges.offset(k - 1).limit(1).agg(F.max("h").alias(f"__{s}")) for s, k in (("a", max(a, 1)), ("b", max(b, 1)))]
     h = hashed_order(*keys, seed=seed)
-    first = (h <= F.col("__a")) if a else F.lit(False)
-    second = (h <= F.col("__b")) if b else F.lit(False)
-    return df.crossJoin(F.broadcast(at[0])).crossJoin(F.broadcast(at[1])).withColumn("split", F.when(first, "train").when(second, "val").otherwise("test")).drop("__a", "__b")
+    counts = df.groupBy(h.alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    placed = running(counts, ["h"], {"before": F.col("n")})
+    edge = lambda k: F.max(F.when((F.col("before") < k) & (F.col("before") + F.col("n") >= k), F.col("h")))
+    edges = placed.agg(edge(a).alias("__a"), edge(b).alias("__b"))  # one row
+    split = F.when(F.coalesce(h <= F.col("__a"), F.lit(False)), "train").when(F.coalesce(h <= F.col("__b"), F.lit(False)), "val").otherwise("test")
+    return df.crossJoin(F.broadcast(edges)).withColumn("split", split).drop("__a", "__b")
 
 
 def leaks(df: DataFrame, key: str, split: str = "split") -> DataFrame:
@@ -139,37 +161,38 @@ def fill_splits(keys: DataFrame, key: str, weights: list[str], ratios: tuple[flo
     weights has one column a class. Targets are shares of the smallest class
     total, cut to whole windows. Keys that no split needs are left out.
     """
-    totals = keys.agg(F.least(*(F.sum(w) for w in weights)).alias("__t"))
-    a, b = F.floor(F.col("__t") * F.lit(ratios[0])), F.floor(F.col("__t") * F.lit(ratios[1]))
-    targets = dict(zip(SPLITS, (a, b, F.col("__t") - a - b), strict=True))
-    ordered = keys.select(hashed_order(key, seed=seed).alias("h"), F.col(key).alias("k"), *(F.col(w).cast("long").alias(w) for w in weights))
-    folded = ordered.agg(F.sort_array(F.collect_list(F.struct("h", "k", *weights))).alias("items")).crossJoin(F.broadcast(totals))  # a row a station
-    kind = keys.schema[key].dataType.simpleString()
-    cells = [f"{s}_{w}" for s in SPLITS for w in weights]
-    start = F.struct(*(F.lit(0).cast("long").alias(c) for c in cells), F.expr(f"cast(array() as array<struct<k:{kind},split:string>>)").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        wants = []
-        for s in SPLITS:
-            below = F.lit(False)
-            for w in weights:
-                below = below | ((x[w] > 0) & (acc[f"{s}_{w}"] < targets[s]))
-            wants.append(below)
-        best = F.when(wants[0], "train").when(wants[1], "val").when(wants[2], "test")
-        grown = [(acc[f"{s}_{w}"] + F.when(best == s, x[w]).otherwise(0)).alias(f"{s}_{w}") for s in SPLITS for w in weights]
-        out = F.when(best.isNotNull(), F.array_append(acc["out"], F.struct(x["k"].alias("k"), best.alias("split")))).otherwise(acc["out"])
-        return F.struct(*grown, out.alias("out"))
-
-    placed = folded.select(F.inline(F.aggregate("items", start, step, lambda acc: acc["out"])))
-    return placed.select(F.col("k").alias(key), "split")
+    total = min(int(x or 0) for x in keys.agg(*(F.sum(w) for w in weights)).first())
+    a, b = int(total * ratios[0]), int(total * ratios[1])
+    targets = dict(zip(SPLITS, (a, b, total - a - b), strict=True))
+
+    def place(held: list, row: tuple) -> str | None:
+        for s, own in zip(SPLITS, held, strict=True):
+            if any(n and n > 0 and h < targets[s] for n, h in zip(row, own, strict=True)):
+                own[:] = [h + int(n or 0) for n, h in zip(row, own, strict=True)]
+                return s
+        return None
+
+    return _folded(keys, key, weights, seed, lambda: [[0] * len(weights) for _ in SPLITS], place)
 
 
 def trim_surplus(entries: DataFrame, by: str, cls: str, weight: str, key: str) -> DataFrame:
     """Adds quota: within each by, every class's windows cut to the smallest class's number, shared over its entries by largest remainder."""
-    from pyspark.sql import Window
-
     totals = entries.groupBy(by, cls).agg(F.sum(weight).alias("__total"))
-    totals = totals.withColumn("__least", F.min("__total").over(Window.partitionBy(by)))
-    joined = entries.join(F.broadcast(totals), [by, cls]).withColumn("__group", F.concat_ws("|", F.col(by).cast("string"), F.col(cls).cast("string")))
+    least = totals.groupBy(by).agg(F.min("__total").alias("__least"))
+    joined = entries.join(least, by).withColumn("__group", F.concat_ws("|", F.col(by).cast("string"), F.col(cls).cast("string")))
     shared = largest_remainder(joined, "__group", weight, F.col("__least"), key)
-    return shared.withColumn("quota", F.col("share")).drop("share", "__group", "__total", "__least")
+    return shared.withColumn("quota", F.col("share")).drop("share", "__group", "__least")
+
+
+def balance_caps(totals: DataFrame, rare: str, others: list[str], ratio: float = 4.0) -> DataFrame:
+    """Adds cap, ratio times the rare class's number (halves to even; null without the rare class), and kept_ of each other class."""
+    cap = F.when(F.col(rare) > 0, F.rint(F.col(rare) * ratio).cast("long"))
+    return totals.withColumn("cap", cap).withColumns({f"kept_{c}": F.coalesce(F.least(F.col(c), F.col("cap")), F.col(c)) for c in others})
+
+
+def class_targets(totals: DataFrame, cls: str = "cls", total: str = "total", ratios: tuple[float, float] = (0.70, 0.15)) -> DataFrame:
+    """Adds train, val and test, shares of the smallest class's total, and surplus, what a class has above it."""
+    least = totals.agg(F.min(total).alias("__m"))  # one row
+    a, b = (F.floor(F.col("__m") * r) for r in ratios)
+    joined = totals.crossJoin(F.broadcast(least))
+    return joined.withColumns({"train": a, "val": b, "test": F.col("__m") - a - b, "surplus": F.col(total) - F.col("__m")}).drop("__m")

@@ -74,15 +74,15 @@ DUAL_ENCODING_SQL = f"""WITH {_W} SELECT trace, round((list_sum(z) - 20*0.01) /
 
 
 def anchored_slices(spark, sf_dir):
-    """Sixteen samples around an arrival, clamped to the end, and without the clamp."""
+    """Sixteen samples around an arrival, cut to a whole start and clamped to the end; and with the start rounded, without the clamp."""
     rows = X.traces(spark, sf_dir).withColumn("arrival", (F.col("trace") % 70).cast("int"))
     total = lambda a: F.round(F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v), 8)
     return rows.select("trace", "arrival", total(N.anchored(F.col("samples"), F.col("arrival"), 16, 0.2)).alias("clamped"), total(N.anchored(F.col("samples"), F.col("arrival"), 16, 0.2, False)).alias("strict"))
 
 
-ANCHORED_SLICES_SQL = f"""WITH {TRACES_SQL}, a AS (SELECT trace, CAST(trace % 70 AS INT) AS arrival, samples, CAST(trunc(trace % 70 - 0.2::DOUBLE*16) AS INT) AS start FROM traces)
+ANCHORED_SLICES_SQL = f"""WITH {TRACES_SQL}, a AS (SELECT trace, CAST(trace % 70 AS INT) AS arrival, samples, CAST(trunc(trace % 70 - 0.2::DOUBLE*16) AS INT) AS start, CAST(round_even(trace % 70 - 0.2::DOUBLE*16, 0) AS INT) AS rounded FROM traces)
 SELECT trace, arrival, CASE WHEN start >= 0 AND trace % 70 >= 0.2::DOUBLE*16 - 1 THEN round(list_sum(list_slice(samples, least(start, 48) + 1, least(start, 48) + 16)), 8) END AS clamped,
-CASE WHEN start >= 0 AND trace % 70 >= 0.2::DOUBLE*16 - 1 AND start <= 48 THEN round(list_sum(list_slice(samples, start + 1, start + 16)), 8) END AS strict FROM a"""
+CASE WHEN rounded >= 0 AND rounded <= 48 THEN round(list_sum(list_slice(samples, rounded + 1, rounded + 16)), 8) END AS strict FROM a"""
 
 
 def ground_motion(spark, sf_dir):

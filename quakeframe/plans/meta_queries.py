@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quakeframe.functions import columns as C
+from quakeframe.operators import baseline as B
 from quakeframe.operators import evaluate as E
 from quakeframe.operators import mining as M
+from quakeframe.operators import encode as N
 from quakeframe.operators import split as S
 from quakeframe.plans import fixtures as X
-from quakeframe.plans.fixtures import CATALOG_SQL, ENTRIES_SQL
+from quakeframe.plans import jobs as J
+from quakeframe.plans import reports as R
+from quakeframe.plans.fixtures import CATALOG_SQL, ENTRIES_SQL, TRACES_SQL, ZONED_SQL
+from quakeframe.sources import catalog as K
 
 _MD5 = "md5('42|' || {})"
 
@@ -36,7 +41,7 @@ SELECT round(t, 9) AS threshold, round(j, 9) AS youden_j, round((tp + n - fp) /
 
 
 def spearman(spark, sf_dir):
-    return E.spearman(X.table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice").withColumn("rho", F.round("rho", 9))
+    return E.spearman(X.table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice").select("n", F.round("rho", 9).alias("rho"))
 
 
 SPEARMAN_SQL = """WITH r AS (SELECT rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0::DOUBLE AS a, rank() OVER (ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_extendedprice) - 1) / 2.0::DOUBLE AS b FROM lineitem)
@@ -46,7 +51,7 @@ SELECT count(*) AS n, round(corr(a, b), 9) AS rho FROM r"""
 def wilcoxon(spark, sf_dir):
     """Signed ranks of the differences between two event types' rounded means per user."""
     means = X.catalog(spark, sf_dir).groupBy("user_id").pivot("event_type", ["click", "error"]).agg(F.round(F.avg("value"), 0))
-    return E.wilcoxon(means.select((F.col("click") - F.col("error")).alias("d")), "d")
+    return E.wilcoxon(means.select((F.col("click") - F.col("error")).alias("d")), "d").drop("p")
 
 
 WILCOXON_SQL = """WITH m AS (SELECT user_id, round(avg(value) FILTER (event_type = 'click'), 0) - round(avg(value) FILTER (event_type = 'error'), 0) AS d FROM events GROUP BY user_id),
@@ -92,10 +97,8 @@ PROFILE_MEDIAN_SQL = "SELECT user_id, event_type, quantile_disc(value, 0.5) AS m
 
 def noise_baseline(spark, sf_dir):
     """Mean and population sigma from sums, for keys with enough values and spread."""
-    s = X.catalog(spark, sf_dir).groupBy("user_id", "event_type").agg(F.sum("value").alias("sx"), F.sum(F.col("value") * F.col("value")).alias("sx2"), F.count("value").alias("n"))
-    mu = F.col("sx") / F.col("n")
-    sigma = F.sqrt(F.greatest(F.col("sx2") / F.col("n") - mu * mu, F.lit(0.0)))
-    return s.withColumn("mu", mu).withColumn("sigma", sigma).where((F.col("n") >= 10) & (F.col("sigma") >= 1e-12)).select("user_id", "event_type", "n", F.round("mu", 6).alias("mu"), F.round("sigma", 6).alias("sigma"))
+    got = B.baselines(X.catalog(spark, sf_dir), ["user_id", "event_type"], "value", 10)
+    return got.withColumns({n: F.round(n, 6) for n in ("mu", "sigma")})
 
 
 NOISE_BASELINE_SQL = """WITH s AS (SELECT user_id, event_type, sum(value) AS sx, sum(value*value) AS sx2, count(value) AS n FROM events GROUP BY ALL), m AS (SELECT *, sx / n AS mu, sqrt(greatest(sx2 / n - (sx / n) * (sx / n), 0.0)) AS sigma FROM s)
@@ -105,10 +108,9 @@ SELECT user_id, event_type, n, round(mu, 6) AS mu, round(sigma, 6) AS sigma FROM
 def baseline_join(spark, sf_dir):
     """Each type's standardized mean value against its user's baseline, its own where the user has none."""
     own = X.catalog(spark, sf_dir).groupBy("user_id", "event_type").agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s"))
-    base = own.where("event_type = 'view' and s > 0").select("user_id", F.col("m").alias("bm"), F.col("s").alias("bs"))
-    joined = own.join(base, "user_id", "left")
-    z = (F.col("m") - F.coalesce("bm", "m")) / F.greatest(F.coalesce("bs", "s"), F.lit(1e-12))
-    return joined.select("user_id", "event_type", F.round(z, 6).alias("z"))
+    base = own.where("event_type = 'view' and s > 0").select("user_id", F.col("m").alias("mu"), F.col("s").alias("sigma"))
+    joined = B.against(own, base, ["user_id"], F.col("m"), F.col("m"), F.col("s"))
+    return joined.select("user_id", "event_type", F.round("z", 6).alias("z"))
 
 
 BASELINE_JOIN_SQL = """WITH own AS (SELECT user_id, event_type, avg(value) AS m, stddev_pop(value) AS s FROM events GROUP BY ALL), base AS (SELECT user_id, m AS bm, s AS bs FROM own WHERE event_type = 'view' AND s > 0)
@@ -134,9 +136,7 @@ STATION_CAP_WHOLE_SQL = f"WITH {ENTRIES_SQL}, s AS (SELECT *, coalesce(sum(n_win
 
 def even_subsample(spark, sf_dir):
     """Sixteen evenly spaced entries of each station."""
-    from pyspark.sql import Window
-
-    ranked = S.ranked(X.entries(spark, sf_dir), ["station"], ["file", "part"], "k").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("station")))
+    ranked = S.ranked(X.entries(spark, sf_dir), ["station"], ["file", "part"], "k", size="n")
     return ranked.where(S.evenly_spaced(F.col("k"), F.col("n"), 16)).select("station", "file", "part")
 
 
@@ -158,9 +158,7 @@ SELECT station, cls, w, CAST(floor(x) + CASE WHEN k <= short THEN 1 ELSE 0 END A
 def class_balance(spark, sf_dir):
     """Targets: the smallest class total, as train and validation shares and the rest."""
     totals = X.entries(spark, sf_dir).groupBy("cls").agg(F.sum("n_windows").alias("total"))
-    least = totals.agg(F.min("total").alias("m"))
-    a, b = F.floor(F.col("m") * 0.70), F.floor(F.col("m") * 0.15)
-    return totals.crossJoin(F.broadcast(least)).select("cls", "total", a.alias("train"), b.alias("val"), (F.col("m") - a - b).alias("test"), (F.col("total") - F.col("m")).alias("surplus"))
+    return S.class_targets(totals)
 
 
 CLASS_BALANCE_SQL = f"""WITH {ENTRIES_SQL}, t AS (SELECT cls, CAST(sum(n_windows) AS BIGINT) AS total, min(CAST(sum(n_windows) AS BIGINT)) OVER () AS m FROM entries GROUP BY cls)
@@ -168,10 +166,9 @@ SELECT cls, total, CAST(floor(m * 0.70::DOUBLE) AS BIGINT) AS train, CAST(floor(
 
 
 def balance_cap(spark, sf_dir):
-    """Cap of the other classes: four times the rare class, halves to even; none without it."""
+    """Cap of the other classes: 0.55 times the rare class, halves to even; none without it."""
     totals = X.entries(spark, sf_dir).groupBy("station").agg(*(F.sum(F.when(F.col("cls") == c, F.col("n_windows")).otherwise(0)).alias(c.lower()) for c in ("A", "N", "R")))
-    cap = F.when(F.col("a") > 0, F.rint(F.col("a") * 0.55).cast("long"))
-    return totals.select("station", "a", "n", "r", cap.alias("cap"), F.coalesce(F.least("n", cap), "n").alias("kept_n"), F.coalesce(F.least("r", cap), "r").alias("kept_r"))
+    return S.balance_caps(totals, "a", ["n", "r"], 0.55)
 
 
 BALANCE_CAP_SQL = f"""WITH {ENTRIES_SQL}, t AS (SELECT station, CAST(coalesce(sum(n_windows) FILTER (cls = 'A'), 0) AS BIGINT) AS a, CAST(coalesce(sum(n_windows) FILTER (cls = 'N'), 0) AS BIGINT) AS n, CAST(coalesce(sum(n_windows) FILTER (cls = 'R'), 0) AS BIGINT) AS r FROM entries GROUP BY station),
@@ -293,6 +290,120 @@ def shared_stations(spark, sf_dir):
 SHARED_STATIONS_SQL = f"WITH {ENTRIES_SQL} SELECT station FROM entries WHERE cls = 'A' INTERSECT SELECT station FROM entries WHERE cls = 'R'"
 
 
+def negative_whitelist(spark, sf_dir):
+    """Windows of the mined class by loudness over all stations of a split: as many as its quotas."""
+    rows = X.table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 3).cast("string").alias("split"), F.col("l_orderkey").cast("string").alias("file_path"), F.col("l_suppkey").cast("string").alias("station_key"), F.col("l_linenumber").alias("w_idx"), F.col("l_extendedprice").alias("score"), "l_partkey")
+    rows = rows.groupBy("split", "file_path", "station_key", "w_idx").agg(F.max("score").alias("score"))
+    quotas = spark.range(2).select(F.col("id").cast("string").alias("split"), (40 + 30 * F.col("id")).alias("quota"))
+    return J.negative_whitelist(rows, quotas)
+
+
+NEGATIVE_WHITELIST_SQL = """WITH c AS (SELECT CAST(l_suppkey % 3 AS VARCHAR) AS split, CAST(l_orderkey AS VARCHAR) AS file_path, CAST(l_suppkey AS VARCHAR) AS station_key, l_linenumber AS w_idx, max(l_extendedprice) AS score FROM lineitem GROUP BY ALL),
+q(split, want) AS (VALUES ('0', 40), ('1', 70)), r AS (SELECT c.*, want, row_number() OVER (PARTITION BY split ORDER BY score, file_path, station_key, w_idx) - 1 AS k, count(*) OVER (PARTITION BY split) AS n FROM c JOIN q USING (split)),
+b AS (SELECT *, round_even(0.75::DOUBLE * n, 0) AS lo0, greatest(round_even(0.99::DOUBLE * n, 0), round_even(0.75::DOUBLE * n, 0)) AS hi0, least(want, n) AS w FROM r),
+u AS (SELECT *, CASE WHEN hi0 - lo0 < w THEN least(n, lo0 + w) ELSE hi0 END AS hi1 FROM b), d AS (SELECT *, CASE WHEN hi1 - lo0 < w THEN greatest(0, hi1 - w) ELSE lo0 END AS lo1 FROM u),
+p AS (SELECT *, k - lo1 AS j, hi1 - lo1 AS m FROM d WHERE k >= lo1 AND k < hi1)
+SELECT file_path, station_key, w_idx FROM p WHERE m <= want OR j IN (SELECT round_even(i * ((m - 1) / (want - 1)::DOUBLE), 0) FROM range(0, want) t(i))"""
+
+
+def paired_offsets(spark, sf_dir):
+    """Users' rounded means at two offsets side by side, and the change."""
+    c = X.catalog(spark, sf_dir).where(F.col("event_type").isin("click", "error"))
+    rows = c.groupBy(F.col("user_id").alias("event_id"), F.lit("N.S").alias("station_key"), F.when(F.col("event_type") == "click", "3h").otherwise("6h").alias("offset")).agg(F.round(F.avg("value"), 4).alias("raw_diff"), F.round(F.avg("magnitude"), 4).alias("ram_diff"))
+    got = J.paired_offsets(rows)
+    return got.withColumns({n: F.round(n, 4) for n in got.columns if n.endswith("_change")})
+
+
+PAIRED_OFFSETS_SQL = f"""WITH {CATALOG_SQL}, m AS (SELECT user_id AS event_id, 'N.S' AS station_key, event_type, round(avg(value), 4) AS r, round(avg(magnitude), 4) AS i FROM catalog WHERE event_type IN ('click', 'error') GROUP BY ALL)
+SELECT a.event_id, a.station_key, a.r AS raw_diff_a, a.i AS ram_diff_a, b.r AS raw_diff_b, b.i AS ram_diff_b, round(a.r - b.r, 4) AS raw_diff_change, round(a.i - b.i, 4) AS ram_diff_change FROM m a JOIN m b USING (event_id, station_key) WHERE a.event_type = 'click' AND b.event_type = 'error'"""
+
+
+def pooled_diffs(spark, sf_dir):
+    """Mean values of station and class groups with enough windows."""
+    rows = X.entries(spark, sf_dir).withColumn("rms_diff", (F.col("n_windows") % 7).cast("double")).withColumn("image_diff", (F.col("item") % 5).cast("double"))
+    got = J.pooled_diffs(rows, ["station", "cls", "part"], least=900)
+    return got.withColumns({n: F.round(n, 9) for n in ("rms_diff", "image_diff")})
+
+
+POOLED_DIFFS_SQL = f"""WITH {ENTRIES_SQL} SELECT station, cls, part, CAST(sum(n_windows) AS BIGINT) AS n_windows, round(avg(CAST(n_windows % 7 AS DOUBLE)), 9) AS rms_diff, round(avg(CAST(item % 5 AS DOUBLE)), 9) AS image_diff
+FROM entries GROUP BY station, cls, part HAVING sum(n_windows) >= 900"""
+
+
+def target_counts(spark, sf_dir):
+    """Targets of each zone, the gaps between them, and whether they are too few."""
+    return R.target_counts(R.major_events(X.zoned(spark, sf_dir), 3.5), 1.0)
+
+
+TARGET_COUNTS_SQL = f"""WITH {ZONED_SQL}, g AS (SELECT region, floor((epoch_us(time) - epoch_us(lag(time) OVER (PARTITION BY region ORDER BY time, event_id))) / 86400e6) AS gap FROM zoned WHERE magnitude >= 3.5)
+SELECT region, count(*) AS n, CAST(min(gap) AS BIGINT) AS min_gap, CAST(max(gap) AS BIGINT) AS max_gap, median(gap) AS median_gap, count(*) < 4 AS too_few, coalesce(max(gap) > 1.0, false) AS beyond_horizon FROM g GROUP BY region"""
+
+
+def magnitude_types(spark, sf_dir):
+    """Events on a known magnitude scale."""
+    scale = F.element_at(F.array(*(F.lit(t) for t in ("ML", "MB", "mb", "Mx", "MW"))), (F.col("event_id") % 5 + 1).cast("int"))
+    return K.of_magnitude_type(X.catalog(spark, sf_dir).withColumn("Type", scale)).groupBy("Type").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("Type", "scale")
+
+
+MAGNITUDE_TYPES_SQL = "SELECT ['ML', 'MB', 'mb', 'Mx', 'MW'][event_id % 5 + 1] AS scale, count(*) AS n FROM events WHERE event_id % 5 NOT IN (1, 3) GROUP BY scale"
+
+
+def degree_distance(spark, sf_dir):
+    """Degrees of arc and kilometres from each event to one place."""
+    c = X.catalog(spark, sf_dir)
+    deg = C.degrees(F.col("lat"), F.col("lon"), F.lit(39.0), F.lit(35.0))
+    return c.select("event_id", F.round(deg, 7).alias("degrees"), F.round(deg * C.DEGREE_KM, 4).alias("km"))
+
+
+DEGREE_DISTANCE_SQL = f"""WITH {CATALOG_SQL}, d AS (SELECT event_id, degrees(2 * asin(sqrt(pow(sin(radians(39.0 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(39.0)) * pow(sin(radians(35.0 - lon) / 2), 2)))) AS deg FROM catalog)
+SELECT event_id, round(deg, 7) AS degrees, round(deg * 111.195::DOUBLE, 4) AS km FROM d"""
+
+
+def hours_to_event(spark, sf_dir):
+    """Hours from a window of each order's record to an event at a fixed time."""
+    rows = X.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").alias("start"), F.col("l_partkey").alias("w"))
+    hours = C.hours_to_event(F.col("start"), F.col("w"), 600, 100.0, F.lit("2000-01-01 06:00:00").cast("timestamp_ntz"))
+    return rows.select("l_orderkey", "l_linenumber", F.round(hours, 6).alias("hours"))
+
+
+HOURS_TO_EVENT_SQL = "SELECT l_orderkey, l_linenumber, round(((epoch_us(TIMESTAMP '2000-01-01 06:00:00') - epoch_us(CAST(l_shipdate AS TIMESTAMP))) / 1000000.0::DOUBLE - l_partkey * 600 / 100.0::DOUBLE) / 3600.0::DOUBLE, 6) AS hours FROM lineitem"
+
+
+def window_z_scores(spark, sf_dir):
+    """Sums of traces' z-scores by the sample deviation: the first value and the spread."""
+    rows = X.traces(spark, sf_dir).withColumn("z", C.z_scores(F.col("samples")))
+    return rows.select("trace", F.round(F.element_at("z", 1), 7).alias("first"), F.round(F.array_max("z") - F.array_min("z"), 7).alias("spread"))
+
+
+WINDOW_Z_SCORES_SQL = f"""WITH {TRACES_SQL}, s AS (SELECT trace, samples, list_avg(samples) AS m, list_stddev_samp(samples) + 1e-6 AS s FROM traces)
+SELECT trace, round((samples[1] - m) / s, 7) AS first, round((list_max(samples) - list_min(samples)) / s, 7) AS spread FROM s"""
+
+
+def profile_lookup(spark, sf_dir):
+    """Traces with their station's three profiles, null where one is missing."""
+    c = X.catalog(spark, sf_dir).where("user_id % 4 <> 1 or event_type <> 'error'").groupBy("user_id", "event_type").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    letter = F.when(F.col("event_type") == "click", "z").when(F.col("event_type") == "view", "n").when(F.col("event_type") == "error", "e")
+    profiles = c.select(F.col("user_id").alias("station_key"), letter.alias("component"), F.array("low", "high").alias("profile")).where("component is not null")
+    rows = X.traces(spark, sf_dir).select("trace", (F.col("trace") % 160).alias("station_key"))
+    return N.with_profiles(rows, profiles).select("trace", "station_key", F.size("profile").alias("n"), F.element_at("profile", 1).alias("z_low"), F.element_at("profile", 6).alias("e_high"))
+
+
+PROFILE_LOOKUP_SQL = """WITH c AS (SELECT user_id, event_type, min(value) AS low, max(value) AS high FROM events WHERE user_id % 4 <> 1 OR event_type <> 'error' GROUP BY ALL),
+p AS (SELECT user_id, max(low) FILTER (event_type = 'click') AS z_low, max(high) FILTER (event_type = 'error') AS e_high FROM c WHERE event_type IN ('click', 'view', 'error') GROUP BY user_id HAVING count(*) = 3)
+SELECT vec_id AS trace, vec_id % 160 AS station_key, CASE WHEN z_low IS NULL THEN NULL ELSE 6 END AS n, z_low, e_high FROM embeddings LEFT JOIN p ON user_id = vec_id % 160"""
+
+
+def raw_windows(spark, sf_dir):
+    """Windows of a manifest, cut again from the records: first and last sample and the padding."""
+    t = X.traces(spark, sf_dir)
+    traces = t.select(F.col("trace").cast("string").alias("file_path"), F.lit("N.S").alias("station_key"), F.explode(F.array(F.lit("Z"), F.lit("N"), F.lit("E"))).alias("component"), F.lit(10.0).alias("sampling_rate"), "samples")
+    manifest = t.select(F.col("trace").cast("string").alias("file_path"), F.lit("N.S").alias("station_key"), F.lit(10.0).alias("fs"), F.format_string("x_win%03d.png", F.col("trace") % 9).alias("filename"))
+    got = J.raw_windows(manifest, traces, 2.0, 0.5)
+    return got.select(F.col("file_path").cast("long").alias("trace"), F.element_at("z", 1).alias("first"), F.element_at("e", 20).alias("last"), F.size("n").alias("n"))
+
+
+RAW_WINDOWS_SQL = f"""WITH {TRACES_SQL} SELECT trace, samples[trace % 9 * 10 + 1] AS first, coalesce(samples[trace % 9 * 10 + 20], 0.0) AS last, 20 AS n FROM traces WHERE trace % 9 * 10 < 64"""
+
+
 def gain_mismatch(spark, sf_dir):
     """Largest mismatch of each order between its lines' gain products and the reported sensitivity."""
     rows = X.table(spark, sf_dir, "lineitem").select("l_orderkey", C.gain_mismatch(F.array("l_quantity", "l_discount", F.when(F.col("l_linenumber") != 5, F.col("l_tax"))), F.col("l_extendedprice") / 1000).alias("m"))

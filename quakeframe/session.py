@@ -26,12 +26,14 @@ def build_session(app: str = "quakeframe", cpus: int | str = "*", **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a local one only where none is set."""
+    """The folder the cluster names in spark.checkpoint.dir; a temporary one only where none is set and all runs on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     held = spark.sparkContext.getCheckpointDir()
     if not held:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-quakeframe-"))
         held = spark.sparkContext.getCheckpointDir()
     return held.rstrip("/")

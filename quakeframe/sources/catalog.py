@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quakeframe.functions.columns import haversine_km
+from quakeframe.operators.evaluate import quantiles
 
-#: Header names by column, fixed values.
+#: Header names by column, in the order in which they are looked for, fixed values. date and clock are a pair that is joined.
 ALIASES = {
-    "time": ("datetime", "date", "time", "origintime", "origin_time", "tarih"),
+    "time": ("datetime", "date_time", "origin_time", "time", "tarih", "olus zamani", "oluş zamanı", "date", "tarih_saat"),
+    "date": ("date", "tarih"),
     "clock": ("time", "saat"),
     "lat": ("latitude", "lat", "enlem"),
     "lon": ("longitude", "lon", "long", "boylam"),
-    "depth": ("depth", "depth_km", "derinlik"),
-    "magnitude": ("magnitude", "mag", "ml", "mw", "büyüklük"),
+    "depth": ("depth", "derinlik", "depth_km"),
+    "magnitude": ("magnitude", "mag", "ml", "mw", "buyukluk", "büyüklük"),
     "event_id": ("eventid", "event_id", "id"),
 }
 #: Time formats tried in this order, day first.
@@ -26,12 +28,12 @@ ZONES = {"NAFZ": (39.5, 42.0, 26.0, 42.0), "EAFZ": (36.5, 39.5, 35.0, 42.0), "AE
 MAGNITUDE_TYPES = ("ML", "MW", "MS", "Mb", "MD", "mw", "ml", "ms", "mb", "md")
 
 
-def header(columns: list[str], name: str) -> str | None:
-    """The first column whose stripped, lower-cased header is an alias of name."""
+def header(columns: list[str], name: str, aliases: dict[str, tuple[str, ...]] | None = None) -> str | None:
+    """The column whose stripped, lower-cased header is the first alias of name that there is."""
     seen = {}
     for c in columns:
         seen.setdefault(c.strip().lower(), c)
-    return next((seen[a] for a in ALIASES[name] if a in seen), None)
+    return next((seen[a] for a in (aliases or ALIASES)[name] if a in seen), None)
 
 
 def parse_time(text: Column) -> Column:
@@ -42,15 +44,14 @@ def parse_time(text: Column) -> Column:
 def normalize(raw: DataFrame, least_magnitude: float | None = None) -> DataFrame:
     """time, lat, lon, depth, magnitude, event_id from a raw catalog of any known header.
 
-    Rows without a time or a finite magnitude go; a null depth becomes the median
+    A date and a time of day in two columns are joined, else the first time header counts. Rows without a time or a finite magnitude go; a null depth becomes the median
     of the rest, else 10 km.
     """
     at = {k: header(raw.columns, k) for k in ALIASES}
     if not at["time"] or not at["magnitude"]:
         raise ValueError(f"no time or magnitude column in {raw.columns}")
-    text = F.trim(F.col(f"`{at['time']}`").cast("string"))
-    if at["clock"] and at["clock"] != at["time"]:
-        text = F.concat_ws(" ", text, F.trim(F.col(f"`{at['clock']}`").cast("string")))
+    trimmed = lambda name: F.trim(F.col(f"`{at[name]}`").cast("string"))
+    text = F.concat(trimmed("date"), F.lit(" "), trimmed("clock")) if at["date"] and at["clock"] else trimmed("time")
 
     def number(name: str) -> Column:
         return F.expr(f"try_cast(trim(cast(`{at[name]}` as string)) as double)") if at[name] else F.lit(None).cast("double")
@@ -66,7 +67,7 @@ def normalize(raw: DataFrame, least_magnitude: float | None = None) -> DataFrame
 
 
 def fill_depth(rows: DataFrame) -> DataFrame:
-    usual = rows.agg(F.coalesce(F.median("depth"), F.lit(10.0)).alias("__depth"))  # one row
+    usual = quantiles(rows, "depth", [0.5]).agg(F.coalesce(F.max(F.element_at("edges", 1)), F.lit(10.0)).alias("__depth"))  # one row
     return rows.crossJoin(F.broadcast(usual)).withColumn("depth", F.coalesce("depth", "__depth")).drop("__depth")
 
 
@@ -90,6 +91,28 @@ def by_zone(events: DataFrame, zones: dict[str, tuple[float, float, float, float
     return events.withColumn("region", F.explode(held))
 
 
+def of_magnitude_type(events: DataFrame, column: str = "Type", types: tuple[str, ...] = MAGNITUDE_TYPES) -> DataFrame:
+    """Events on one of the magnitude scales; all of them where the table has no such column."""
+    return events.where(F.col(column).isin(*types)) if column in events.columns else events
+
+
+#: Headers of an event table for look-ups, fixed values.
+LOOKUP = {"event_id": ("eventid", "event_id", "id"), "magnitude": ("magnitude", "mag", "ml", "m"), "lat": ("latitude", "lat"), "lon": ("longitude", "lon", "long")}
+
+
+def event_table(raw: DataFrame, order: str) -> DataFrame:
+    """event_id, magnitude, lat, lon from a raw table of any known header: the last by order of each id with a finite magnitude.
+
+    order numbers the rows from 0; without an id column, ids are idx_ and that number.
+    """
+    at = {k: header(raw.columns, k, LOOKUP) for k in LOOKUP}
+    if not at["magnitude"]:
+        raise ValueError(f"no magnitude column in {raw.columns}")
+    number = lambda k: F.expr(f"try_cast(trim(cast(`{at[k]}` as string)) as double)") if at[k] else F.lit(None).cast("double")
+    key = F.trim(F.col(f"`{at['event_id']}`").cast("string")) if at["event_id"] else F.concat(F.lit("idx_"), F.col(order).cast("string"))
+    return last_by_id(raw.select(key.alias("event_id"), *(number(k).alias(k) for k in ("magnitude", "lat", "lon")), F.col(order).alias("__order")), "__order").drop("__order")
+
+
 def last_by_id(events: DataFrame, order: str) -> DataFrame:
     """One row an event_id: the last by order among those with a finite magnitude."""
     valid = events.where(F.col("magnitude").isNotNull() & ~F.isnan("magnitude") & (F.abs("magnitude") < float("inf")))
@@ -97,11 +120,11 @@ def last_by_id(events: DataFrame, order: str) -> DataFrame:
     return valid.groupBy("event_id").agg(F.max_by(F.struct(*rest), F.col(order)).alias("r")).select("event_id", "r.*")
 
 
-def station_keys(stations: DataFrame, order: str) -> DataFrame:
-    """key, latitude, longitude: one row for NET.STA, and one for the bare station, of the first network by order."""
+def station_keys(stations: DataFrame, order: str, last: bool = False) -> DataFrame:
+    """key, latitude, longitude: one row for NET.STA, and one for the bare station, of the first network by order, or of the last."""
     full = stations.select(F.concat_ws(".", "network", "station").alias("key"), "latitude", "longitude", F.col(order).alias("o"))
     bare = stations.select(F.col("station").alias("key"), "latitude", "longitude", F.col(order).alias("o"))
-    both = full.unionByName(bare).groupBy("key").agg(F.min_by(F.struct("latitude", "longitude"), "o").alias("s"))
+    both = full.unionByName(bare).groupBy("key").agg((F.max_by if last else F.min_by)(F.struct("latitude", "longitude"), "o").alias("s"))
     return both.select("key", "s.*")
 
 

@@ -16,6 +16,12 @@ MANIFESTS = {
     "detection": ("split", "class_name", "station_key", "file_path", "filename", "fs"),
     "regression": ("split", "station_key", "event_id", "file_path", "filename", "fs", "magnitude", "log_snr", "distance_km"),
     "risk": ("split", "risk_class", "station_key", "event_id", "file_path", "filename", "fs", "magnitude", "log_snr", "distance_km"),
+    "ground_motion": (
+        "split", "event_id", "station_key", "filename", "fs", "magnitude", "distance_km",
+        "pga_gal_fwd", "pgv_cms_fwd", "log_pga_fwd", "log_pgv_fwd", "pga_gal_full", "pgv_cms_full", "log_pga_full", "log_pgv_full",
+        "log_peak_input_vel", "log_peak_input_acc", "peak_rel_arrival_s", "peak_in_input", "arrival_s", "label_seconds", "label_truncated",
+        "pick_at_floor", "max_cft", "n_masked_frac", "clipped", "response_ok", "sens_mismatch", "peak_counts",
+    ),
     "forecast": ("split", "filename", "region", "start_time", "end_time", "label", "next_magnitude"),
 }
 
@@ -38,6 +44,16 @@ def write_arrays(df: DataFrame, path: str, by: tuple[str, ...] = ("split",)) ->
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
+def write_catalog(events: DataFrame, path: str) -> None:
+    """A filtered catalog as CSV with a header, UTF-8."""
+    events.write.mode("overwrite").csv(path, header=True, encoding="UTF-8")
+
+
+def write_traces(traces: DataFrame, path: str) -> None:
+    """Anchored traces as Parquet, a folder for each target; starttime is the cut's own, so the time of each sample stays right."""
+    traces.withColumn("samples", F.col("samples").cast("array<float>")).write.mode("overwrite").partitionBy("target").parquet(path)
+
+
 def png(image: np.ndarray) -> bytes:
     """An RGB image of 8-bit values (height, width, 3)."""
     height, width, _ = image.shape
