@@ -161,6 +161,11 @@ def quantile_groups(df: DataFrame, value: str, groups: int = 3) -> DataFrame:
     return df.crossJoin(F.broadcast(edges)).withColumn("grp", F.size(F.filter(inner, lambda e: F.col(value) > e))).drop("__edges")
 
 
-def lower_median(value: str) -> Column:
-    """The lower of the two middle values."""
-    return F.expr(f"percentile_disc(0.5) within group (order by {value})")
+def lower_medians(df: DataFrame, value: str, by: list[str], name: str = "median") -> DataFrame:
+    """by and the lower of the two middle values of each group."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
+    placed = running(counts, ["__value"], {"__before": F.col("__n")}, by)
+    total = counts.groupBy(*by).agg(F.sum("__n").alias("__all"))
+    joined = placed.join(total, by) if by else placed.crossJoin(F.broadcast(total))
+    middle = F.floor((F.col("__all") - 1) / 2)
+    return joined.where((F.col("__before") <= middle) & (middle < F.col("__before") + F.col("__n"))).select(*by, F.col("__value").alias(name))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakeframe.functions.columns import array_mean, array_sigma, let, standardize
+from quakeframe.operators.sequence import running
+from quakeframe.operators.split import with_total
 
 
 def window_shape(fs: float, seconds: float, overlap: float) -> tuple[int, int, int]:
@@ -40,6 +42,23 @@ def sliding_windows(traces: DataFrame, fs: float, seconds: float, overlap: float
     return rows.withColumn("window", padded).drop("__part", samples)
 
 
+def long_windows(rows: DataFrame, by: list[str], order: list[str], value: str, size: int, step: int, tolerance: int = 0, mask: str | None = None, most_gaps: float = 0.05) -> DataFrame:
+    """The windows of sliding_windows (by, w_idx, window) over series with a row a sample, of which one may hold most rows.
+
+    Samples are numbered by ranges and go to the windows that hold them; only windows are gathered.
+    """
+    placed = with_total(running(rows, order, {"__i": F.lit(1).cast("long")}, by), by, {"__n": F.count(F.lit(1))})
+    first = F.greatest(F.lit(0), F.ceil((F.col("__i") - size + 1) / step))
+    last = F.least(F.floor(F.col("__i") / step), F.greatest(F.ceil((F.col("__n") - size) / step), F.lit(0)))
+    inside = placed.where((F.col("__n") >= size - tolerance) & (first <= last))
+    spread = inside.withColumn("w_idx", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    gap = F.coalesce(F.col(mask), F.lit(False)) if mask else F.lit(False)
+    held = spread.groupBy(*by, "w_idx").agg(F.sort_array(F.collect_list(F.struct("__i", F.col(value).alias("v")))).alias("__x"), F.sum(gap.cast("int")).alias("__gaps"))  # size rows at most
+    held = held.where((F.size("__x") >= size - tolerance) & (F.col("__gaps") / F.lit(float(size)) <= most_gaps))
+    values = F.transform("__x", lambda r: r["v"])
+    return held.select(*by, "w_idx", F.concat(values, F.array_repeat(F.lit(0.0), F.lit(size) - F.size("__x"))).alias("window"))
+
+
 def window_count(n: Column, fs: float, seconds: float, overlap: float) -> Column:
     """Windows of a trace of n samples, from its header alone."""
     size, step, tolerance = window_shape(fs, seconds, overlap)

@@ -9,6 +9,7 @@ from quakeframe.operators import groundmotion as M
 from quakeframe.operators import split as S
 from quakeframe.plans import fixtures as X
 from quakeframe.plans.fixtures import ENTRIES_SQL, TRACES_SQL
+from quakeframe.sources import stead
 
 _THIRDS = "list_slice(samples, {a}, {b})"
 
@@ -140,8 +141,7 @@ QUALITY_COUNTS_SQL = "WITH r AS (SELECT CAST(l_linestatus = 'F' AS INT) AS ok, C
 def stead_match(spark, sf_dir):
     """Traces that pass optional limits; the ratio is the first number of a bracketed list."""
     rows = X.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.concat(F.lit("["), F.col("l_discount") * 100, F.lit(" 3.5 1.0]")).alias("snr"), F.when(F.col("l_linenumber") != 2, F.col("l_quantity")).alias("magnitude"))
-    first = F.expr("try_cast(split(trim(both '[] ' from snr), ' +')[0] as double)")
-    return rows.where((first >= 4) & (F.col("magnitude") >= 10)).select("l_orderkey", "l_linenumber", "l_partkey")
+    return stead.matching(rows, 10, None, 4).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 STEAD_MATCH_SQL = "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_discount * 100 >= 4 AND l_linenumber <> 2 AND l_quantity >= 10"

@@ -89,7 +89,7 @@ SELECT CAST(l_quantity > a AS INT) + CAST(l_quantity > b AS INT) AS grp, count(*
 
 def profile_median(spark, sf_dir):
     """The lower median of each user's values by event type."""
-    return X.catalog(spark, sf_dir).groupBy("user_id", "event_type").agg(E.lower_median("value").alias("median_value"))
+    return E.lower_medians(X.catalog(spark, sf_dir), "value", ["user_id", "event_type"], "median_value")
 
 
 PROFILE_MEDIAN_SQL = "SELECT user_id, event_type, quantile_disc(value, 0.5) AS median_value FROM events GROUP BY ALL"

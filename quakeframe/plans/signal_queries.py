@@ -54,9 +54,8 @@ WINDOW_COUNTS_SQL = "SELECT DISTINCT l_partkey % 1000 AS npts, CASE WHEN l_partk
 
 def gap_windows(spark, sf_dir):
     """Windows over each user's values in time, those with more than 5 % errors left out."""
-    rows = X.catalog(spark, sf_dir).where("user_id is not null").groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("time", "event_id", "value", (F.col("event_type") == "error").alias("gap")))).alias("x"))
-    traces = rows.select("user_id", F.transform("x", lambda e: e["value"]).alias("samples"), F.transform("x", lambda e: e["gap"]).alias("mask"))
-    w = G.sliding_windows(traces, 10.0, 1.0, 0.5, mask="mask", most_gaps=0.1)
+    rows = X.catalog(spark, sf_dir).where("user_id is not null").withColumn("gap", F.col("event_type") == "error")
+    w = G.long_windows(rows, ["user_id"], ["time", "event_id"], "value", 10, 5, mask="gap", most_gaps=0.1)
     return w.select("user_id", "w_idx", F.round(F.aggregate("window", F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
 
 
@@ -128,12 +127,12 @@ PIXELS_SQL = f"WITH {TRACES_SQL} SELECT trace, {_PIXEL.format('samples[1]*10')}
 
 
 def filtered(spark, sf_dir):
-    """Each trace detrended, tapered and band-passed from 2 to 12 Hz at 64 samples a second; checked against NumPy in the tests."""
+    """Each trace detrended, tapered and band-passed from 2 to 12 Hz at 64 samples a second; checked against NumPy in tests/test_numbers.py."""
     return dsp.clean(X.traces(spark, sf_dir), 64.0, 2.0, 12.0).select("trace", "samples")
 
 
 def spectrogram(spark, sf_dir):
-    """Decibel spectrograms of the traces with 16-point frames; checked against NumPy in the tests."""
+    """Decibel spectrograms of the traces with 16-point frames; checked against NumPy in tests/test_numbers.py."""
     return dsp.spectrograms(X.traces(spark, sf_dir), n_fft=16, hop=4).select("trace", "freq", "frames", "db")
 
 

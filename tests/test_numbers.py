@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quakeframe.functions import columns as C
 from quakeframe.operators import dsp, encode, evaluate, mining, sequence, signal, split
-from quakeframe.sources import catalog
+from quakeframe.sources import catalog, stead
 
 
 def samples_of(spark, rows):
@@ -279,3 +279,24 @@ def test_shapes_scalars_and_slices(spark):
     assert all(r.w == list(map(float, range(int(r.w[0]), int(r.w[0]) + 5))) for r in cuts) and {r.w[0] for r in cuts} == set(map(float, range(16)))
     arrivals = long.limit(1).select(encode.anchored(F.col("x"), F.lit(2.7), 10, 0.2, False).alias("a"), encode.anchored(F.col("x"), F.lit(15.0), 10, 0.2, False).alias("b"), encode.anchored(F.col("x"), F.lit(15.0), 10, 0.2).alias("c")).first()
     assert arrivals.a[0] == 1.0 and arrivals.b is None and arrivals.c[0] == 10.0
+
+
+def test_long_windows_equal_those_of_arrays(spark):
+    rng = random.Random(11)
+    rows = [(g, k, rng.random(), rng.random() < 0.2) for g, n in (("a", 97), ("b", 40), ("c", 9), ("d", 8), ("e", 10)) for k in range(n)]
+    df = spark.createDataFrame(rows, "g string, k int, v double, gap boolean").repartition(4)
+    arrays = df.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("k", "v", "gap"))).alias("x")).select("g", F.transform("x", lambda r: r["v"]).alias("samples"), F.transform("x", lambda r: r["gap"]).alias("mask"))
+    size, step, tolerance = signal.window_shape(10.0, 2.0, 0.75)
+    want = {(r.g, r.w_idx): r.window for r in signal.sliding_windows(arrays, 10.0, 2.0, 0.75, mask="mask", most_gaps=0.25).collect()}
+    got = {(r.g, r.w_idx): r.window for r in signal.long_windows(df, ["g"], ["k"], "v", size, step, tolerance, "gap", 0.25).collect()}
+    assert got == want and len(want) > 5
+
+
+def test_trace_attributes_and_components(spark):
+    rows = [(1, "[12.5 3.0 1.0]", "3.1", "100"), (2, "5", " ", "10"), (3, "", "4.0", "x"), (4, "[ 20, 1]", "9", "1")]
+    df = spark.createDataFrame(rows, "id int, snr string, magnitude string, distance string")
+    ids = lambda *limits: {r.id for r in stead.matching(df, *limits).collect()}
+    assert ids(None, None, 10) == {1, 4} and ids(4) == {3, 4} and ids(None, 50) == {2, 4} and ids() == {1, 2, 3, 4}
+    shapes = [(1, [[float(3 * k + c) for c in range(3)] for k in range(5)]), (2, [[float(10 * c + k) for k in range(5)] for c in range(3)]), (3, [[1.0, 2.0]] * 4), (4, None)]
+    got = {r.id: r for r in stead.components(spark.createDataFrame(shapes, "id int, samples array<array<double>>")).collect()}
+    assert set(got) == {1, 2} and got[1].z == [2.0, 5.0, 8.0, 11.0, 14.0] and got[1].e[:2] == [0.0, 3.0] and got[2].z == [20.0, 21.0, 22.0, 23.0, 24.0] and got[2].e[0] == 0.0
