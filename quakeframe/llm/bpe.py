@@ -6,9 +6,10 @@ model, and token spans are mapped from bytes back to character offsets.
 Decoding reverses the byte table; characters that are split over tokens come
 together again because bytes are joined before they are read as UTF-8.
 
-Null texts count as empty (0 tokens). Rows are never dropped or reordered, so
-repeated rows and any further columns stay; of a column that is named like an
-output column, the operator's own value remains.
+Null texts count as empty (0 tokens), texts of any length are encoded whole. Rows
+are judged one by one and never dropped or reordered, so null and repeated ids,
+repeated rows and any further columns stay, and an empty table gives none; of a
+column that is named like an output column, the operator's own value remains.
 """
 
 from __future__ import annotations

@@ -13,8 +13,10 @@ DataFrame expressions.
 Matches are leftmost and don't overlap within a kind. Positions are code points,
 the end is exclusive. Null texts count as empty and have no secrets; null and
 repeated ids are judged by their own text, and a text of any length is scanned
-whole. Spans of the same start are in the order of the rules. Columns named
-secrets, __key or __kinds are replaced or dropped, further ones stay.
+whole. Postings name a document by a hash of its text, so copies are one document
+and an empty table has none. Spans of the same start are in the order of the
+rules. Columns named secrets, __key or __kinds are replaced or dropped, further
+ones stay.
 """
 
 from __future__ import annotations
@@ -201,23 +203,23 @@ def _any_of(trigrams: list[str]) -> str:
     return "(?=(" + "|".join(f"{re.escape(a)}(?:{second(own)})" for a, own in tree.items()) + "))"
 
 
-def trigram_postings(df: DataFrame, trigrams: list[str], text: str, key: str) -> DataFrame:
-    """The inverted index (trigram, key) over lower-cased texts, for these trigrams: each text is cut once."""
+def trigram_postings(df: DataFrame, trigrams: list[str], text: str) -> DataFrame:
+    """The inverted index (trigram, key) over lower-cased texts, for these trigrams: each text is cut once. key is the text's hash."""
     held = F.array_distinct(F.regexp_extract_all(F.translate(F.col(text), UPPER, LOWER), F.lit(_any_of(trigrams)), F.lit(1)))
-    return df.select(F.col(key).alias("key"), F.explode(held).alias("trigram"))
+    return df.select(F.xxhash64(text).alias("key"), F.explode(held).alias("trigram"))
 
 
-def candidates(df: DataFrame, rules: tuple[SecretRule, ...], text: str, key: str) -> DataFrame:
-    """(key, kinds): documents in the intersected postings of each rule that has mandatory trigrams."""
+def candidates(df: DataFrame, rules: tuple[SecretRule, ...], text: str) -> DataFrame:
+    """(key, kinds): texts in the intersected postings of each rule that has mandatory trigrams."""
     wanted = [(r.kind, k, t, len(alt)) for r in rules if not r.scans_fully() for k, alt in enumerate(r.conjunctions) for t in sorted(alt)]
     trigrams = sorted({t for _, _, t, _ in wanted})
     if not trigrams:
-        return df.select(F.col(key).alias("key"), F.array(F.lit("")).alias("kinds")).limit(0)
+        return df.select(F.xxhash64(text).alias("key"), F.array(F.lit("")).alias("kinds")).limit(0)
     queries = F.map_from_arrays(
         F.array(*map(F.lit, trigrams)),
         F.array(*(F.array(*(F.struct(F.lit(kind).alias("kind"), F.lit(k).alias("alternative"), F.lit(n).alias("needed")) for kind, k, own, n in wanted if own == t)) for t in trigrams)),
     )
-    postings = trigram_postings(df, trigrams, text, key)
+    postings = trigram_postings(df, trigrams, text)
     asked = postings.select("key", "trigram", F.explode(F.element_at(queries, F.col("trigram"))).alias("q")).select("key", "trigram", "q.*")
     met = asked.groupBy("key", "kind", "alternative", "needed").agg(F.count_distinct("trigram").alias("found")).where("found = needed")
     return met.groupBy("key").agg(F.collect_set("kind").alias("kinds"))
@@ -253,15 +255,14 @@ def spans(text: Column, rule: SecretRule, rank: int) -> Column:
     return F.filter(F.zip_with(pairs, ends, place), lambda x: x["ok"])
 
 
-def scan(df: DataFrame, rules: tuple[SecretRule, ...] = BASE_RULES + MORE_RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
+def scan(df: DataFrame, rules: tuple[SecretRule, ...] = BASE_RULES + MORE_RULES, text: str = "text") -> DataFrame:
     """Adds secrets: array of (start, rank, stop, kind), by start and then by the rules' order."""
     own = df.drop("secrets", "__key", "__kinds")
-    narrow = own.select(F.col(key), F.col(text))
-    found = materialize(candidates(narrow, rules, text, key), "candidates")
+    found = materialize(candidates(own.select(F.col(text)), rules, text), "candidates")
     few = found.count() <= BROADCAST_CANDIDATES
     found = found.withColumnRenamed("key", "__key").withColumnRenamed("kinds", "__kinds")
     found = F.broadcast(found) if few else found
-    joined = own.join(found, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+    joined = own.join(found, F.xxhash64(text) == F.col("__key"), "left").drop("__key")
     whole = F.coalesce(F.col(text), F.lit(""))
     none = F.from_json(F.lit("[]"), SPAN)
     parts = []

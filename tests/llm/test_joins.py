@@ -91,6 +91,13 @@ def test_a_group_of_near_copies_costs_its_size(spark, monkeypatch):
     assert sum(m.count() for m in made) <= 300 * (leaders + 2) and brute_components(rows[:40], 5, 80)
 
 
+def test_jaccard_ignores_columns_that_clash(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words that stand alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("key", "n", "sig", "mark", "leader", "component_id", "n_shingles", "block")})
+    got = jaccard.components(df)
+    assert got.columns == ["doc_id", "n_shingles", "component_id"] and {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 1, 3: 3}
+
+
 def test_jaccard_empty(spark):
     assert jaccard.components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -130,6 +137,12 @@ def test_nearest(spark):
     assert hit >= 0.9 * 20 * len(by_query)
 
 
+def test_nearest_of_the_usual_width(spark):
+    rows = [(20 * k, [float(k), 1.0]) for k in range(4)] + [(7, [9.0, 9.0, 9.0]), (100, [9.0])]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("clash")), F.col("vec_id") % 20 == 0).collect()
+    assert {r.vec_id for r in got} == {r.query_id for r in got} == {0, 20, 40, 60}
+
+
 def test_nearest_few_and_none(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [0.5, 0.5])], "vec_id long, embedding array<float>")
     got = [(r.query_id, r["rank"], r.vec_id) for r in ann.search(few, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()]

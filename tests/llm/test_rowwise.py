@@ -42,6 +42,13 @@ def test_bpe_equals_reference_and_round_trips(spark):
         assert covered == set(range(len(r.text)))
 
 
+def test_bpe_of_no_rows_and_clashing_columns(spark):
+    df = spark.createDataFrame(ODD, DOCS).withColumns({"n_tokens": F.lit("clash"), "decoded": F.lit("clash"), "ids": F.lit("stays")})
+    assert bpe.decode(bpe.encode(df.limit(0))).count() == 0
+    got = bpe.decode(bpe.encode(df))
+    assert dict(got.dtypes)["n_tokens"] == "bigint" and dict(got.dtypes)["decoded"] == "binary" and {r.ids for r in got.collect()} == {"stays"}
+
+
 def test_forward_sums_all_segmentations():
     _, ids = langid._pieces(None)
     rng = np.random.default_rng(2)
@@ -124,6 +131,7 @@ def test_language_odd_rows(spark):
     got = {(r.doc_id, r.text): r for r in langid.predict(odd, fitted).collect()}
     assert got[1, None].lang_pred == got[2, ""].lang_pred == got[4, "!!! 123 ???"].lang_pred == "und"
     assert got[None, "null id"].lang_pred in ("en", "de") and len(langid.predict(odd, fitted).collect()) == len(ODD)
+    assert langid.predict(odd.limit(0), fitted).count() == 0
     nothing = langid.fit(spark.createDataFrame([], "text string, lang string"))
     assert {r.lang_pred for r in langid.predict(odd, nothing).collect()} == {"und"}
 
@@ -195,6 +203,19 @@ def test_toxicity_models_equal_brute_force(spark):
             assert model.differences(slot, context) == pytest.approx(brute_differences(counted, tokens), rel=1e-4, abs=1e-5)
 
 
+def test_toxic_passages_by_brute_force(spark):
+    rng = random.Random(16)
+    words = "ash birch cedar elm fir oak pine teak yew".split()
+    rows = [(" ".join(rng.choice(words[: 6 + 3 * (k % 3 == 0)]) for _ in range(rng.randint(1, 25))), int(k % 3 == 0), False) for k in range(60)]
+    model = toxicity._model(toxicity.pair_counts(spark.createDataFrame(rows, "text string, toxic int, curve boolean")), False)
+    texts = ["", "yew", "ash yew yew", " ".join(rng.choice(words) for _ in range(5000))]
+    got = toxicity.features(pa.array(texts), model)
+    for text, row in zip(texts, got):
+        value = model.differences(*toxicity._words(pa.array([text]))[:2])
+        whole = [np.sum(value) / max(1, len(value))] + [max((np.sum(value[a : a + n]) / n for a in range(len(value))), default=0.0) for n in toxicity.PASSAGES]
+        assert row == pytest.approx(whole)
+
+
 def test_toxicity_of_few_labels(spark):
     bad = [(k, f"you vile scummy rotten thing number{k} vile scummy rotten", 1) for k in range(6)]
     good = [(10 + k, f"a quiet walk by the lake number{k} and the old town", 0) for k in range(6)]
