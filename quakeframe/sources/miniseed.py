@@ -7,9 +7,11 @@ doubles, Steim-1 and Steim-2). traces() merges records to traces with gaps.
 
 from __future__ import annotations
 
+import io
 import struct
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from typing import BinaryIO
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -47,27 +49,33 @@ def steim(data: bytes, n: int, level: int, order: str) -> np.ndarray:
     return first + np.concatenate([[0], np.cumsum(gaps[1:n], dtype=np.int64)]).astype(float)
 
 
-def records(data: bytes, headers_only: bool = False) -> Iterator[tuple]:
-    """(network, station, location, channel, start, rate, npts, samples or None) of each record."""
+def records(data: bytes | BinaryIO, headers_only: bool = False) -> Iterator[tuple]:
+    """(network, station, location, channel, start, rate, npts, samples or None) of each record; of a file, headers_only reads the
+    headers alone."""
+    source = io.BytesIO(data) if isinstance(data, bytes) else data
+
+    def part(start: int, size: int) -> bytes:
+        source.seek(start)
+        return source.read(size)
+
     at = 0
-    while at + 48 <= len(data):
-        head = data[at : at + 48]
+    while len(head := part(at, 48)) == 48:
         order = ">" if 1900 <= struct.unpack(">H", head[20:22])[0] <= 2200 else "<"
         year, day, hour, minute, second, _, tick = struct.unpack(f"{order}HHBBBBH", head[20:30])
         npts, factor, multiplier = struct.unpack(f"{order}Hhh", head[30:36])
         begin, block = struct.unpack(f"{order}HH", head[44:48])
         encoding, length = 11, 512
-        while block and at + block + 8 <= len(data):
-            kind, following = struct.unpack(f"{order}HH", data[at + block : at + block + 4])
+        while block and len(own := part(at + block, 8)) == 8:
+            kind, following = struct.unpack(f"{order}HH", own[:4])
             if kind == 1000:
-                encoding, length = data[at + block + 4], 1 << data[at + block + 6]
+                encoding, length = own[4], 1 << own[6]
             block = following
         rate = (factor if factor > 0 else -1 / factor if factor else 0.0) * (multiplier if multiplier > 0 else -1 / multiplier if multiplier else 1.0)
         start = datetime(year, 1, 1) + timedelta(days=day - 1, hours=hour, minutes=minute, seconds=second, microseconds=tick * 100)
         names = [head[a:b].decode("ascii", "replace").strip() for a, b in ((18, 20), (8, 13), (13, 15), (15, 18))]
         samples = None
         if not headers_only and npts:
-            body = data[at + begin : at + length]
+            body = part(at + begin, length - begin)
             plain = {1: "i2", 3: "i4", 4: "f4", 5: "f8"}.get(encoding)
             if plain:
                 samples = np.frombuffer(body, f"{order}{plain}", npts).astype(float).tolist()
@@ -128,7 +136,7 @@ class MiniSeedReader(DataSourceReader):
 
     def read(self, partition: FilePartition) -> Iterator[tuple]:
         with open(partition.value, "rb") as f:
-            for r in records(f.read(), self.headers_only):
+            for r in records(f, self.headers_only):
                 yield (partition.value, *r)
 
 

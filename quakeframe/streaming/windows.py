@@ -1,4 +1,4 @@
-"""Event-count windows and horizon labels over a stream of catalog events."""
+"""Event-count windows and horizon labels over streams of catalog events."""
 
 from __future__ import annotations
 
@@ -42,9 +42,49 @@ def live_windows(events: DataFrame, size: int = 64, stride: int = 8, late: str =
     return marked.select("region", "time", "magnitude").groupBy("region").applyInPandasWithState(step, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def live_labels(windows: DataFrame, majors: DataFrame, horizon: str = "30 days", late: str = "1 day") -> DataFrame:
-    """Windows with each major event within the horizon after them: a stream-stream interval join, so state ends with the horizon."""
-    w = windows.withWatermark("end_time", late).alias("w")
-    m = majors.select(F.col("region").alias("major_region"), F.col("time").cast("timestamp").alias("major_time"), F.col("magnitude").alias("major_magnitude")).withWatermark("major_time", late).alias("m")
-    within = (F.col("region") == F.col("major_region")) & (F.col("major_time") > F.col("end_time")) & (F.col("major_time") <= F.col("end_time") + F.expr(f"interval {horizon}"))
-    return w.join(m, within).drop("major_region")
+LABELS = "region string, start_idx long, end_time timestamp, label int, next_magnitude double"
+PENDING = "starts array<long>, ends array<double>, times array<double>, magnitudes array<double>"
+
+
+def live_labels(windows: DataFrame, majors: DataFrame, horizon_days: float = 30.0, late: str = "1 day") -> DataFrame:
+    """A row for each window (region, start_idx, end_time) once its label is certain: 1 with the magnitude of the first major event
+    strictly after it, if that is within the horizon, else 0.
+
+    A label is certain when the watermark has passed that event or the horizon. The state of a region is its open windows and
+    the major events since the first of them; events and windows later than the watermark are dropped.
+    """
+    horizon = horizon_days * 86_400.0
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        starts, ends, times, magnitudes = (list(x) for x in state.get) if state.exists else ([], [], [], [])
+        for batch in batches:
+            for start, at, magnitude in zip(batch["start_idx"], batch["seconds"], batch["magnitude"], strict=True):
+                if pd.isna(start):
+                    times.append(float(at))
+                    magnitudes.append(float(magnitude))
+                else:
+                    starts.append(int(start))
+                    ends.append(float(at))
+        passed = state.getCurrentWatermarkMs() / 1000
+        out, left, waits = [], [], []
+        for start, end in zip(starts, ends, strict=True):
+            after = min(((t, m) for t, m in zip(times, magnitudes, strict=True) if t > end), default=None)
+            certain = min(after[0], end + horizon) if after else end + horizon
+            if passed <= certain:
+                left.append((start, end))
+                waits.append(certain)
+            else:
+                hit = after is not None and after[0] <= end + horizon
+                out.append((key[0], start, pd.Timestamp(end, unit="s"), int(hit), after[1] if hit else None))
+        first = min((e for _, e in left), default=passed)
+        kept = [(t, m) for t, m in zip(times, magnitudes, strict=True) if t > min(first, passed)]
+        state.update(([s for s, _ in left], [e for _, e in left], [t for t, _ in kept], [m for _, m in kept]))
+        if waits:
+            state.setTimeoutTimestamp(int(max(min(waits), passed) * 1000) + 1)
+        if out:
+            yield pd.DataFrame(out, columns=["region", "start_idx", "end_time", "label", "next_magnitude"]).astype({"next_magnitude": "float64"})
+
+    at = lambda c: F.col(c).cast("timestamp").alias("at")
+    both = windows.select("region", "start_idx", at("end_time"), F.lit(None).cast("double").alias("magnitude")).unionByName(majors.select("region", F.lit(None).cast("long").alias("start_idx"), at("time"), "magnitude"))
+    marked = both.withWatermark("at", late).withColumn("seconds", F.unix_micros("at") / 1e6)
+    return marked.groupBy("region").applyInPandasWithState(step, LABELS, PENDING, "append", GroupStateTimeout.EventTimeTimeout)

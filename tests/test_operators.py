@@ -1,5 +1,6 @@
 """Operators against brute force, and queries against DuckDB at the smallest scale."""
 
+import io
 import math
 import random
 import struct
@@ -187,6 +188,19 @@ def test_miniseed_reads_and_merges(spark, tmp_path):
     assert one.npts == 13 and one.gap_mask == [False] * 7 + [True] * 3 + [False] * 3 and one.samples[7] == pytest.approx(12 + (4 - 12) / 4)
     spark.dataSource.register(miniseed.MiniSeedSource)
     assert spark.read.format("miniseed").load(str(tmp_path)).count() == 2
+    heads = spark.read.format("miniseed").option("headers_only", "true").load(str(tmp_path)).orderBy("starttime").collect()
+    assert [(r.npts, r.samples) for r in heads] == [(7, None), (3, None)]
+
+    class Counted(io.BytesIO):
+        taken = 0
+
+        def read(self, size=-1):
+            got = super().read(size)
+            self.taken += len(got)
+            return got
+
+    held = Counted((tmp_path / "x.mseed").read_bytes())
+    assert len(list(miniseed.records(held, headers_only=True))) == 2 and held.taken <= 2 * 64
 
 
 def test_live_windows(spark, tmp_path):
@@ -201,5 +215,21 @@ def test_live_windows(spark, tmp_path):
     assert [(r.start_idx, r.max_mag, r.mean_mag) for r in got] == [(k, k + 7.0, k + 3.5) for k in (0, 4, 8, 12)]
 
 
+def test_live_labels(spark, tmp_path):
+    """Windows are labelled once the watermark has passed the first major event after them, or their horizon."""
+    t = datetime(2024, 1, 1)
+    at = lambda d: t + timedelta(days=d)
+    spark.createDataFrame([("a", k, at(d)) for k, d in enumerate((1, 2, 10, 50))] + [("b", 0, at(3))], "region string, start_idx long, end_time timestamp").coalesce(1).write.parquet(f"{tmp_path}/w")
+    majors = [("a", at(2), 5.0), ("a", at(4), 6.0), ("a", at(3), 5.5), ("a", at(25), 7.0), ("a", at(80), 5.0), ("b", at(80), 5.0)]
+    spark.createDataFrame(majors, "region string, time timestamp, magnitude double").coalesce(1).write.parquet(f"{tmp_path}/m")
+    windows = spark.readStream.schema("region string, start_idx long, end_time timestamp").parquet(f"{tmp_path}/w")
+    events = spark.readStream.schema("region string, time timestamp, magnitude double").parquet(f"{tmp_path}/m")
+    q = live.live_labels(windows, events, 10).writeStream.format("memory").queryName("live_labels").outputMode("append").option("checkpointLocation", f"{tmp_path}/c").start()
+    q.processAllAvailable()
+    q.stop()
+    got = {(r.region, r.start_idx): (r.label, r.next_magnitude) for r in spark.table("live_labels").collect()}
+    assert got == {("a", 0): (1, 5.0), ("a", 1): (1, 5.5), ("a", 2): (0, None), ("a", 3): (0, None), ("b", 0): (0, None)}
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns[0] == "region" and set(entry.oracle_sql()) <= set(entry.queries())
