@@ -2,9 +2,12 @@
 
 Events are taken by falling magnitude (then time, then id). One is a main shock
 if no main shock before it in that order claims it: within T days to either side,
-within L km, and of no larger magnitude. A round settles each open event that all
-earlier claimers are settled for; the claims, found once by bins of time, latitude
-and longitude, are a table in the shared folder.
+within L km, and of no larger magnitude. Levels of magnitude are taken from the top: the
+events of a level that no larger main shock has claimed are settled among
+themselves, and then its main shocks claim smaller events, which go. So a claimed
+event claims nothing itself, and an aftershock sequence costs its size. Within a
+level, a round settles each open event that all earlier claimers are settled for;
+claims are found by bins of time, latitude and longitude.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from quakeframe.operators.sequence import micros
 from quakeframe.session import materialize
 
 KM_PER_DEGREE = 111.0
+#: Width of a magnitude class, and the least share of all events in a level of classes.
+MAGNITUDE_STEP, LEVEL_SHARE = 0.5, 0.1
 
 
 def window_km(m: Column) -> Column:
@@ -29,14 +34,19 @@ def window_days(m: Column) -> Column:
     return F.when(m >= 6.5, F.pow(F.lit(10.0), 0.032 * m + 2.7389)).otherwise(F.pow(F.lit(10.0), 0.5409 * m - 0.547))
 
 
-def claims(events: DataFrame, by: str = "region", magnitude_step: float = 0.5) -> DataFrame:
-    """(by, claimer, claimed): pairs of ids, claimer first in the order.
+def magnitude_class(step: float = MAGNITUDE_STEP) -> Column:
+    return F.ceil(F.col("magnitude") / step).cast("int")
+
+
+def claims(events: DataFrame, by: str = "region", claimed: DataFrame | None = None, magnitude_step: float = MAGNITUDE_STEP) -> DataFrame:
+    """(by, claimer, claimed): pairs of ids, claimer first in the order; the claimed ones of another table, if there is one.
 
     Magnitude classes share a bin size, the window of the class's upper end, so
     large windows don't make small ones coarse.
     """
-    rows = events.select(by, F.col("event_id").alias("id"), "time", "lat", "lon", F.col("magnitude").alias("m")).where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("m").isNotNull() & F.col("id").isNotNull())
-    classed = rows.withColumn("c", F.ceil(F.col("m") / magnitude_step).cast("int"))
+    known = F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("m").isNotNull() & F.col("id").isNotNull()
+    rows_of = lambda df: df.select(by, F.col("event_id").alias("id"), "time", "lat", "lon", F.col("magnitude").alias("m"), magnitude_class(magnitude_step).alias("c")).where(known)
+    classed = rows_of(events)
     sizes = classed.groupBy("c").agg(F.count(F.lit(1)).alias("n")).select(
         "c", (window_days(F.col("c") * magnitude_step) * 86_400e6).alias("bin_us"), (window_km(F.col("c") * magnitude_step) / KM_PER_DEGREE).alias("bin_lat")
     )
@@ -51,7 +61,7 @@ def claims(events: DataFrame, by: str = "region", magnitude_step: float = 0.5) -
     strong = classed.join(F.broadcast(sizes), "c").withColumn("dt", F.explode(around)).withColumn("dl", F.explode(around)).withColumn("tb", tb(F.col("dt"))).withColumn("lb", lb(F.col("dl")))
     strong = strong.withColumn("gb", F.explode(F.array_distinct(F.array(*(gb(d) for d in (-1, 0, 1))))))
     # each event meets the bins of every magnitude class (a few dozen) that is not below its own
-    weak = classed.withColumnRenamed("c", "own").join(F.broadcast(sizes), F.col("own") <= F.col("c")).withColumn("tb", tb(0)).withColumn("lb", lb(0)).withColumn("gb", gb(0))
+    weak = (classed if claimed is None else rows_of(claimed)).withColumnRenamed("c", "own").join(F.broadcast(sizes), F.col("own") <= F.col("c")).withColumn("tb", tb(0)).withColumn("lb", lb(0)).withColumn("gb", gb(0))
     a, b = strong.alias("a"), weak.alias("b")
     first = (F.col("a.m") > F.col("b.m")) | ((F.col("a.m") == F.col("b.m")) & (F.struct("a.time", "a.id") < F.struct("b.time", "b.id")))
     near = (F.abs(days_between(F.col("a.time"), F.col("b.time"))) <= window_days(F.col("a.m"))) & (haversine_km(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")) <= window_km(F.col("a.m")))
@@ -59,8 +69,8 @@ def claims(events: DataFrame, by: str = "region", magnitude_step: float = 0.5) -
     return joined.where(first & near).select(F.col(f"a.{by}").alias(by), F.col("a.id").alias("claimer"), F.col("b.id").alias("claimed"))
 
 
-def decluster(events: DataFrame, by: str = "region") -> DataFrame:
-    """events with is_main. Rounds go on until every event is settled; an event without an id has no claims and is main."""
+def _settled(events: DataFrame, by: str) -> DataFrame:
+    """(by, event_id, is_main) of events by the claims among them."""
     open_edges = materialize(claims(events, by), "claims")
     claimed_ids = open_edges.select(by, F.col("claimed").alias("event_id")).distinct()
     main = events.select(by, "event_id").join(claimed_ids, [by, "event_id"], "left_anti")  # nobody claims these
@@ -80,5 +90,36 @@ def decluster(events: DataFrame, by: str = "region") -> DataFrame:
         # claims of settled events are used up: they took the claimed event, or are void
         waiting = marked.where(F.col("claimer_main").isNull()).drop("claimer_main")
         open_edges = materialize(waiting.join(done_ids, [by, "claimed"], "left_anti").select(by, "claimer", "claimed"), "open")
-    final = reduce(DataFrame.unionByName, settled)
+    return reduce(DataFrame.unionByName, settled)
+
+
+def _levels(events: DataFrame) -> list[int]:
+    """The lowest class of each level, from the top; each but the last holds LEVEL_SHARE of the events at least."""
+    counts = events.where(F.col("c").isNotNull()).groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()  # a few dozen classes
+    total, held, out = sum(r["n"] for r in counts), 0, []
+    for k, r in enumerate(counts):
+        held += r["n"]
+        if held >= LEVEL_SHARE * total or k == len(counts) - 1:
+            out.append(r["c"])
+            held = 0
+    return out
+
+
+def decluster(events: DataFrame, by: str = "region") -> DataFrame:
+    """events with is_main. Rounds go on until every event is settled; an event without an id or magnitude has no claims and is main."""
+    rest = materialize(events.select(by, "event_id", "time", "lat", "lon", "magnitude", magnitude_class().alias("c")).where("c is not null"), "events")
+    parts = []
+    for lowest in _levels(rest):
+        settled = _settled(rest.where(F.col("c") >= lowest).drop("c"), by)
+        parts.append(settled)
+        mains = rest.where(F.col("c") >= lowest).join(settled.where("is_main").select(by, "event_id"), [by, "event_id"], "left_semi")
+        below = rest.where(F.col("c") < lowest)
+        if below.isEmpty():
+            break
+        gone = materialize(claims(mains, by, below).select(by, F.col("claimed").alias("event_id")).distinct(), "claimed")
+        parts.append(gone.withColumn("is_main", F.lit(False)))
+        rest = materialize(below.join(gone, [by, "event_id"], "left_anti").select(rest.columns), "events")
+    if not parts:
+        return events.withColumn("is_main", F.lit(True))
+    final = reduce(DataFrame.unionByName, parts)
     return events.join(final, [by, "event_id"], "left").withColumn("is_main", F.coalesce("is_main", F.lit(True)))
