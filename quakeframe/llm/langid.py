@@ -3,9 +3,10 @@
 Every language has one probability per piece of a fixed public vocabulary. A
 word's probability is the sum, by the forward algorithm, over all ways to cut it
 into pieces; pieces never cross white space, so a text's log-likelihood is the
-sum over its words. Expected piece counts (forward-backward, from the uniform
-start) are gathered over all training rows and added up by Spark; what reaches
-the driver is one number per language and piece.
+sum over its words. Words are counted by language over all training rows, and the
+expected piece counts (forward-backward, from the uniform start) of each distinct
+one are added up by Spark; what reaches the driver is one number per language and
+piece.
 
 Texts without a letter, null and empty texts are `und` with score 0. Words are
 lower-cased and ASCII punctuation separates words. A language with no training
@@ -30,11 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quakeframe.llm.words import MIX, mix64, slices, sum_by_text
+from quakeframe.session import materialize
 
 #: Probability, in every language, of a character that no piece covers.
 UNKNOWN = 1e-7
 #: Words longer than this are summed one at a time, rescaled at each position.
 LONG = 24
+#: Text whose distinct words are counted and scored at a time.
+SLICE_BYTES = 12 << 20
 #: Added to every expected count.
 PRIOR = 0.02
 
@@ -238,6 +242,20 @@ class LanguageModel:
     model: str | None = None
 
 
+def _word_table(rows: DataFrame, langs: list[str]) -> DataFrame:
+    """lang (its place in langs), word and n, how often it occurs, from rows (text, lang)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                coded, offsets = _words(part.column("text"))
+                lang = np.repeat(np.searchsorted(langs, part.column("lang").to_pylist()), np.diff(offsets))
+                pair, times = np.unique(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(langs) + lang, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pair % len(langs), pa.int32()), coded.dictionary.take(pa.array(pair // len(langs))).cast(pa.string()), pa.array(times, pa.int64())], names=["lang", "word", "n"])
+
+    return rows.mapInArrow(count, "lang int, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", model: str | None = None, iterations: int = 1) -> LanguageModel:
     """Fit on all rows of docs whose lang and text are not null."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
@@ -247,25 +265,19 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", model: str | No
     logs = np.full((size, max(1, len(langs))), np.log(1 / len(ids)))
     logs[-1] = np.log(UNKNOWN)
     shared = docs.sparkSession.sparkContext
+    words = materialize(_word_table(rows, langs), "words") if langs else None
     for _ in range(iterations if langs else 0):
         held = shared.broadcast(logs)
 
         def gather(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            own, total = held.value, None
+            total = np.zeros(held.value.shape)
             for batch in batches:
-                for part in slices(batch):
-                    coded, offsets = _words(part.column("text"))
-                    code = np.repeat(np.searchsorted(langs, part.column("lang").to_pylist()), np.diff(offsets))
-                    pair, times = np.unique(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(langs) + code, return_counts=True)
-                    words = coded.dictionary.take(pa.array(pair // len(langs))).to_pylist()
-                    got = expected_counts(words, pair % len(langs), times.astype(float), own, model)
-                    total = got if total is None else total + got
-            if total is not None:
-                at = np.nonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(at[0], pa.int64()), pa.array(at[1], pa.int64()), pa.array(total[at])], names=["piece", "lang", "n"])
+                total += expected_counts(batch.column("word").to_pylist(), batch.column("lang").to_numpy().astype(np.int64), batch.column("n").to_numpy().astype(float), held.value, model)
+            at = np.nonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at[0], pa.int64()), pa.array(at[1], pa.int64()), pa.array(total[at])], names=["piece", "lang", "n"])
 
         counts = np.full(logs.shape, 0.0)
-        summed = rows.mapInArrow(gather, "piece long, lang long, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n"))
+        summed = words.mapInArrow(gather, "piece long, lang long, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n"))
         got = summed.toPandas()  # at most one row for each language and piece
         counts[got["piece"], got["lang"]] = got["n"]
         known = np.array(sorted(ids.values()))
@@ -288,11 +300,11 @@ def predict(df: DataFrame, fitted: LanguageModel, text: str = "text") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, logs = held.value
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE_BYTES):
                 pred, score = [], []
                 coded, offsets = _words(part.column(text))
-                own = score_words(coded.dictionary.to_pylist(), logs, model)[coded.indices.to_numpy(zero_copy_only=False)]
-                total = np.stack([sum_by_text(own[:, k], offsets) for k in range(logs.shape[1])], axis=1)
+                own, at = score_words(coded.dictionary.to_pylist(), logs, model), coded.indices.to_numpy(zero_copy_only=False)
+                total = np.stack([sum_by_text(own[:, k][at], offsets) for k in range(logs.shape[1])], axis=1)
                 post = np.exp(total - total.max(axis=1, keepdims=True))
                 post /= post.sum(axis=1, keepdims=True)
                 best = total.argmax(axis=1)
