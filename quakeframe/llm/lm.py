@@ -4,7 +4,10 @@ A target model and a background model of the same form and over one vocabulary,
 all words of the corpus: bigrams with a Dirichlet prior, p(w | c) = (n(c, w) +
 PRIOR p(w)) / (n(c) + PRIOR), over unigrams p(w) = (n(w) + 1) / (n + size). A
 document's score is its loss per token under the target model less that under the
-background model; low scores look like the target.
+background model; low scores look like the target. Each document is left out of the
+models that score it: its own counts are taken from the background's, and from the
+target's if it is a target row, so that it isn't told by having been counted. A
+document that occurs twice is met by its other copy.
 
 All counts are of real words and pairs (64-bit hashes), cover every row and grow
 with the input; only totals reach the driver. Documents are cut into slices of
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quakeframe.llm.words import MIX, mix64, slices, sum_by_text, word_hashes
+from quakeframe.llm.words import MIX, give_back, mix64, slices, sum_by_text, word_hashes
 from quakeframe.session import materialize
 
 #: Weight of the unigrams behind each pair, in tokens.
@@ -65,13 +68,28 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def gram_keys(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Keys of the pair, the context and the word at each token, in rows of these three."""
-    before = np.full(len(words), START)
-    before[1:] = words[:-1]
-    before[offsets[:-1][np.diff(offsets) > 0]] = START
-    with np.errstate(over="ignore"):
-        return np.stack([mix64(mix64(before) * MIX + words), mix64(before ^ CONTEXT), mix64(words ^ WORD)])
+class Grams:
+    """Keys of a slice's distinct pairs, contexts and words, in order, and the place of each token's pair, context and word among them."""
+
+    def __init__(self, words: np.ndarray, tokens: np.ndarray, offsets: np.ndarray):
+        m = len(words)
+        before = np.full(len(tokens), m)
+        before[1:] = tokens[:-1]
+        before[offsets[:-1][np.diff(offsets) > 0]] = m
+        codes, back = np.unique(before * max(m, 1) + tokens, return_inverse=True)
+        hashes = np.append(words, START)
+        with np.errstate(over="ignore"):
+            pairs = mix64(mix64(hashes[codes // max(m, 1)]) * MIX + hashes[codes % max(m, 1)])
+        keys = np.concatenate([pairs, mix64(hashes ^ CONTEXT), mix64(words ^ WORD)])
+        order = np.argsort(keys, kind="stable")
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.arange(len(keys))
+        self.keys, self.is_word = keys[order], (order >= len(codes) + m + 1).astype(np.int64)
+        self.places = [place[back], place[len(codes) + before], place[len(codes) + m + 1 + tokens]]
+
+    def counts(self, mark: np.ndarray | None = None) -> np.ndarray:
+        """How often each key occurs, at the marked tokens."""
+        return sum(np.bincount(p if mark is None else p[mark], minlength=len(self.keys)) for p in self.places)
 
 
 def cut(df: DataFrame, text: str, target: str, kept: list[str]) -> DataFrame:
@@ -99,14 +117,15 @@ def cut(df: DataFrame, text: str, target: str, kept: list[str]) -> DataFrame:
     return df.select(*kept, text, target).mapInArrow(run, schema)
 
 
-def _held(row: dict, target: str) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of a slice, the words at its tokens, offsets, and which tokens are of target rows."""
+def _held(row: dict, target: str) -> tuple[pa.RecordBatch, Grams, np.ndarray, np.ndarray]:
+    """Rows of a slice, its grams, offsets, and which tokens are of target rows."""
     with pa.ipc.open_stream(row["rows"]) as stream:
         rows = stream.read_next_batch()
     own = unpack(row["words"], row["n_words"], "<u8")
     lengths = unpack(row["lengths"], row["n_rows"])
     mark = np.repeat(rows.column(target).to_numpy(zero_copy_only=False).astype(bool), lengths)
-    return rows, own[unpack(row["tokens"], row["n_tokens"])], np.concatenate([[0], np.cumsum(lengths)]), mark
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    return rows, Grams(own, unpack(row["tokens"], row["n_tokens"]), offsets), offsets, mark
 
 
 def asks(cut_up: DataFrame, shards: int, target: str) -> DataFrame:
@@ -116,19 +135,15 @@ def asks(cut_up: DataFrame, shards: int, target: str) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                _, words, offsets, mark = _held(row, target)
-                keys = gram_keys(words, offsets)
-                is_word = np.unique(keys[2])
-                keys, back = np.unique(keys.ravel(), return_inverse=True)
-                every = np.bincount(back, minlength=len(keys))
-                marked = np.bincount(back.reshape(3, -1)[:, mark].ravel(), minlength=len(keys))
-                word = np.zeros(len(keys), np.int64)
-                word[np.searchsorted(keys, is_word)] = 1
+                _, grams, _, mark = _held(row, target)
+                keys, every, marked, word = grams.keys, grams.counts(), grams.counts(mark), grams.is_word
                 edges = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
                 full = np.nonzero(np.diff(edges))[0]
                 cuts = [slice(edges[s], edges[s + 1]) for s in full]
                 columns = [pa.array(full, pa.int64()), pa.array([row["slice"]] * len(full), pa.int64()), pa.array([c.stop - c.start for c in cuts], pa.int64())]
                 columns += [pa.array([pack(x[c]) for c in cuts], pa.binary()) for x in (keys, every, marked, word)]
+                del grams, keys, every, marked, word
+                give_back()
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "shard long, slice long, n long, keys binary, every binary, marked binary, word binary"
@@ -164,16 +179,26 @@ def answers(asked: DataFrame) -> DataFrame:
                 total[0, own] += unpack(r["every"], r["n"])
                 total[1, own] += unpack(r["marked"], r["n"])
                 is_word[own] |= unpack(r["word"], r["n"]) > 0
+            del keys
             for k, r in enumerate(rows):
                 own = back[at[k] : at[k + 1]]
                 size = int(is_word.sum()) if k == 0 else 0
                 yield pa.RecordBatch.from_arrays([*(pa.array([x], pa.int64()) for x in (r["slice"], r["shard"], r["n"], size)), *(pa.array([pack(t[own])], pa.binary()) for t in total)], names=names)
+            del back, total, is_word, rows
+            give_back()
 
     schema = "slice long, shard long, n long, size long, every binary, marked binary"
     names = _names(schema)
     return asked.repartition("shard").sortWithinPartitions("shard", "slice").mapInArrow(run, schema)
 
 
+def own_counts(places: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How often each token's gram, by its place, occurs in the token's own document."""
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    _, at, n = np.unique(row * (int(places.max(initial=0)) + 1) + places, return_inverse=True, return_counts=True)
+    return n[at]
+
+
 def score_corpus(df: DataFrame, text: str = "text", target: str = "target") -> DataFrame:
     """Replaces text and target (boolean; null is false) by n_tokens (long), target_loss, background_loss and score
     (double: their difference per token). The background is all of df, the target model's rows are those with target."""
@@ -188,15 +213,17 @@ def score_corpus(df: DataFrame, text: str = "text", target: str = "target") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches, "slice"):
             first = next(r for r in rows if r["shard"] < 0)
-            held, words, offsets, _ = _held(first, target)
+            held, grams, offsets, mark = _held(first, target)
             replies = [r for r in rows if r["shard"] >= 0]
-            back = np.unique(gram_keys(words, offsets).ravel(), return_inverse=True)[1].reshape(3, -1)
+            own, length = [own_counts(p, offsets) for p in grams.places], np.repeat(np.diff(offsets), np.diff(offsets))
             losses = []
-            for name in ("marked", "every"):
-                n = np.concatenate([np.zeros(0), *(unpack(r[name], r["n"]) for r in replies)])
-                pair, context, word = n[back]
-                single = (word + 1) / (sums[name] + max(size, 1))
+            for name, counted in (("marked", mark), ("every", np.ones(len(mark), bool))):
+                n = np.concatenate([np.zeros(0, np.int64), *(unpack(r[name], r["n"]) for r in replies)])
+                pair, context, word = (n[p] - o * counted for p, o in zip(grams.places, own, strict=True))
+                single = (word + 1) / (sums[name] - length * counted + max(size, 1))
                 losses.append(-sum_by_text(np.log((pair + PRIOR * single) / (context + PRIOR)), offsets) / np.maximum(np.diff(offsets), 1))
+            del grams, own, length, pair, context, word, single, n, replies, rows
+            give_back()
             yield pa.RecordBatch.from_arrays([*(held.column(c) for c in kept), pa.array(np.diff(offsets), pa.int64()), *(pa.array(x) for x in (*losses, losses[0] - losses[1]))], names=[f.name for f in fields])
 
     both = cut_up.withColumn("shard", F.lit(-1).cast("long")).unionByName(replied.drop("size"), allowMissingColumns=True)

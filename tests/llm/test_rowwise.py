@@ -229,20 +229,19 @@ def test_toxicity_of_few_labels(spark):
 
 
 def brute_losses(tokens, good):
-    """Target and background loss of each token list; good: which of them the target is made of."""
+    """Target and background loss of each token list, by models that leave it out; good: which of them the target is made of."""
     size = len({w for t in tokens for w in t})
 
-    def model(rows):
+    def loss(own, rows):
         word = Counter(w for t in rows for w in t)
         pair = Counter(p for t in rows for p in zip([None, *t], t))
         context = Counter()
         for (c, _), n in pair.items():
             context[c] += n
         single = lambda w: (word[w] + 1) / (word.total() + size)
-        return lambda c, w: -math.log((pair[c, w] + lm.PRIOR * single(w)) / (context[c] + lm.PRIOR))
+        return -sum(math.log((pair[c, w] + lm.PRIOR * single(w)) / (context[c] + lm.PRIOR)) for c, w in zip([None, *own], own)) / max(1, len(own))
 
-    models = model([t for t, g in zip(tokens, good) if g]), model(tokens)
-    return [[sum(m(c, w) for c, w in zip([None, *t], t)) / max(1, len(t)) for m in models] for t in tokens]
+    return [[loss(t, [x for j, (x, g) in enumerate(zip(tokens, good)) if j != k and (g or not only)]) for only in (True, False)] for k, t in enumerate(tokens)]
 
 
 @pytest.mark.parametrize("slice_bytes", [40, 8 << 20])
@@ -263,7 +262,17 @@ def test_lm_losses(spark, monkeypatch, slice_bytes):
 def test_lm_without_rows_or_targets(spark):
     df = spark.createDataFrame([(1, "a b", False)], "doc_id long, text string, target boolean")
     assert lm.score_corpus(df.limit(0)).count() == 0
-    assert lm.score_corpus(df).first().target_loss == pytest.approx(math.log(2))
+    assert lm.score_corpus(df).first().target_loss == lm.score_corpus(df).first().background_loss == pytest.approx(math.log(2))
+
+
+def test_a_copy_is_met_by_the_other(spark):
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{rng.randrange(400)}" for _ in range(60))
+    rows = [(k, text(), k % 3 == 0) for k in range(90)]
+    rows += [(100, rows[1][1], False)]
+    got = {r.doc_id: r.score for r in lm.score_corpus(spark.createDataFrame(rows, "doc_id long, text string, target boolean")).collect()}
+    others = sorted(got[k] for k in range(2, 90))
+    assert min(got[1], got[100]) > others[-1] + 1
 
 
 SECRET_TEXTS = [
