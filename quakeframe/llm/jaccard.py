@@ -52,7 +52,7 @@ VERIFY_COST = 20.0
 #: Members and shingles of a chunk.
 CHUNK_ROWS, CHUNK_SHINGLES = 256, 400_000
 SKETCH_BITS = (16, 26)
-#: Members of groups up to this number are broadcast to fetch their texts (a few numbers each); more are joined by a shuffle.
+#: Members of groups up to this number are broadcast to fetch their texts, and so are their groups' sizes (a few numbers each); more are joined by a shuffle.
 BROADCAST_MEMBERS = 1_000_000
 SLOT_BITS = 28
 
@@ -215,9 +215,14 @@ def linked_pairs(sets: list[np.ndarray], chunk: np.ndarray, levels: np.ndarray,
     return out
 
 
-def _tiles(members: DataFrame, weight: Column, *columns: str) -> DataFrame:
+def _small(df: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(df) if few else df
+
+
+def _tiles(members: DataFrame, few: bool, weight: Column, *columns: str) -> DataFrame:
     """Members (leader, key, open, ...) once for each pair of chunks (i, j) that their own chunk is in. Chunks hold open members
-    or, with negative numbers, settled ones; a pair has an open chunk at least."""
+    or, with negative numbers, settled ones; a pair has an open chunk at least. Of few members, the groups' sizes are broadcast,
+    so that a large group stays where its members are."""
     is_open = F.col("open")
     part = lambda x, on: F.coalesce(F.sum(F.when(on, x)), F.lit(0))
     count = lambda on: F.ceil(F.greatest(part(F.lit(1), on) / CHUNK_ROWS, part(weight, on) / CHUNK_SHINGLES)).cast("int")
@@ -226,7 +231,7 @@ def _tiles(members: DataFrame, weight: Column, *columns: str) -> DataFrame:
     opened = F.sequence(F.lit(0), F.col("opened") - 1)
     closed = F.when(F.col("closed") > 0, F.sequence(-F.col("closed"), F.lit(-1))).otherwise(F.array().cast("array<int>"))
     return (
-        members.join(groups.drop("rows"), "leader")
+        members.join(_small(groups.drop("rows"), few), "leader")
         .withColumn("chunk", F.when(is_open, number).otherwise(-1 - number))
         .withColumn("other", F.explode(F.when(is_open, F.concat(opened, closed)).otherwise(opened)))
         .select("leader", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), *columns)
@@ -329,6 +334,7 @@ def links(docs: DataFrame, profile: DataFrame, levels: np.ndarray, noise: float,
     near = fits & (F.size(F.array_intersect("tokens", "first_tokens")) >= F.least(fewest("n"), fewest("first_n")))
     met = materialize(met.select("leader", "key", "n", "tokens", (~F.coalesce(near, F.lit(False))).alias("open"), (F.col("short") == F.col("leader")).alias("is_leader")), "met")
     kind = dict(rows.dtypes)["key"]
+    few_met = met.count() <= BROADCAST_MEMBERS
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: set = set()
@@ -343,18 +349,18 @@ def links(docs: DataFrame, profile: DataFrame, levels: np.ndarray, noise: float,
         if kept:
             yield _pairs(kept, kind)
 
-    sifted = _dealt(_tiles(met, F.size("tokens"), "key", "n", "tokens")).mapInArrow(sift, f"leader long, key {kind}")
+    sifted = _dealt(_tiles(met, few_met, F.size("tokens"), "key", "n", "tokens")).mapInArrow(sift, f"leader long, key {kind}")
     sizes = classes.groupBy("key").agg(F.max("n").alias("n"))
     alone = met.where("not open").groupBy("leader").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("leader")
-    stars = met.where("not open").join(alone, "leader", "left_semi").select("leader", "key")
+    stars = met.where("not open").join(_small(alone, few_met), "leader", "left_semi").select("leader", "key")
     members = materialize(stars.unionByName(sifted).distinct().join(sizes, "key"), "members")
     few = members.count() <= BROADCAST_MEMBERS
-    with_text = lambda side: rows.join(F.broadcast(side) if few else side, "key")
+    with_text = lambda side: rows.join(_small(side, few), "key")
 
     # each member that may be near its leader against the leader
     salts = F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("salts")
     star = members.join(stars, ["leader", "key"], "left_semi")
-    star = star.join(star.groupBy("leader").agg(salts), "leader")
+    star = star.join(_small(star.groupBy("leader").agg(salts), few), "leader")
     centre = met.where("is_leader").select("leader", "key").join(star.select("leader", "salts").distinct(), "leader")
     spokes = star.select("leader", F.pmod(F.xxhash64("key"), "salts").cast("int").alias("i"), F.lit(1).alias("j"), "key")
     spokes = spokes.unionByName(centre.select("leader", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("i"), F.lit(0).alias("j"), "key"))
@@ -382,7 +388,7 @@ def links(docs: DataFrame, profile: DataFrame, levels: np.ndarray, noise: float,
     dealt = with_text(spokes).select("leader", "i", "j", "key", "text").repartition("leader", "i").sortWithinPartitions("leader", "i", "j")
     held_up = materialize(dealt.mapInArrow(hold, f"leader long, key {kind}, linked boolean, a binary, b binary"), "stars")
     settled = held_up.groupBy("leader", "key").agg(F.min("linked").alias("linked"))
-    tiles = _tiles(members.join(settled, ["leader", "key"], "left").withColumn("open", ~F.coalesce("linked", F.lit(False))), F.col("n"), "key")
+    tiles = _tiles(members.join(settled, ["leader", "key"], "left").withColumn("open", ~F.coalesce("linked", F.lit(False))), few, F.col("n"), "key")
     texts = with_text(tiles).select("leader", "i", "j", "chunk", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
