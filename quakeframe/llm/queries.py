@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.llm import ann, bpe, decontaminate, jaccard, langid, licenses, lm, secrets, toxicity, urls
+from quakeframe.llm import ann, audit, bpe, decontaminate, fim, jaccard, langid, licenses, lm, secrets, shards, toxicity, urls
 from quakeframe.llm.words import key_fold
 
 
@@ -86,9 +86,23 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_corpus(rows)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_documents(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), _table(spark, sf_dir, "labels"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard(_table(spark, sf_dir, "documents").select("doc_id", "text"), 16)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_url_filter": op1_url_filter, "op2_byte_bpe": op2_byte_bpe, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_license_scan": op6_license_scan, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op9_nearest": op9_nearest, "op10_lm_score": op10_lm_score}
+    return {"op1_url_filter": op1_url_filter, "op2_byte_bpe": op2_byte_bpe, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_decontaminate": op5_decontaminate, "op6_license_scan": op6_license_scan, "op7_language_id": op7_language_id, "op8_jaccard_join": op8_jaccard_join, "op9_nearest": op9_nearest, "op10_lm_score": op10_lm_score, "op11_filter_audit": op11_filter_audit, "op12_fill_in_middle": op12_fill_in_middle, "op13_sharding": op13_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": urls.duckdb_sql(), "op3_secret_scan": secrets.duckdb_sql(), "op8_jaccard_join": jaccard.duckdb_sql(4, 85)}
+    return {"op1_url_filter": urls.duckdb_sql(), "op3_secret_scan": secrets.duckdb_sql(), "op8_jaccard_join": jaccard.duckdb_sql(4, 85), "op11_filter_audit": audit.duckdb_sql(), "op12_fill_in_middle": fim.duckdb_sql(), "op13_sharding": shards.duckdb_sql()}

@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_jaccard_join": ["doc_id", "n_shingles", "component_id"],
     "op9_nearest": ["query_id", "rank", "vec_id", "score"],
     "op10_lm_score": ["doc_id", "n_tokens", "score"],
+    "op11_filter_audit": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
+    "op12_fill_in_middle": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
+    "op13_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
 }
 
 
@@ -30,7 +33,7 @@ def test_query(spark, name):
     sql = queries.oracle_sql().get(name)
     if sql:
         db = duckdb.connect()
-        for t in ("documents", "pages"):
+        for t in ("documents", "pages", "labels"):
             db.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
         want = db.sql(sql)
         at = [want.columns.index(c) for c in got.columns]
