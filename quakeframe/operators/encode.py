@@ -105,16 +105,14 @@ def spectrogram_images(windows: DataFrame, n_fft: int = 256, hop: int | None = N
         raise ValueError(f"normalize is one of {NORMALIZED}")
     step = hop or n_fft // 4
 
-    def kernel(x: np.ndarray) -> list:
+    def kernel(x: np.ndarray) -> tuple:
         size = x.shape[1] // 3
         if size <= n_fft // 2:
-            return [(None, None, None)] * len(x)
-        out = []
-        for row in x:
-            db = decibels(row.reshape(3, size), n_fft, step, np.inf)
-            db = np.maximum(db, db.max() - top_db)
-            out.append((db.ravel().tolist(), db.shape[1], db.shape[2]))
-        return out
+            return None, None, None
+        db = decibels(x.reshape(-1, size), n_fft, step, np.inf)
+        freq, frames = db.shape[1:]
+        own = db.reshape(len(x), -1)
+        return np.maximum(own, own.max(axis=1, keepdims=True) - top_db), np.full(len(x), freq), np.full(len(x), frames)
 
     fields = [T.StructField("__db", T.ArrayType(T.DoubleType())), T.StructField("freq", T.IntegerType()), T.StructField("frames", T.IntegerType())]
     rows = windows if "profile" in windows.columns else windows.withColumn("profile", F.lit(None).cast("array<double>"))
@@ -157,7 +155,7 @@ def resample(df: DataFrame, column: str, fs_from: float, fs_to: float, size: int
     g = math.gcd(up, down)
     up, down = up // g, down // g
 
-    def kernel(x: np.ndarray) -> list:
+    def kernel(x: np.ndarray) -> tuple:
         if up != down:
             half = 10 * max(up, down)
             t = np.arange(-half, half + 1)
@@ -169,6 +167,6 @@ def resample(df: DataFrame, column: str, fs_from: float, fs_to: float, size: int
             x = np.array([np.convolve(r, taps)[half : half + len(r)][::down] for r in wide])[:, :n]
         out = np.zeros((len(x), size))
         out[:, : min(size, x.shape[1])] = x[:, :size]
-        return [(r.tolist(),) for r in out]
+        return (out,)
 
     return by_length(df, column, kernel, [T.StructField(column, T.ArrayType(T.DoubleType()))], [pa.list_(pa.float64())])
