@@ -8,14 +8,18 @@ part of a sample vector's neighbours from the vector. It routes every vector of
 the table to its most probable part, and every query to several; parts are cut
 into cells of bounded size, so a part that holds a third of all rows, or one very
 common vector, is spread over tasks. Queries meet each cell of their parts in
-blocks, and the best of all cells are reranked exactly in double precision. How
-much probability a query probes is measured on the sample: so much that AIM of the
-sample's nearest lie in the parts probed. Vectors that cluster need few parts,
-random directions most of them.
+blocks, and a cell that very many queries ask is copied so that they are dealt over
+tasks. How much probability a query probes is measured on a bounded sample of the
+queries themselves and their true nearest among all rows, found by a pass over the table: so much that AIM
+of these lie in the parts probed. The classifier learns from a sample of the queries, too. Vectors that
+cluster need few parts, random directions most of them.
+
+A cell's best are chosen by a matrix product, with a margin for its rounding; each of them then gets its score by a
+sum in one fixed order, so equal vectors have equal scores wherever they stand. Ties go to the smaller id.
 
 Vectors that are null, zero, of another length than the usual one, or that hold
 null or non-finite components take no part, neither as queries nor as
-candidates; rows with a null id neither. Ties go to the smaller id. Each row is its
+candidates; rows with a null id neither. Each row is its
 own candidate and its own query: an id that occurs twice is two candidates, and two
 queries that find each other. Further columns are ignored, an empty table gives no
 rows.
@@ -36,17 +40,21 @@ from quakeframe.session import materialize
 
 #: Vectors that the parts and the classifier are learned from, at most.
 SAMPLE_ROWS = 20_000
+#: Queries that the classifier is trained on, and queries whose true neighbours are found to measure how much to probe, at most.
+TRAINING_QUERIES, MEASURED_QUERIES = 4_000, 500
 #: Neighbours of a sample vector in the graph.
 GRAPH_DEGREE = 16
 #: There is a part for each PART_ROOT in the root of the number of rows, and PART_SAMPLE vectors of the sample in each at least.
 PART_ROOT, PART_SAMPLE = 8, 50
 HIDDEN = 64
-#: Share of the sample's neighbours that its vectors must find in the parts they probe.
+#: Share of the measured queries' true neighbours that must lie in the parts they probe.
 AIM = 0.97
 #: A query is routed to parts until their probabilities add up to what is probed, to this share of the parts at least.
 LEAST_SHARE = 0.02
 #: Rows of a cell, and queries in a block.
 CELL_ROWS, BLOCK_QUERIES = 2_000, 1_000
+#: Queries that meet a cell in one task, about.
+CELL_QUERIES = 20_000
 
 
 def usable(vector: Column, width: int | None = None) -> Column:
@@ -167,25 +175,66 @@ def route(router: Router, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.cumsum(own, axis=1) - own
 
 
-def probability_needed(router: Router, x: np.ndarray, graph: np.ndarray) -> float:
-    """The probability before the part that a vector's neighbour is in, at quantile AIM of all vectors and neighbours."""
-    order, before = route(router, x)
+def probability_needed(router: Router, queries: np.ndarray, near: np.ndarray) -> float:
+    """The probability before the part that a query's neighbour is in, at quantile AIM of all pairs (rows of queries and near)."""
+    if not len(queries):
+        return 1.0
+    order, before = route(router, queries)
     rank = np.argsort(order, axis=1)
-    needed = np.take_along_axis(before, np.take_along_axis(rank, order[:, 0][graph], axis=1), axis=1)
-    return float(np.quantile(needed, AIM)) if needed.size else 1.0
+    part = route(router, near)[0][:, 0]
+    at = rank[np.arange(len(part)), part]
+    return float(np.quantile(before[np.arange(len(part)), at], AIM, method="higher"))
 
 
-def learn(sample: np.ndarray, rows: int) -> Router:
-    """Parts and router from a sample of a table with so many rows."""
+def learn(sample: np.ndarray, rows: int, queries: np.ndarray) -> Router:
+    """Parts and router from a sample of a table with so many rows and a sample of the queries."""
     parts = int(min(max(round(math.sqrt(rows) / PART_ROOT), 1), max(1, len(sample) // PART_SAMPLE)))
     graph = neighbour_graph(sample, GRAPH_DEGREE)
     part = balanced_parts(graph, parts)
     target = np.zeros((len(sample), parts))
     np.add.at(target, (np.arange(len(sample)), part), 2.0)
     np.add.at(target, (np.repeat(np.arange(len(sample)), graph.shape[1]), part[graph].ravel()), 1.0)
-    router = train_router(sample, target / target.sum(axis=1, keepdims=True))
-    router.probed = probability_needed(router, sample, graph)
-    return router
+    asked = np.zeros((len(queries), parts))
+    degree = min(GRAPH_DEGREE, len(sample))
+    for a in range(0, len(queries), 128):
+        near = np.argpartition(queries[a : a + 128] @ sample.T, len(sample) - degree, axis=1)[:, -degree:]
+        np.add.at(asked, (np.repeat(np.arange(a, a + len(near)), degree), part[near].ravel()), 1.0)
+    target = np.vstack([target, asked])
+    return train_router(np.vstack([sample, queries]), target / target.sum(axis=1, keepdims=True))
+
+
+def true_nearest(good: DataFrame, row: np.ndarray, queries: np.ndarray, nearest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query vector, vector of one of its nearest among all rows but its own), by a pass over the table; queries are few."""
+    width = queries.shape[1]
+    held = good.sparkSession.sparkContext.broadcast((row, queries))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, q = held.value
+        top = np.full((len(q), 0), 0.0)
+        vectors = np.zeros((len(q), 0, width))
+        for batch in batches:
+            x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            own = batch.column("row").to_numpy(zero_copy_only=False)
+            for a in range(0, len(x), 4096):
+                score = q @ x[a : a + 4096].T
+                score[rows[:, None] == own[None, a : a + 4096]] = -np.inf
+                n = min(nearest, score.shape[1])
+                at = np.argpartition(-score, n - 1, axis=1)[:, :n]
+                top = np.hstack([top, np.take_along_axis(score, at, axis=1)])
+                vectors = np.concatenate([vectors, x[a + at]], axis=1)
+                keep = np.argsort(-top, axis=1, kind="stable")[:, :nearest]
+                top, vectors = np.take_along_axis(top, keep, axis=1), np.take_along_axis(vectors, keep[:, :, None], axis=1)
+        if top.shape[1]:
+            number = np.repeat(np.arange(len(q)), top.shape[1])
+            flat = vectors.reshape(len(number), width)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(number) + 1) * width, pa.int32()), pa.array(flat.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(top.ravel()), lists], names=["q", "score", "v"])
+
+    found = good.select("row", "v").mapInArrow(best, "q long, score double, v array<double>")
+    kept = found.where(F.col("score") > float("-inf")).groupBy("q").agg(F.expr(f"slice(sort_array(collect_list(struct(score, v)), false), 1, {nearest})").alias("n"))
+    got = kept.select("q", F.explode("n.v").alias("v")).toArrow()  # MEASURED_QUERIES x nearest rows at most
+    near = got.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return queries[got.column("q").to_numpy()], near
 
 
 def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", nearest: int = 20) -> DataFrame:
@@ -198,8 +247,15 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
         return spark.createDataFrame([], schema)
     width, rows = usual["w"], usual["count"]
     good = sized.where(usable(F.col("v"), width))
-    sample = good.orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(SAMPLE_ROWS).select("v").toPandas()
-    held = spark.sparkContext.broadcast(learn(np.stack(sample["v"].to_list()), rows))
+    numbered = materialize(good.select(F.monotonically_increasing_id().alias("row"), "id", "v", "q"), "vectors")  # rows are told apart by a number
+    drawn = lambda of, seed, most: of.orderBy(F.xxhash64(F.lit(seed), "row"), "row").limit(most).select("row", "v").toPandas()
+    matrix = lambda got: np.stack(got["v"].to_list()) if len(got) else np.zeros((0, width))
+    queries = numbered.where("q")
+    sample, asking, measured = drawn(numbered, 3, SAMPLE_ROWS), drawn(queries, 6, TRAINING_QUERIES), drawn(queries, 7, MEASURED_QUERIES)
+    router = learn(matrix(sample), rows, matrix(asking))
+    if len(measured):
+        router.probed = probability_needed(router, *true_nearest(numbered, measured["row"].to_numpy(), matrix(measured), nearest))
+    held = spark.sparkContext.broadcast(router)
 
     def routed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,29 +267,29 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
             probes = [o[:n].tolist() for o, n in zip(order, take, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), batch.column("v"), batch.column("q"), pa.array(order[:, 0].astype(np.int32)), pa.array(probes, pa.list_(pa.int32()))], names=["row", "id", "v", "q", "part", "probes"])
 
-    # rows are told apart by a number that the table, once written, holds fast
-    numbered = good.select(F.monotonically_increasing_id().alias("row"), "id", "v", "q")
     routed = materialize(numbered.mapInArrow(routed_rows, "row long, id long, v array<double>, q boolean, part int, probes array<int>"), "routed")
-    sizes = routed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("cells"))  # a row a part
+    probed = routed.where("q").select(F.explode("probes").alias("part")).groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CELL_QUERIES).cast("int").alias("copies"))
+    sizes = routed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("cells")).join(probed, "part")  # a row a part
     cell = F.pmod(F.xxhash64(F.lit(4), "row"), "cells").cast("int").alias("cell")
-    base = routed.join(F.broadcast(sizes), "part").select("part", cell, F.lit(-1).alias("block"), "row", "id", "v", F.lit(False).alias("q"))
+    base = routed.join(F.broadcast(sizes), "part").select("part", cell, F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(-1).alias("block"), "row", "id", "v", F.lit(False).alias("q"))
     n_blocks = max(1, math.ceil(routed.where("q").count() / BLOCK_QUERIES))
     block = F.pmod(F.xxhash64(F.lit(5), "row"), F.lit(n_blocks)).cast("int").alias("block")
     asked = routed.where("q").select(F.explode("probes").alias("part"), block, "row", "id", "v")
-    asked = asked.join(F.broadcast(sizes), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), "block", "row", "id", "v", F.lit(True).alias("q"))
+    copy = F.pmod("block", "copies").cast("int").alias("copy")
+    asked = asked.join(F.broadcast(sizes), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), copy, "block", "row", "id", "v", F.lit(True).alias("q"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come by cell, a cell's candidates before its queries."""
         now, rows_of, ids, vectors = None, [], [], []
         for batch in batches:
             x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            part, cell_of, row, own, q = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "cell", "row", "id", "q"))
-            edges = np.nonzero((np.diff(part) != 0) | (np.diff(cell_of) != 0) | (np.diff(q.astype(np.int8)) != 0))[0] + 1
+            part, cell_of, copy_of, row, own, q = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "cell", "copy", "row", "id", "q"))
+            edges = np.nonzero((np.diff(part) != 0) | (np.diff(cell_of) != 0) | (np.diff(copy_of) != 0) | (np.diff(q.astype(np.int8)) != 0))[0] + 1
             for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(own)], strict=True):
                 if a == b:
                     continue
-                if (part[a], cell_of[a]) != now:
-                    now, rows_of, ids, vectors = (part[a], cell_of[a]), [], [], []
+                if (part[a], cell_of[a], copy_of[a]) != now:
+                    now, rows_of, ids, vectors = (part[a], cell_of[a], copy_of[a]), [], [], []
                 if not q[a]:
                     rows_of.append(row[a:b])
                     ids.append(own[a:b])
@@ -241,7 +297,7 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
                 elif ids:
                     yield _best(row[a:b], own[a:b], x[a:b], np.concatenate(rows_of), np.concatenate(ids), np.vstack(vectors), nearest, int(part[a]) * 31 + int(cell_of[a]))
 
-    dealt = base.unionByName(asked).repartition("part", "cell").sortWithinPartitions("part", "cell", "q", "block")
+    dealt = base.unionByName(asked).repartition("part", "cell", "copy").sortWithinPartitions("part", "cell", "copy", "q", "block")
     kind = "array<struct<away:double,vec_id:bigint>>"
     found = dealt.mapInArrow(meet, f"row long, query_id long, cell long, near {kind}")
     best = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, nearest).alias("near")
@@ -251,18 +307,27 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
 
 
 def _best(queries: np.ndarray, names: np.ndarray, q: np.ndarray, rows: np.ndarray, ids: np.ndarray, v: np.ndarray, nearest: int, cell: int) -> pa.RecordBatch:
-    """Each query's nearest of one cell, by away (the product's negative); its own row is left out."""
+    """Each query's nearest of one cell, by away (the score's negative); its own row is left out.
+
+    Products and fixed-order sums are both within width units of rounding of the truth, so the margin holds all that may be among the best.
+    """
     out = []
-    order = np.argsort(ids, kind="stable")
-    rows, ids, v = rows[order], ids[order], v[order]
+    n = min(nearest, len(ids))
+    margin = 8 * v.shape[1] * np.finfo(float).eps * np.sqrt((v * v).sum(axis=1).max())
     for a in range(0, len(q), 256):
-        score = q[a : a + 256] @ v.T
+        asked = q[a : a + 256]
+        score = asked @ v.T
         score[rows[None, :] == queries[a : a + 256, None]] = -np.inf
-        n = min(nearest, len(ids))
         edge = -np.partition(-score, n - 1, axis=1)[:, n - 1]
-        for row, least in zip(score, edge, strict=True):
-            at = np.nonzero((row >= least) & (row > -np.inf))[0]
-            at = at[np.lexsort((ids[at], -row[at]))][:n]
-            out.append([{"away": -float(row[k]), "vec_id": int(ids[k])} for k in at])
+        near = (score >= (edge - margin * np.sqrt((asked * asked).sum(axis=1)))[:, None]) & (score > -np.inf)
+        of, at = np.nonzero(near)
+        exact = np.zeros(len(of))
+        for k in range(v.shape[1]):
+            exact += asked[of, k] * v[at, k]
+        order = np.lexsort((ids[at], -exact, of))
+        of, at, exact = of[order], at[order], exact[order]
+        starts = np.searchsorted(of, np.arange(len(asked) + 1))
+        for x, y in zip(starts[:-1], np.minimum(starts[1:], starts[:-1] + n), strict=True):
+            out.append([{"away": -s, "vec_id": i} for s, i in zip(exact[x:y].tolist(), ids[at[x:y]].tolist(), strict=True)])
     kind = pa.list_(pa.struct([("away", pa.float64()), ("vec_id", pa.int64())]))
     return pa.RecordBatch.from_arrays([pa.array(queries, pa.int64()), pa.array(names, pa.int64()), pa.array([cell] * len(queries), pa.int64()), pa.array(out, kind)], names=["row", "query_id", "cell", "near"])

@@ -172,12 +172,78 @@ def test_clusters_are_probed_in_few_parts():
     clustered = centres[rng.integers(0, 40, 4000)] + 0.3 * rng.normal(size=(4000, 24))
     share = {}
     for name, x in (("clustered", clustered), ("random", rng.normal(size=(4000, 24)))):
-        router = ann.learn(x, 40_000)
+        router = ann.learn(x, 40_000, x[:0])
+        near = ann.neighbour_graph(x, 16)[:300]
+        router.probed = ann.probability_needed(router, np.repeat(x[:300], 16, axis=0), x[near.ravel()])
         _, before = ann.route(router, x)
         share[name] = (before <= router.probed).mean()
     assert share["clustered"] < 0.5 * share["random"]
 
 
+def exact_nearest(x, queries, nearest=20):
+    """Every pair by one fixed-order double sum; ties to the smaller id."""
+    x = x.astype(float)
+    out = {}
+    for q in queries:
+        score = np.zeros(len(x))
+        for k in range(x.shape[1]):
+            score += x[q, k] * x[:, k]
+        score[q] = -np.inf
+        out[q] = [(score[i], i) for i in np.lexsort((np.arange(len(x)), -score))[:nearest].tolist()]
+    return out
+
+
+def unlike_queries():
+    """Tables whose queries differ from the other rows: repeated vectors and others as queries, and clusters with queries between."""
+    rng = np.random.default_rng(11)
+    repeated = rng.normal(size=(20, 32))[rng.integers(0, 20, 3000)]
+    repeated[::20] = rng.normal(size=(150, 32))
+    centres = 6 * rng.normal(size=(60, 32))
+    clusters = centres[rng.integers(0, 60, 6000)] + 0.2 * rng.normal(size=(6000, 32))
+    clusters[::20] = (centres[rng.integers(0, 60, 300)] + centres[rng.integers(0, 60, 300)]) / 2 + 0.5 * rng.normal(size=(300, 32))
+    return {"repeated": repeated.astype(np.float32), "clusters": clusters.astype(np.float32)}
+
+
+@pytest.mark.parametrize("name", ["repeated", "clusters"])
+def test_nearest_where_queries_differ_from_the_table(spark, name):
+    x = unlike_queries()[name]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(5)
+    found = {}
+    for r in ann.search(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    want = exact_nearest(x, range(0, len(x), 20))
+    assert set(found) == set(want) and all(len(f) == 20 for f in found.values())
+    assert all(f == sorted(f, key=lambda p: (-p[0], p[1])) for f in found.values())
+    hit = sum(len({i for _, i in found[q]} & {i for _, i in want[q]}) for q in want)
+    assert hit >= 0.9 * 20 * len(want)
+    by_id = {q: dict((i, s) for s, i in own) for q, own in want.items()}
+    assert all(by_id[q].get(i, s) == s for q, own in found.items() for s, i in own)  # the very bits
+
+
+def test_ties_keep_their_order_in_cells_of_any_size():
+    rng = np.random.default_rng(12)
+    one = rng.normal(size=(1, 64))
+    queries = rng.normal(size=(100, 64))
+    for n in (100, 333, 1001, 2000):
+        ids = rng.permutation(10 * n)[:n]
+        got = ann._best(np.arange(100) + 10**6, np.arange(100), queries, np.arange(n), ids, np.repeat(one, n, axis=0), 20, 0)
+        assert all([p["vec_id"] for p in row] == sorted(ids.tolist())[:20] and len({p["away"] for p in row}) == 1 for row in got.column("near").to_pylist())
+
+
+def test_a_cell_of_many_queries_is_copied(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CELL_QUERIES", 7)
+    monkeypatch.setattr(ann, "BLOCK_QUERIES", 3)
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(600, 8)).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    want = exact_nearest(x, range(0, 600, 20))
+    hit = sum(len(set(got[q]) & set(want[q])) for q in want)
+    assert len(got) == 30 and hit >= 0.9 * 600
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(9)
     graph = ann.neighbour_graph(rng.normal(size=(500, 8)), 8)
