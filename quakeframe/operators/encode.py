@@ -28,20 +28,21 @@ def role_components(letters: Column) -> Column:
     return F.when(chosen[0].isNotNull() & chosen[1].isNotNull() & chosen[2].isNotNull(), F.array(*chosen))
 
 
-def stations(traces: DataFrame, by: list[str]) -> DataFrame:
+def stations(traces: DataFrame, by: list[str], also: tuple[str, ...] = ()) -> DataFrame:
     """One row a station record with z, n, e samples and fs, where all roles are there at one sampling rate; the longest trace of a component wins.
 
-    Of traces with gap_mask (array of boolean), also mask_z, mask_n and mask_e.
+    Of traces with gap_mask (array of boolean), also mask_z, mask_n and mask_e. Columns named in also come for each component, as name_z and so on.
     """
     masked = "gap_mask" in traces.columns
-    held = F.struct("samples", "sampling_rate", *(["gap_mask"] if masked else []))
+    held = F.struct("samples", "sampling_rate", *(["gap_mask"] if masked else []), *also)
     longest = traces.groupBy(*by, "component").agg(F.max_by(held, F.struct(F.size("samples"), "sampling_rate")).alias("t"))
     grouped = longest.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("component", "t"))).alias("m"))
     chosen = grouped.withColumn("c", role_components(F.map_keys("m"))).where(F.col("c").isNotNull())
     got = chosen.select(*by, *(F.element_at("m", F.col("c")[k]).alias(name) for k, name in enumerate("zne")))
     same = (F.col("z.sampling_rate") == F.col("n.sampling_rate")) & (F.col("n.sampling_rate") == F.col("e.sampling_rate"))
     masks = [F.col(f"{c}.gap_mask").alias(f"mask_{c}") for c in "zne"] if masked else []
-    return got.where(same).select(*by, F.col("z.sampling_rate").alias("fs"), *(F.col(f"{c}.samples").alias(c) for c in "zne"), *masks)
+    more = [F.col(c)[a].alias(f"{a}_{c}") for a in also for c in "zne"]
+    return got.where(same).select(*by, F.col("z.sampling_rate").alias("fs"), *(F.col(f"{c}.samples").alias(c) for c in "zne"), *masks, *more)
 
 
 def _sigma(x: Column) -> Column:

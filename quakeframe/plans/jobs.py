@@ -289,6 +289,36 @@ def anchored_windows(traces: DataFrame, seconds: list[float], before: float = 0.
     return rows.drop("__at", "__size", "__s")
 
 
+def ground_motion_records(traces: DataFrame, responses: DataFrame, short: float = 1.0, long: float = 10.0, on: float = 3.5, corners: tuple[float, float, float, float] | None = (0.05, 0.1, 40.0, 45.0), water_level: float = 60.0) -> DataFrame:
+    """What ground_motion_dataset takes, of raw counts: a row a station record with an arrival, its counts (raw_z, raw_n, raw_e) and
+    their ground motion by the response in force at its start (vel_ and acc_), cut to the shortest component; response_ok only if
+    all three components have a response.
+
+    traces: file_path, station_key, network, station, channel, component, starttime, sampling_rate, samples and, if known, gap_mask.
+    """
+    by = ["file_path", "station_key"]
+    arrivals = picked(traces, by, short, long, on).where(F.col("arrival").isNotNull())
+    moved = groundmotion.without_response(traces, responses, corners=corners, water_level=water_level)
+    rows = encode.stations(moved, by, ("vel", "acc", "response_ok", "sens_mismatch")).join(arrivals, by)
+    n = F.least(*(F.size(c) for c in "zne"))
+    rows = rows.withColumn("__n", n).where("__n > 0")
+    fit = lambda c: F.slice(c, F.lit(1), F.col("__n"))
+    masked = sum(F.size(F.filter(fit(f"mask_{c}"), lambda v: v)) for c in "zne") / (3.0 * F.col("__n")) if "mask_z" in rows.columns else F.lit(0.0)
+    stem = F.regexp_extract("file_path", r"([^/]*?)(?:\.[^./]*)?$", 1)
+    return rows.select(
+        *by,
+        event_id(stem).alias("event_id"),
+        "fs",
+        "arrival",
+        F.col("best_ratio").alias("max_cft"),
+        masked.alias("n_masked_frac"),
+        (F.col("response_ok_z") & F.col("response_ok_n") & F.col("response_ok_e")).alias("response_ok"),
+        F.greatest(*(f"sens_mismatch_{c}" for c in "zne")).alias("sens_mismatch"),
+        *(fit(c).alias(f"raw_{c}") for c in "zne"),
+        *(fit(f"{k}_{c}").alias(f"{k}_{c}") for k in ("vel", "acc") for c in "zne"),
+    )
+
+
 def ground_motion_dataset(records: DataFrame, events: DataFrame, stations: DataFrame, target: str = "vel") -> tuple[DataFrame, DataFrame]:
     """Rows with the input window of target (vel or acc; three arrays in cm/s or cm/s2) and peak labels, events in one split each;
     and the records that have no usable response or room for the input, with the reason.

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quakeframe.functions import columns as C
-from quakeframe.operators import dsp
+from quakeframe.operators import dsp, groundmotion
+from quakeframe.operators import long as L
 from quakeframe.operators import signal as G
+from quakeframe.operators.sequence import running
+from quakeframe.operators.split import with_total
 from quakeframe.plans import fixtures as X
 from quakeframe.plans.fixtures import CATALOG_SQL, TRACES_SQL
 
@@ -147,4 +150,61 @@ def lyapunov(spark, sf_dir):
     return dsp.lyapunov(X.traces(spark, sf_dir)).select("trace", F.round("lyapunov", 9).alias("lyapunov"))
 
 
+def corrected(spark, sf_dir):
+    """Each trace as velocity and acceleration: a pole and a zero a label, whose gain doubles on day 100 of 2024; a day a trace."""
+    t = X.table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("samples"), F.concat(F.lit("S"), "label").alias("station"), "label")
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    day = lambda d: F.timestamp_micros(F.unix_micros(start.cast("timestamp")) + d * 86_400_000_000).cast("timestamp_ntz")
+    names = [F.lit("N").alias("network"), "station", F.lit("HHZ").alias("channel")]
+    traces = t.select(*names, "vec_id", day(F.col("vec_id") % 200).alias("starttime"), F.lit(64.0).alias("sampling_rate"), "samples")
+    pair = lambda re: F.array(F.struct(re.cast("double").alias("re"), F.lit(0.0).alias("im")))
+    epoch = lambda k, a, b: F.struct(a.alias("epoch_start"), b.alias("epoch_end"), F.array(F.lit(10.0) * k, F.col("label") + 1.0).alias("stage_gains"))
+    never = F.lit(None).cast("timestamp_ntz")
+    epochs = t.select("station", "label").distinct().select(*names, "label", F.inline(F.array(epoch(1, never, day(F.lit(100))), epoch(2, day(F.lit(100)), never))))
+    responses = epochs.withColumns({"input_unit": F.lit("M/S"), "sensitivity": F.lit(None).cast("double"), "poles": pair(-4.0 - F.col("label")), "zeros": pair(F.lit(0.0)), "a0": F.lit(1.0), "norm_hz": F.lit(None).cast("double")})
+    got = groundmotion.without_response(traces, responses, corners=(0.5, 1.0, 20.0, 30.0))
+    nth = lambda c, k: F.round(F.element_at(c, k) * 1000, 7)
+    return got.select("vec_id", nth("vel", 20).alias("vel_20"), nth("vel", 50).alias("vel_50"), nth("acc", 20).alias("acc_20"), nth("acc", 64).alias("acc_64"))
+
+
+_TAPER = "CASE WHEN f < 0.5 OR f > 30 THEN 0.0 WHEN f < 1 THEN 0.5 - 0.5 * cos(pi() * (f - 0.5) / 0.5) WHEN f <= 20 THEN 1.0 ELSE 0.5 + 0.5 * cos(pi() * (f - 20) / 10) END"
+CORRECTED_SQL = f"""WITH t AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS s, CASE WHEN vec_id % 200 < 100 THEN 10.0 ELSE 20.0 END * (label + 1) AS g, 4.0::DOUBLE + label AS a FROM embeddings),
+x AS (SELECT vec_id, k, (s[k + 1] - list_avg(s)) * CASE WHEN k IN (0, 63) THEN 0.0 WHEN k IN (1, 62) THEN 0.5 ELSE 1.0 END AS v FROM t, range(0, 64) r(k)),
+d AS (SELECT vec_id, j, sum(v * cos(2 * pi() * j * k / 128)) AS re, -sum(v * sin(2 * pi() * j * k / 128)) AS im FROM x, range(0, 65) f(j) GROUP BY ALL),
+h AS (SELECT vec_id, j, o, j / 2.0::DOUBLE AS f, pi() * j AS w, g, a FROM t, range(0, 65) f(j), (VALUES ('vel'), ('acc')) u(o)),
+r AS (SELECT vec_id, j, o, f, CASE WHEN o = 'vel' THEN g * w * w / (w * w + a * a) WHEN j > 0 THEN g * a / (w * w + a * a) ELSE 0.0 END AS hr, CASE WHEN o = 'vel' THEN g * w * a / (w * w + a * a) WHEN j > 0 THEN -g * w / (w * w + a * a) ELSE 0.0 END AS hi FROM h),
+l AS (SELECT *, sqrt(hr * hr + hi * hi) AS m, max(sqrt(hr * hr + hi * hi)) OVER (PARTITION BY vec_id, o) / 1000 AS low FROM r),
+q AS (SELECT vec_id, o, j, {_TAPER} * (re * hr + im * hi) / (m * greatest(m, low)) AS re, {_TAPER} * (im * hr - re * hi) / (m * greatest(m, low)) AS im FROM l JOIN d USING (vec_id, j) WHERE m > 0),
+y AS (SELECT vec_id, o, n, sum(CASE WHEN j IN (0, 64) THEN 1 ELSE 2 END * (re * cos(2 * pi() * j * (n - 1) / 128) - im * sin(2 * pi() * j * (n - 1) / 128))) / 128 * 1000 AS v FROM q, (VALUES (20), (50), (64)) e(n) GROUP BY ALL)
+SELECT vec_id, round(max(v) FILTER (o = 'vel' AND n = 20), 7) AS vel_20, round(max(v) FILTER (o = 'vel' AND n = 50), 7) AS vel_50, round(max(v) FILTER (o = 'acc' AND n = 20), 7) AS acc_20, round(max(v) FILTER (o = 'acc' AND n = 64), 7) AS acc_64 FROM y GROUP BY vec_id"""
+
+
+def _value_blocks(spark, sf_dir):
+    """Each user's values in time as a long trace in blocks, 128 samples each; a row a value goes to its block."""
+    rows = X.catalog(spark, sf_dir).where("user_id % 5 = 0").withColumn("user_id", F.floor(F.col("user_id") / 50).cast("long"))
+    placed = with_total(running(rows, ["time", "event_id"], {"i": F.lit(1).cast("long")}, ["user_id"]), ["user_id"], {"n": F.count(F.lit(1))})
+    held = placed.groupBy("user_id", "n", F.floor(F.col("i") / 128).alias("block")).agg(F.array_sort(F.collect_list(F.struct("i", "value"))).alias("x"))
+    return held.select("user_id", "block", (F.col("block") * 128).alias("at"), "n", F.transform("x", lambda r: r["value"]).alias("samples"))
+
+
+def block_onsets(spark, sf_dir):
+    """First value of each group of users where the 5-value to 100-value energy ratio exceeds 3, and the largest ratio, over blocks."""
+    return L.onset(_value_blocks(spark, sf_dir), ["user_id"], 5, 100, 3.0).withColumn("top_ratio", F.round("top_ratio", 7))
+
+
+_SERIES = f"{CATALOG_SQL}, p AS (SELECT user_id // 50 AS user_id, value AS v, row_number() OVER (PARTITION BY user_id // 50 ORDER BY time, event_id) - 1 AS i FROM catalog WHERE user_id % 5 = 0)"
+BLOCK_ONSETS_SQL = f"""WITH {_SERIES}, r AS (SELECT user_id, i, CASE WHEN i >= 99 THEN avg(v*v) OVER (PARTITION BY user_id ORDER BY i ROWS 4 PRECEDING) / avg(v*v) OVER (PARTITION BY user_id ORDER BY i ROWS 99 PRECEDING) ELSE 0.0 END AS ratio FROM p)
+SELECT user_id, min(i) FILTER (ratio > 3.0) AS onset, round(max(ratio), 7) AS top_ratio FROM r GROUP BY user_id"""
+
+
+def block_detrend(spark, sf_dir):
+    """The energy of each group of users' values once their line is removed over blocks."""
+    level = L.detrend(_value_blocks(spark, sf_dir), ["user_id"])
+    return level.groupBy("user_id").agg(F.round(F.sqrt(F.sum(F.aggregate("samples", F.lit(0.0), lambda a, v: a + v * v)) / F.max("n")), 7).alias("rms"), F.max("n").alias("n"))
+
+
+BLOCK_DETREND_SQL = f"""WITH {_SERIES}, f AS (SELECT user_id, regr_slope(v, i) AS m, regr_intercept(v, i) AS c FROM p GROUP BY user_id)
+SELECT user_id, round(sqrt(avg((v - c - m*i) * (v - c - m*i))), 7) AS rms, count(*) AS n FROM p JOIN f USING (user_id) GROUP BY user_id"""
+
+
 QUERIES = {n: (f, globals().get(f"{n.upper()}_SQL")) for n, f in list(globals().items()) if callable(f) and getattr(f, "__module__", "") == __name__ and not n.startswith("_")}
