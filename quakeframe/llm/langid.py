@@ -9,8 +9,8 @@ one are added up by Spark; what reaches the driver is one number per language an
 piece.
 
 Texts without a letter, null and empty texts are `und` with score 0. Words are
-lower-cased and ASCII punctuation separates words. A language with no training
-text is never predicted; with no training rows at all, every text is `und`, and an
+lower-cased and ASCII punctuation separates words. A language whose training texts
+have no word is never predicted; with no training words at all, every text is `und`, and an
 empty table gives none. Of equally likely languages the first by name is taken.
 Texts and words of any length are summed whole; null and repeated ids are fine, as
 rows are judged one by one. Columns named lang_pred or score are replaced, further
@@ -285,7 +285,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", model: str | No
         logs = np.full(logs.shape, np.log(UNKNOWN))
         logs[known] = np.log(smooth / smooth.sum(axis=0))
         held.destroy()
-    return LanguageModel(langs, logs, model)
+    heard = sorted(r[0] for r in words.select("lang").distinct().collect()) if langs else []  # one row a language
+    return LanguageModel([langs[k] for k in heard], logs[:, heard] if heard else logs, model)
 
 
 def predict(df: DataFrame, fitted: LanguageModel, text: str = "text") -> DataFrame:

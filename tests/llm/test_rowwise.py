@@ -464,3 +464,14 @@ def test_words_and_shingles():
     shingles, places = shingle_hashes(*word_hashes(texts), 4)
     assert np.diff(places).tolist() == [1, 0, 0, 1, 1] and len(set(shingles.tolist())) == 3
     assert hashlib.md5(shingles.tobytes()).hexdigest() == hashlib.md5(shingle_hashes(*word_hashes(texts), 4)[0].tobytes()).hexdigest()
+
+
+def test_a_language_without_words_is_never_predicted(spark):
+    rows = [("the cat sat on the mat", "en"), ("le chat est sur la table", "fr"), ("", "xx"), ("  ... ", "xx"), (None, "yy")]
+    fitted = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert fitted.langs == ["en", "fr"] and fitted.logs.shape[1] == 2
+    asked = spark.createDataFrame([("qzx wvk jjq zzkw",), ("¡qué!",), ("the cat",), ("12",), (None,)], "text string")
+    assert [r.lang_pred for r in langid.predict(asked, fitted).collect()][2:] == ["en", "und", "und"]
+    assert {r.lang_pred for r in langid.predict(asked, fitted).collect()} <= {"en", "fr", "und"}
+    nothing = langid.fit(spark.createDataFrame(rows[2:], "text string, lang string"))
+    assert {r.lang_pred for r in langid.predict(asked, nothing).collect()} == {"und"}
