@@ -60,38 +60,63 @@ def youden(df: DataFrame, label: str = "label", score: str = "score") -> DataFra
     )
 
 
-def spearman(df: DataFrame, x: str, y: str, least_rows: int = 3) -> DataFrame:
-    """n, rho and the two-sided p of Student's t with n - 2 degrees; null for fewer rows or without spread."""
-    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y)
-    ranked = average_ranks(average_ranks(both, x, "__rx"), y, "__ry")
+def spearman(df: DataFrame, x: str, y: str, least_rows: int = 3, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by,) n, rho and the two-sided p of Student's t with n - 2 degrees; null for fewer rows or without spread."""
+    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, x, y)
+    ranked = average_ranks(average_ranks(both, x, "__rx", by), y, "__ry", by)
     n = F.count(F.lit(1))
-    out = ranked.agg(n.alias("n"), F.when((n >= least_rows) & (F.stddev_pop("__rx") > 0) & (F.stddev_pop("__ry") > 0), F.corr("__rx", "__ry")).alias("rho"))
+    rho = F.when((n >= least_rows) & (F.stddev_pop("__rx") > 0) & (F.stddev_pop("__ry") > 0), F.corr("__rx", "__ry"))
+    out = ranked.groupBy(*by).agg(n.alias("n"), rho.alias("rho")) if by else ranked.agg(n.alias("n"), rho.alias("rho"))
     return out.withColumn("p", t_two_sided(F.col("rho"), F.col("n")))
 
 
-def t_two_sided(rho: Column, n: Column) -> Column:
-    """P(|r| >= |rho|) without correlation: the tail of Student's t with n - 2 degrees of freedom.
+#: Coefficients of the asymptotic series of log gamma, B(2k) / (2k (2k - 1)).
+STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188)
+
+
+def log_gamma(a: Column) -> Column:
+    """Of a positive number: the asymptotic series at a + 10, less the steps to there."""
+    far = a + 10.0
+    series = sum((F.lit(c) / F.pow(far, F.lit(2 * k + 1.0)) for k, c in enumerate(STIRLING)), F.lit(0.0))
+    steps = sum((F.log(a + float(k)) for k in range(10)), F.lit(0.0))
+    return (far - 0.5) * F.log(far) - far + 0.5 * math.log(2 * math.pi) + series - steps
+
+
+def log_beta_half(a: Column) -> Column:
+    """Logarithm of the beta function at (a, 1/2); for large a from the series of the ratio of the two gammas, which cancel."""
+    ratio = F.when(a > 1e4, 0.5 * F.log(a) - 1 / (8 * a) + 1 / (192 * a * a * a)).otherwise(log_gamma(a + 0.5) - log_gamma(a))
+    return 0.5 * math.log(math.pi) - ratio
 
-    Through cos^2 = 1 - rho^2 the tail is a finite sum for whole degrees of freedom (the series of the t distribution in the
-    angle atan(t / sqrt(df))); its terms shrink with cos^2, and degrees above 400 take the normal tail with Cornish and Fisher's first term.
+
+def log_beta_tail(x: Column, a: Column, b: Column, log_beta: Column) -> Column:
+    """Logarithm of the regularised incomplete beta function I_x(a, b), for x up to about (a + 1) / (a + b + 2).
+
+    The continued fraction of the hypergeometric series, from its far end inwards; its terms settle after some roots of the
+    larger of a and b.
     """
-    df = n - 2
-    cos2 = F.greatest(F.lit(1.0) - rho * rho, F.lit(0.0))
-    angle = F.atan2(F.abs(rho), F.sqrt(cos2))
-    odd = df % 2 == 1
-    terms = F.when(odd, (df - 1) / 2).otherwise(df / 2).cast("int")
-    begin = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("sum"))
+    steps = (F.ceil(6 * F.sqrt(F.greatest(a, b))) + 100).cast("int")
+    odd = lambda m: -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+    even = lambda m: m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+    fraction = F.aggregate(F.sequence(steps, F.lit(1), F.lit(-1)), F.lit(1.0), lambda acc, m: 1 + even(m.cast("double")) / (1 + odd(m.cast("double")) / acc))
+    first = 1 + odd(F.lit(0.0)) / fraction
+    return a * F.log(x) + b * F.log1p(-x) - F.log(a) - log_beta - F.log(first)
 
-    def add(acc: Column, k: Column) -> Column:
-        ratio = F.when(odd, 2.0 * k / (2.0 * k + 1)).otherwise((2.0 * k - 1) / (2.0 * k))
-        return F.struct((acc["term"] * cos2 * ratio).alias("term"), (acc["sum"] + acc["term"] * cos2 * ratio).alias("sum"))
 
-    steps = F.when(terms > 1, F.sequence(F.lit(1), terms - 1)).otherwise(F.array().cast("array<int>"))
-    series = F.when(terms >= 1, 1 + F.aggregate(steps, begin, add)["sum"]).otherwise(0.0)
-    inside = F.when(odd, 2 / math.pi * (angle + F.abs(rho) * F.sqrt(cos2) * series)).otherwise(F.abs(rho) * series)
-    t = F.abs(rho) * F.sqrt(df / F.greatest(cos2, F.lit(1e-300)))
-    normal = normal_two_sided(t * (1 - 1 / (4.0 * df)) / F.sqrt(1 + t * t / (2.0 * df)))
-    return F.when(rho.isNotNull() & (df >= 1), F.when(df <= 400, F.greatest(1 - inside, F.lit(0.0))).otherwise(normal))
+def t_two_sided(rho: Column, n: Column) -> Column:
+    """P(|r| >= |rho|) without correlation: the tail of Student's t with n - 2 degrees of freedom, I of 1 - rho^2 at ((n - 2) / 2, 1/2).
+
+    For any number of rows and down to the smallest double: a tail is summed as such, never as one less the rest of it, and
+    in logarithms.
+    """
+    degrees = F.greatest(n - 2, F.lit(1)).cast("double")
+    a, half = degrees / 2, F.lit(0.5)
+    log_beta = log_beta_half(a)
+    inside = (1 - F.abs(rho)) * (1 + F.abs(rho))
+    small = inside <= (a + 1) / (a + 2.5)
+    tail = F.exp(log_beta_tail(F.greatest(F.when(small, inside).otherwise(0.5), F.lit(1e-300)), a, half, log_beta))
+    square = F.when(small, 0.25).otherwise(rho * rho)
+    rest = F.when(square > 0, 1 - F.exp(log_beta_tail(square, half, a, log_beta))).otherwise(1.0)
+    return F.when(rho.isNotNull() & (n > 2), F.when(inside <= 0, 0.0).when(small, tail).otherwise(rest))
 
 
 def normal_two_sided(z: Column) -> Column:
@@ -104,20 +129,44 @@ def normal_two_sided(z: Column) -> Column:
     return F.when(x < 3, F.greatest(1 - 2 * density * series, F.lit(0.0))).otherwise(2 * density / fraction)
 
 
-def wilcoxon(df: DataFrame, difference: str, least_rows: int = 10) -> DataFrame:
-    """n (differences that aren't 0), w_plus, w_minus, w, the smaller one, and its two-sided p by the normal approximation with
-    the correction for ties of size, which share their rank; p is null for fewer rows."""
-    own = df.where(F.col(difference).isNotNull() & (F.col(difference) != 0)).select(F.abs(difference).alias("__size"), (F.col(difference) > 0).alias("__up"))
-    counts = own.groupBy("__size").agg(F.count(F.lit(1)).alias("__n"), F.sum(F.col("__up").cast("long")).alias("__ups"))
-    ranked = running(counts, ["__size"], {"__before": F.col("__n")}).withColumn("__rank", F.col("__before") + (F.col("__n") + 1) / 2.0)
+#: Most differences whose rank sums are counted exactly.
+EXACT_ROWS = 50
+
+
+def rank_sum_tail(w: Column, n: Column) -> Column:
+    """P(W <= w) of the sum of the positive ranks among 1 to n, each sign as likely: the number of subsets of each sum, rank by rank."""
+    begin = F.array(F.lit(1.0))
+
+    def add(counts: Column, rank: Column) -> Column:
+        room = F.array_repeat(F.lit(0.0), rank.cast("int"))
+        return F.zip_with(F.concat(counts, room), F.concat(room, counts), lambda p, q: p + q)
+
+    ways = F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1)).cast("int")), begin, add)
+    low = F.slice(ways, F.lit(1), (F.floor(w) + 1).cast("int"))
+    return F.aggregate(low, F.lit(0.0), lambda acc, v: acc + v) / F.pow(F.lit(2.0), n)
+
+
+def wilcoxon(df: DataFrame, difference: str, least_rows: int = 10, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by,) n (differences that aren't 0), w_plus, w_minus, w, the smaller one, and its two-sided p; p is null for fewer rows.
+
+    p is exact for up to EXACT_ROWS differences, all of different size and none 0; else by the normal approximation with the
+    correction for ties of size, which share their rank.
+    """
+    known = df.where(F.col(difference).isNotNull()).select(*by, F.abs(difference).alias("__size"), (F.col(difference) > 0).alias("__up"))
+    counts = known.groupBy(*by, "__size").agg(F.count(F.lit(1)).alias("__n"), F.sum(F.col("__up").cast("long")).alias("__ups"))
+    zero = F.col("__size") == 0
+    ranked = running(counts, ["__size"], {"__before": F.when(zero, 0).otherwise(F.col("__n"))}, by).withColumn("__rank", F.col("__before") + (F.col("__n") + 1) / 2.0)
     sums = {"w_plus": F.col("__ups"), "w_minus": F.col("__n") - F.col("__ups")}
     m = F.col("__n").cast("double")
-    out = ranked.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n"), *(F.coalesce(F.sum(c * F.col("__rank")), F.lit(0.0)).alias(k) for k, c in sums.items()), F.coalesce(F.sum(m * m * m - m), F.lit(0.0)).alias("__ties"))
-    out = out.withColumn("w", F.least("w_plus", "w_minus"))
+    of = lambda c: F.when(~zero, c)
+    totals = [F.coalesce(F.sum(of(F.col("__n"))), F.lit(0)).alias("n"), *(F.coalesce(F.sum(of(c * F.col("__rank"))), F.lit(0.0)).alias(k) for k, c in sums.items()), F.coalesce(F.sum(of(m * m * m - m)), F.lit(0.0)).alias("__ties"), F.coalesce(F.max(zero.cast("int")), F.lit(0)).alias("__zeros")]
+    out = (ranked.groupBy(*by).agg(*totals) if by else ranked.agg(*totals)).withColumn("w", F.least("w_plus", "w_minus"))
     n = F.col("n").cast("double")
     spread = F.sqrt(n * (n + 1) * (2 * n + 1) / 24 - F.col("__ties") / 48)
     z = (F.col("w") - n * (n + 1) / 4) / spread
-    return out.withColumn("p", F.when((F.col("n") >= least_rows) & (spread > 0), normal_two_sided(z))).drop("__ties")
+    exact = (F.col("n") <= EXACT_ROWS) & (F.col("__ties") == 0) & (F.col("__zeros") == 0)
+    p = F.when(exact, F.least(2 * rank_sum_tail(F.col("w"), F.least("n", F.lit(EXACT_ROWS))), F.lit(1.0))).otherwise(F.when(spread > 0, normal_two_sided(z)))
+    return out.withColumn("p", F.when(F.col("n") >= least_rows, p)).drop("__ties", "__zeros")
 
 
 def two_predictor_fit(df: DataFrame, y: str, a: str, b: str, least_rows: int = 50) -> DataFrame:

@@ -51,12 +51,49 @@ SELECT count(*) AS n, round(corr(a, b), 9) AS rho FROM r"""
 def wilcoxon(spark, sf_dir):
     """Signed ranks of the differences between two event types' rounded means per user."""
     means = X.catalog(spark, sf_dir).groupBy("user_id").pivot("event_type", ["click", "error"]).agg(F.round(F.avg("value"), 0))
-    return E.wilcoxon(means.select((F.col("click") - F.col("error")).alias("d")), "d").drop("p")
+    return E.wilcoxon(means.select((F.col("click") - F.col("error")).alias("d")), "d").withColumn("p", F.round("p", 9))
 
 
 WILCOXON_SQL = """WITH m AS (SELECT user_id, round(avg(value) FILTER (event_type = 'click'), 0) - round(avg(value) FILTER (event_type = 'error'), 0) AS d FROM events GROUP BY user_id),
-r AS (SELECT d, rank() OVER (ORDER BY abs(d)) + (count(*) OVER (PARTITION BY abs(d)) - 1) / 2.0::DOUBLE AS k FROM m WHERE d IS NOT NULL AND d <> 0)
-SELECT count(*) AS n, coalesce(sum(k) FILTER (d > 0), 0.0) AS w_plus, coalesce(sum(k) FILTER (d < 0), 0.0) AS w_minus, least(coalesce(sum(k) FILTER (d > 0), 0.0), coalesce(sum(k) FILTER (d < 0), 0.0)) AS w FROM r"""
+r AS (SELECT d, rank() OVER (ORDER BY abs(d)) + (count(*) OVER (PARTITION BY abs(d)) - 1) / 2.0::DOUBLE AS k, count(*) OVER (PARTITION BY abs(d)) AS t FROM m WHERE d IS NOT NULL AND d <> 0),
+s AS (SELECT count(*) AS n, coalesce(sum(k) FILTER (d > 0), 0.0) AS w_plus, coalesce(sum(k) FILTER (d < 0), 0.0) AS w_minus, least(coalesce(sum(k) FILTER (d > 0), 0.0), coalesce(sum(k) FILTER (d < 0), 0.0)) AS w, sum(CAST(t AS DOUBLE) * t - 1) AS ties FROM r),
+z AS (SELECT *, abs(w - n * (n + 1) / 4.0::DOUBLE) / sqrt(n * (n + 1) * (2 * n + 1) / 24.0::DOUBLE - ties / 48.0::DOUBLE) AS z FROM s)
+SELECT n, w_plus, w_minus, w, round(1 - 2 * exp(-z * z / 2) / sqrt(2 * pi()) * (SELECT sum(exp((2 * k + 1) * ln(z) - (k + 1) * ln(2) - lgamma(k + 1.5::DOUBLE) + 0.5 * ln(pi()))) FROM range(0, 200) t(k)), 9) AS p FROM z"""
+
+
+def wilcoxon_exact(spark, sf_dir):
+    """Signed ranks of each order's prices against 40,000: orders of five lines and more, whose p is exact."""
+    rows = X.table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_extendedprice") - 40_000).alias("d"))
+    got = E.wilcoxon(rows, "d", 5, ("l_orderkey",)).where("n >= 5")
+    return got.withColumn("p", F.round("p", 9))
+
+
+WILCOXON_EXACT_SQL = """WITH r AS (SELECT l_orderkey, l_extendedprice > 40000 AS up, rank() OVER (PARTITION BY l_orderkey ORDER BY abs(l_extendedprice - 40000)) AS k FROM lineitem),
+s AS (SELECT l_orderkey, count(*) AS n, CAST(coalesce(sum(k) FILTER (up), 0) AS DOUBLE) AS w_plus, CAST(coalesce(sum(k) FILTER (NOT up), 0) AS DOUBLE) AS w_minus FROM r GROUP BY l_orderkey HAVING count(*) >= 5),
+e AS (SELECT n, list_sum(list_transform(range(0, CAST(n AS INT)), lambda j: ((m >> j) & 1) * (j + 1))) AS sum FROM (SELECT DISTINCT n FROM s), range(0, 1 << 16) t(m) WHERE m < 1 << CAST(n AS INT)),
+w AS (SELECT n, sum, CAST(count(*) AS DOUBLE) AS ways FROM e GROUP BY ALL), c AS (SELECT n, sum, sum(ways) OVER (PARTITION BY n ORDER BY sum) / sum(ways) OVER (PARTITION BY n) AS p FROM w)
+SELECT l_orderkey, s.n, w_plus, w_minus, least(w_plus, w_minus) AS w, round(least(1.0, 2 * p), 9) AS p FROM s JOIN c ON c.n = s.n AND c.sum = least(w_plus, w_minus)"""
+
+
+def spearman_groups(spark, sf_dir):
+    """Rank correlations of a total with quantity, which are strong, and of price with tax, which aren't, for each supplier and line number."""
+    rows = X.table(spark, sf_dir, "lineitem").withColumn("total", F.col("l_quantity") * 5_000 + F.col("l_extendedprice"))
+    by = ("l_suppkey", "l_linenumber")
+    strong = E.spearman(rows, "l_quantity", "total", by=by).where("n >= 10")
+    weak = E.spearman(rows, "l_tax", "l_extendedprice", by=by).select(*by, F.col("rho").alias("weak_rho"), F.col("p").alias("weak_p"))
+    joined = strong.join(weak, list(by))
+    return joined.select(*by, "n", F.round("rho", 9).alias("rho"), F.round(F.log10("p"), 6).alias("log_p"), F.round("weak_rho", 9).alias("weak_rho"), F.round("weak_p", 8).alias("weak_p"))
+
+
+_RANK = "rank() OVER (PARTITION BY l_suppkey, l_linenumber ORDER BY {c}) + (count(*) OVER (PARTITION BY l_suppkey, l_linenumber, {c}) - 1) / 2.0::DOUBLE"
+SPEARMAN_GROUPS_SQL = f"""WITH r AS (SELECT l_suppkey, l_linenumber, {_RANK.format(c='l_quantity')} AS q, {_RANK.format(c='l_extendedprice')} AS e, {_RANK.format(c='total')} AS u, {_RANK.format(c='l_tax')} AS t FROM (SELECT *, l_quantity * 5000 + l_extendedprice AS total FROM lineitem)),
+s AS (SELECT l_suppkey, l_linenumber, count(*) AS n, corr(q, u) AS rho, corr(t, e) AS weak_rho FROM r GROUP BY ALL HAVING count(*) >= 10),
+v AS (SELECT *, n - 2 AS v, (n - 2) / 2.0::DOUBLE AS a, 1 - rho * rho AS x, 1 - weak_rho * weak_rho AS c2, sqrt(1 - weak_rho * weak_rho) AS c, abs(weak_rho) AS sine FROM s),
+p AS (SELECT l_suppkey, l_linenumber, max(n) AS n, max(rho) AS rho, max(weak_rho) AS weak_rho,
+ (max(a * ln(x) - lgamma(a) - lgamma(0.5::DOUBLE) + lgamma(a + 0.5)) + ln(sum(exp(lgamma(k + 0.5::DOUBLE) - lgamma(k + 1.0::DOUBLE) - 0.5 * ln(pi()) + k * ln(x)) / (a + k)))) / ln(10) AS log_p,
+ sum(CASE WHEN v % 2 = 1 AND k < (v - 1) // 2 THEN c * exp(k * ln(c2) + 0.5 * ln(pi()) - ln(2) + lgamma(k + 1.0::DOUBLE) - lgamma(k + 1.5::DOUBLE)) WHEN v % 2 = 0 AND k < v // 2 THEN exp(k * ln(c2) + lgamma(k + 0.5::DOUBLE) - lgamma(k + 1.0::DOUBLE) - 0.5 * ln(pi())) ELSE 0 END) AS series,
+ max(v) AS v, max(sine) AS sine FROM v, range(0, 2000) t(k) GROUP BY ALL)
+SELECT l_suppkey, l_linenumber, n, round(rho, 9) AS rho, round(log_p, 6) AS log_p, round(weak_rho, 9) AS weak_rho, round(1 - CASE WHEN v % 2 = 1 THEN 2 / pi() * (asin(sine) + sine * series) ELSE sine * series END, 8) AS weak_p FROM p"""
 
 
 def attenuation_fit(spark, sf_dir):

@@ -178,7 +178,7 @@ def test_p_values(spark):
         x = [float(rng.randrange(30)) for _ in range(n)]
         y = [a + rng.gauss(0, 12 if n < 400 else 300) for a in x]
         r = evaluate.spearman(spark.createDataFrame(list(zip(x, y)), "x double, y double"), "x", "y").first()
-        assert r.p == pytest.approx(tail_of_rho(r.rho, n - 2), abs=1e-7 if n < 400 else 1e-4), n
+        assert r.p == pytest.approx(tail_of_rho(r.rho, n - 2), abs=1e-9), n
     d = [rng.choice([-3, -2, -1, 0, 1, 2, 3, 4, 5]) for _ in range(60)]
     got = evaluate.wilcoxon(spark.createDataFrame([(float(v),) for v in d], "d double"), "d").first()
     own = sorted(abs(v) for v in d if v)
@@ -192,6 +192,57 @@ def test_p_values(spark):
         assert spark.range(1).select(evaluate.normal_two_sided(F.lit(z)).alias("p")).first().p == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-8)
 
 
+def test_small_p_values_of_correlations(spark):
+    """Against the tail's own series, whose terms are all positive, in exact rationals and 60 digits."""
+    from decimal import Decimal, getcontext
+    from fractions import Fraction
+
+    getcontext().prec = 60
+
+    def tail(rho, n):  # I_x(a, 1/2) = x^a / B(a, 1/2) * sum of (1/2)_k / k! x^k / (a + k)
+        x, a = 1 - Fraction(rho) ** 2, Fraction(n - 2, 2)
+        xd = Decimal(x.numerator) / Decimal(x.denominator)
+        total, term, k = Decimal(0), Decimal(1), 0
+        while term > Decimal(10) ** -55 and k < 20_000:
+            total += term / (Decimal(a.numerator) / Decimal(a.denominator) + k)
+            term *= (Decimal(k) + Decimal("0.5")) / (k + 1) * xd
+            k += 1
+        log_beta = math.lgamma(a) + math.lgamma(0.5) - math.lgamma(a + 0.5)
+        return math.log10(total) + float(Decimal(a.numerator) / Decimal(a.denominator) * xd.log10()) - log_beta / math.log(10)
+
+    cases = [(0.95, 100), (0.99, 100), (-0.99, 100), (0.9, 30), (0.7, 12), (0.3, 5000), (0.999, 60), (0.05, 60_000), (0.5, 402), (0.5, 403), (1 - 1e-12, 10)]
+    got = spark.createDataFrame(cases, "rho double, n long").select("rho", "n", F.log10(evaluate.t_two_sided(F.col("rho"), F.col("n"))).alias("p")).collect()
+    for r in got:
+        assert r.p == pytest.approx(tail(r.rho, r.n), abs=4e-7), (r.rho, r.n)  # six digits of p
+    edge = spark.createDataFrame([(1.0, 9), (0.0, 9), (None, 9), (0.4, 2), (1e-9, 1_000_000_000)], "rho double, n long").select(evaluate.t_two_sided(F.col("rho"), F.col("n")).alias("p")).collect()
+    assert [r.p for r in edge[:4]] == [0.0, 1.0, None, None] and edge[4].p == pytest.approx(math.erfc(1e-9 * math.sqrt(1e9) / math.sqrt(2)), rel=1e-6)
+
+
+def test_exact_signed_ranks(spark):
+    rng = random.Random(8)
+
+    def exact(d):
+        ranks = {v: k + 1 for k, v in enumerate(sorted(map(abs, d)))}
+        w = min(sum(ranks[abs(v)] for v in d if v > 0), sum(ranks[abs(v)] for v in d if v < 0))
+        ways = [1]
+        for k in range(1, len(d) + 1):
+            ways = [(ways[s] if s < len(ways) else 0) + (ways[s - k] if s >= k else 0) for s in range(len(ways) + k)]
+        return min(1.0, 2 * sum(ways[: w + 1]) / 2 ** len(d))
+
+    groups = {"ten": [float(k) for k in range(1, 11)], "fifty": [rng.gauss(0.2, 1) for _ in range(50)], "even": [1.0, -2.0, 3.0, -4.0, 5.0, -6.0, 7.0, -8.0, 9.0, -10.0, -11.0], "few": [1.0, 2.0]}
+    rows = [(g, v) for g, d in groups.items() for v in d] + [("many", rng.gauss(0, 1)) for _ in range(51)] + [("ties", v) for v in [1.0, -1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0]] + [("zero", float(k)) for k in range(12)] + [("ten", None), (None, 1.0)]
+    got = {r.g: r for r in evaluate.wilcoxon(spark.createDataFrame(rows, "g string, d double"), "d", by=("g",)).collect()}
+    for g in ("ten", "fifty", "even"):
+        assert got[g].n == len(groups[g]) and got[g].p == pytest.approx(exact(groups[g]), rel=1e-12)
+    assert got["ten"].p == pytest.approx(0.001953125) and got["few"].p is None and got[None].p is None
+    for g, d in (("many", [v for k, v in rows if k == "many"]), ("ties", [v for k, v in rows if k == "ties"]), ("zero", [float(k) for k in range(1, 12)])):
+        n, own = len(d), sorted(map(abs, d))
+        spread = math.sqrt(n * (n + 1) * (2 * n + 1) / 24 - sum(own.count(v) ** 3 - own.count(v) for v in set(own)) / 48)
+        assert got[g].n == n and got[g].p == pytest.approx(math.erfc(abs(got[g].w - n * (n + 1) / 4) / spread / math.sqrt(2)), rel=1e-9)
+    whole = evaluate.wilcoxon(spark.createDataFrame([(v,) for v in groups["fifty"]], "d double"), "d").first()
+    assert whole.p == pytest.approx(exact(groups["fifty"]), rel=1e-12)
+
+
 def test_running_sums_of_a_hot_group(spark):
     rng = random.Random(8)
     rows = [("hot" if k % 10 else rng.choice("ab"), rng.randrange(50), k, rng.randrange(9)) for k in range(600)] + [(None, 1, 1000, 5), (None, 0, 1001, 7)]
