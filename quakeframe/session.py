@@ -16,6 +16,7 @@ def build_session(app: str = "quakeframe", cpus: int | str = "*", **conf: str) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.python.filterPushdown.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.driver.host": "127.0.0.1",
