@@ -8,7 +8,9 @@ from quakeframe.operators import encode as N
 from quakeframe.operators import groundmotion as M
 from quakeframe.operators import split as S
 from quakeframe.plans import fixtures as X
-from quakeframe.plans.fixtures import ENTRIES_SQL, TRACES_SQL
+from quakeframe.plans import jobs as J
+from quakeframe.plans.fixtures import CATALOG_SQL, ENTRIES_SQL, TRACES_SQL
+from quakeframe.sources import sinks as K
 from quakeframe.sources import stead
 
 _THIRDS = "list_slice(samples, {a}, {b})"
@@ -172,4 +174,49 @@ m AS (SELECT *, min(total) OVER (PARTITION BY station) AS least FROM s), x AS (S
 SELECT station, cls, part, w, CAST(floor(x) + CASE WHEN k <= short THEN 1 ELSE 0 END AS BIGINT) AS quota FROM o"""
 
 
+def _station_traces(spark, sf_dir):
+    """Each vector as a file of three components of 20 samples, a label a station."""
+    t = X.traces(spark, sf_dir).join(X.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("trace"), "label"), "trace")
+    parts = F.array(*(F.struct(F.lit(c).alias("component"), F.slice("samples", 20 * k + 1, 20).alias("samples")) for k, c in enumerate("ZNE")))
+    return t.select("trace", F.concat(F.lit("/d/event_"), "trace", F.lit("_raw.mseed")).alias("file_path"), F.concat(F.lit("N.S"), "label").alias("station_key"), F.lit(10.0).alias("sampling_rate"), F.inline(parts))
+
+
+def detection_manifest(spark, sf_dir):
+    """The manifest of the detection dataset: two classes, 152 windows a station at most, stations in one split each."""
+    traces = _station_traces(spark, sf_dir)
+    classes = traces.select("file_path", F.when(F.col("trace") % 3 == 0, "quake").otherwise("noise").alias("class_name")).distinct()
+    rows = J.detection_dataset(traces.drop("trace"), classes, lambda windows: windows, 152, 10.0, 0.6, 0.5)
+    return rows.select(*K.MANIFESTS["detection"])
+
+
+_MANIFEST = """f AS (SELECT '/d/event_' || vec_id || '_raw.mseed' AS file_path, 'N.S' || label AS station_key, CASE WHEN vec_id % 3 = 0 THEN 'quake' ELSE 'noise' END AS class_name, vec_id FROM embeddings),
+q AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY station_key) * 5 > 152 THEN greatest(0, least(5, 152 - 5 * (row_number() OVER (PARTITION BY station_key ORDER BY md5('42|' || file_path), file_path) - 1))) ELSE 5 END AS kept FROM f)"""
+DETECTION_MANIFEST_SQL = f"""WITH RECURSIVE {_MANIFEST}, g AS (SELECT station_key, CAST(coalesce(sum(kept) FILTER (class_name = 'noise'), 0) AS BIGINT) AS a, CAST(coalesce(sum(kept) FILTER (class_name = 'quake'), 0) AS BIGINT) AS r, row_number() OVER (ORDER BY md5('42|' || station_key)) AS k FROM q GROUP BY station_key),
+t AS (SELECT CAST(floor(m * 0.70::DOUBLE) AS BIGINT) AS t1, CAST(floor(m * 0.15::DOUBLE) AS BIGINT) AS t2, m - CAST(floor(m * 0.70::DOUBLE) AS BIGINT) - CAST(floor(m * 0.15::DOUBLE) AS BIGINT) AS t3 FROM (SELECT CAST(least(sum(a), sum(r)) AS BIGINT) AS m FROM g)),
+s(k, a1, r1, a2, r2, a3, r3, split) AS (SELECT 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, NULL::VARCHAR UNION ALL
+ SELECT k, a1 + CASE WHEN c = 'train' THEN a ELSE 0 END, r1 + CASE WHEN c = 'train' THEN r ELSE 0 END, a2 + CASE WHEN c = 'val' THEN a ELSE 0 END, r2 + CASE WHEN c = 'val' THEN r ELSE 0 END, a3 + CASE WHEN c = 'test' THEN a ELSE 0 END, r3 + CASE WHEN c = 'test' THEN r ELSE 0 END, c FROM (
+  SELECT g.k, a, r, a1, r1, a2, r2, a3, r3, CASE WHEN (a > 0 AND a1 < t1) OR (r > 0 AND r1 < t1) THEN 'train' WHEN (a > 0 AND a2 < t2) OR (r > 0 AND r2 < t2) THEN 'val' WHEN (a > 0 AND a3 < t3) OR (r > 0 AND r3 < t3) THEN 'test' END AS c FROM s JOIN g ON g.k = s.k + 1, t)),
+w AS (SELECT split, class_name, station_key, file_path, vec_id, kept, i FROM q JOIN g USING (station_key) JOIN s USING (k), range(0, 5) r(i) WHERE split IS NOT NULL AND kept > 0)
+SELECT split, class_name, station_key, file_path, 'event_' || vec_id || '_raw_' || station_key || '_win00' || i || '.parquet' AS filename, 10.0::DOUBLE AS fs FROM w WHERE kept >= 5 OR i IN (SELECT round_even(j * (4 / greatest(kept - 1, 1)::DOUBLE), 0) FROM range(0, 5) u(j) WHERE j < kept)"""
+
+
+def event_manifest(spark, sf_dir):
+    """Windows of known events with magnitude and distance, an event in one split: the regression dataset's manifest."""
+    windows = J.station_windows(_station_traces(spark, sf_dir).drop("trace"), 0.6, 0.5, 10.0)
+    events = X.catalog(spark, sf_dir).where("event_id % 4 = 0").select(F.col("event_id").cast("string").alias("event_id"), "magnitude", "lat", "lon")
+    stations = spark.range(0, 10).where("id <> 7").select(F.concat(F.lit("N.S"), "id").alias("key"), (38 + F.col("id") / 10).alias("latitude"), (30 - F.col("id") / 10).alias("longitude"))
+    rows = J.event_dataset(windows, events, stations)
+    return rows.select("split", "event_id", "station_key", "w_idx", "magnitude", F.round("distance_km", 6).alias("distance_km"))
+
+
+_HAV = "2 * 6371.0 * asin(sqrt(pow(sin(radians(38 + label / 10.0::DOUBLE - lat) / 2), 2) + cos(radians(lat)) * cos(radians(38 + label / 10.0::DOUBLE)) * pow(sin(radians(30 - label / 10.0::DOUBLE - lon) / 2), 2)))"
+EVENT_MANIFEST_SQL = f"""WITH RECURSIVE {CATALOG_SQL}, j AS (SELECT CAST(event_id AS VARCHAR) AS event_id, 'N.S' || label AS station_key, magnitude, CASE WHEN label <> 7 THEN round({_HAV}, 6) END AS distance_km FROM catalog JOIN embeddings ON event_id = vec_id WHERE event_id % 4 = 0),
+g AS (SELECT event_id, 5.0::DOUBLE AS w, row_number() OVER (ORDER BY md5('42|' || event_id)) AS k, 5.0::DOUBLE * count(*) OVER () AS t FROM j),
+gaps(k, a, b, c, split) AS (SELECT 0::BIGINT, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, '' UNION ALL
+  SELECT k, a + CASE WHEN s = 'train' THEN w ELSE 0 END, b + CASE WHEN s = 'val' THEN w ELSE 0 END, c + CASE WHEN s = 'test' THEN w ELSE 0 END, s FROM (
+    SELECT g.k, w, a, b, c, CASE WHEN (t*0.70::DOUBLE - a) / greatest(t*0.70::DOUBLE, 1) >= (t*0.15::DOUBLE - b) / greatest(t*0.15::DOUBLE, 1) AND (t*0.70::DOUBLE - a) / greatest(t*0.70::DOUBLE, 1) >= (t*0.15::DOUBLE - c) / greatest(t*0.15::DOUBLE, 1) THEN 'train'
+      WHEN (t*0.15::DOUBLE - b) / greatest(t*0.15::DOUBLE, 1) >= (t*0.15::DOUBLE - c) / greatest(t*0.15::DOUBLE, 1) THEN 'val' ELSE 'test' END AS s FROM gaps JOIN g ON g.k = gaps.k + 1))
+SELECT split, event_id, station_key, CAST(i AS INT) AS w_idx, magnitude, distance_km FROM j JOIN g USING (event_id) JOIN gaps USING (k), range(0, 5) r(i)"""
+
+
 QUERIES = {n: (f, globals().get(f"{n.upper()}_SQL")) for n, f in list(globals().items()) if callable(f) and getattr(f, "__module__", "") == __name__ and not n.startswith("_")}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quakeframe.functions.columns import event_id, haversine_km, hours_to_event
 from quakeframe.operators import dsp, encode, evaluate, groundmotion, mining, sequence, signal, split
 from quakeframe.sources.catalog import with_station
+from quakeframe.session import materialize
 from quakeframe.sources.sinks import window_name
 
 Encoder = Callable[[DataFrame], DataFrame]
@@ -61,23 +62,30 @@ def tercile_dataset(events: DataFrame, targets: DataFrame, major: float = 6.0, o
     return split.tercile_classes(placed, fit_on=F.col("split") == "train").where("split <> 'dropped'")
 
 
-def station_windows(traces: DataFrame, seconds: float = 60.0, overlap: float = 0.5, fs: float = 100.0, low: float = 1.0, high: float = 45.0, most_gaps: float = 0.05) -> DataFrame:
+def station_windows(traces: DataFrame, seconds: float = 60.0, overlap: float = 0.5, fs: float = 100.0, low: float = 1.0, high: float = 45.0, most_gaps: float = 0.05, chosen: DataFrame | None = None) -> DataFrame:
     """Cleaned three-component windows (file_path, station_key, w_idx, fs, z, n, e) of station records at fs.
 
     Of traces with gap_mask, windows go in which more than most_gaps of any component is masked; indexes are kept.
+    chosen (file_path, station_key, n_windows, quota, ...) keeps its records' windows alone, with a quota below n_windows so many
+    evenly spaced ones, and adds its further columns; windows that it drops are never cut or cleaned.
     """
     records = encode.stations(traces, ["file_path", "station_key"]).where(F.col("fs") == fs)
+    more = [c for c in chosen.columns if c not in ("file_path", "station_key", "n_windows", "quota")] if chosen is not None else []
+    if chosen is not None:
+        records = records.join(chosen, ["file_path", "station_key"])
     n = F.least(*(F.size(c) for c in "zne"))
     size, step, tolerance = signal.window_shape(fs, seconds, overlap)
     rows = records.withColumn("__n", n).where(F.col("__n") >= size - tolerance)
     rows = rows.withColumn("w_idx", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil((F.col("__n") - size) / step), F.lit(0)).cast("int"))))
     rows = rows.where(F.col("__n") - F.col("w_idx") * step >= size - tolerance)
+    if chosen is not None:
+        rows = rows.where(F.col("quota").isNull() | split.evenly_spaced(F.col("w_idx"), F.col("n_windows"), F.col("quota")))
     here = lambda c: F.slice(c, F.col("w_idx") * step + 1, F.least(F.lit(size), F.col("__n") - F.col("w_idx") * step))
     if "mask_z" in rows.columns:
         gaps = F.greatest(*(F.size(F.filter(here(f"mask_{c}"), lambda x: x)) for c in "zne")) / F.lit(float(size))
         rows = rows.where(gaps <= most_gaps)
     padded = lambda c: F.concat(here(c), F.array_repeat(F.lit(0.0), F.lit(size) - F.size(here(c))))
-    rows = rows.select("file_path", "station_key", "w_idx", "fs", *(padded(c).alias(c) for c in "zne"))
+    rows = rows.select("file_path", "station_key", "w_idx", "fs", *more, *(padded(c).alias(c) for c in "zne"))
     for c in "zne":
         rows = dsp.clean(rows, fs, low, high, c)
     return rows
@@ -154,17 +162,25 @@ def detection_dataset(
     weights = [f"w{k}" for k in range(len(names))]
     placed = split.deficit_splits(keys.withColumn("w", sum(F.col(w) for w in weights)), "station_key", "w") if max_balance else split.fill_splits(keys, "station_key", weights)
     chosen = counts.join(placed, "station_key").where("kept > 0")
-    windows = station_windows(traces.join(chosen.select("file_path", "station_key").distinct(), ["file_path", "station_key"], "left_semi"), seconds, overlap, fs)
     cells = chosen.select("file_path", "station_key", "class_name", "split", "quota", "n_windows")
-    rows = with_baselines(quota_windows(windows, cells.where(F.col("class_name") != F.lit(mined)) if mined else cells), baselines, profiles)
-    if mined:
+
+    def cleaned(own: DataFrame) -> DataFrame:
+        records = traces.join(own.select("file_path", "station_key").distinct(), ["file_path", "station_key"], "left_semi")
+        return with_baselines(station_windows(records, seconds, overlap, fs, chosen=own), baselines, profiles)
+
+    if not mined:
+        rows = cleaned(cells)
+    else:  # loudness is of all windows of the two classes: these are cleaned once and written
+        loud = F.col("class_name").isin(*[c for c in (mined, matched) if c])
+        quota = cells.where(loud).select("file_path", "station_key", "n_windows", "quota")
+        every = materialize(cleaned(cells.where(loud).withColumn("quota", F.lit(None).cast("long"))), "windows")
         score = encode.amplitude_score(*(F.col(c) for c in "zne"), *(F.col(f"sigma_{c}") for c in "zne")).alias("score")
-        every = with_baselines(windows.join(cells.drop("quota", "n_windows"), ["file_path", "station_key"]), baselines, profiles)
         scored = every.select("split", "class_name", "file_path", "station_key", "w_idx", score)
         like = scored.where(F.col("class_name") == matched).select("split", "score") if matched else None
         quotas = chosen.where(F.col("class_name") == mined).select("split", F.col("kept").alias("quota"))
         picked = negative_whitelist(scored.where(F.col("class_name") == mined).drop("class_name"), quotas, band, like)
-        rows = rows.unionByName(every.where(F.col("class_name") == mined).join(picked, ["file_path", "station_key", "w_idx"], "left_semi"))
+        rows = every.where(F.col("class_name") == mined).join(picked, ["file_path", "station_key", "w_idx"], "left_semi")
+        rows = rows.unionByName(quota_windows(every.where(F.col("class_name") != mined), quota)).unionByName(cleaned(cells.where(~loud)))
     return encoder(kind, n, spectrogram)(rows).withColumn("filename", window_name(F.col("file_path"), F.col("station_key"), F.col("w_idx"), "parquet"))
 
 
@@ -212,7 +228,7 @@ def risk_dataset(
     parts = []
     for table, source in ((traces, "event"), (noise, "noise")):
         own = kept.where((F.col("source") == source) & (F.col("quota").isNull() | (F.col("quota") > 0))).drop("source")
-        parts.append(quota_windows(station_windows(table.join(own.select(*keys).distinct(), keys, "left_semi"), seconds, overlap, fs), own))
+        parts.append(station_windows(table.join(own.select(*keys).distinct(), keys, "left_semi"), seconds, overlap, fs, chosen=own))
     rows = with_baselines(parts[0].unionByName(parts[1]), baselines, profiles)
     rows = encode.aux_scalars(rows, missing=None).withColumn("log_snr", F.col("aux")[0]).drop("aux")
     if least_log_snr is not None:

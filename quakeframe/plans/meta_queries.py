@@ -270,8 +270,8 @@ def hard_negatives(spark, sf_dir):
 
 
 HARD_NEGATIVES_SQL = """WITH r AS (SELECT l_suppkey AS station, l_orderkey AS file, l_linenumber AS part, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice, l_orderkey, l_linenumber) - 1 AS k, count(*) OVER (PARTITION BY l_suppkey) AS n FROM lineitem),
-b AS (SELECT *, round_even(0.75::DOUBLE * n, 0) AS lo0, greatest(round_even(0.99::DOUBLE * n, 0), round_even(0.75::DOUBLE * n, 0)) AS hi0 FROM r), u AS (SELECT *, CASE WHEN hi0 - lo0 < least(20, n) THEN least(n, lo0 + least(20, n)) ELSE hi0 END AS hi1 FROM b),
-d AS (SELECT *, CASE WHEN hi1 - lo0 < least(20, n) THEN greatest(0, hi1 - least(20, n)) ELSE lo0 END AS lo1 FROM u), p AS (SELECT *, k - lo1 AS j, hi1 - lo1 AS m FROM d WHERE k >= lo1 AND k < hi1)
+b AS (SELECT *, least(round_even(0.75::DOUBLE * n, 0), n - 1) AS lo0, greatest(least(round_even(0.99::DOUBLE * n, 0), n), least(round_even(0.75::DOUBLE * n, 0), n - 1) + 1) AS hi0 FROM r), u AS (SELECT *, CASE WHEN hi0 - lo0 < least(20, n) THEN greatest(0, hi0 - least(20, n)) ELSE lo0 END AS lo1 FROM b),
+d AS (SELECT *, CASE WHEN hi0 - lo1 < least(20, n) THEN least(n, lo1 + least(20, n)) ELSE hi0 END AS hi1 FROM u), p AS (SELECT *, k - lo1 AS j, hi1 - lo1 AS m FROM d WHERE k >= lo1 AND k < hi1)
 SELECT station, file, part FROM p WHERE m <= 20 OR j IN (SELECT round_even(i * ((m - 1) / 19::DOUBLE), 0) FROM range(0, 20) t(i))"""
 
 
@@ -337,8 +337,8 @@ def negative_whitelist(spark, sf_dir):
 
 NEGATIVE_WHITELIST_SQL = """WITH c AS (SELECT CAST(l_suppkey % 3 AS VARCHAR) AS split, CAST(l_orderkey AS VARCHAR) AS file_path, CAST(l_suppkey AS VARCHAR) AS station_key, l_linenumber AS w_idx, max(l_extendedprice) AS score FROM lineitem GROUP BY ALL),
 q(split, want) AS (VALUES ('0', 40), ('1', 70)), r AS (SELECT c.*, want, row_number() OVER (PARTITION BY split ORDER BY score, file_path, station_key, w_idx) - 1 AS k, count(*) OVER (PARTITION BY split) AS n FROM c JOIN q USING (split)),
-b AS (SELECT *, round_even(0.75::DOUBLE * n, 0) AS lo0, greatest(round_even(0.99::DOUBLE * n, 0), round_even(0.75::DOUBLE * n, 0)) AS hi0, least(want, n) AS w FROM r),
-u AS (SELECT *, CASE WHEN hi0 - lo0 < w THEN least(n, lo0 + w) ELSE hi0 END AS hi1 FROM b), d AS (SELECT *, CASE WHEN hi1 - lo0 < w THEN greatest(0, hi1 - w) ELSE lo0 END AS lo1 FROM u),
+b AS (SELECT *, least(round_even(0.75::DOUBLE * n, 0), n - 1) AS lo0, greatest(least(round_even(0.99::DOUBLE * n, 0), n), least(round_even(0.75::DOUBLE * n, 0), n - 1) + 1) AS hi0, least(want, n) AS w FROM r),
+u AS (SELECT *, CASE WHEN hi0 - lo0 < w THEN greatest(0, hi0 - w) ELSE lo0 END AS lo1 FROM b), d AS (SELECT *, CASE WHEN hi0 - lo1 < w THEN least(n, lo1 + w) ELSE hi0 END AS hi1 FROM u),
 p AS (SELECT *, k - lo1 AS j, hi1 - lo1 AS m FROM d WHERE k >= lo1 AND k < hi1)
 SELECT file_path, station_key, w_idx FROM p WHERE m <= want OR j IN (SELECT round_even(i * ((m - 1) / (want - 1)::DOUBLE), 0) FROM range(0, want) t(i))"""
 

@@ -207,3 +207,49 @@ def test_leave_one_out_wants_five_targets(spark):
     with pytest.raises(ValueError):
         jobs.tercile_dataset(events, many.limit(2), major=7.0, one_out=True)
     assert jobs.tercile_dataset(events, many, major=7.0, one_out=True).select("split").distinct().collect()[0].split == "all"
+
+
+def test_only_windows_of_the_quota_are_cleaned(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(f"/d/{k}.mseed", f"N.S{k % 3}", c, 100.0, rng.normal(size=3000).tolist()) for k in range(9) for c in "ZNE"]
+    traces = spark.createDataFrame(rows, TRACES)
+    classes = spark.createDataFrame([(f"/d/{k}.mseed", "quake" if k % 2 else "noise") for k in range(9)], "file_path string, class_name string")
+    cleaned, clean = [], dsp.clean
+
+    def counted(df, fs, low, high, column):
+        if column == "z":
+            cleaned.append(df.count())
+        return clean(df, fs, low, high, column)
+
+    monkeypatch.setattr(jobs.dsp, "clean", counted)
+    n = jobs.detection_dataset(traces, classes, cap=40, seconds=2.0, n=8).count()
+    assert n == sum(cleaned) and 0 < n <= 120  # of 9 x 29 windows
+    cleaned.clear()
+    base = baselines_of(spark, range(3))
+    mined = jobs.detection_dataset(traces, classes, cap=40, seconds=2.0, n=8, baselines=base, mined="noise", matched="quake").count()
+    assert mined <= n and len(cleaned) == 2 and cleaned[1] == 0  # each window of the two classes once
+
+
+def test_ground_motion_of_raw_counts(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for k in range(4):
+        for c in "ZNE":
+            x = rng.normal(size=6000) * 50
+            x[2000:2300] += 4e4 * np.sin(np.arange(300) * 0.4) * np.exp(-np.arange(300) / 90)
+            rows.append((f"/d/event_{k}_raw.mseed", "N.A" if k < 3 else "N.B", "N", "A" if k < 3 else "B", f"HH{c}", c, "2024-01-05 00:00:00" if k else "2020-01-05 00:00:00", 100.0, x.tolist(), [j < 60 for j in range(6000)]))
+    traces = spark.createDataFrame(rows, "file_path string, station_key string, network string, station string, channel string, component string, starttime string, sampling_rate double, samples array<double>, gap_mask array<boolean>").withColumn("starttime", F.col("starttime").cast("timestamp_ntz"))
+    table = [("N", "A", f"HH{c}", "2024-01-01 00:00:00", None, "M/S", 6e8, [1500.0, 4e5], [(-4.44, 4.44), (-4.44, -4.44)], [(0.0, 0.0), (0.0, 0.0)], 1.0, None) for c in "ZNE"]
+    responses = spark.createDataFrame(table, "network string, station string, channel string, epoch_start string, epoch_end string, input_unit string, sensitivity double, stage_gains array<double>, poles array<struct<re:double,im:double>>, zeros array<struct<re:double,im:double>>, a0 double, norm_hz double")
+    responses = responses.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("epoch_start", "epoch_end")})
+    records = jobs.ground_motion_records(traces, responses).cache()
+    got = {r.file_path: r for r in records.collect()}
+    assert {k: r.response_ok for k, r in got.items()} == {f"/d/event_{k}_raw.mseed": k in (1, 2) for k in range(4)}
+    r = got["/d/event_1_raw.mseed"]
+    assert 1990 <= r.arrival <= 2020 and r.n_masked_frac == pytest.approx(0.01) and r.event_id == "1" and len(r.raw_z) == len(r.vel_e) == 6000 and r.sens_mismatch == pytest.approx(0)
+    events = spark.createDataFrame([(str(k), 4.0, 38.0, 30.0) for k in range(4)], "event_id string, magnitude double, lat double, lon double")
+    data, dropped = jobs.ground_motion_dataset(records, events, spark.createDataFrame([("N.A", 38.5, 30.0)], "key string, latitude double, longitude double"))
+    assert {d.reason for d in dropped.collect()} == {"no usable response"} and dropped.count() == 2
+    one = data.where("event_id = '1'").first()
+    speed = np.sqrt(sum(np.array(r[f"vel_{c}"]) ** 2 for c in "zne"))
+    assert one.pgv_cms_full == pytest.approx(100 * speed.max()) and 0.001 < one.pgv_cms_full < 0.1 and one.peak_in_input
