@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quakeframe.operators import encode as N
 from quakeframe.operators import groundmotion as M
 from quakeframe.operators import split as S
+from quakeframe.operators import travel as V
 from quakeframe.plans import fixtures as X
 from quakeframe.plans import jobs as J
 from quakeframe.plans.fixtures import CATALOG_SQL, ENTRIES_SQL, TRACES_SQL
@@ -130,6 +131,18 @@ def travel_times(spark, sf_dir):
 TRAVEL_TIMES_SQL = "SELECT o_orderkey, CASE WHEN o_orderkey % 27 < 20 AND o_custkey % 23 < 20 THEN round(o_orderkey % 27 / 10.0::DOUBLE * 15 + o_custkey % 23 / 7.0::DOUBLE + 1, 7) END AS predicted_p_s FROM orders"
 
 
+def travel_model(spark, sf_dir):
+    """First arrivals of a uniform sphere at 6 km/s, interpolated between cells of 0.1 degrees and 5 km of a table that the library makes."""
+    times = V.table(spark, [V.Shell(0, 20, 6.0, 6.0), V.Shell(20, 700, 6.0, 6.0)], [5.0 * k for k in range(6)], 0.1, 3.0)
+    rows = X.table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 270 / 100.0).alias("d"), (F.col("o_custkey") % 230 / 10.0).alias("z"))
+    return V.first_arrival(rows, times, "d", "z", 0.1, 5.0).select("o_orderkey", F.round("predicted_p_s", 3).alias("predicted_p_s"))
+
+
+_CHORD = "sqrt(6371.0::DOUBLE * 6371 + (6371 - 5.0::DOUBLE * (zk + {j})) * (6371 - 5.0::DOUBLE * (zk + {j})) - 2 * 6371 * (6371 - 5.0::DOUBLE * (zk + {j})) * cos(radians(0.1::DOUBLE * (k + {i})))) / 6"
+TRAVEL_MODEL_SQL = f"""WITH r AS (SELECT o_orderkey, o_orderkey % 270 / 100.0::DOUBLE / 0.1::DOUBLE AS x, o_custkey % 230 / 10.0::DOUBLE / 5 AS y FROM orders), c AS (SELECT o_orderkey, floor(x) AS k, floor(y) AS zk, x - floor(x) AS u, y - floor(y) AS v FROM r)
+SELECT o_orderkey, round({_CHORD.format(i=0, j=0)} * (1 - u) * (1 - v) + {_CHORD.format(i=1, j=0)} * u * (1 - v) + {_CHORD.format(i=0, j=1)} * (1 - u) * v + {_CHORD.format(i=1, j=1)} * u * v, 3) AS predicted_p_s FROM c"""
+
+
 def quality_counts(spark, sf_dir):
     """Records by response flag and mismatch, and how many pass both."""
     rows = X.table(spark, sf_dir, "lineitem").select((F.col("l_linestatus") == "F").alias("ok"), F.when(F.col("l_tax") > 0.01, F.col("l_tax")).alias("mismatch"))
