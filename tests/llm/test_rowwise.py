@@ -179,7 +179,9 @@ def brute_differences(rows, tokens):
         both.update(pair[1])
         after = {x: n for x, n in both.items() if x[0] == c}
         behind = (max(both[c, w] - toxicity.SHARED, 0) + sum(min(n, toxicity.SHARED) for n in after.values()) * shared(w)) / sum(after.values()) if after else shared(w)
-        back = behind * own(k, w) / shared(w)
+        seen, off = sum(after.values()), sum(min(n, toxicity.SHARED) for n in after.values())
+        norm = (sum(max(n - toxicity.SHARED, 0) * own(k, x[1]) / shared(x[1]) for x, n in after.items()) + off) / seen if after else 1.0
+        back = behind * own(k, w) / shared(w) / norm
         after = {x: n for x, n in pair[k].items() if x[0] == c}
         return (max(pair[k].get((c, w), 0) - toxicity.PAIRS, 0) + sum(min(n, toxicity.PAIRS) for n in after.values()) * back) / sum(after.values()) if after else back
 
@@ -201,6 +203,10 @@ def test_toxicity_models_equal_brute_force(spark):
         for tokens in (words, ["unseen", "oak", "unseen", "yew", "yew"], [], rows[3][0]):
             slot, context, _, _ = toxicity._words(pa.array([" ".join(tokens)]))
             assert model.differences(slot, context) == pytest.approx(brute_differences(counted, tokens), rel=1e-4, abs=1e-5)
+        slots = np.arange(1 << toxicity.VOCAB_BITS)
+        known = toxicity._words(pa.array([" ".join(words + ["unseen"])]))[0]
+        for context in [0, *known.tolist()]:  # each is a distribution over all words
+            assert model.probabilities(slots, np.full(len(slots), context)).sum(axis=1) == pytest.approx([1.0, 1.0], abs=1e-4)
 
 
 def test_toxic_passages_by_brute_force(spark):
