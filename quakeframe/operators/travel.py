@@ -86,7 +86,7 @@ def rays(spark: SparkSession, shells: list[Shell], depths: list[float], angles:
     model = spark.createDataFrame([(_model_rows(shells, radius),)], "model array<struct<" + ",".join(f"{n}:{'int' if n == 'branch' else 'double'}" for n in _FIELDS) + ">>")
     rows = spark.createDataFrame([(float(z),) for z in depths], "depth_km double").repartition(min(len(depths), 64)).crossJoin(F.broadcast(model))  # one row
     source = F.lit(radius) - F.col("depth_km")
-    own = F.filter("model", lambda s: (s["low"] < source) & (source <= s["high"]))[0]
+    own = F.get(F.filter("model", lambda s: (s["low"] < source) & (source <= s["high"])), F.lit(0))
     rows = rows.withColumn("r", source).withColumn("eta", F.pow("r", 1 - own["power"]) / own["factor"])
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(2 * angles))).alias("ray"))
     tilt = F.col("ray") * F.lit(math.pi / 2 / angles)  # from straight down to straight up
