@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quakeframe.functions.columns import array_mean, array_sigma, let, standardize
 from quakeframe.operators.sequence import running
 from quakeframe.operators.split import with_total
+from quakeframe.session import materialize
 
 
 def window_shape(fs: float, seconds: float, overlap: float) -> tuple[int, int, int]:
@@ -130,24 +131,27 @@ def detrend(x: Column) -> Column:
     return let(array_mean(x), line)
 
 
+def _with_previous(windows: DataFrame, by: list[str], value: str, idx: str) -> DataFrame:
+    """windows that have one just before them, with its value as __v; joined by (by, idx), so a long trace stays spread over tasks."""
+    before = windows.select(*by, (F.col(idx) + 1).cast(windows.schema[idx].dataType).alias(idx), F.col(value).alias("__v"))
+    return windows.join(before, [*by, idx])
+
+
 def consecutive_diff(windows: DataFrame, by: list[str], value: str = "window", idx: str = "w_idx") -> DataFrame:
     """Root-mean-square difference of each window and the one just before it; a missing index breaks the chain."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*by).orderBy(idx)
-    rows = windows.withColumn("__v", F.lag(value).over(w)).withColumn("__i", F.lag(idx).over(w)).where(F.col("__i") == F.col(idx) - 1)
+    rows = _with_previous(windows.select(*by, idx, value), by, value, idx)
     square = F.aggregate(F.zip_with(value, "__v", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, v: a + v)
     return rows.select(*by, idx, F.sqrt(square / F.size(value)).alias("rms_diff"))
 
 
 def image_diff(windows: DataFrame, by: list[str], n: int = 64, value: str = "window", idx: str = "w_idx") -> DataFrame:
-    """Mean absolute difference of the relative-angle images of each window and the one just before it; a missing index breaks the chain."""
-    from pyspark.sql import Window
+    """Mean absolute difference of the relative-angle images of each window and the one just before it; a missing index breaks the chain.
 
-    w = Window.partitionBy(*by).orderBy(idx)
-    rows = windows.withColumn("__a", relative_angles(F.col(value), n))
-    rows = rows.withColumns({"__b": F.lag("__a").over(w), "__i": F.lag(idx).over(w)}).where(F.col("__i") == F.col(idx) - 1)
-    rows = rows.withColumn("__d", F.zip_with("__a", "__b", lambda a, b: a - b))  # of images, the differences of differences
+    Windows are angles only when they meet; these are worked out once and written.
+    """
+    angles = materialize(windows.select(*by, idx, relative_angles(F.col(value), n).alias("__a")), "angles")
+    rows = _with_previous(angles, by, "__a", idx)
+    rows = rows.withColumn("__d", F.zip_with("__a", "__v", lambda a, b: a - b))  # of images, the differences of differences
     total = F.aggregate(F.transform("__d", lambda p: F.aggregate("__d", F.lit(0.0), lambda acc, q: acc + F.abs(q - p))), F.lit(0.0), lambda acc, v: acc + v)
     return rows.select(*by, idx, (total / F.lit(float(n * n))).alias("image_diff"))
 

@@ -11,8 +11,11 @@ from pyspark.sql import types as T
 
 from quakeframe.operators.evaluate import quantiles
 from quakeframe.operators.sequence import DAY, micros, running
+from quakeframe.session import materialize
 
 SPLITS = ("train", "val", "test")
+#: Keys that one task passes through in fill_splits at most; more are placed by phases.
+ONE_TASK_KEYS = 1_000_000
 
 
 def chronological(windows: DataFrame, ratios: tuple[float, float] = (0.70, 0.15), embargo_days: float = 0.0, end: str = "end_time", target: str | None = None) -> DataFrame:
@@ -172,9 +175,45 @@ def fill_splits(keys: DataFrame, key: str, weights: list[str], ratios: tuple[flo
                 return s
         return None
 
+    if keys.count() > ONE_TASK_KEYS:
+        return _filled_by_phases(keys, key, weights, targets, seed)
     return _folded(keys, key, weights, seed, lambda: [[0] * len(weights) for _ in SPLITS], place)
 
 
+def _filled_by_phases(keys: DataFrame, key: str, weights: list[str], targets: dict[str, int], seed: int) -> DataFrame:
+    """fill_splits of any number of keys: while the same classes of a split are below their targets it takes every key that holds one of
+    them, so where that changes is found in running sums; a split has a phase a class at most."""
+    left = materialize(keys.select(F.col(key), *(F.coalesce(F.col(w), F.lit(0)).cast("long").alias(w) for w in weights), hashed_order(key, seed=seed).alias("__h")), "keys")
+    at, out = F.struct("__h", key), None
+    for name in SPLITS:
+        held, open_ = dict.fromkeys(weights, 0), [w for w in weights if targets[name] > 0]
+        rest, taken = left, None
+        while open_:
+            some = F.lit(False)
+            for w in open_:
+                some = some | (F.col(w) > 0)
+            placed = running(rest.where(some), ["__h", key], {f"__before_{w}": F.col(w) for w in open_})
+            full = F.lit(False)
+            for w in open_:
+                full = full | (F.col(f"__before_{w}") + held[w] >= targets[name])
+            end = placed.where(full).agg(F.min(at).alias("end")).first()["end"]
+            edge = F.struct(F.lit(end[0]).alias("__h"), F.lit(end[1]).cast(keys.schema[key].dataType).alias(key)) if end else None
+            own = placed.where(at < edge) if end else placed
+            own = own.select(key, *weights, "__h")
+            taken = own if taken is None else taken.unionByName(own)
+            sums = own.agg(*(F.sum(w).alias(w) for w in weights)).first()
+            held = {w: n + int(sums[w] or 0) for w, n in held.items()}
+            if not end:
+                break
+            open_, rest = [w for w in weights if held[w] < targets[name]], rest.where(at >= edge)
+        if taken is not None:
+            taken = materialize(taken, "taken")
+            left = materialize(left.join(taken.select(key, "__h"), [key, "__h"], "left_anti"), "keys")
+            placed = taken.select(key, F.lit(name).alias("split"))
+            out = placed if out is None else out.unionByName(placed)
+    return out if out is not None else keys.select(key, F.lit(None).cast("string").alias("split")).limit(0)
+
+
 def trim_surplus(entries: DataFrame, by: str, cls: str, weight: str, key: str) -> DataFrame:
     """Adds quota: within each by, every class's windows cut to the smallest class's number, shared over its entries by largest remainder."""
     totals = entries.groupBy(by, cls).agg(F.sum(weight).alias("__total"))

@@ -213,6 +213,30 @@ w AS (SELECT split, class_name, station_key, file_path, vec_id, kept, i FROM q J
 SELECT split, class_name, station_key, file_path, 'event_' || vec_id || '_raw_' || station_key || '_win00' || i || '.parquet' AS filename, 10.0::DOUBLE AS fs FROM w WHERE kept >= 5 OR i IN (SELECT round_even(j * (4 / greatest(kept - 1, 1)::DOUBLE), 0) FROM range(0, 5) u(j) WHERE j < kept)"""
 
 
+def risk_manifest(spark, sf_dir):
+    """The manifest of the risk dataset without its arrays: three classes, noise and low risk cut to twice a split's high-risk windows."""
+    traces = _station_traces(spark, sf_dir)
+    quakes, noise = traces.where("trace % 3 <> 0").drop("trace"), traces.where("trace % 3 = 0").drop("trace")
+    events = X.catalog(spark, sf_dir).where("event_id % 7 <> 0").select(F.col("event_id").cast("string").alias("event_id"), "magnitude", "lat", "lon")
+    stations = spark.range(0, 10).select(F.concat(F.lit("N.S"), "id").alias("key"), (38 + F.col("id") / 10).alias("latitude"), (30 - F.col("id") / 10).alias("longitude"))
+    rows = J.risk_dataset(quakes, noise, events, stations, lambda windows: windows, None, 3.0, 2.0, None, None, 10.0, 0.6, 0.5)
+    return rows.select("split", "risk_class", "station_key", "event_id", "file_path", "filename", "fs", "magnitude", F.round("distance_km", 6).alias("distance_km"))
+
+
+_HAV = "2 * 6371.0 * asin(sqrt(pow(sin(radians(38 + label / 10.0::DOUBLE - lat) / 2), 2) + cos(radians(lat)) * cos(radians(38 + label / 10.0::DOUBLE)) * pow(sin(radians(30 - label / 10.0::DOUBLE - lon) / 2), 2)))"
+_GAPS = """gaps(k, a, b, c, split) AS (SELECT 0::BIGINT, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, '' UNION ALL
+  SELECT k, a + CASE WHEN s = 'train' THEN w ELSE 0 END, b + CASE WHEN s = 'val' THEN w ELSE 0 END, c + CASE WHEN s = 'test' THEN w ELSE 0 END, s FROM (
+    SELECT g.k, w, a, b, c, CASE WHEN (t*0.70::DOUBLE - a) / greatest(t*0.70::DOUBLE, 1) >= (t*0.15::DOUBLE - b) / greatest(t*0.15::DOUBLE, 1) AND (t*0.70::DOUBLE - a) / greatest(t*0.70::DOUBLE, 1) >= (t*0.15::DOUBLE - c) / greatest(t*0.15::DOUBLE, 1) THEN 'train'
+      WHEN (t*0.15::DOUBLE - b) / greatest(t*0.15::DOUBLE, 1) >= (t*0.15::DOUBLE - c) / greatest(t*0.15::DOUBLE, 1) THEN 'val' ELSE 'test' END AS s FROM gaps JOIN g ON g.k = gaps.k + 1))"""
+RISK_MANIFEST_SQL = f"""WITH RECURSIVE {CATALOG_SQL}, f AS (SELECT vec_id, label, '/d/event_' || vec_id || '_raw.mseed' AS file_path, 'N.S' || label AS station_key FROM embeddings),
+e AS (SELECT f.*, CAST(event_id AS VARCHAR) AS event_id, magnitude, lat, lon, CASE WHEN magnitude >= 3 THEN '02_high_risk' ELSE '01_low_risk' END AS risk_class FROM f JOIN catalog ON vec_id = event_id WHERE vec_id % 3 <> 0 AND event_id % 7 <> 0
+ UNION ALL SELECT f.*, NULL, NULL, NULL, NULL, '00_noise' FROM f WHERE vec_id % 3 = 0),
+g AS (SELECT station_key, 5.0::DOUBLE * count(*) AS w, row_number() OVER (ORDER BY md5('42|' || station_key)) AS k, sum(5.0::DOUBLE * count(*)) OVER () AS t FROM e GROUP BY station_key), {_GAPS},
+p AS (SELECT *, 5 * (row_number() OVER (PARTITION BY split, risk_class ORDER BY md5('49|' || file_path || '|' || station_key), file_path, station_key) - 1) AS prior, sum(CASE WHEN risk_class = '02_high_risk' THEN 5 ELSE 0 END) OVER (PARTITION BY split) AS high FROM e JOIN g USING (station_key) JOIN gaps USING (k))
+SELECT split, risk_class, station_key, event_id, file_path, 'event_' || vec_id || '_raw_' || station_key || '_win00' || i || '.parquet' AS filename, 10.0::DOUBLE AS fs, magnitude, round({_HAV}, 6) AS distance_km FROM p, range(0, 5) r(i)
+WHERE risk_class = '02_high_risk' OR high = 0 OR prior < round_even(high * 2.0::DOUBLE, 0)"""
+
+
 def event_manifest(spark, sf_dir):
     """Windows of known events with magnitude and distance, an event in one split: the regression dataset's manifest."""
     windows = J.station_windows(_station_traces(spark, sf_dir).drop("trace"), 0.6, 0.5, 10.0)
@@ -222,13 +246,9 @@ def event_manifest(spark, sf_dir):
     return rows.select("split", "event_id", "station_key", "w_idx", "magnitude", F.round("distance_km", 6).alias("distance_km"))
 
 
-_HAV = "2 * 6371.0 * asin(sqrt(pow(sin(radians(38 + label / 10.0::DOUBLE - lat) / 2), 2) + cos(radians(lat)) * cos(radians(38 + label / 10.0::DOUBLE)) * pow(sin(radians(30 - label / 10.0::DOUBLE - lon) / 2), 2)))"
 EVENT_MANIFEST_SQL = f"""WITH RECURSIVE {CATALOG_SQL}, j AS (SELECT CAST(event_id AS VARCHAR) AS event_id, 'N.S' || label AS station_key, magnitude, CASE WHEN label <> 7 THEN round({_HAV}, 6) END AS distance_km FROM catalog JOIN embeddings ON event_id = vec_id WHERE event_id % 4 = 0),
 g AS (SELECT event_id, 5.0::DOUBLE AS w, row_number() OVER (ORDER BY md5('42|' || event_id)) AS k, 5.0::DOUBLE * count(*) OVER () AS t FROM j),
-gaps(k, a, b, c, split) AS (SELECT 0::BIGINT, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, '' UNION ALL
-  SELECT k, a + CASE WHEN s = 'train' THEN w ELSE 0 END, b + CASE WHEN s = 'val' THEN w ELSE 0 END, c + CASE WHEN s = 'test' THEN w ELSE 0 END, s FROM (
-    SELECT g.k, w, a, b, c, CASE WHEN (t*0.70::DOUBLE - a) / greatest(t*0.70::DOUBLE, 1) >= (t*0.15::DOUBLE - b) / greatest(t*0.15::DOUBLE, 1) AND (t*0.70::DOUBLE - a) / greatest(t*0.70::DOUBLE, 1) >= (t*0.15::DOUBLE - c) / greatest(t*0.15::DOUBLE, 1) THEN 'train'
-      WHEN (t*0.15::DOUBLE - b) / greatest(t*0.15::DOUBLE, 1) >= (t*0.15::DOUBLE - c) / greatest(t*0.15::DOUBLE, 1) THEN 'val' ELSE 'test' END AS s FROM gaps JOIN g ON g.k = gaps.k + 1))
+{_GAPS}
 SELECT split, event_id, station_key, CAST(i AS INT) AS w_idx, magnitude, distance_km FROM j JOIN g USING (event_id) JOIN gaps USING (k), range(0, 5) r(i)"""
 
 

@@ -351,3 +351,15 @@ def test_trace_attributes_and_components(spark):
     shapes = [(1, [[float(3 * k + c) for c in range(3)] for k in range(5)]), (2, [[float(10 * c + k) for k in range(5)] for c in range(3)]), (3, [[1.0, 2.0]] * 4), (4, None)]
     got = {r.id: r for r in stead.components(spark.createDataFrame(shapes, "id int, samples array<array<double>>")).collect()}
     assert set(got) == {1, 2} and got[1].z == [2.0, 5.0, 8.0, 11.0, 14.0] and got[1].e[:2] == [0.0, 3.0] and got[2].z == [20.0, 21.0, 22.0, 23.0, 24.0] and got[2].e[0] == 0.0
+
+
+def test_filling_by_phases_equals_one_pass(spark, monkeypatch):
+    rng = random.Random(11)
+    for weights, n in ((["a"], 40), (["a", "b"], 120), (["a", "b", "c"], 90), (["a", "b"], 0)):
+        rows = [(f"s{k}", *(rng.choice([0, 0, 1, 5, 30, None]) for _ in weights)) for k in range(n)]
+        keys = spark.createDataFrame(rows, "station string, " + ", ".join(f"{w} long" for w in weights))
+        one = {tuple(r) for r in split.fill_splits(keys, "station", weights).collect()}
+        monkeypatch.setattr(split, "ONE_TASK_KEYS", -1)
+        assert {tuple(r) for r in split.fill_splits(keys, "station", weights).collect()} == one
+        monkeypatch.undo()
+        assert n == 0 or {s for _, s in one} == {"train", "val", "test"}
