@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from quakeframe.functions import columns as C
 from quakeframe.operators import decluster as D
+from quakeframe.operators import evaluate as E
 from quakeframe.operators import sequence as Q
 from quakeframe.operators import split as S
 from quakeframe.plans import fixtures as X
+from quakeframe.plans import jobs as J
 from quakeframe.plans.fixtures import CATALOG_SQL, HORIZON_DAYS, THRESHOLD, ZONED_SQL
+from quakeframe.session import materialize
 from quakeframe.sources import catalog as K
 
 FEATURES = ("log_duration_days", "log_rate", "log_rate_recent", "rate_accel", "mean_mag", "max_mag", "mag_std", "log_total_energy", "log_energy_recent_frac", "b_value")
@@ -130,6 +133,17 @@ edges AS (SELECT CASE WHEN count(*) < 3 THEN 365.0 ELSE quantile_cont(days_to_ma
 SELECT region, start_idx, split, CASE WHEN days_to_major < low_days THEN 0 WHEN days_to_major < high_days THEN 1 ELSE 2 END AS tercile, round(low_days, {R}) AS low_days, round(high_days, {R}) AS high_days FROM split, edges"""
 
 
+def tercile_one_out(spark, sf_dir):
+    """Windows for folds that leave one target event out: one split, terciles of all rows."""
+    events = X.zoned(spark, sf_dir)
+    rows = J.tercile_dataset(events, events.where(F.col("magnitude") >= THRESHOLD).select("region", "time"), THRESHOLD, True)
+    return _rounded(rows.select("region", "start_idx", "split", "tercile", "low_days", "high_days"), "low_days", "high_days")
+
+
+TERCILE_ONE_OUT_SQL = f"""WITH {TERCILE_SQL}, edges AS (SELECT quantile_cont(days_to_major, 1.0::DOUBLE/3) AS low_days, quantile_cont(days_to_major, 2.0::DOUBLE/3) AS high_days FROM tercile)
+SELECT region, start_idx, 'all' AS split, CASE WHEN days_to_major < low_days THEN 0 WHEN days_to_major < high_days THEN 1 ELSE 2 END AS tercile, round(low_days, {R}) AS low_days, round(high_days, {R}) AS high_days FROM tercile, edges"""
+
+
 def zone_events(spark, sf_dir):
     return X.zoned(spark, sf_dir).groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("magnitude") >= THRESHOLD).cast("int")).alias("n_major"), F.min("time").alias("first"), F.max("time").alias("last"))
 
@@ -208,7 +222,9 @@ def event_gaps(spark, sf_dir):
     strong = Q.numbered(X.zoned(spark, sf_dir).where(F.col("magnitude") >= 3.5))
     nxt = strong.select("region", (F.col("idx") + 1).alias("idx"), F.col("time").alias("before"))
     gaps = strong.join(nxt, ["region", "idx"]).select("region", F.floor(C.days_between(F.col("before"), F.col("time"))).alias("gap"))
-    return gaps.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.median("gap").alias("median_gap"), F.min("gap").alias("min_gap"), F.max("gap").alias("max_gap"))
+    gaps = materialize(gaps, "gaps")
+    middle = E.quantiles(gaps, "gap", [0.5], ("region",)).select("region", F.col("edges")[0].alias("median_gap"))
+    return gaps.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("gap").alias("min_gap"), F.max("gap").alias("max_gap")).join(middle, "region").select("region", "n", "median_gap", "min_gap", "max_gap")
 
 
 EVENT_GAPS_SQL = f"""WITH {ZONED_SQL}, g AS (SELECT region, floor((epoch_us(time) - epoch_us(lag(time) OVER (PARTITION BY region ORDER BY time, event_id))) / 86400e6) AS gap FROM zoned WHERE magnitude >= 3.5)
@@ -227,6 +243,7 @@ QUERIES = {
     "forecast_blocks": (forecast_blocks, FORECAST_BLOCKS_SQL),
     "tercile_windows": (tercile_windows, TERCILE_WINDOWS_SQL),
     "tercile_split": (tercile_split, TERCILE_SPLIT_SQL),
+    "tercile_one_out": (tercile_one_out, TERCILE_ONE_OUT_SQL),
     "zone_events": (zone_events, ZONE_EVENTS_SQL),
     "radius_events": (radius_events, RADIUS_EVENTS_SQL),
     "catalog_normalize": (catalog_normalize, CATALOG_NORMALIZE_SQL),

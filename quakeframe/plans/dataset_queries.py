@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quakeframe.operators import encode as N
@@ -10,7 +12,9 @@ from quakeframe.operators import split as S
 from quakeframe.operators import travel as V
 from quakeframe.plans import fixtures as X
 from quakeframe.plans import jobs as J
-from quakeframe.plans.fixtures import CATALOG_SQL, ENTRIES_SQL, TRACES_SQL
+from quakeframe.plans.fixtures import CATALOG_SQL, ENTRIES_SQL, TRACES_SQL, ZONED_SQL
+from quakeframe.session import shared_dir
+from quakeframe.sources import miniseed as MS
 from quakeframe.sources import sinks as K
 from quakeframe.sources import stead
 
@@ -143,6 +147,60 @@ TRAVEL_MODEL_SQL = f"""WITH r AS (SELECT o_orderkey, o_orderkey % 270 / 100.0::D
 SELECT o_orderkey, round({_CHORD.format(i=0, j=0)} * (1 - u) * (1 - v) + {_CHORD.format(i=1, j=0)} * u * (1 - v) + {_CHORD.format(i=0, j=1)} * (1 - u) * v + {_CHORD.format(i=1, j=1)} * u * v, 3) AS predicted_p_s FROM c"""
 
 
+def miniseed_round_trip(spark, sf_dir):
+    """Traces as whole numbers, without their samples 41 to 44, written as MiniSEED, read in ranges of bytes and merged: the gap is a line."""
+    spark.dataSource.register(MS.MiniSeedSource)
+    start = F.lit("2024-02-28 23:59:59.5").cast("timestamp_ntz")
+    later = F.lit("2024-02-29 00:00:00.1875").cast("timestamp_ntz")  # 44 samples at 64 a second
+    whole = X.traces(spark, sf_dir).withColumn("x", F.transform("samples", lambda v: F.rint(v * 1000)))
+    pieces = F.array(F.struct(start.alias("starttime"), F.slice("x", 1, 40).alias("samples")), F.struct(later.alias("starttime"), F.slice("x", 45, 20).alias("samples")))
+    code = F.conv(F.col("trace").cast("string"), 10, 36)
+    rows = whole.select(F.lit("").alias("file_path"), F.lit("XX").alias("network"), code.alias("station"), F.lit("").alias("location"), F.lit("HHZ").alias("channel"), F.inline(pieces))
+    path = f"{shared_dir(spark)}/miniseed-{uuid.uuid4().hex}"
+    rows.withColumns({"sampling_rate": F.lit(64.0), "npts": F.size("samples")}).select(*MS.COLUMNS).write.format("miniseed").option("record_bytes", "512").mode("append").save(path)
+    back = MS.traces(spark.read.format("miniseed").option("split_bytes", "65536").load(path))
+    total = F.aggregate("samples", F.lit(0.0), lambda a, v: a + v)
+    return back.select(F.conv("station", 36, 10).cast("long").alias("trace"), "npts", F.size(F.filter("gap_mask", lambda g: g)).alias("n_gap"), F.element_at("samples", 40).alias("s_40"), F.round(F.element_at("samples", 42), 6).alias("s_42"), F.round(total, 6).alias("total"), "starttime")
+
+
+MINISEED_ROUND_TRIP_SQL = f"""WITH {TRACES_SQL}, x AS (SELECT trace, list_transform(samples, lambda v: round_even(v * 1000, 0)) AS x FROM traces)
+SELECT trace, 64 AS npts, 4 AS n_gap, x[40] + 0.0 AS s_40, round(x[40] + 0.4::DOUBLE * (x[45] - x[40]), 6) AS s_42, round(list_sum(x[1:40]) + list_sum(x[45:64]) + 4 * x[40] + 2 * (x[45] - x[40]), 6) AS total, TIMESTAMP '2024-02-28 23:59:59.5' AS starttime FROM x"""
+
+
+def manifest_round_trip(spark, sf_dir):
+    """Window metadata written as a detection manifest and read back: its columns, missing ones empty."""
+    rows = X.entries(spark, sf_dir).select(F.when(F.col("station") % 3 == 0, "test").otherwise("train").alias("split"), F.col("cls").alias("class_name"), F.col("station").alias("station_key"), F.concat_ws("/", F.lit("/d"), "file").alias("file_path"), F.concat_ws("_", "file", "part", "item").alias("filename"), "n_windows")
+    path = f"{shared_dir(spark)}/manifest-{uuid.uuid4().hex}"
+    K.write_manifest(rows, path, "detection")
+    return spark.read.csv(path, header=True).select(*K.MANIFESTS["detection"])
+
+
+MANIFEST_ROUND_TRIP_SQL = f"""WITH {ENTRIES_SQL} SELECT CASE WHEN station % 3 = 0 THEN 'test' ELSE 'train' END AS split, cls AS class_name, CAST(station AS VARCHAR) AS station_key, '/d/' || file AS file_path, file || '_' || part || '_' || item AS filename, CAST(NULL AS VARCHAR) AS fs FROM entries"""
+
+
+def array_round_trip(spark, sf_dir):
+    """Sequences written as Parquet by split and read back."""
+    rows = N.sequences(_windows(spark, sf_dir)).select("trace", "seq", F.when(F.col("trace") % 4 == 0, "val").otherwise("train").alias("split"))
+    path = f"{shared_dir(spark)}/arrays-{uuid.uuid4().hex}"
+    K.write_arrays(rows, path)
+    total = F.aggregate(F.element_at("seq", 1), F.lit(0.0), lambda a, v: a + v.cast("double"))
+    return spark.read.parquet(path).select("split", "trace", F.size("seq").alias("n"), (F.round(total, 3) + 0.0).alias("seq_z"))
+
+
+ARRAY_ROUND_TRIP_SQL = f"""WITH {_W} SELECT CASE WHEN trace % 4 = 0 THEN 'val' ELSE 'train' END AS split, trace, 3 AS n, round((list_sum(z) - 20*0.01) / greatest(coalesce(sz, list_stddev_pop(z)), 1e-12), 3) + 0.0 AS seq_z FROM w"""
+
+
+def catalog_round_trip(spark, sf_dir):
+    """Zoned events written as a catalog and read back by zone."""
+    path = f"{shared_dir(spark)}/catalog-{uuid.uuid4().hex}"
+    K.write_catalog(X.zoned(spark, sf_dir), path)
+    back = spark.read.csv(path, header=True)
+    return back.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("magnitude").cast("double")), 4).alias("magnitudes"), F.max(F.col("time").cast("timestamp_ntz")).alias("last"))
+
+
+CATALOG_ROUND_TRIP_SQL = f"WITH {ZONED_SQL} SELECT region, count(*) AS n, round(sum(magnitude), 4) AS magnitudes, max(time) AS last FROM zoned GROUP BY region"
+
+
 def quality_counts(spark, sf_dir):
     """Records by response flag and mismatch, and how many pass both."""
     rows = X.table(spark, sf_dir, "lineitem").select((F.col("l_linestatus") == "F").alias("ok"), F.when(F.col("l_tax") > 0.01, F.col("l_tax")).alias("mismatch"))

@@ -282,6 +282,14 @@ def matched_negatives(spark, sf_dir):
     return picked.select("file", "part", "bin")
 
 
+MATCHED_NEGATIVES_SQL = """WITH t AS (SELECT l_extendedprice AS score FROM lineitem WHERE l_returnflag = 'A'), q AS (SELECT list_distinct(list_sort(quantile_cont(score, [k / 40.0::DOUBLE FOR k IN range(0, 41)]))) AS u, median(score) AS m FROM t), e AS (SELECT list_sort(u) AS e, m FROM q),
+d AS (SELECT bin, greatest(1, round_even(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) * 500, 0)) AS demand FROM (SELECT least(len(list_filter(e, lambda x: x <= score)), len(e) - 1) - 1 AS bin FROM t, e) GROUP BY bin),
+p AS (SELECT l_orderkey AS file, l_linenumber AS part, l_extendedprice AS score, md5('42|' || l_orderkey || '|' || l_linenumber) AS h, len(list_filter(e, lambda x: x <= l_extendedprice)) AS pos, len(e) AS n, m FROM lineitem, e WHERE l_returnflag = 'N'),
+b AS (SELECT *, CASE WHEN pos >= 1 AND pos < n THEN pos - 1 END AS bin FROM p), r AS (SELECT b.*, row_number() OVER (PARTITION BY b.bin ORDER BY h, file, part) <= coalesce(demand, 1) AND b.bin IS NOT NULL AS chosen FROM b LEFT JOIN d ON d.bin = b.bin),
+o AS (SELECT *, row_number() OVER (ORDER BY CAST(NOT chosen AS INT), CASE WHEN chosen THEN 0.0 ELSE abs(score - m) END, h, file, part) AS place FROM r)
+SELECT file, part, CAST(bin AS INT) AS bin FROM o WHERE place <= 500"""
+
+
 def noise_veto(spark, sf_dir):
     """Orders without an event from five minutes before to six minutes after their date."""
     noise = X.table(spark, sf_dir, "orders").select("o_orderkey", F.timestamp_seconds(F.unix_seconds(F.lit("2024-01-01").cast("timestamp")) + F.col("o_orderkey") * 173 % 2_592_000).cast("timestamp_ntz").alias("start"))

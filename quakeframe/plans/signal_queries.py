@@ -130,19 +130,46 @@ PIXELS_SQL = f"WITH {TRACES_SQL} SELECT trace, {_PIXEL.format('samples[1]*10')}
 
 
 def filtered(spark, sf_dir):
-    """Each trace detrended, tapered and band-passed from 2 to 12 Hz at 64 samples a second; checked against NumPy in tests/test_numbers.py."""
-    return dsp.clean(X.traces(spark, sf_dir), 64.0, 2.0, 12.0).select("trace", "samples")
+    """Each trace detrended, tapered and band-passed from 2 to 12 Hz at 64 samples a second."""
+    nth = lambda k: F.round(F.element_at("samples", k), 7).alias(f"s_{k}")
+    return dsp.clean(X.traces(spark, sf_dir), 64.0, 2.0, 12.0).select("trace", nth(1), nth(20), nth(64))
+
+
+def _difference_equation(items: str) -> str:
+    """The outputs of the band-pass after a steady past, sample by sample: the list holds eight inputs, eight outputs, then the results."""
+    b, a = dsp.butterworth(4, 2.0, 12.0, 64.0)
+    y = " + ".join([f"{float(b[0])!r}::DOUBLE * e[1]", *(f"{float(b[k])!r}::DOUBLE * acc[{k}]" for k in range(1, 9)), *(f"{float(-a[k])!r}::DOUBLE * acc[{8 + k}]" for k in range(1, 9))])
+    past = ", ".join([f"{items}[1]"] * 8 + ["0.0::DOUBLE"] * 8)
+    return f"list_reduce(list_transform({items}, lambda v: [v]), lambda acc, e: [e[1]] || acc[1:7] || [{y}] || acc[9:15] || acc[17:] || [{y}], [{past}])[17:]"
+
+
+FILTERED_SQL = f"""WITH {TRACES_SQL}, p AS (SELECT trace, unnest(samples) AS v, unnest(range(0, 64)) AS i FROM traces), f AS (SELECT trace, regr_slope(v, i) AS m, regr_intercept(v, i) AS c FROM p GROUP BY trace),
+x AS (SELECT trace, list_transform(range(0, 64), lambda i: (samples[i + 1] - c - m * i) * CASE WHEN least(i, 63 - i) < 3 THEN 0.5 - 0.5 * cos(2 * pi() * least(i, 63 - i) / 5) ELSE 1.0 END) AS x FROM traces JOIN f USING (trace)),
+w AS (SELECT trace, list_transform(range(27, 0, -1), lambda k: 2 * x[1] - x[k + 1]) || x || list_transform(range(1, 28), lambda k: 2 * x[64] - x[64 - k]) AS w FROM x),
+a AS (SELECT trace, list_reverse({_difference_equation('w')}) AS w FROM w), z AS (SELECT trace, list_reverse({_difference_equation('w')})[28:91] AS z FROM a)
+SELECT trace, round(z[1], 7) AS s_1, round(z[20], 7) AS s_20, round(z[64], 7) AS s_64 FROM z"""
 
 
 def spectrogram(spark, sf_dir):
-    """Decibel spectrograms of the traces with 16-point frames; checked against NumPy in tests/test_numbers.py."""
-    return dsp.spectrograms(X.traces(spark, sf_dir), n_fft=16, hop=4).select("trace", "freq", "frames", "db")
+    """Decibel spectrograms of the traces with 16-point frames: shape, peak, mean and floor; whole matrices in tests/test_numbers.py."""
+    got = dsp.spectrograms(X.traces(spark, sf_dir), n_fft=16, hop=4)
+    mean = F.aggregate("db", F.lit(0.0), lambda a, v: a + v) / F.size("db")
+    return got.select("trace", "freq", "frames", F.round(F.array_max("db").cast("double"), 2).alias("peak"), F.round(mean, 2).alias("mean"), F.round(F.array_min("db").cast("double"), 2).alias("least"))
+
+
+_DB = """c AS (SELECT id, f, j, sum(s[CASE WHEN q < 0 THEN -q WHEN q > 63 THEN 126 - q ELSE q END + 1] * w * cos(2 * pi() * j * k / 16)) AS re, sum(s[CASE WHEN q < 0 THEN -q WHEN q > 63 THEN 126 - q ELSE q END + 1] * w * sin(2 * pi() * j * k / 16)) AS im
+ FROM (SELECT id, s, f, k, CAST(4 * f + k - 8 AS INT) AS q, 0.5 - 0.5 * cos(2 * pi() * k / 16) AS w FROM src, range(0, 17) a(f), range(0, 16) b(k)), range(0, 9) g(j) GROUP BY ALL),
+d AS (SELECT id, f, j, 10 * log10(greatest(re * re + im * im, 1e-10)) AS db FROM c), e AS (SELECT id, f, j, greatest(db, max(db) OVER (PARTITION BY id) - 80) AS db FROM d)"""
+SPECTROGRAM_SQL = f"WITH src AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS s FROM embeddings), {_DB} SELECT id AS trace, 9 AS freq, 17 AS frames, round(max(db), 2) AS peak, round(avg(db), 2) AS mean, round(min(db), 2) AS least FROM e GROUP BY id"
 
 
 def spectral_profile(spark, sf_dir):
     """Lower median of each bin over all frames of a label's traces."""
     t = X.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("trace"), F.col("embedding").cast("array<double>").alias("samples"), "label")
-    return dsp.profile(dsp.spectrograms(t, n_fft=16, hop=4), ["label"])
+    return dsp.profile(dsp.spectrograms(t, n_fft=16, hop=4), ["label"]).withColumn("median_db", F.round(F.col("median_db").cast("double"), 2))
+
+
+SPECTRAL_PROFILE_SQL = f"WITH src AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS s FROM embeddings), {_DB} SELECT label, CAST(j AS INT) AS bin, round(quantile_disc(db, 0.5), 2) AS median_db FROM e JOIN embeddings ON id = vec_id GROUP BY ALL"
 
 
 def lyapunov(spark, sf_dir):
@@ -150,6 +177,15 @@ def lyapunov(spark, sf_dir):
     return dsp.lyapunov(X.traces(spark, sf_dir)).select("trace", F.round("lyapunov", 9).alias("lyapunov"))
 
 
+_GAP = " + ".join(f"(a.s[a.i + {e}] - b.s[b.i + {e}]) * (a.s[a.i + {e}] - b.s[b.i + {e}])" for e in range(1, 5))
+_APART = " + ".join(f"(s[i + l + {e}] - s[j + l + {e}]) * (s[i + l + {e}] - s[j + l + {e}])" for e in range(1, 5))
+LYAPUNOV_SQL = f"""WITH {TRACES_SQL}, v AS (SELECT trace, samples AS s, CAST(i AS INT) AS i FROM traces, range(0, 61) r(i)),
+g AS (SELECT a.trace, a.i, b.i AS j, row_number() OVER (PARTITION BY a.trace, a.i ORDER BY {_GAP}, b.i) AS k FROM v a JOIN v b ON a.trace = b.trace AND abs(a.i - b.i) > 3),
+d AS (SELECT trace, l, {_APART} AS apart FROM g JOIN traces USING (trace), (SELECT CAST(l AS INT) AS l FROM range(0, 15) t(l)), (SELECT trace AS t2, samples AS s FROM traces) x WHERE k = 1 AND t2 = trace AND greatest(i, j) + l < 61),
+y AS (SELECT trace, l, count(*) FILTER (apart > 0) AS n, avg(ln(apart)) FILTER (apart > 0) / 2 AS y FROM d GROUP BY ALL), o AS (SELECT *, min(CASE WHEN n < 3 THEN l ELSE 99 END) OVER (PARTITION BY trace) AS stop FROM y)
+SELECT trace, CASE WHEN count(*) FILTER (l < stop) >= 3 THEN round(regr_slope(y, l) FILTER (l < stop), 9) END AS lyapunov FROM o GROUP BY trace"""
+
+
 def corrected(spark, sf_dir):
     """Each trace as velocity and acceleration: a pole and a zero a label, whose gain doubles on day 100 of 2024; a day a trace."""
     t = X.table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("samples"), F.concat(F.lit("S"), "label").alias("station"), "label")

@@ -33,10 +33,14 @@ def window_name(file_path: Column, station_key: Column, w_idx: Column, ext: str)
     return F.concat(stem, F.lit("_"), station_key, F.lit("_win"), digits, F.lit(f".{ext}"))
 
 
+#: Times to the microsecond, which the writer's default cuts to milliseconds.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def write_manifest(df: DataFrame, path: str, kind: str) -> None:
     """CSV with the dataset's columns; missing ones are null."""
     have = set(df.columns)
-    df.select(*(F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in MANIFESTS[kind])).write.mode("overwrite").csv(path, header=True)
+    df.select(*(F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in MANIFESTS[kind])).write.mode("overwrite").options(**TIMES).csv(path, header=True)
 
 
 def write_arrays(df: DataFrame, path: str, by: tuple[str, ...] = ("split",)) -> None:
@@ -46,7 +50,7 @@ def write_arrays(df: DataFrame, path: str, by: tuple[str, ...] = ("split",)) ->
 
 def write_catalog(events: DataFrame, path: str) -> None:
     """A filtered catalog as CSV with a header, UTF-8."""
-    events.write.mode("overwrite").csv(path, header=True, encoding="UTF-8")
+    events.write.mode("overwrite").options(**TIMES).csv(path, header=True, encoding="UTF-8")
 
 
 def write_traces(traces: DataFrame, path: str) -> None:
