@@ -201,6 +201,57 @@ def catalog_round_trip(spark, sf_dir):
 CATALOG_ROUND_TRIP_SQL = f"WITH {ZONED_SQL} SELECT region, count(*) AS n, round(sum(magnitude), 4) AS magnitudes, max(time) AS last FROM zoned GROUP BY region"
 
 
+def window_spectra(spark, sf_dir):
+    """Images of three-component windows: decibels that stop 30 below the loudest of the three, as z-scores over all."""
+    images = N.spectrogram_images(_windows(spark, sf_dir), 8, 4, 30.0, "per_window")
+    of = lambda f, name: F.round(f("img").cast("double"), 2).alias(name)
+    return images.select("trace", "freq", "frames", F.size("img").alias("n"), of(F.array_max, "top"), of(F.array_min, "least"))
+
+
+WINDOW_SPECTRA_SQL = f"""WITH {_W}, src AS (SELECT trace, unnest([1, 2, 3]) AS part, unnest([z, n, e]) AS s FROM w),
+c AS (SELECT trace, part, f, j, sum(s[CASE WHEN q < 0 THEN -q WHEN q > 19 THEN 38 - q ELSE q END + 1] * h * cos(2 * pi() * j * k / 8)) AS re, sum(s[CASE WHEN q < 0 THEN -q WHEN q > 19 THEN 38 - q ELSE q END + 1] * h * sin(2 * pi() * j * k / 8)) AS im
+ FROM (SELECT trace, part, s, f, k, CAST(4 * f + k - 4 AS INT) AS q, 0.5 - 0.5 * cos(2 * pi() * k / 8) AS h FROM src, range(0, 6) a(f), range(0, 8) b(k)), range(0, 5) g(j) GROUP BY ALL),
+d AS (SELECT trace, 10 * log10(greatest(re * re + im * im, 1e-10)) AS db FROM c), e AS (SELECT trace, greatest(db, max(db) OVER (PARTITION BY trace) - 30) AS db FROM d)
+SELECT trace, 5 AS freq, 6 AS frames, CAST(count(*) AS INT) AS n, round((max(db) - avg(db)) / (stddev_samp(db) + 1e-6), 2) AS top, round((min(db) - avg(db)) / (stddev_samp(db) + 1e-6), 2) AS least FROM e GROUP BY trace"""
+
+
+def station_records(spark, sf_dir):
+    """Station records of orders whose lines stand for traces: the longest trace of a component, all at one sampling rate."""
+    letters = F.element_at(F.array(*map(F.lit, ("Z", "N", "1", "E", "2", "X", "Z"))), F.col("l_linenumber").cast("int"))
+    length = (F.col("l_partkey") % 40 + 1).cast("int")
+    traces = X.table(spark, sf_dir, "lineitem").where("l_linenumber <= 7").select("l_orderkey", letters.alias("component"), F.array_repeat(F.col("l_quantity"), length).alias("samples"), F.when(F.col("l_linestatus") == "F", 100.0).otherwise(50.0).alias("sampling_rate"))
+    rows = N.stations(traces, ["l_orderkey"])
+    return rows.select("l_orderkey", "fs", *(F.size(c).alias(f"n_{c}") for c in "zne"))
+
+
+STATION_RECORDS_SQL = """WITH t AS (SELECT l_orderkey AS o, ['Z','N','1','E','2','X','Z'][l_linenumber] AS c, l_partkey % 40 + 1 AS n, CASE WHEN l_linestatus = 'F' THEN 100.0::DOUBLE ELSE 50.0::DOUBLE END AS fs FROM lineitem WHERE l_linenumber <= 7),
+r AS (SELECT *, row_number() OVER (PARTITION BY o, c ORDER BY n DESC, fs DESC) AS k FROM t), p AS (SELECT o, max(n) FILTER (c = 'Z') AS z, max(fs) FILTER (c = 'Z') AS fz, max(n) FILTER (c = 'N') AS n0, max(fs) FILTER (c = 'N') AS f0, max(n) FILTER (c = '1') AS n1, max(fs) FILTER (c = '1') AS f1,
+ max(n) FILTER (c = 'E') AS e0, max(fs) FILTER (c = 'E') AS g0, max(n) FILTER (c = '2') AS e1, max(fs) FILTER (c = '2') AS g1 FROM r WHERE k = 1 GROUP BY o)
+SELECT o AS l_orderkey, fz AS fs, CAST(z AS INT) AS n_z, CAST(coalesce(n0, n1) AS INT) AS n_n, CAST(coalesce(e0, e1) AS INT) AS n_e FROM p WHERE fz = coalesce(f0, f1) AND fz = coalesce(g0, g1)"""
+
+
+def first_files(spark, sf_dir):
+    """The first 200 file names in order, of the rows of one class."""
+    files = X.entries(spark, sf_dir).where("cls = 'A'").select(F.concat_ws("_", "file", "part", "item").alias("file_path"))
+    return J.first_files(files, 200)
+
+
+FIRST_FILES_SQL = f"WITH {ENTRIES_SQL} SELECT file || '_' || part || '_' || item AS file_path FROM entries WHERE cls = 'A' ORDER BY file_path LIMIT 200"
+
+
+def resampled(spark, sf_dir):
+    """Traces from 64 to 32 samples a second, by the taps of the low-pass in SQL."""
+    rows = N.resample(X.traces(spark, sf_dir), "samples", 64.0, 32.0, 40)
+    nth = lambda k: F.round(F.element_at("samples", k), 8).alias(f"s_{k}")
+    return rows.select("trace", F.size("samples").alias("n"), nth(1), nth(17), nth(32), nth(40))
+
+
+_BESSEL = "list_sum(list_transform(range(0, 40), lambda m: exp(2 * m * ln(greatest({x}, 1e-300) / 2) - 2 * lgamma(m + 1.0::DOUBLE))))"
+RESAMPLED_SQL = f"""WITH {TRACES_SQL}, k AS (SELECT i, CASE WHEN i = 0 THEN 0.5::DOUBLE ELSE sin(pi() * i / 2) / (pi() * i) END * {_BESSEL.format(x='(5.0::DOUBLE * sqrt(1 - i * i / 400.0::DOUBLE))')} AS h FROM range(-20, 21) r(i)), t AS (SELECT i, h / sum(h) OVER () AS h FROM k),
+c AS (SELECT trace, j, sum(h * coalesce(CASE WHEN 2 * (j - 1) - i >= 0 THEN samples[2 * (j - 1) - i + 1] END, 0.0)) AS v FROM traces, t, (VALUES (1), (17), (32)) q(j) GROUP BY ALL)
+SELECT trace, 40 AS n, round(max(v) FILTER (j = 1), 8) AS s_1, round(max(v) FILTER (j = 17), 8) AS s_17, round(max(v) FILTER (j = 32), 8) AS s_32, 0.0::DOUBLE AS s_40 FROM c GROUP BY trace"""
+
+
 def quality_counts(spark, sf_dir):
     """Records by response flag and mismatch, and how many pass both."""
     rows = X.table(spark, sf_dir, "lineitem").select((F.col("l_linestatus") == "F").alias("ok"), F.when(F.col("l_tax") > 0.01, F.col("l_tax")).alias("mismatch"))

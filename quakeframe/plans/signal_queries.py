@@ -11,6 +11,7 @@ from quakeframe.operators import signal as G
 from quakeframe.operators.sequence import running
 from quakeframe.operators.split import with_total
 from quakeframe.plans import fixtures as X
+from quakeframe.plans import jobs as J
 from quakeframe.plans.fixtures import CATALOG_SQL, TRACES_SQL
 
 
@@ -150,6 +151,15 @@ a AS (SELECT trace, list_reverse({_difference_equation('w')}) AS w FROM w), z AS
 SELECT trace, round(z[1], 7) AS s_1, round(z[20], 7) AS s_20, round(z[64], 7) AS s_64 FROM z"""
 
 
+def cleaned_diffs(spark, sf_dir):
+    """RMS difference of consecutive windows of 16 samples of each trace, cleaned whole before it is cut."""
+    rows = J.cleaned_diffs(X.traces(spark, sf_dir), 64.0, 0.25, ["trace"], 2.0, 12.0, n=4)
+    return rows.select("trace", "w_idx", F.round("rms_diff", 7).alias("rms_diff"))
+
+
+CLEANED_DIFFS_SQL = FILTERED_SQL[: FILTERED_SQL.rindex("SELECT trace, round(z[1]")] + """SELECT trace, CAST(i AS INT) AS w_idx, round(sqrt(list_sum(list_transform(range(1, 17), lambda k: (z[16 * i + k] - z[16 * i + k - 16]) * (z[16 * i + k] - z[16 * i + k - 16]))) / 16), 7) AS rms_diff FROM z, range(1, 4) t(i)"""
+
+
 def spectrogram(spark, sf_dir):
     """Decibel spectrograms of the traces with 16-point frames: shape, peak, mean and floor; whole matrices in tests/test_numbers.py."""
     got = dsp.spectrograms(X.traces(spark, sf_dir), n_fft=16, hop=4)

@@ -157,9 +157,11 @@ def read(spark: SparkSession, path: str, headers_only: bool = False) -> DataFram
 
 
 def file_system(path: str) -> tuple[Any, str]:
-    """The file system of a path or URI, and the path in it."""
+    """The file system of a path or URI, and the path in it; local files also as Hadoop writes them, file:/path."""
     from pyarrow import fs
 
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
 
 

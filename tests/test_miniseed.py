@@ -139,6 +139,11 @@ def test_written_traces_are_read_back_equal(spark, tmp_path):
     assert len(left) == 1 < n and left[0].stat().st_size % 512 == 0 and not any(p.name.startswith("_") for p in left)
 
 
+def test_local_paths_in_every_form(tmp_path):
+    want = str(tmp_path / "x")
+    assert {miniseed.file_system(p)[1] for p in (want, f"file:{want}", f"file://{want}")} == {want}
+
+
 def test_a_failed_task_leaves_nothing(spark, tmp_path):
     spark.dataSource.register(miniseed.MiniSeedSource)
     rows = [*traces(3, 200), ("N", "BAD", "", "Z", T0, 0.0, [1.0])]  # no sampling rate
