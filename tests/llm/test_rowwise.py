@@ -234,6 +234,18 @@ def test_toxicity_of_few_labels(spark):
     assert toxicity.predict(df.limit(0), model).count() == 0 and toxicity.predict(df.withColumn("score", F.lit("clash")), model).dtypes[-1] == ("score", "double")
 
 
+def test_toxicity_on_a_bounded_sample(spark, monkeypatch):
+    rng = random.Random(17)
+    rows = [(k, " ".join(f"w{rng.randrange(60)}" for _ in range(20)) + (" vile vile scum" if k % 3 == 0 else ""), int(k % 3 == 0)) for k in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    whole = toxicity.fit(df, df).model.seen.sum()
+    monkeypatch.setattr(toxicity, "MODEL_TEXTS", 100)
+    model = toxicity.fit(df, df)
+    assert 0 < model.model.seen.sum() < whole / 2
+    got = {r.doc_id: r.score for r in toxicity.predict(df, model).collect()}
+    assert sum((got[k] >= 0.3) == (t == 1) for k, _, t in rows) >= 0.95 * len(rows)
+
+
 def brute_losses(tokens, good):
     """Target and background loss of each token list, by models that leave it out; good: which of them the target is made of."""
     size = len({w for t in tokens for w in t})
