@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The tables written inside each open scratch(), innermost last.
+_open: list[list[str]] = []
+
 
 def build_session(app: str = "quakeframe", cpus: int | str = "*", **conf: str) -> SparkSession:
     """A local session with the settings the operators are written for."""
@@ -48,5 +53,23 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the tables that materialize wrote inside it. Write what you need of a lazy result before:
+
+    with scratch(spark):
+        jobs.detection_dataset(...).write.parquet(target)
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -231,5 +231,23 @@ def test_live_labels(spark, tmp_path):
     assert got == {("a", 0): (1, 5.0), ("a", 1): (1, 5.5), ("a", 2): (0, None), ("a", 3): (0, None), ("b", 0): (0, None)}
 
 
+def test_scratch_tables_go_with_their_block(spark, tmp_path):
+    from pathlib import Path
+
+    from quakeframe.session import materialize, scratch, shared_dir
+
+    here = lambda: set(Path(shared_dir(spark).removeprefix("file:")).glob("scratch-*"))
+    with scratch(spark):
+        outer = materialize(spark.range(5), "scratch-a")
+        with pytest.raises(RuntimeError), scratch(spark):
+            materialize(spark.range(3), "scratch-b")
+            raise RuntimeError
+        assert len(here()) == 1 and outer.count() == 5
+        outer.write.parquet(f"{tmp_path}/kept")
+    assert not here() and spark.read.parquet(f"{tmp_path}/kept").count() == 5
+    materialize(spark.range(1), "scratch-c")
+    assert len(here()) == 1
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns[0] == "region" and set(entry.oracle_sql()) <= set(entry.queries())
