@@ -257,7 +257,9 @@ def brute_losses(tokens, good):
         for (c, _), n in pair.items():
             context[c] += n
         single = lambda w: (word[w] + 1) / (word.total() + size)
-        return -sum(math.log((pair[c, w] + lm.PRIOR * single(w)) / (context[c] + lm.PRIOR)) for c, w in zip([None, *own], own)) / max(1, len(own))
+        after = Counter(c for c, _ in pair)
+        p = lambda c, w: (max(pair[c, w] - lm.DISCOUNT, 0) + lm.DISCOUNT * after[c] * single(w)) / context[c] if context[c] else single(w)
+        return -sum(math.log(p(c, w)) for c, w in zip([None, *own], own)) / max(1, len(own))
 
     return [[loss(t, [x for j, (x, g) in enumerate(zip(tokens, good)) if j != k and (g or not only)]) for only in (True, False)] for k, t in enumerate(tokens)]
 
