@@ -236,6 +236,13 @@ def decluster(spark, sf_dir):
     return D.decluster(X.zoned(spark, sf_dir)).select("region", "event_id", "is_main")
 
 
+_NEAR = _HAVERSINE.format(a="m.lat", b="x[1].lat", c="m.lon", d="x[1].lon")
+DECLUSTER_SQL = f"""WITH {ZONED_SQL}, o AS (SELECT region, list({{'t': epoch_us(time), 'lat': lat, 'lon': lon, 'm': magnitude, 'id': event_id}} ORDER BY magnitude DESC, time, event_id) AS e FROM zoned GROUP BY region),
+r AS (SELECT region, list_reduce(list_transform(e, lambda x: [x]), lambda acc, x: CASE WHEN len(list_filter(acc, lambda m: abs(x[1].t - m.t) / 86400e6 <= CASE WHEN m.m >= 6.5 THEN pow(10, 0.032 * m.m + 2.7389) ELSE pow(10, 0.5409 * m.m - 0.547) END AND {_NEAR} <= pow(10, 0.1238 * m.m + 0.983))) = 0 THEN acc || x ELSE acc END) AS mains FROM o),
+u AS (SELECT region, unnest(list_transform(mains, lambda m: m.id)) AS event_id FROM r)
+SELECT zoned.region, zoned.event_id, u.event_id IS NOT NULL AS is_main FROM zoned LEFT JOIN u ON u.region = zoned.region AND u.event_id = zoned.event_id"""
+
+
 QUERIES = {
     "forecast_windows": (forecast_windows, FORECAST_WINDOWS_SQL),
     "next_magnitude": (next_magnitude, NEXT_MAGNITUDE_SQL),
@@ -251,5 +258,5 @@ QUERIES = {
     "station_fallback": (station_fallback, STATION_FALLBACK_SQL),
     "window_series": (window_series, WINDOW_SERIES_SQL),
     "event_gaps": (event_gaps, EVENT_GAPS_SQL),
-    "decluster": (decluster, None),
+    "decluster": (decluster, DECLUSTER_SQL),
 }
