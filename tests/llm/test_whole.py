@@ -1,12 +1,15 @@
 """Whole results where bounded models or look-ups would lose some."""
 
+import math
 import random
+import zlib
+from collections import Counter
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quakeframe.llm import licenses, queries, toxicity
+from quakeframe.llm import langid, licenses, queries, toxicity
 from tests.llm.test_rowwise import brute_losses
 
 
@@ -54,3 +57,48 @@ def test_toxicity_counts_every_labelled_row(spark):
     assert value(apart, "rotten") == pytest.approx(1, abs=0.1) and value(apart, "vile") > 3
     counts = pairs.agg(*(F.sum(c) for c in ("toxic", "toxic_apart"))).first()
     assert counts[0] > counts[1] > 0
+
+
+def test_language_query_equals_brute_force(spark, tmp_path):
+    """Fit, fold and prediction of op7 over every segmentation of every word, in plain Python."""
+    vocabulary = {"en": "the cat and dog sat on mat was here".split(), "fr": "le chat et la table été sur ici".split(), "de": "der hund und die katze saß auf".split()}
+    rng = random.Random(18)
+    docs = [(k, " ".join(rng.choice(vocabulary[lang]) for _ in range(rng.randint(1, 8))), lang) for k, lang in enumerate(rng.choice(sorted(vocabulary)) for _ in range(60))]
+    docs += [(100, None, "en"), (101, "", "fr"), (102, "12 34", "de"), (103, "The CAT", None), (None, "le chat", "fr"), (104, "qqq 日本 zzz", None), (105, "le chat", "fr"), (105, "le chat", "fr")]
+    spark.createDataFrame([(*d, "s", 1) for d in docs], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    _, ids = langid._pieces(None)
+    held = lambda k: k is not None and zlib.crc32(str(k).encode()) % 4 == 2
+    langs = sorted(vocabulary)
+
+    def cuts(text):
+        if not text:
+            yield []
+        for n in range(1, len(text) + 1):
+            piece = ids.get(text[:n], -1 if n == 1 else None)
+            if piece is not None:
+                for rest in cuts(text[n:]):
+                    yield [piece, *rest]
+
+    counts = {lang: Counter() for lang in langs}
+    for k, text, lang in docs:
+        if lang and text and k is not None and not held(k):
+            for w in text.lower().split():
+                weights = [(c, math.prod(1 / len(ids) if p >= 0 else langid.UNKNOWN for p in c)) for c in cuts("▁" + w)]
+                for c, x in weights:
+                    for p in c:
+                        if p >= 0:
+                            counts[lang][p] += x / sum(y for _, y in weights)
+    total = {lang: sum(counts[lang].values()) + langid.PRIOR * len(set(ids.values())) for lang in langs}
+    prob = lambda lang, p: (counts[lang][p] + langid.PRIOR) / total[lang] if p >= 0 else langid.UNKNOWN
+    want = []
+    for k, text, _ in docs:
+        if text is None or not any(c.isalpha() for c in text):
+            want.append((k, held(k), "und", 0.0))
+            continue
+        logs = [sum(math.log(sum(math.prod(prob(lang, p) for p in c) for c in cuts("▁" + w))) for w in text.lower().split()) for lang in langs]
+        best = max(range(len(langs)), key=lambda j: (logs[j], -j))
+        want.append((k, held(k), langs[best], 1 / sum(math.exp(x - logs[best]) for x in logs)))
+    got = sorted((str(r.doc_id), r.held_out, r.lang_pred, r.score) for r in queries.op7_language_id(spark, str(tmp_path)).collect())
+    want = sorted((str(k), *own) for k, *own in want)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want], rel=1e-6)
