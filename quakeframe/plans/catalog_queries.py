@@ -136,11 +136,11 @@ SELECT region, start_idx, split, CASE WHEN days_to_major < low_days THEN 0 WHEN
 def tercile_one_out(spark, sf_dir):
     """Windows for folds that leave one target event out: one split, terciles of all rows."""
     events = X.zoned(spark, sf_dir)
-    rows = J.tercile_dataset(events, events.where(F.col("magnitude") >= THRESHOLD).select("region", "time"), THRESHOLD, True)
+    rows = J.tercile_dataset(events, events.where(F.col("magnitude") >= THRESHOLD).select("region", "time"), THRESHOLD, True, 1)
     return _rounded(rows.select("region", "start_idx", "split", "tercile", "low_days", "high_days"), "low_days", "high_days")
 
 
-TERCILE_ONE_OUT_SQL = f"""WITH {TERCILE_SQL}, edges AS (SELECT quantile_cont(days_to_major, 1.0::DOUBLE/3) AS low_days, quantile_cont(days_to_major, 2.0::DOUBLE/3) AS high_days FROM tercile)
+TERCILE_ONE_OUT_SQL = f"""WITH {TERCILE_SQL}, edges AS (SELECT CASE WHEN count(*) < 3 THEN 365.0 ELSE quantile_cont(days_to_major, 1.0::DOUBLE/3) END AS low_days, CASE WHEN count(*) < 3 THEN 1825.0 ELSE quantile_cont(days_to_major, 2.0::DOUBLE/3) END AS high_days FROM tercile)
 SELECT region, start_idx, 'all' AS split, CASE WHEN days_to_major < low_days THEN 0 WHEN days_to_major < high_days THEN 1 ELSE 2 END AS tercile, round(low_days, {R}) AS low_days, round(high_days, {R}) AS high_days FROM tercile, edges"""
 
 

@@ -51,12 +51,12 @@ def forecast_dataset(events: DataFrame, threshold: float = 4.5, horizon_days: fl
     return split.chronological(sequence.dense_windows(events, size, stride, threshold, horizon_days), embargo_days=horizon_days)
 
 
-def tercile_dataset(events: DataFrame, targets: DataFrame, major: float = 6.0, one_out: bool = False) -> DataFrame:
-    """Windows with classes of the time to the next target; one_out puts all rows in one split for leave-one-event-out folds."""
+def tercile_dataset(events: DataFrame, targets: DataFrame, major: float = 6.0, one_out: bool = False, least_targets: int = LEAST_TARGETS) -> DataFrame:
+    """Windows with classes of the time to the next target; one_out puts all rows in one split for leave-one-event-out folds, of least_targets events at least."""
     windows = sequence.tercile_windows(events, targets, major=major)
     if one_out:
-        if (n := windows.select("target_time").distinct().count()) < LEAST_TARGETS:
-            raise ValueError(f"leave-one-event-out takes {LEAST_TARGETS} target events, not {n}")
+        if (n := windows.select("target_time").distinct().count()) < least_targets:
+            raise ValueError(f"leave-one-event-out takes {least_targets} target events, not {n}")
         return split.tercile_classes(windows.withColumn("split", F.lit("all")))
     placed = split.chronological(windows, target="target_time")
     return split.tercile_classes(placed, fit_on=F.col("split") == "train").where("split <> 'dropped'")
