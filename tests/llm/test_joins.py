@@ -254,6 +254,8 @@ def test_parts_are_balanced():
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("doc_id", F.col("doc_id") + 1000)
     extra = [(1, None, "en", "s", None), (2, "", "en", "s", 0), (3, "12 34 !", None, "s", 7), (None, "a lone text with letters", "en", None, 24), (4, "api_key = abcdefgh12345 and more words here", "en", "s", 43)]
+    very_long = " ".join(f"the house and the garden of the town number{k}" for k in range(20_000)) + " password = abcdefgh12345"
+    extra += [(6, very_long, "en", "s", len(very_long))]
     docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
     item = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").orderBy("item_id").first()
     docs = docs.unionByName(spark.createDataFrame([(5, f"before it {item.text} after", "en", "s", 10)], docs.schema))
@@ -273,6 +275,7 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id for r in single.where("doc_id is not null").collect()} == expected and single.where("doc_id is null").count() == 1
     assert 5 not in {r.doc_id for r in clean.collect()} and clean.count() >= 0.9 * single.count()
     assert cut.count() == clean.count() and cut.where("doc_id = 4").first().text.startswith("[SECRET] and more")
+    assert cut.where("doc_id = 6").first().text == very_long.replace("password = abcdefgh12345", "[SECRET]")
     texts = {r.doc_id: r.text for r in cut.collect()}
     for r in coded.collect():
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
