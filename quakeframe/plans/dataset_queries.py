@@ -158,7 +158,7 @@ def miniseed_round_trip(spark, sf_dir):
     rows = whole.select(F.lit("").alias("file_path"), F.lit("XX").alias("network"), code.alias("station"), F.lit("").alias("location"), F.lit("HHZ").alias("channel"), F.inline(pieces))
     path = f"{shared_dir(spark)}/miniseed-{uuid.uuid4().hex}"
     rows.withColumns({"sampling_rate": F.lit(64.0), "npts": F.size("samples")}).select(*MS.COLUMNS).write.format("miniseed").option("record_bytes", "512").mode("append").save(path)
-    back = MS.traces(spark.read.format("miniseed").option("split_bytes", "65536").load(path))
+    back = MS.traces(MS.scan(spark, path, split_bytes="65536"))
     total = F.aggregate("samples", F.lit(0.0), lambda a, v: a + v)
     return back.select(F.conv("station", 36, 10).cast("long").alias("trace"), "npts", F.size(F.filter("gap_mask", lambda g: g)).alias("n_gap"), F.element_at("samples", 40).alias("s_40"), F.round(F.element_at("samples", 42), 6).alias("s_42"), F.round(total, 6).alias("total"), "starttime")
 

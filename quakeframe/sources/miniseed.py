@@ -173,8 +173,9 @@ class FileRange(InputPartition):
 class MiniSeedSource(DataSource):
     """spark.read.format("miniseed") and df.write.format("miniseed"), after spark.dataSource.register(MiniSeedSource).
 
-    Paths are local or URIs of a store that executors reach. Options to read: headers_only, split_bytes; filters are pushed
-    where spark.sql.python.filterPushdown.enabled is true. Options to write: encoding, record_bytes (see sources.miniseed_sink).
+    Paths are local or URIs of a store that executors reach. Options to read: headers_only, split_bytes, and push_filters, which
+    Spark takes only where spark.sql.python.filterPushdown.enabled is true (scan() sets it there). Options to write: encoding,
+    record_bytes (see sources.miniseed_sink).
     """
 
     @classmethod
@@ -185,7 +186,7 @@ class MiniSeedSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return MiniSeedReader(self.options)
+        return (FilteringReader if self.options.get("push_filters", "false").lower() == "true" else MiniSeedReader)(self.options)
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
         from quakeframe.sources.miniseed_sink import MiniSeedWriter
@@ -193,7 +194,16 @@ class MiniSeedSource(DataSource):
         return MiniSeedWriter(self.options, overwrite)
 
 
+def scan(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Records of the files under path by the data source, whose filters reach the headers where the session allows it."""
+    spark.dataSource.register(MiniSeedSource)
+    push = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    return spark.read.format("miniseed").options(**({"push_filters": push} | options)).load(path)
+
+
 class MiniSeedReader(DataSourceReader):
+    """Records of ranges of files, of those headers that pass the filters, which only a FilteringReader is given."""
+
     #: What a filter says of a header's value.
     TESTS = {D.EqualTo: lambda v, x: v == x, D.GreaterThan: lambda v, x: v > x, D.GreaterThanOrEqual: lambda v, x: v >= x, D.LessThan: lambda v, x: v < x, D.LessThanOrEqual: lambda v, x: v <= x, D.In: lambda v, x: v in x, D.StringStartsWith: lambda v, x: v.startswith(x)}
     FIELDS = ("network", "station", "location", "channel")
@@ -203,16 +213,6 @@ class MiniSeedReader(DataSourceReader):
         self.split_bytes = int(options.get("split_bytes", SPLIT_BYTES))
         self.filters: list[tuple[str, type, Any]] = []
 
-    def pushFilters(self, filters: list[D.Filter]) -> Iterator[D.Filter]:
-        for f in filters:
-            column = getattr(f, "attribute", ("",))[0]
-            value = getattr(f, "value", None)
-            known = column in self.FIELDS and (isinstance(value, (str, tuple, list))) or column == "starttime" and isinstance(value, datetime) and value.tzinfo is None
-            if type(f) in self.TESTS and known and not (column != "starttime" and type(f) is D.StringStartsWith and not isinstance(value, str)):
-                self.filters.append((column, type(f), value))
-            elif not (isinstance(f, D.IsNotNull) and column in (*self.FIELDS, "starttime")):  # headers have no nulls
-                yield f
-
     def wanted(self, h: dict) -> bool:
         values = dict(zip(self.FIELDS, h["names"], strict=True)) | {"starttime": h["start"]}
         return all(self.TESTS[kind](values[column], value) for column, kind, value in self.filters)
@@ -235,6 +235,18 @@ class MiniSeedReader(DataSourceReader):
                 yield (path, *r)
 
 
+class FilteringReader(MiniSeedReader):
+    def pushFilters(self, filters: list[D.Filter]) -> Iterator[D.Filter]:
+        for f in filters:
+            column = getattr(f, "attribute", ("",))[0]
+            value = getattr(f, "value", None)
+            known = column in self.FIELDS and (isinstance(value, (str, tuple, list))) or column == "starttime" and isinstance(value, datetime) and value.tzinfo is None
+            if type(f) in self.TESTS and known and not (column != "starttime" and type(f) is D.StringStartsWith and not isinstance(value, str)):
+                self.filters.append((column, type(f), value))
+            elif not (isinstance(f, D.IsNotNull) and column in (*self.FIELDS, "starttime")):  # headers have no nulls
+                yield f
+
+
 def traces(rows: DataFrame) -> DataFrame:
     """One row a file, station and component: samples with gaps interpolated, and gap_mask.
 

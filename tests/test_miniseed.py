@@ -109,7 +109,7 @@ def test_filters_reach_the_headers(spark, tmp_path):
     data = written(rows)
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "x.mseed").write_bytes(data)
-    reader = miniseed.MiniSeedReader({"path": str(tmp_path)})
+    reader = miniseed.FilteringReader({"path": str(tmp_path)})
     asked = [EqualTo(("station",), "S2"), In(("channel",), ("HHE", "HHZ")), GreaterThanOrEqual(("starttime",), T0), LessThan(("starttime",), T0 + timedelta(seconds=290)), IsNotNull(("station",)), EqualTo(("npts",), 5)]
     assert list(reader.pushFilters(asked)) == asked[-1:]
     counted = []
@@ -117,10 +117,11 @@ def test_filters_reach_the_headers(spark, tmp_path):
     some = [r for p in reader.partitions() for r in reader.read(p)]
     assert {r[2] for r in some} == {"S2"} and all(r[5] < T0 + timedelta(seconds=290) for r in some)
     assert sum(c.taken for c in counted) < 0.3 * len(data)
-    spark.dataSource.register(miniseed.MiniSeedSource)
-    df = spark.read.format("miniseed").load(str(tmp_path)).where((F.col("station") == "S2") & (F.col("starttime") < F.lit(T0 + timedelta(seconds=290))) & F.col("channel").isin("HHE", "HHZ"))
+    df = miniseed.scan(spark, str(tmp_path)).where((F.col("station") == "S2") & (F.col("starttime") < F.lit(T0 + timedelta(seconds=290))) & F.col("channel").isin("HHE", "HHZ"))
     assert sorted((r.starttime, r.samples) for r in df.collect()) == sorted((r[5], r[8]) for r in some)
-    assert "S2" not in df._jdf.queryExecution().executedPlan().toString().split("Filter")[-1] if spark.conf.get("spark.sql.python.filterPushdown.enabled") == "true" else True
+    assert spark.conf.get("spark.sql.python.filterPushdown.enabled") == "true" and " Filter " not in df._jdf.queryExecution().executedPlan().toString()
+    plain = spark.read.format("miniseed").load(str(tmp_path)).where("station = 'S2' and channel = 'HHE'")  # without the option Spark filters
+    assert " Filter " in plain._jdf.queryExecution().executedPlan().toString() and {r.station for r in plain.collect()} == {"S2"}
 
 
 def test_written_traces_are_read_back_equal(spark, tmp_path):
