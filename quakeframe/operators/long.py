@@ -31,10 +31,11 @@ def cut(traces: DataFrame, keys: list[str], size: int = BLOCK, samples: str = "s
         raise ValueError(f"blocks have {SHORTEST_BLOCK} samples at least")
     n = F.size(samples).cast("long")
     blocks = F.ceil(n / size)
-    rows = traces.where(n > 0).select(*keys, n.alias("n"), F.col(samples).alias("__x"), blocks.alias("__m"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"))
-    edge = lambda k: F.floor(F.col("n") * k / F.col("__m")).cast("long")
-    first, last = edge(F.col("block")), edge(F.col("block") + 1)
-    return rows.select(*keys, "block", first.alias("at"), "n", F.slice("__x", (first + 1).cast("int"), (last - first).cast("int")).alias("samples"))
+    edge = lambda k: F.floor(n * k / blocks).cast("long")
+    piece = lambda k: F.struct(k.alias("block"), edge(k).alias("at"), F.slice(samples, (edge(k) + 1).cast("int"), (edge(k + 1) - edge(k)).cast("int")).alias("samples"))
+    # cut before exploding, so that no row carries the whole trace
+    rows = traces.where(n > 0).select(*keys, n.alias("n"), F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), piece).alias("p"))
+    return rows.select(*keys, "n", F.inline("p")).select(*keys, "block", "at", "n", "samples")
 
 
 def _sum(values: Column) -> Column:
