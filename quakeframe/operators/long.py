@@ -30,7 +30,7 @@ def cut(traces: DataFrame, keys: list[str], size: int = BLOCK, samples: str = "s
     if size < SHORTEST_BLOCK:
         raise ValueError(f"blocks have {SHORTEST_BLOCK} samples at least")
     n = F.size(samples).cast("long")
-    blocks = F.ceil(n / size)
+    blocks = F.greatest(F.ceil(n / size), F.lit(1).cast("long"))
     edge = lambda k: F.floor(n * k / blocks).cast("long")
     piece = lambda k: F.struct(k.alias("block"), edge(k).alias("at"), F.slice(samples, (edge(k) + 1).cast("int"), (edge(k + 1) - edge(k)).cast("int")).alias("samples"))
     # cut before exploding, so that no row carries the whole trace
