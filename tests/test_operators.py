@@ -232,21 +232,25 @@ def test_live_labels(spark, tmp_path):
 
 
 def test_scratch_tables_go_with_their_block(spark, tmp_path):
+    import uuid
     from pathlib import Path
 
     from quakeframe.session import materialize, scratch, shared_dir
 
-    here = lambda: set(Path(shared_dir(spark).removeprefix("file:")).glob("scratch-*"))
+    tag = f"scratch-{uuid.uuid4().hex}"  # the folder may outlive this run
+    here = lambda: set(Path(shared_dir(spark).removeprefix("file:")).glob(f"{tag}-*"))
     with scratch(spark):
-        outer = materialize(spark.range(5), "scratch-a")
+        outer = materialize(spark.range(5), f"{tag}-a")
         with pytest.raises(RuntimeError), scratch(spark):
-            materialize(spark.range(3), "scratch-b")
+            materialize(spark.range(3), f"{tag}-b")
             raise RuntimeError
         assert len(here()) == 1 and outer.count() == 5
         outer.write.parquet(f"{tmp_path}/kept")
     assert not here() and spark.read.parquet(f"{tmp_path}/kept").count() == 5
-    materialize(spark.range(1), "scratch-c")
-    assert len(here()) == 1
+    with scratch(spark):
+        materialize(spark.range(1), f"{tag}-c")
+        assert len(here()) == 1
+    assert not here()
 
 
 def test_entry(spark):
