@@ -19,13 +19,14 @@ rare expression scores alike under both. Contexts that a class hasn't seen leave
 The log-likelihood difference of the classes is normalised by length, over the
 text and over its best passages of one and of four words: an insult is a few words
 in a long text, which the text's own mean hardly moves. A logistic curve over
-these three is the score. The models count every labelled row; the curve is fitted
-on a bounded sample of them, measured by counts that leave out just that sample.
+these three is the score. The models count every labelled row, and the curve is fitted
+on every distinct labelled text: they fall into two halves by hash, and each half is
+measured by the counts of the other one. The curve's sums are Spark's, a pass a Newton step.
 
 Words and contexts have 2^20 slots by hash (feature hashing: words that share a slot are one word to the model, which
-is a proper one over the slots); the counts of pairs are exact. All labelled rows are counted, up to MODEL_TEXTS distinct
-texts of each label; of more, that many are drawn by the hash of the text. The model that tasks get is the
-numbers of the slots and the pairs above a discount, compressed, which that bounds.
+is a proper one over the slots); the counts of pairs are exact. The model that tasks get is the
+numbers of the slots and the pairs above a discount, compressed; it grows with the distinct pairs of the labelled texts.
+A caller may bound it by MODEL_TEXTS, which no query does.
 
 A doc_id that stands in several rows counts with each of its texts, copies of a text once. Equal scores are no tie to be
 broken, since rows are judged one by one.
@@ -48,7 +49,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast, SparkContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,11 +64,10 @@ SHARD_BYTES, SHARDS = 8 << 20, 32
 #: Discounts of a class's pairs, a class's words, and the pairs of both classes together.
 PAIRS, WORDS, SHARED = 2.0, 1.5, 0.75
 PASSAGES = (1, 4)
-#: Labelled texts that the logistic curve is fitted on, at most (half of them of each label).
-CURVE_ROWS = 20_000
-#: Distinct labelled texts of each label that the models count, about and at most: the bound of the labelled sample that this
-#: classifier is fitted on, and so of the model that tasks get. Up to it all labelled rows are counted.
-MODEL_TEXTS = 500_000
+#: Bits of a text's hash among which the one that halves the labelled texts is chosen.
+HALVES = 32
+#: Distinct labelled texts of each label that the models count, about and at most; None: all of them.
+MODEL_TEXTS: int | None = None
 #: Labels up to this number are broadcast; more are joined by a shuffle.
 BROADCAST_LABELS = 2_000_000
 #: Text that is scored at a time.
@@ -102,12 +102,12 @@ def _dealt(keys: np.ndarray, by: np.ndarray, shards: int, *values: np.ndarray) -
 
 def pair_counts(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     """From (text, toxic, curve boolean): pair (context << VOCAB_BITS | word), ordinary and toxic: the distinct words before it in
-    each class; ordinary_apart and toxic_apart: the same without the rows of the curve.
+    each class; ordinary_apart and toxic_apart: the same without the rows of the curve; ordinary_own and toxic_own: of those alone.
 
     A slice of text deals its distinct triples over hash shards, packed; a shard counts each once and deals
     partial counts by pair. A common pair is spread over the shards of its triples and one number a shard after that.
     """
-    counts = ("ordinary", "toxic", "ordinary_apart", "toxic_apart")
+    counts = ("ordinary", "toxic", "ordinary_apart", "toxic_apart", "ordinary_own", "toxic_own")
 
     def batch_of(dealt: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
         if columns := list(zip(*dealt, strict=True)):
@@ -126,11 +126,12 @@ def pair_counts(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
         for held in _runs(batches, "shard"):
             keys = np.unique(np.concatenate([np.cumsum(unpack(r["keys"], r["n"])) for r in held]))
             kind = keys >> 1
-            first = np.append(True, kind[1:] != kind[:-1])  # the row outside the curve, if there is one, comes first
-            kind, apart = kind[first], 1 - (keys[first] & 1)
+            new = kind[1:] != kind[:-1]
+            first, last = np.append(True, new), np.append(new, True)  # the row outside the curve, if there is one, comes first
+            kind, apart, own = kind[first], 1 - (keys[first] & 1), keys[last] & 1
             label, pair = kind & 1, kind >> (LEFT_BITS + 1)
             at = np.nonzero(np.append(True, pair[1:] != pair[:-1]))[0]
-            sums = [np.add.reduceat(x, at) for x in (1 - label, label, (1 - label) * apart, label * apart)]
+            sums = [np.add.reduceat(x, at) for x in (1 - label, label, (1 - label) * apart, label * apart, (1 - label) * own, label * own)]
             yield from batch_of(_dealt(pair[at], pair[at], shards, *sums), ["shard", "n", "keys", *counts])
             give_back()
 
@@ -179,9 +180,9 @@ class KneserNey:
         return np.log(p[1]) - np.log(p[0])
 
 
-def _model(pairs: DataFrame, apart: bool) -> KneserNey | None:
-    """Of all labelled rows, or apart from the curve's; None if a class has no counts. A row a slot, and the pairs above a discount, reach the driver."""
-    ordinary, toxic = (F.col(n + ("_apart" if apart else "")) for n in ("ordinary", "toxic"))
+def _model(pairs: DataFrame, apart: bool, own: bool = False) -> KneserNey | None:
+    """Of all labelled rows, apart from the curve's or of its own; None if a class has no counts. A row a slot, and the pairs above a discount, reach the driver."""
+    ordinary, toxic = (F.col(n + ("_apart" if apart else "_own" if own else "")) for n in ("ordinary", "toxic"))
     sums = pairs.agg(F.sum(ordinary).alias("o"), F.sum(toxic).alias("t")).first()
     if not sums["o"] or not sums["t"]:
         return None
@@ -245,14 +246,22 @@ def features(text: pa.Array, model: KneserNey) -> np.ndarray:
     return out
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Coefficients and intercept by Newton steps with a small ridge."""
-    a = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(a.shape[1])
+def _logistic(table: DataFrame, names: tuple[str, ...] = FEATURES) -> np.ndarray:
+    """Coefficients and intercept for y by Newton steps with a small ridge; each step's sums are one pass over table."""
+    x = [*(F.col(n) for n in names), F.lit(1.0)]
+    cells = [(i, j) for i in range(len(x)) for j in range(i + 1)]
+    w = np.zeros(len(x))
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (weight * (p * (1 - p) + 1e-9))[:, None]).T @ a + 1e-2 * np.eye(len(w))
-        step = np.linalg.solve(h, a.T @ (weight * (y - p)) - 1e-2 * w)
+        at = sum((c * float(k) for c, k in zip(x, w, strict=True)), F.lit(0.0))
+        p = 1 / (1 + F.exp(-F.least(F.greatest(at, F.lit(-30.0)), F.lit(30.0))))
+        rows = table.select(*names, "y", p.alias("p"))
+        curved = F.col("p") * (1 - F.col("p")) + 1e-9
+        sums = list(rows.agg(*(F.sum(x[i] * x[j] * curved).alias(f"h{i}_{j}") for i, j in cells), *(F.sum(c * (F.col("y") - F.col("p"))).alias(f"g{i}") for i, c in enumerate(x))).first())
+        h = 1e-2 * np.eye(len(w))
+        for (i, j), v in zip(cells, sums[: len(cells)], strict=True):
+            h[i, j] += v
+            h[j, i] = h[i, j]
+        step = np.linalg.solve(h, np.array(sums[len(cells) :]) - 1e-2 * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -272,8 +281,16 @@ class ToxicityModel:
 
 
 def _curve_texts(n: int) -> int:
-    """How many of n distinct texts of a label the curve takes: a quarter, or of few texts up to a half."""
-    return min(CURVE_ROWS // 2, n // 2, max(-(-n // 4), 25))
+    """How many of n distinct texts of a label each half is to hold at least: a quarter, or of few texts up to a half."""
+    return min(n // 2, max(-(-n // 4), 25))
+
+
+def _half(texts: DataFrame, wanted: dict[int, int]) -> Column | None:
+    """Whether a text (key) is of the first half: the bit of its hash whose halves hold the most of the wanted numbers of both labels; None if some half has none."""
+    bit = lambda k: F.shiftright(F.xxhash64(F.lit(12), "key"), k).bitwiseAND(F.lit(1))
+    got = texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), *(F.sum(bit(k)).alias(f"b{k}") for k in range(HALVES))).collect()  # two rows
+    held = [min(min(r[f"b{k}"], r["n"] - r[f"b{k}"]) / wanted[r["toxic"]] for r in got) for k in range(HALVES)]
+    return bit(int(np.argmax(held))) == 1 if max(held) > 0 else None
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
@@ -285,36 +302,42 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     sums = texts.agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"), F.sum("bytes").alias("bytes"), F.count(F.when(F.col("toxic") == 0, 1)).alias("0"), F.count(F.when(F.col("toxic") == 1, 1)).alias("1")).first()
     share = min(max((sums["n_toxic"] or 0) / max(sums["n"] or 0, 1), 1e-6), 1 - 1e-6)
     constant = np.array([0.0] * len(FEATURES) + [np.log(share / (1 - share))])
-    share_of = {k: MODEL_TEXTS / max(sums[str(k)], 1) for k in (0, 1)}
-    if min(share_of.values()) < 1:
+    if MODEL_TEXTS is not None and max(sums["0"], sums["1"]) > MODEL_TEXTS:
+        share_of = {k: min(1.0, MODEL_TEXTS / max(sums[str(k)], 1)) for k in (0, 1)}
         drawn = F.pmod(F.xxhash64(F.lit(13), "key"), F.lit(1 << 30)) < F.when(F.col("toxic") == 1, int(share_of[1] * (1 << 30))).otherwise(int(share_of[0] * (1 << 30)))
         rows, texts = rows.where(drawn), texts.where(drawn)
-    taken = {k: _curve_texts(min(sums[str(k)], MODEL_TEXTS // 2 if share_of[k] < 1 else sums[str(k)])) for k in (0, 1)}
-    if not all(taken.values()):
+    wanted = {k: _curve_texts(sums[str(k)]) for k in (0, 1)}
+    half = _half(texts, wanted) if all(wanted.values()) else None
+    if half is None:
         return ToxicityModel(None, constant)
-    first = lambda k: texts.where(F.col("toxic") == k).orderBy(F.xxhash64(F.lit(12), "key"), "key").limit(taken[k])
-    chosen = materialize(first(0).unionByName(first(1)).select("key", "toxic"), "curve")  # CURVE_ROWS at most
-    marked = rows.join(F.broadcast(chosen.select("key", F.lit(True).alias("curve"))), "key", "left")
+    marked = rows.withColumn("curve", half)
     pairs = materialize(pair_counts(marked, max(SHARDS, sums["bytes"] // SHARD_BYTES)), "pairs")
-    apart = _model(pairs, True)
-    if apart is None:
-        return ToxicityModel(None, constant)
-    held = shipped(docs.sparkSession.sparkContext, apart)
-    del apart
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = opened(held)
-        for batch in batches:
-            for part in slices(batch, most=SLICE_BYTES):
-                x = features(part.column("text"), model)
-                yield pa.RecordBatch.from_arrays([part.column("key"), *(pa.array(c) for c in x.T)], names=["key", *FEATURES])
-
-    measured = rows.select("key", "text").join(F.broadcast(chosen.select("key")), "key", "left_semi").mapInArrow(measure, "key long, " + ", ".join(f"{n} double" for n in FEATURES))
-    got = measured.dropDuplicates(["key"]).join(F.broadcast(chosen), "key").drop("key").toPandas()
-    held.destroy()
-    y = got["toxic"].to_numpy(float)
-    weight = np.where(y > 0, sums["1"] / max(1, (y > 0).sum()), sums["0"] / max(1, (y == 0).sum()))
-    return ToxicityModel(_model(pairs, False), _logistic(got[list(FEATURES)].to_numpy(), y, weight))
+    def measured(of_curve: bool) -> DataFrame | None:
+        """key, toxic and features of one half's rows, by the counts of the other half."""
+        model = _model(pairs, of_curve, not of_curve)
+        if model is None:
+            return None
+        held = shipped(docs.sparkSession.sparkContext, model)
+        del model
+
+        def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = opened(held)
+            for batch in batches:
+                for part in slices(batch, most=SLICE_BYTES):
+                    x = features(part.column("text"), model)
+                    yield pa.RecordBatch.from_arrays([part.column("key"), part.column("toxic"), *(pa.array(c) for c in x.T)], names=["key", "toxic", *FEATURES])
+
+        rows_of = marked.where(F.col("curve") == of_curve).select("key", "text", "toxic")
+        out = materialize(rows_of.mapInArrow(measure, "key long, toxic int, " + ", ".join(f"{n} double" for n in FEATURES)), "measured")
+        held.destroy()
+        return out
+
+    halves = [measured(True), measured(False)]
+    if None in halves:
+        return ToxicityModel(None, constant)
+    whole = halves[0].unionByName(halves[1]).groupBy("key").agg(F.max("toxic").cast("double").alias("y"), *(F.max(n).alias(n) for n in FEATURES))
+    return ToxicityModel(_model(pairs, False), _logistic(materialize(whole, "curve")))
 
 
 def predict(df: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
