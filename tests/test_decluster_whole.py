@@ -31,3 +31,23 @@ def test_unsettled_events_are_an_error(spark, monkeypatch):
     rows = [("a", datetime(2020, 1, k), 2.0, k, 0.0, 0.0) for k in (1, 2)]
     with pytest.raises(RuntimeError, match="settled none"):
         decluster.decluster(spark.createDataFrame(rows, CATALOG)).collect()
+
+
+def test_pairs_of_a_dense_catalog_grow_with_its_size(spark, monkeypatch):
+    """Events of one magnitude that all claim each other are cut into levels, so their pairs are no square."""
+    monkeypatch.setattr(decluster, "LEAST_PAIRS", 1000, raising=False)
+    met = []
+    monkeypatch.setattr(decluster, "claims", lambda *a, own=decluster.claims, **k: met.append(own(*a, **k)) or met[-1])
+    rows = [("a", datetime(2020, 1, 1) + timedelta(minutes=k), 2.0, k, 38.0, 30.0) for k in range(400)]
+    got = {r.event_id: r.is_main for r in decluster.decluster(spark.createDataFrame(rows, CATALOG)).collect()}
+    assert got == {k: k == 0 for k in range(400)}
+    assert sum(d.count() for d in met) <= 4 * len(rows)
+
+
+def test_levels_of_any_size_give_the_same_main_shocks(spark, monkeypatch):
+    rows = [("ab"[k % 2], datetime(2024, 1, 1) + timedelta(hours=k * 37 % 900), 2.0 + k * 7 % 13 / 5, k, 38 + k * 29 % 40 / 40, 30 + k * 17 % 60 / 40) for k in range(160)] + [("a", datetime(2024, 1, 5), None, 900, 38.0, 30.0), ("a", datetime(2024, 1, 5), 4.4, 901, None, 30.0)]
+    df = spark.createDataFrame(rows, CATALOG)
+    whole = {r.event_id: r.is_main for r in decluster.decluster(df).collect()}
+    monkeypatch.setattr(decluster, "FIRST_EVENTS", 30, raising=False)
+    monkeypatch.setattr(decluster, "GROWTH", 2, raising=False)
+    assert {r.event_id: r.is_main for r in decluster.decluster(df).collect()} == whole and 2 < sum(whole.values()) < len(whole) / 2
