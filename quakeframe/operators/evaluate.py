@@ -2,24 +2,57 @@
 
 Ranks come from tables of distinct values, whose counts are combined before the
 shuffle; these are put in order by ranges (sequence.running), never in one task.
+Groups of GROUP_ROWS at most are ranked where a shuffle by group brings them.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quakeframe.operators.sequence import running
+from quakeframe.session import materialize
+
+
+#: Rows of a group that one task ranks, at most; larger groups are ranked by ranges.
+GROUP_ROWS = 100_000
+
+
+def _same(left: DataFrame, right: DataFrame, by: tuple[str, ...]) -> Column:
+    """Null-safe equality of by."""
+    return reduce(Column.__and__, (left[c].eqNullSafe(right[c]) for c in by))
 
 
 def average_ranks(df: DataFrame, value: str, name: str = "rank", by: tuple[str, ...] = ()) -> DataFrame:
     """Adds the 1-based rank of value, ties averaged."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
     placed = running(counts, [value], {"__before": F.col("__n")}, by)
-    ranks = placed.withColumn(name, F.col("__before") + (F.col("__n") + 1) / 2.0).drop("__n", "__before")
-    return df.join(ranks, [*by, value])
+    ranks = placed.select(*(F.col(c).alias(f"__by_{c}") for c in by), F.col(value).alias("__value"), (F.col("__before") + (F.col("__n") + 1) / 2.0).alias(name))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in by), F.col(value) == F.col("__value"))
+    return df.join(ranks, same).drop("__value", *(f"__by_{c}" for c in by))
+
+
+def _ranked_in_groups(df: DataFrame, values: dict[str, str], by: tuple[str, ...]) -> DataFrame:
+    """by and the rank of each value (name by column), ties averaged, of rows that know all values: one shuffle for the groups that fit a task."""
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > GROUP_ROWS)
+    large = materialize(sizes.select(*by), "large")  # a row for each GROUP_ROWS rows at most
+    own = Window.partitionBy(*by)
+    rank = lambda c: F.rank().over(own.orderBy(c)) + (F.count(F.lit(1)).over(Window.partitionBy(*by, c)) - 1) / 2.0
+    any_large = not large.isEmpty()
+    small = df.join(F.broadcast(large), _same(df, large, by), "left_anti") if any_large else df
+    out = small
+    for c, name in values.items():
+        out = out.withColumn(name, rank(c))
+    out = out.select(*by, *values.values())
+    if any_large:
+        ranked = df.join(F.broadcast(large), _same(df, large, by), "left_semi")
+        for c, name in values.items():
+            ranked = average_ranks(ranked, c, name, by)
+        out = out.unionByName(ranked.select(*by, *values.values()))
+    return out
 
 
 def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -63,7 +96,7 @@ def youden(df: DataFrame, label: str = "label", score: str = "score") -> DataFra
 def spearman(df: DataFrame, x: str, y: str, least_rows: int = 3, by: tuple[str, ...] = ()) -> DataFrame:
     """(by,) n, rho and the two-sided p of Student's t with n - 2 degrees; null for fewer rows or without spread."""
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, x, y)
-    ranked = average_ranks(average_ranks(both, x, "__rx", by), y, "__ry", by)
+    ranked = _ranked_in_groups(both, {x: "__rx", y: "__ry"}, by) if by else average_ranks(average_ranks(both, x, "__rx"), y, "__ry")
     n = F.count(F.lit(1))
     rho = F.when((n >= least_rows) & (F.stddev_pop("__rx") > 0) & (F.stddev_pop("__ry") > 0), F.corr("__rx", "__ry"))
     out = ranked.groupBy(*by).agg(n.alias("n"), rho.alias("rho")) if by else ranked.agg(n.alias("n"), rho.alias("rho"))

@@ -363,3 +363,25 @@ def test_filling_by_phases_equals_one_pass(spark, monkeypatch):
         assert {tuple(r) for r in split.fill_splits(keys, "station", weights).collect()} == one
         monkeypatch.undo()
         assert n == 0 or {s for _, s in one} == {"train", "val", "test"}
+
+
+def test_correlations_of_groups_that_fit_a_task_need_no_ranges(spark, monkeypatch):
+    rng = random.Random(12)
+    sizes = {"small": 15, "large": 90, None: 40, "odd": 12}
+    rows = [(g, float(rng.randrange(9)), rng.gauss(0, 1)) for g, n in sizes.items() for _ in range(n)] + [("small", None, 1.0), ("small", 1.0, None)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(3)
+
+    def average(values):
+        return [(sum(v < a for v in values) + 1 + sum(v <= a for v in values)) / 2 for a in values]
+
+    expected = {}
+    for g, n in sizes.items():
+        own = [r for r in rows if r[0] == g and r[1] is not None and r[2] is not None]
+        expected[g] = (n, pytest.approx(np.corrcoef(average([r[1] for r in own]), average([r[2] for r in own]))[0, 1], abs=1e-12))
+    both = []
+    running = evaluate.running
+    monkeypatch.setattr(evaluate, "running", lambda *a, **k: both.append(a) or running(*a, **k))
+    of = lambda: {r.g: (r.n, r.rho) for r in evaluate.spearman(df, "x", "y", by=("g",)).collect()}
+    assert of() == expected and not both
+    monkeypatch.setattr(evaluate, "GROUP_ROWS", 30)  # the larger groups, a null one too, go by ranges
+    assert of() == expected and len(both) == 2
